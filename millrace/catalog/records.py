@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.catalog.base import (
-    CDC_SQL, LINE_ORDER, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging, uuid5_sql,
+    CDC_SQL, LINE_ORDER, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging, order_lines, uuid5_sql,
 )
 from millrace.functions.hashing import content_hash, uuid5
 from millrace.operators import access, cdc, dedup, jobs, quality
+from millrace.plans import elt
+from millrace.session import work_path
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 KEYS = ", ".join(schemas.USER_KEYS)
@@ -76,6 +78,21 @@ def key_set_diff(spark, sf):
     return cdc.key_set_diff(cdc_staging(t), cdc_latest(t))
 
 
+def tenant_runs(spark, sf):
+    """Two runs of the whole job; the second one is repeated, as after a crash."""
+    t = Tables(spark, sf)
+    root = work_path(spark, "runs")
+    lines = order_lines(t)
+    first = lines.where("l_linestatus = 'F'")
+    second = lines.where("l_returnflag <> 'R'")
+    for run_id, rows in (("run-1", first), ("run-2", second)):
+        newest = dedup.dedup_latest(rows, schemas.USER_KEYS, STAGED_ORDER)
+        elt.load(newest, root, run_id)
+        elt.run(spark, root, run_id)
+    elt.run(spark, root, "run-2")
+    return elt.latest(spark, root)
+
+
 def tenant_run_summary(spark, sf):
     t = Tables(spark, sf)
     orders = (
@@ -262,6 +279,9 @@ QUERIES = {
         UNION ALL
         SELECT *, 'both' FROM (SELECT {KEYS} FROM prior INTERSECT SELECT {KEYS} FROM fresh)
     """),
+    "tenant_runs": Query(tenant_runs, CDC_SQL + f"""
+        SELECT {KEYS}, external_id, name, email, content_hash FROM fresh
+    """),
     "tenant_run_summary": Query(tenant_run_summary, """
         SELECT r_name, n_name, count(*) AS orders,
                CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import (
-    CDC_SQL, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging, order_lines,
+    CDC_SQL, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging,
 )
 from millrace.catalog.timing import FIRST_MESSAGE_SQL, HOUR_US, WAIT_US
 from millrace.functions.values import epoch_micros

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import EVENT_TIMES_SQL, Query, Tables, event_times, uuid5_sql
 from millrace.functions.hashing import uuid5
-from millrace.functions.values import parameter
 from millrace.operators import dedup, jobs, timing
 from millrace.operators.messages import first_message_within as deliver
 
@@ -180,8 +179,7 @@ def kv_type_profile(spark, sf):
         F.col("event_type"),
     )
     rows = Tables(spark, sf)("events").select(F.explode(texts).alias("text"))
-    parsed = rows.select(parameter("text").alias("p"))
-    return jobs.parameter_profile(parsed, "p")
+    return jobs.parameter_profile(rows, "text")
 
 
 QUERIES = {

@@ -45,7 +45,7 @@ def empty_to_null(spark, sf):
 
 
 def suffix_predicate(spark, sf):
-    return Tables(spark, sf)("pages").where(F.col("url").endswith("/9")).select("page_id", "url")
+    return Tables(spark, sf)("pages").where(F.col("url").endswith("#top")).select("page_id", "url")
 
 
 def iso_format_parse(spark, sf):
@@ -130,7 +130,7 @@ QUERIES = {
         SELECT page_id, nullif(regexp_extract(url, '\?(.*)$', 1), '') AS query FROM pages
     """),
     "suffix_predicate": Query(suffix_predicate, """
-        SELECT page_id, url FROM pages WHERE url LIKE '%/9'
+        SELECT page_id, url FROM pages WHERE url LIKE '%#top'
     """),
     "iso_format_parse": Query(iso_format_parse, """
         SELECT event_id, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')

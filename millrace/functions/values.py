@@ -100,30 +100,34 @@ _FLOAT = (
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
-def parameter(text: ColumnOrName) -> Column:
-    """``key=value`` text as ``struct(key, value, type)``.
+def parameter_key(text: ColumnOrName) -> Column:
+    """Text before the first ``=``, trimmed; null when there is none."""
+    c = _col(text)
+    at = F.instr(c, "=")
+    return F.when(at > 0, F.btrim(F.substring(c, F.lit(1), at - 1), F.lit(_BLANKS)))
 
-    The first ``=`` separates; both sides are trimmed. The type is the first that fits of boolean,
-    json, integer, float, uuid, string; text without ``=`` has a null key and type ``invalid``.
-    """
+
+def parameter_value(text: ColumnOrName) -> Column:
+    """Text after the first ``=``, trimmed; null when there is none."""
     c = _col(text)
     at = F.instr(c, "=")
-    key = F.when(at > 0, F.btrim(F.substring(c, F.lit(1), at - 1), F.lit(_BLANKS)))
-    value = F.when(at > 0, F.btrim(F.substring(c, at + 1, F.length(c)), F.lit(_BLANKS)))
-    bracketed = (value.startswith("{") & value.endswith("}")) | (
-        value.startswith("[") & value.endswith("]")
+    return F.when(at > 0, F.btrim(F.substring(c, at + 1, F.length(c)), F.lit(_BLANKS)))
+
+
+def parameter_type(value: ColumnOrName) -> Column:
+    """First type that fits: boolean, json, integer, float, uuid, string; ``invalid`` for null."""
+    v = _col(value)
+    digits = F.replace(v, F.lit("-"), F.lit(""))
+    bracketed = (v.startswith("{") & v.endswith("}")) | (v.startswith("[") & v.endswith("]"))
+    is_uuid = (
+        (F.length(v) == 36) & (F.length(digits) == 32) & digits.rlike("^[0-9a-fA-F]{32}$")
     )
-    hyphens = F.length(value) - F.length(F.replace(value, F.lit("-"), F.lit("")))
-    hexdigits = F.replace(value, F.lit("-"), F.lit(""))
-    kind = (
-        F.when(at == 0, "invalid")
-        .when(F.lower(value).isin("true", "false"), "boolean")
-        .when(bracketed & F.try_parse_json(value).isNotNull(), "json")
-        .when(value.rlike(_INTEGER), "integer")
-        .when(value.rlike(_FLOAT), "float")
-        .when(
-            (F.length(value) == 36) & (hyphens == 4) & hexdigits.rlike("^[0-9a-fA-F]{32}$"), "uuid"
-        )
+    return (
+        F.when(v.isNull(), "invalid")
+        .when(F.lower(v).isin("true", "false"), "boolean")
+        .when(bracketed & F.try_parse_json(v).isNotNull(), "json")
+        .when(v.rlike(_INTEGER), "integer")
+        .when(v.rlike(_FLOAT), "float")
+        .when(is_uuid, "uuid")
         .otherwise("string")
     )
-    return F.struct(key.alias("key"), value.alias("value"), kind.alias("type"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.hashing import content_hash
 
-_UNORDERED = ("map", "variant")
+_UNORDERED = ("map<", "variant")
 
 
 def newest_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[Column]:

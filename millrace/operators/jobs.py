@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.values import root_id, run_depth
+from millrace.functions.values import (
+    parameter_key, parameter_type, parameter_value, root_id, run_depth,
+)
 
 
 def where_given(df: DataFrame, **equal) -> DataFrame:
@@ -104,8 +106,18 @@ def nested_list_totals(df: DataFrame, nested: str) -> DataFrame:
     })
 
 
-def parameter_profile(df: DataFrame, parsed: str) -> DataFrame:
-    """Values per key and inferred type of parsed ``key=value`` text."""
-    return df.groupBy(F.col(parsed)["key"].alias("key"), F.col(parsed)["type"].alias("type")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(parsed)["value"]).alias("distinct_values")
+def parse_parameters(df: DataFrame, text: str) -> DataFrame:
+    """``key=value`` text as columns ``key``, ``value`` and ``type``."""
+    parsed = df.withColumns({"key": parameter_key(text), "value": parameter_value(text)})
+    return parsed.withColumn("type", parameter_type("value"))
+
+
+def parameter_profile(df: DataFrame, text: str) -> DataFrame:
+    """Values per key and inferred type of ``key=value`` text.
+
+    Equal texts are counted first, so a value is looked at once however often it occurs.
+    """
+    texts = df.groupBy(text).agg(F.count(F.lit(1)).alias("_n"))
+    return parse_parameters(texts, text).groupBy("key", "type").agg(
+        F.sum("_n").alias("n"), F.count_distinct("value").alias("distinct_values")
     )

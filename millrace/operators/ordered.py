@@ -3,8 +3,11 @@
 A window function sorts all rows of a key in one task. Here a key with more than ``max_rows`` rows
 is cut into slices at sampled places of its order. The window functions then run per slice, and
 what each slice needs from the slices before it (a count, a running value, the last row) comes from
-a table with one row per slice. Only keys above the limit take part: N rows hold at most
-N / max_rows of them and about 2 N / max_rows slices, so the tables below are broadcast.
+a table with one row per slice.
+
+The tables of slices are broadcast. Only keys above the limit take part, and the limit is raised to
+N / MAX_SLICES where ``max_rows`` is below it, so N rows make fewer than MAX_SLICES hot keys and
+about 2 MAX_SLICES slices, whatever the data looks like.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.session import shared_root, work_path
 
 MAX_GROUP_ROWS = 20_000_000
+MAX_SLICES = 100_000
 SAMPLES_PER_SLICE = 64
 FINE_SLICES = 128
 _TOKENS = 1 << 40
@@ -169,7 +173,7 @@ def order_within(
     """Put ``df`` in order per key, ready for :meth:`Ordered.scan`.
 
     ``order`` must be total within a key (end it with a unique column). One narrow aggregation
-    counts the rows per key; when no key exceeds ``max_rows`` nothing else is added to the plan.
+    counts the rows per key; when no key exceeds the limit nothing else is added to the plan.
 
     A ``df`` that is costly to compute names the ``source`` it comes from, with at most ``fan_out``
     rows of ``df`` per source row: the rows are then counted there, and when there are hot keys
@@ -178,9 +182,11 @@ def order_within(
     keys, order = tuple(keys), tuple(order)
     counted = df if source is None else source
     counts = counted.groupBy(*keys).agg((F.count(F.lit(1)) * fan_out).alias("_rows"))
-    hot = counts.where(F.col("_rows") > max_rows).select(*keys)
-    if hot.isEmpty():
+    total, most = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(max_rows, (total or 0) // MAX_SLICES + 1)
+    if (most or 0) <= limit:
         return Ordered(df, keys, order, False)
+    hot = counts.where(F.col("_rows") > limit).select(*keys)
 
     spark = df.sparkSession
     shared_root(spark)
@@ -188,7 +194,7 @@ def order_within(
         path = work_path(spark, "ordered")
         df.write.parquet(path)
         df = spark.read.schema(df.schema).parquet(path)
-    cuts = _cuts(df, hot, keys, order, max_rows).checkpoint()
+    cuts = _cuts(df, hot, keys, order, limit).checkpoint()
     # slice 0 reaches from the start of the key to its first cut
     starts = cuts.select(*keys).distinct().withColumns(
         {"_cut": F.lit(0), "_lo": F.lit(None).cast(cuts.schema["_lo"].dataType)}

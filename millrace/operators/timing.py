@@ -173,7 +173,7 @@ def duration_summary(
 
 def payload_size_profile(df: DataFrame, size: str) -> DataFrame:
     """Rows, total and mean size per power of ten of the size."""
-    by_class = (F.length(F.col(size).cast("string")) - 1).alias("size_class")
+    by_class = (F.length(F.col(size).cast("string")) - 1).cast("bigint").alias("size_class")
     return df.groupBy(by_class).agg(
         F.count(F.lit(1)).alias("payloads"),
         F.sum(size).alias("total_size"),

@@ -38,6 +38,14 @@ def run_batches(
     return query
 
 
+def late_rows(query) -> int:
+    """Rows the query's state operators dropped because they came after the watermark."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for operator in progress["stateOperators"]
+    )
+
+
 def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
