@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import Query, Tables
+from millrace.catalog.base import Query, Tables, uuid5_sql
 from millrace.functions import values as V
+from millrace.functions.hashing import uuid5
 from millrace.session import work_path
 
 
 def prefix(spark, sf):
-    return Tables(spark, sf)("documents").select("doc_id", V.prefix("text").alias("start"))
+    run = F.concat_ws("-", uuid5(F.col("o_orderkey").cast("string")), "o_custkey", "o_orderkey")
+    runs = Tables(spark, sf)("orders").select("o_orderkey", run.alias("run_id"))
+    return runs.select(
+        "o_orderkey", V.prefix("run_id").alias("root_id"), V.run_depth("run_id").alias("depth")
+    )
 
 
 def format_id(spark, sf):
@@ -108,7 +113,10 @@ def default_now(spark, sf):
 
 
 QUERIES = {
-    "prefix": Query(prefix, "SELECT doc_id, substr(text, 1, 36) AS start FROM documents"),
+    "prefix": Query(prefix, f"""
+        SELECT o_orderkey, {uuid5_sql('CAST(o_orderkey AS VARCHAR)')} AS root_id, 2 AS depth
+        FROM orders
+    """),
     "format_id": Query(format_id, """
         SELECT o_orderkey, 'org-' || lpad(CAST(o_custkey AS VARCHAR),
                    CAST(greatest(3, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')

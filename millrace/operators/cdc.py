@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.dedup import dedup_latest
+from millrace.operators.joins import broadcast_if_small, within
 from millrace.schemas import TENANT, USER_KEYS
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -39,9 +40,8 @@ def detect_changes(
     payload = _payload(latest, keys)
     if tenants is not None:
         names = [c for c in tenants.columns if c in keys]
-        scope = tenants.select(*names).distinct()
-        latest = latest.join(scope, names, "left_semi")
-        staging = staging.join(scope, names, "left_semi")
+        scope = broadcast_if_small(tenants.select(*names).distinct())
+        latest, staging = within(latest, scope, names), within(staging, scope, names)
     new = dedup_latest(staging, keys, newest).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in payload], F.lit(True).alias("_new")
     )

@@ -4,7 +4,7 @@ All tenants of a run go through one set of jobs. Tables below ``root``:
 
 ``staging``    extracted rows, duplicates of retries included, one folder per run
 ``cdc``        changes of each run, one folder per run, replaced when the run is repeated
-``latest``     snapshots, one folder per version; a version is never changed after it is published
+``latest``     snapshots, one folder per version; a published version is never written again
 ``published``  one row per published version: written last, so readers see whole snapshots only
 """
 
@@ -83,19 +83,20 @@ def run(
 ) -> RunReport:
     """Bring the latest snapshot up to the staged run.
 
-    Repeating a run starts from the snapshot it first started from and writes the same tables.
+    Repeating the newest run starts from the snapshot it first started from, so it finds the same
+    changes; the result is published as a new version with the same rows.
     ``tenants`` are the tenants the run extracted (see :func:`millrace.operators.cdc.detect_changes`).
     ``max_delete_fraction`` stops the run when a tenant would lose more than that share of its rows.
     """
     seen = _published(spark, root)
-    mine = seen.where(F.col("workflow_id") == workflow_id).first()
-    if mine is not None:
-        base, target = mine["base"], mine["version"]
-        if seen.where(F.col("version") > target).limit(1).count():
-            raise ValueError(f"run {workflow_id} cannot be repeated: later runs build on it")
+    newest = seen.orderBy(F.col("version").desc()).first()
+    target = 1 if newest is None else newest["version"] + 1
+    if newest is not None and newest["workflow_id"] == workflow_id:
+        base = newest["base"]
+    elif not seen.where(F.col("workflow_id") == workflow_id).isEmpty():
+        raise ValueError(f"run {workflow_id} cannot be repeated: later runs build on it")
     else:
-        base = seen.agg(F.max("version")).first()[0]
-        target = 1 if base is None else base + 1
+        base = None if newest is None else newest["version"]
 
     before = _version(spark, root, base)
     found = cdc.detect_changes(

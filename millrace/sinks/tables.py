@@ -36,9 +36,13 @@ def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def replace_slice(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace the partitions that ``df`` holds rows for and leave the others alone."""
+    """Replace the partitions that ``df`` holds rows for and leave the others alone.
+
+    Rows are brought together by partition, so that not every task writes a file into every folder;
+    the rebalancing splits a partition that holds much of the data over several tasks.
+    """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path)
     )
 

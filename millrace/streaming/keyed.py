@@ -25,7 +25,10 @@ def tick_counts(
     stream: DataFrame, at: str, every: str = "5 seconds", by: Sequence[str] = (),
     delay: str = WATERMARK,
 ) -> DataFrame:
-    """Rows per tumbling window; rows later than the delay are dropped and counted by Spark."""
+    """Rows per tumbling window; rows later than the delay are dropped and counted by Spark.
+
+    A row is late when its window ended before the watermark of the preceding micro-batch.
+    """
     counted = stream.withWatermark(at, delay).groupBy(F.window(at, every), *by).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -33,14 +36,22 @@ def tick_counts(
 
 
 def first_deliveries(
-    stream: DataFrame, at: str, ids: Sequence[str], delay: str = WATERMARK
+    stream: DataFrame, at: str, ids: Sequence[str], delay: str = WATERMARK, salts: int = 16
 ) -> DataFrame:
     """The first row per id; copies that arrive within the delay are dropped.
 
     A repeated id is refused while the earlier one is remembered, which is for at least the delay,
     not for as long as the earlier run is active.
+
+    An id with very many copies would send them all to one task. They are first thinned out in
+    ``salts`` groups, by the input partition they come from, and what is left, at most one copy
+    per group, meets in the second step. ``salts=1`` leaves the first step out.
     """
-    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(ids))
+    rows = stream.withWatermark(at, delay)
+    if salts > 1:
+        rows = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        rows = rows.dropDuplicatesWithinWatermark([*ids, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(list(ids))
 
 
 def history(log: DataFrame, key: str, seq: str, type_col: str, closing: str) -> DataFrame:

@@ -11,10 +11,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import cdc
+from millrace.operators.joins import broadcast_if_small, within
 from millrace.operators.messages import first_message_within
 from millrace.operators.ordered import MAX_GROUP_ROWS
 from millrace.schemas import TENANT, USER_KEYS
-from millrace.streaming.base import batch_folder
+from millrace.streaming.base import batch_folder, read_log
 
 MESSAGE, REQUEST = "message", "request"
 
@@ -67,9 +68,8 @@ def answers(
     closed: bool = False,
 ) -> DataFrame:
     """Answers given up to a batch; with ``closed`` no more events come and all are decided."""
-    given = spark.read.option("basePath", f"{path}/answers").parquet(f"{path}/answers").where(
-        F.col("batch_id") <= last_batch
-    ).drop("batch_id")
+    log = read_log(spark, f"{path}/answers")
+    given = log.where(F.col("batch_id") <= last_batch).drop("batch_id")
     if not closed:
         return given
     left = spark.read.parquet(batch_folder(f"{path}/open", last_batch))
@@ -81,16 +81,21 @@ def answers(
 
 def state_after(
     spark: SparkSession, base: DataFrame, log_path: str, before_batch: int,
-    keys: Sequence[str] = USER_KEYS,
+    keys: Sequence[str] = USER_KEYS, tenants: DataFrame | None = None,
 ) -> DataFrame:
-    """The snapshot after all batches before ``before_batch``: base with the newest changes."""
+    """The snapshot after all batches before ``before_batch``: base with the newest changes.
+
+    With ``tenants``, a frame of distinct tenants, only their rows are read and put together.
+    """
+    names = tenants.columns if tenants is not None else []
+    if names:
+        base = within(base, tenants, names)
     if before_batch <= 0:
         return base
-    log = spark.read.option("basePath", log_path).parquet(log_path)
-    log = log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return cdc.apply_changes(
-        base, log.where(F.col("batch_id") < before_batch), keys=keys, newest=["batch_id"]
-    )
+    log = read_log(spark, log_path).where(F.col("batch_id") < before_batch)
+    if names:
+        log = within(log, tenants, names)
+    return cdc.apply_changes(base, log, keys=keys, newest=["batch_id"])
 
 
 def capture_changes(
@@ -99,14 +104,16 @@ def capture_changes(
 ) -> Callable[[DataFrame, int], None]:
     """Handler that turns each micro-batch of extracts into changes of the snapshot.
 
-    A micro-batch holds whole extracts of the tenants in it; their missing rows are deletes.
-    Only the changes are written, under the batch id as run id; :func:`state_after` is the result.
+    A micro-batch holds whole extracts of the tenants in it; their missing rows are deletes. Only
+    these tenants' rows are read from the snapshot (lay it out by tenant so that the others are
+    not scanned), and only the changes are written, under the batch id as run id.
+    :func:`state_after` is the result.
     """
     def detect(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = state_after(spark, base(spark), log_path, batch_id, keys)
-        tenants = batch.select(*tenant).distinct()
-        changes = cdc.detect_changes(batch, before, newest=newest, keys=keys, tenants=tenants)
+        tenants = broadcast_if_small(batch.select(*tenant).distinct())
+        before = state_after(spark, base(spark), log_path, batch_id, keys, tenants)
+        changes = cdc.detect_changes(batch, before, newest=newest, keys=keys)
         changes.write.mode("overwrite").parquet(batch_folder(log_path, batch_id))
 
     return detect
