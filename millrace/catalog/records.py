@@ -95,14 +95,18 @@ def tenant_runs(spark, sf):
 
 def tenant_run_summary(spark, sf):
     t = Tables(spark, sf)
-    orders = (
-        t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    # added up per customer first: the join then meets each customer once, however many orders
+    customers = t("orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("total_cents")
+    ).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    placed = (
+        customers.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return jobs.run_summary(
-        orders, ["r_name", "n_name"], {"orders": F.count(F.lit(1)), "total_cents": F.sum(cents)}
+        placed, ["r_name", "n_name"],
+        {"orders": F.sum("orders"), "total_cents": F.sum("total_cents")},
     )
 
 
@@ -146,9 +150,8 @@ def point_update(spark, sf):
 
 def fk_split(spark, sf):
     t = Tables(spark, sf)
-    valid, errors = quality.fk_split(t("events"), "user_id", t("supplier"), "s_suppkey")
-    valid = valid.withColumn("message", F.lit(None).cast("string"))
-    return valid.unionByName(errors).select("event_id", "user_id", "message")
+    checked = quality.fk_check(t("events"), "user_id", t("supplier"), "s_suppkey")
+    return checked.select("event_id", "user_id", "message")
 
 
 def unique_violation(spark, sf):
@@ -157,9 +160,8 @@ def unique_violation(spark, sf):
 
 def enum_validate(spark, sf):
     kinds = ("signup", "click", "view", "purchase")
-    valid, bad = quality.enum_validate(Tables(spark, sf)("events"), "event_type", kinds)
-    both = valid.withColumn("message", F.lit("")).unionByName(bad)
-    return both.groupBy("event_type", "message").agg(F.count(F.lit(1)).alias("n"))
+    checked = quality.enum_check(Tables(spark, sf)("events"), "event_type", kinds)
+    return checked.groupBy("event_type", "message").agg(F.count(F.lit(1)).alias("n"))
 
 
 # which queue takes which kind of event, its calls and the seconds they are counted over
@@ -170,15 +172,8 @@ EVENT_ROUTES = {
 
 
 def dispatch_lookup(spark, sf):
-    events = Tables(spark, sf)("events")
-    routed, unknown = quality.dispatch_lookup(events, "event_type", EVENT_ROUTES)
-    columns = ["event_id", "queue_name", "queue_limit", "queue_period", "message"]
-    routed = routed.withColumn("message", F.lit(None).cast("string")).select(*columns)
-    missing = {
-        "queue_name": F.lit(None).cast("string"), "queue_limit": F.lit(None).cast("int"),
-        "queue_period": F.lit(None).cast("int"),
-    }
-    return routed.unionByName(unknown.withColumns(missing).select(*columns))
+    checked = quality.dispatch_check(Tables(spark, sf)("events"), "event_type", EVENT_ROUTES)
+    return checked.select("event_id", "queue_name", "queue_limit", "queue_period", "message")
 
 
 def approval_gate(spark, sf):
@@ -327,8 +322,8 @@ QUERIES = {
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
     """),
     "enum_validate": Query(enum_validate, """
-        SELECT event_type, CASE WHEN event_type IN ('signup', 'click', 'view', 'purchase') THEN ''
-               ELSE 'invalid event_type: ' || event_type END AS message, count(*) AS n
+        SELECT event_type, CASE WHEN event_type NOT IN ('signup', 'click', 'view', 'purchase')
+               THEN 'invalid event_type: ' || event_type END AS message, count(*) AS n
         FROM events GROUP BY ALL
     """),
     "dispatch_lookup": Query(dispatch_lookup, """

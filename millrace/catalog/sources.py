@@ -107,10 +107,9 @@ def _fetch_orders(path: str, request: dict) -> pd.DataFrame:
 
 
 def _order_pages(t: Tables):
-    last = t("orders").agg(F.max("o_orderkey").alias("last_key"))
-    return paged.page_plan(
-        last.select(F.floor(F.col("last_key") / PAGE_SIZE + 1).alias("pages")), "pages"
-    )
+    """The pages that hold orders."""
+    page = F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1
+    return paged.with_batch(t("orders").select(page.alias("page")).distinct())
 
 
 def paged_extract(spark, sf):

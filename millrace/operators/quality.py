@@ -1,4 +1,8 @@
-"""Checks that split a table into good rows and rows for the error table."""
+"""Checks that split a table into good rows and rows for the error table.
+
+Every check comes in two forms: ``*_check`` adds a ``message`` that is null for good rows, in one
+pass; ``*_split`` returns good and bad rows as two frames.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _split(df: DataFrame, ok: str, message: Column) -> tuple[DataFrame, DataFrame]:
-    good = df.where(F.col(ok)).drop(ok)
-    bad = df.where(~F.col(ok)).drop(ok).withColumn("message", message)
-    return good, bad
+def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    message = F.col("message")
+    return checked.where(message.isNull()).drop("message"), checked.where(message.isNotNull())
 
 
 def mark_known(df: DataFrame, key: str, known: DataFrame, known_key: str, out: str) -> DataFrame:
@@ -25,12 +28,18 @@ def mark_known(df: DataFrame, key: str, known: DataFrame, known_key: str, out: s
     return joined.withColumn(out, F.col("_known").isNotNull()).drop("_known")
 
 
+def fk_check(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
+    """An error message where the foreign key does not exist."""
+    text = F.format_string(f"{key} %s does not exist", F.col(key).cast("string"))
+    marked = mark_known(df, key, known, known_key, "_ok")
+    return marked.withColumn("message", F.when(~F.col("_ok"), text)).drop("_ok")
+
+
 def fk_split(
     df: DataFrame, key: str, known: DataFrame, known_key: str
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose foreign key exists, and the others with an error message."""
-    text = F.format_string(f"{key} %s does not exist", F.col(key).cast("string"))
-    return _split(mark_known(df, key, known, known_key, "_ok"), "_ok", text)
+    return _split(fk_check(df, key, known, known_key))
 
 
 def unique_violation(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,19 +52,23 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -
     return new.join(existing.select(*keys), list(keys), "left_anti")
 
 
-def enum_validate(
-    df: DataFrame, column: str, allowed: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with an allowed value, and the others with an error message; null is not allowed."""
-    marked = df.withColumn("_ok", F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
+def enum_check(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
+    """An error message where the value is not an allowed one; null is not allowed."""
     shown = F.coalesce(F.col(column), F.lit("null"))
-    return _split(marked, "_ok", F.format_string(f"invalid {column}: %s", shown))
+    text = F.format_string(f"invalid {column}: %s", shown)
+    ok = F.coalesce(F.col(column).isin(*allowed), F.lit(False))
+    return df.withColumn("message", F.when(~ok, text))
 
 
-def dispatch_lookup(
+def enum_split(df: DataFrame, column: str, allowed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with an allowed value, and the others with an error message."""
+    return _split(enum_check(df, column, allowed))
+
+
+def dispatch_check(
     df: DataFrame, column: str, routes: dict[str, tuple[str, int, int]]
-) -> tuple[DataFrame, DataFrame]:
-    """Route rows by type to (queue, limit, period in seconds); unknown types are errors.
+) -> DataFrame:
+    """Route rows by type to (queue, limit, period in seconds); an unknown type is an error.
 
     The routes are part of the program, a handful of entries, so they travel as a literal map.
     """
@@ -67,10 +80,19 @@ def dispatch_lookup(
         )
         entries += [F.lit(kind), target]
     route = F.try_element_at(F.create_map(*entries), F.col(column))
-    marked = df.withColumn("_route", route).withColumn("_ok", F.col("_route").isNotNull())
     shown = F.coalesce(F.col(column), F.lit("null"))
-    good, bad = _split(marked, "_ok", F.format_string("unknown type: %s", shown))
-    return good.select("*", "_route.*").drop("_route"), bad.drop("_route")
+    text = F.format_string("unknown type: %s", shown)
+    routed = df.withColumn("_route", route)
+    routed = routed.withColumn("message", F.when(F.col("_route").isNull(), text))
+    return routed.select("*", "_route.*").drop("_route")
+
+
+def dispatch_split(
+    df: DataFrame, column: str, routes: dict[str, tuple[str, int, int]]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their queue, and rows of unknown type with an error message."""
+    good, bad = _split(dispatch_check(df, column, routes))
+    return good, bad.drop("queue_name", "queue_limit", "queue_period")
 
 
 def approval_gate(approved: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators.quality import enum_validate, fk_split, insert_if_absent
+from millrace.operators.quality import enum_split, fk_split, insert_if_absent
 from millrace.schemas import REQUEST_STATUSES
 from millrace.sinks.tables import append_batch
 from millrace.sources.documents import corrupt_documents, flatten_person, json_document_scan
@@ -34,7 +34,7 @@ def accept_requests(
     """Requests with a known user, a known access and a valid status, and the rejected rest."""
     if existing is not None:
         requests = insert_if_absent(existing, requests, ["id"])
-    valid, bad_status = enum_validate(requests, "status", REQUEST_STATUSES)
+    valid, bad_status = enum_split(requests, "status", REQUEST_STATUSES)
     valid, no_user = fk_split(valid, "user_id", users, "id")
     valid, no_access = fk_split(valid, "access_id", accesses, "id")
     return valid, bad_status.unionByName(no_user).unionByName(no_access)

@@ -9,11 +9,25 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 
+_BLOCK = 10_000
+
+
+def with_batch(pages: DataFrame, pages_per_batch: int = 10) -> DataFrame:
+    """Number of the batch each page belongs to; pages and batches count from 1."""
+    return pages.withColumn("batch", F.floor((F.col("page") - 1) / pages_per_batch) + 1)
+
+
 def page_plan(tenants: DataFrame, pages: str, pages_per_batch: int = 10) -> DataFrame:
-    """One row per tenant and page, with the batch the page belongs to; pages count from 1."""
-    page = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(pages).cast("bigint")))
-    numbered = tenants.where(F.col(pages) > 0).withColumn("page", page)
-    return numbered.withColumn("batch", F.floor((F.col("page") - 1) / pages_per_batch) + 1)
+    """One row per tenant and page, with its batch.
+
+    A tenant's pages are listed in blocks, so one with very many pages makes no long array.
+    """
+    count = F.col(pages).cast("bigint")
+    first = F.sequence(F.lit(1).cast("bigint"), count, F.lit(_BLOCK).cast("bigint"))
+    blocks = tenants.where(count > 0).withColumn("_first", F.explode(first))
+    last = F.least(F.col("_first") + (_BLOCK - 1), count)
+    numbered = blocks.withColumn("page", F.explode(F.sequence(F.col("_first"), last)))
+    return with_batch(numbered.drop("_first"), pages_per_batch)
 
 
 def paged_extract(

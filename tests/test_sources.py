@@ -146,7 +146,7 @@ def test_request_grid(spark):
         assert {r["count"] for r in grid.groupBy(column).count().collect()} == {15}
     by_row = generated.request_grid(spark.createDataFrame([(0,), (2,)], "n int"), "n")
     assert by_row.count() == 18
-    routed, unknown = quality.dispatch_lookup(
+    routed, unknown = quality.dispatch_split(
         grid.withColumn("data_type", F.when(F.col("request_num") == 5, "other").otherwise(F.col("data_type"))),
         "data_type", generated.ROUTES,
     )
