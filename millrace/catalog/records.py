@@ -12,6 +12,7 @@ from millrace.functions.hashing import content_hash, uuid5
 from millrace.operators import access, cdc, dedup, jobs, quality
 from millrace.plans import elt
 from millrace.session import work_path
+from millrace.sinks import tables as sinks
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 KEYS = ", ".join(schemas.USER_KEYS)
@@ -69,13 +70,20 @@ def cdc_apply(spark, sf):
 
 def cdc_reconcile(spark, sf):
     t = Tables(spark, sf)
-    before, found = cdc_latest(t), changes(t)
+    path = work_path(spark, "reconcile")
+    # three counts read them: both are stored tables in a run of the job, so here too
+    sinks.recreate(cdc_latest(t), f"{path}/latest")
+    before = spark.read.parquet(f"{path}/latest")
+    found = cdc.detect_changes(cdc_staging(t), before, newest=STAGED_ORDER)
+    sinks.recreate(found, f"{path}/cdc")
+    found = spark.read.parquet(f"{path}/cdc")
     return cdc.reconcile(before, found, cdc.apply_changes(before, found))
 
 
 def key_set_diff(spark, sf):
     t = Tables(spark, sf)
-    return cdc.key_set_diff(cdc_staging(t), cdc_latest(t))
+    # copies do not matter to a set of keys, so the snapshot's lines need no deduplication
+    return cdc.key_set_diff(cdc_staging(t), order_lines(t).where("l_linestatus = 'F'"))
 
 
 def tenant_runs(spark, sf):

@@ -28,7 +28,12 @@ def run_depth(run_id: ColumnOrName) -> Column:
 
 def format_id(label: str, number: ColumnOrName, width: int = 3) -> Column:
     """``label-007``; numbers wider than ``width`` keep all their digits."""
-    return F.format_string(f"{label}-%0{width}d", _col(number).cast("bigint"))
+    n = _col(number).cast("bigint")
+    text = n.cast("string")
+    padded = F.when((n >= 0) & (F.length(text) < width), F.lpad(text, width, "0"))
+    # a sign goes before the zeros
+    signed = F.when(n < 0, F.format_string(f"%0{width}d", n)).otherwise(text)
+    return F.concat(F.lit(f"{label}-"), F.coalesce(padded, signed))
 
 
 def array_pick(choices: Sequence[str], index: ColumnOrName) -> Column:

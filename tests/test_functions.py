@@ -102,11 +102,13 @@ def test_maps_and_ids(spark):
             F.create_map(F.lit("b"), F.lit("z")),
         ).alias("m"),
         V.map_upper(F.create_map(F.lit("k"), F.lit("v"))).alias("u"),
-        V.format_id("org", F.lit(7)).alias("short"), V.format_id("org", F.lit(12345)).alias("long"),
+        V.format_id("org", F.lit(7)).alias("short"), V.format_id("org", F.lit(-7)).alias("minus"),
+        V.format_id("org", F.lit(12345)).alias("long"),
         V.array_pick(["g", "a", "o"], F.lit(4)).alias("pick"),
         V.byte_length(V.byte_concat(F.lit("é"), F.lit("a"))).alias("bytes"),
     ).first()
     assert row.m == {"a": "x", "b": "z"} and row.u == {"k": "V"}
+    assert row.minus == f"org-{-7:03d}"
     assert (row.short, row.long, row.pick, row.bytes) == ("org-007", "org-12345", "a", 3)
 
 
