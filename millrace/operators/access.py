@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.values import iso_format
+from millrace.operators.dedup import dedup_latest
 
 
 def access_join(
@@ -44,3 +47,10 @@ def point_update(
     new = updates.select(F.col(key).alias("_key"), F.col(column).alias("_value"))
     joined = df.join(new, df[key] == new["_key"], "left")
     return joined.withColumn(column, F.coalesce("_value", column)).drop("_key", "_value")
+
+
+def current_requests(
+    requests: DataFrame, changes: DataFrame, key: str = "id", newest: Sequence[str] = ("changed_at",)
+) -> DataFrame:
+    """Requests with the newest status of an append-only log of status changes."""
+    return point_update(requests, dedup_latest(changes, [key], newest), key)

@@ -10,6 +10,7 @@ All tenants of a run go through one set of jobs. Tables below ``root``:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -80,6 +81,7 @@ def run(
     workflow_id: str,
     tenants: DataFrame | None = None,
     max_delete_fraction: float | None = None,
+    partition_by: Sequence[str] = (),
 ) -> RunReport:
     """Bring the latest snapshot up to the staged run.
 
@@ -87,6 +89,8 @@ def run(
     changes; the result is published as a new version with the same rows.
     ``tenants`` are the tenants the run extracted (see :func:`millrace.operators.cdc.detect_changes`).
     ``max_delete_fraction`` stops the run when a tenant would lose more than that share of its rows.
+    ``partition_by`` lays changes and snapshots out by columns such as the organization, for
+    readers that want few tenants.
     """
     seen = _published(spark, root)
     newest = seen.orderBy(F.col("version").desc()).first()
@@ -105,7 +109,7 @@ def run(
         "workflow_id": F.lit(workflow_id),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
     })
-    replace_run(found, f"{root}/cdc", workflow_id)
+    replace_run(found, f"{root}/cdc", workflow_id, partition_by=partition_by)
     changes = changes_of(spark, root, workflow_id)
 
     if max_delete_fraction is not None:
@@ -113,7 +117,7 @@ def run(
         if excess:
             raise ValueError(f"too many deletes, extract may be partial: {excess}")
 
-    recreate(cdc.apply_changes(before, changes), f"{root}/latest/version={target}")
+    recreate(cdc.apply_changes(before, changes), f"{root}/latest/version={target}", partition_by)
     after = _version(spark, root, target)
     checked = cdc.reconcile(before, changes, after)
     if not checked.where(~F.col("ok")).isEmpty():

@@ -47,12 +47,15 @@ def replace_slice(df: DataFrame, path: str, partition_by: Sequence[str]) -> None
     )
 
 
-def replace_run(df: DataFrame, path: str, run: str, run_col: str = "workflow_id") -> None:
+def replace_run(
+    df: DataFrame, path: str, run: str, run_col: str = "workflow_id",
+    partition_by: Sequence[str] = (),
+) -> None:
     """Replace all rows of one run, also when the new result is empty.
 
     The run is a folder of the table, so writing it anew clears what an earlier try left there.
     """
-    df.drop(run_col).write.mode("overwrite").parquet(f"{path}/{run_col}={run}")
+    recreate(df.drop(run_col), f"{path}/{run_col}={run}", partition_by)
 
 
 def truncate(df_like: DataFrame, path: str) -> None:
@@ -63,9 +66,13 @@ def truncate(df_like: DataFrame, path: str) -> None:
     )
 
 
-def recreate(df: DataFrame, path: str) -> None:
+def recreate(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Drop whatever is there and write the rows."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    laid = df.hint("rebalance", *partition_by) if partition_by else df
+    (
+        laid.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by).parquet(path)
+    )
 
 
 def json_log_lines(

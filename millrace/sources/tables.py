@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -38,7 +40,10 @@ def federated_join(left: DataFrame, right: DataFrame, on, how: str = "inner") ->
 
 
 def object_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Objects below a folder; the contents are not read."""
+    """Objects below a folder; the contents are not read.
+
+    Spark keeps one entry per object on the driver. :func:`prefix_listing` does without.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -46,3 +51,32 @@ def object_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
         .load(path)
         .select("path", F.col("length").alias("size_bytes"), "modificationTime")
     )
+
+
+_LISTING = "prefix string, path string, size_bytes bigint"
+
+
+def prefix_listing(
+    prefixes: DataFrame, prefix: str = "prefix", page_size: int = 1000, tasks: int | None = None
+) -> DataFrame:
+    """Objects below many prefixes, each listed by the task that holds it, page by page.
+
+    Prefixes are folder URIs of any file system Arrow knows. A task walks one folder at a time, so
+    nothing about the objects passes through the driver.
+    """
+    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch[prefix]:
+                store, root = fs.FileSystem.from_uri(uri)
+                folders = [root]
+                while folders:
+                    entries = store.get_file_info(fs.FileSelector(folders.pop()))
+                    folders += [e.path for e in entries if e.type == fs.FileType.Directory]
+                    files = [(uri, e.path, e.size) for e in entries if e.type == fs.FileType.File]
+                    for start in range(0, len(files), page_size):
+                        yield pd.DataFrame(
+                            files[start:start + page_size], columns=["prefix", "path", "size_bytes"]
+                        )
+
+    names = prefixes.select(prefix)
+    return (names.repartition(tasks) if tasks else names).mapInPandas(pages, _LISTING)

@@ -1,0 +1,88 @@
+"""What scans read, what is broadcast, and what keeps skewed keys apart."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+from millrace.operators import access, quality
+from millrace.operators.joins import broadcast_if_small
+
+SF = "/root/testdata/sf0.001"
+QUERIES = entry_points.queries()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name,columns,pushed", [
+    ("duplicate_count", {"l_orderkey", "l_linenumber", "l_returnflag"}, None),
+    ("tenant_filter", None, "EqualTo(o_orderstatus,F)"),
+    ("table_scan", {"c_custkey", "c_name", "c_mktsegment"}, None),
+    ("latest_run", {"o_orderkey", "o_orderdate"}, None),
+    ("key_message_count", {"user_id"}, None),
+])
+def test_scans_read_only_what_is_needed(spark, name, columns, pushed):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = plan_of(QUERIES[name](spark, SF))
+    if columns:
+        schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
+        assert {c.split(":")[0] for c in schema.split(",")} == columns
+    if pushed:
+        assert pushed in plan
+
+
+def test_skewed_foreign_key_is_split(spark):
+    """One user with two thirds of the requests: adaptive execution splits the key's partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    requests = spark.range(0, 600_000, numPartitions=8).select(
+        F.xxhash64("id").alias("id"),
+        F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000).alias("user_id"),
+    )
+    users = spark.range(500).select(F.col("id").alias("uid"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        checked = quality.fk_check(requests, "user_id", users, "uid")
+        out = checked.groupBy(F.col("message").isNull().alias("ok")).agg(
+            F.count("id").alias("n"), F.bit_xor("id")
+        )
+        counts = {r.ok: r.n for r in out.collect()}
+        plan = plan_of(out)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan
+    assert counts[True] + counts[False] == 600_000 and counts[False] == 100_000
+
+
+def test_broadcast_is_bounded_by_measured_size(spark):
+    df = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("text"))
+    other = spark.range(10).withColumnRenamed("id", "k")
+    assert "broadcast" in str(other.join(broadcast_if_small(df), other.k == df.id)._jdf.queryExecution().analyzed())
+    large = broadcast_if_small(df, max_bytes=500_000)
+    assert "broadcast" not in str(other.join(large, other.k == df.id)._jdf.queryExecution().analyzed())
+
+
+def test_access_report_forces_no_join(spark):
+    t = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("orders", "part", "customer")}
+    requests = t["orders"].select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_custkey").alias("access_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").alias("created_at"),
+    )
+    report = access.access_join(
+        requests, t["part"].selectExpr("p_partkey id", "p_name description"),
+        t["customer"].selectExpr("c_custkey id", "c_name name"),
+    )
+    assert "hint" not in str(report._jdf.queryExecution().logical()).lower()

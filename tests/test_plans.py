@@ -59,6 +59,19 @@ def test_a_run_reads_only_its_own_staging(spark, tmp_path):
     assert counts(report) == (0, 0, 0)
 
 
+def test_tables_laid_out_by_organization(spark, tmp_path):
+    root, by = str(tmp_path), ["organization_id"]
+    two = users(spark, 0, 20).unionByName(users(spark, 0, 30, "org-002", "int-2"))
+    elt.load(two, root, "r1")
+    elt.run(spark, root, "r1", partition_by=by)
+    elt.load(users(spark, 5, 20).unionByName(users(spark, 0, 30, "org-002", "int-2")), root, "r2")
+    report = elt.run(spark, root, "r2", partition_by=by)
+    assert counts(report) == (5, 0, 5) and elt.latest(spark, root).count() == 50
+    one = elt.latest(spark, root).where("organization_id = 'org-002'")
+    assert one.count() == 30
+    assert "PartitionFilters: [isnotnull(organization_id" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_run_of_a_large_tenant(spark, tmp_path):
     root = str(tmp_path)
     for batch in range(10):

@@ -1,7 +1,8 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every registered query against its SQL on the smallest tables, and what its plan must not hold."""
 
 import math
 import os
+import re
 from decimal import Decimal
 
 import duckdb
@@ -12,6 +13,8 @@ import __spark_entry__ as entry_points
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 NO_SQL = {"random_uuid", "default_now", "object_listing"}
+USER_CODE = {"transform_quarantine", "parallel_map", "paged_extract"}
+FIRST_ROWS = {"listing_limit", "topk_recent", "latest_run"}
 
 
 @pytest.fixture(scope="module")
@@ -31,9 +34,24 @@ def plain(value):
     return value
 
 
+def check_plan(name, df):
+    """No pairs, no window over a whole table, no Python but user code, no collected groups."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "collect_list" not in plan and "collect_set" not in plan
+    for first in re.findall(r"windowspecdefinition\(([^,]+),", plan):
+        assert " ASC" not in first and " DESC" not in first, "window without partition keys"
+    assert "BatchEvalPython" not in plan
+    if name not in USER_CODE:
+        assert "ArrowEvalPython" not in plan and "MapInPandas" not in plan
+    if "SinglePartition" in plan:
+        assert name in FIRST_ROWS or "HashAggregate" in plan
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, tables, name):
     df = QUERIES[name](spark, SF)
+    check_plan(name, df)
     columns = sorted(df.columns)
     cursor = tables.execute(SQL[name])
     names = [d[0] for d in cursor.description]

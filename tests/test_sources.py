@@ -111,6 +111,18 @@ def test_object_listing(spark, tmp_path):
     assert "content" not in plan
 
 
+def test_prefix_listing(spark, tmp_path):
+    for name in ("p1/a/x", "p1/y", "p2/z", "p2/b/c/w", "p3/skip"):
+        file = tmp_path / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"1" * len(name))
+    uris = spark.createDataFrame([(f"file://{tmp_path}/{p}",) for p in ("p1", "p2")], "prefix string")
+    got = tables.prefix_listing(uris, page_size=1, tasks=2).collect()
+    assert {(os.path.relpath(r.path, tmp_path), r.size_bytes) for r in got} == {
+        (n, len(n)) for n in ("p1/a/x", "p1/y", "p2/z", "p2/b/c/w")
+    }
+
+
 def test_seeds(spark):
     seeds = generated.seed_integrations(spark.range(1, 4), "id").collect()
     providers = ["google", "azure", "okta"]
@@ -215,6 +227,11 @@ def test_access_requests(spark, rows):
     assert [r.access_request_id for r in everything] == ["r2", "r1"]
     assert tuple(everything[1]) == ("r1", "2024-01-01T00:00:00", "requested", "a1", "read", "u1", "Ann")
     assert access.access_join(requests, accesses, users, "u1").count() == 1
+    log = spark.createDataFrame(
+        [("r1", "approved", 1), ("r1", "rejected", 2), ("r9", "canceled", 1)],
+        "id string, status string, changed_at int",
+    )
+    assert rows(access.current_requests(requests, log), "id", "status") == [("r1", "rejected"), ("r2", "approved")]
     updated = access.point_update(requests, spark.createDataFrame([("r1", "rejected")], "id string, status string"), "id")
     assert rows(updated, "id", "status") == [("r1", "rejected"), ("r2", "approved")]
 
