@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
 _ROW_BYTES = 64  # what a row costs besides its text
@@ -20,6 +21,13 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def without(df: DataFrame, other: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` that ``other`` does not hold; null equals null."""
+    marked = other.select(*[F.col(n).alias(f"_o_{n}") for n in names])
+    same = reduce(Column.__and__, [df[n].eqNullSafe(marked[f"_o_{n}"]) for n in names])
+    return df.join(marked, same, "left_anti")
+
+
 def within(df: DataFrame, scope: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows whose ``names`` occur in ``scope``; prunes partitions when ``df`` is laid out by them."""
     return df.join(scope, list(names), "left_semi")

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import cdc
-from millrace.operators.joins import broadcast_if_small, within
+from millrace.operators.joins import broadcast_if_small, within, without
 from millrace.operators.messages import first_message_within
 from millrace.operators.ordered import MAX_GROUP_ROWS
 from millrace.schemas import TENANT, USER_KEYS
@@ -55,7 +55,7 @@ def message_delivery(
             *keys, F.col("message_id").alias("id")
         )
         waiting = rows.where((F.col("kind") == REQUEST) & ~due)
-        still_open = messages.join(taken, [*keys, "id"], "left_anti").select(*columns)
+        still_open = without(messages, taken, [*keys, "id"])
         still_open.unionByName(waiting).write.mode("overwrite").parquet(
             batch_folder(f"{path}/open", batch_id)
         )

@@ -73,6 +73,19 @@ def test_counter_goes_on_after_a_restart(spark, events, tmp_path, rows):
     assert rows(state, "user_id", "n") == rows(events.groupBy("user_id").count())
 
 
+def test_interval_trigger(spark, events, split_events, tmp_path):
+    frame = stream(spark, split_events, events.schema).select("event_id")
+    query = base.run_batches(
+        frame, str(tmp_path / "cp"), base.append_log(str(tmp_path / "log")), processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert base.read_log(spark, str(tmp_path / "log")).count() == events.count()
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     write = base.append_log(str(tmp_path / "log"))
     for _ in range(2):
@@ -126,7 +139,7 @@ def test_history_and_closed(spark, tmp_path, rows):
 def test_delivery_in_micro_batches(spark, tmp_path, rows):
     rng = random.Random(5)
     data = [
-        (rng.choice(["hot", "hot", "x", "y"]), rng.choice([stateful.MESSAGE, stateful.REQUEST]), i, i * 10 + rng.randrange(9))
+        (rng.choice(["hot", "hot", "x", None]), rng.choice([stateful.MESSAGE, stateful.REQUEST]), i, i * 10 + rng.randrange(9))
         for i in range(200)
     ]
     schema = "k string, kind string, id bigint, at_us bigint"
