@@ -20,7 +20,8 @@ def _events(t: Tables):
 
 def _to_log(spark, stream, name: str, mode: str = "append"):
     path = work_path(spark, name)
-    base.run_batches(stream, f"{path}/checkpoint", base.append_log(f"{path}/log"), mode)
+    handler = base.append_log(f"{path}/log", rebalance=mode == "update")
+    base.run_batches(stream, f"{path}/checkpoint", handler, mode)
     return base.read_log(spark, f"{path}/log")
 
 

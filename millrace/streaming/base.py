@@ -50,10 +50,14 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def append_log(path: str) -> Callable[[DataFrame, int], None]:
-    """Handler that writes each micro-batch to its own folder; a repeated batch replaces itself."""
+def append_log(path: str, rebalance: bool = False) -> Callable[[DataFrame, int], None]:
+    """Handler that writes each micro-batch to its own folder; a repeated batch replaces itself.
+
+    ``rebalance`` brings the rows of many state partitions together into files of a decent size.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        rows = batch.hint("rebalance") if rebalance else batch
+        rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     return write
 
