@@ -98,7 +98,7 @@ def tenant_runs(spark, sf):
         elt.load(newest, root, run_id)
         elt.run(spark, root, run_id)
     elt.run(spark, root, "run-2")
-    return elt.latest(spark, root)
+    return elt.latest(spark, root).drop("last_updated")
 
 
 def tenant_run_summary(spark, sf):

@@ -104,7 +104,8 @@ def run(
 
     before = _version(spark, root, base)
     found = cdc.detect_changes(
-        staging_of(spark, root, workflow_id), before, newest=STAGED_ORDER, tenants=tenants
+        staging_of(spark, root, workflow_id), before.drop("last_updated"), newest=STAGED_ORDER,
+        tenants=tenants,
     ).withColumns({
         "workflow_id": F.lit(workflow_id),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
@@ -117,7 +118,9 @@ def run(
         if excess:
             raise ValueError(f"too many deletes, extract may be partial: {excess}")
 
-    recreate(cdc.apply_changes(before, changes), f"{root}/latest/version={target}", partition_by)
+    # a changed row's time of update is the time its change was detected
+    dated = changes.withColumn("last_updated", F.col("detected_at"))
+    recreate(cdc.apply_changes(before, dated), f"{root}/latest/version={target}", partition_by)
     after = _version(spark, root, target)
     checked = cdc.reconcile(before, changes, after)
     if not checked.where(~F.col("ok")).isEmpty():

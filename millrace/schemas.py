@@ -14,7 +14,7 @@ USERS_STAGING = (
 )
 USERS_LATEST = (
     "id string, external_id string, organization_id string, connected_integration_id string, "
-    "name string, email string, content_hash string"
+    "name string, email string, content_hash string, last_updated timestamp_ntz"
 )
 USERS_CDC = (
     "id string, workflow_id string, external_id string, organization_id string, "

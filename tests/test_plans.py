@@ -18,7 +18,7 @@ def counts(report):
 
 
 def snapshot(spark, root):
-    return sorted(map(tuple, elt.latest(spark, root).collect()))
+    return sorted(map(tuple, elt.latest(spark, root).drop("last_updated").collect()))
 
 
 def test_two_rounds_of_new_users(spark, tmp_path):
@@ -52,6 +52,21 @@ def test_replay_and_retry_leave_the_same_tables(spark, tmp_path):
     assert (total.loaded, total.unique_count) == (180, 60)
 
 
+def test_time_of_update(spark, tmp_path):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 10), root, "r1")
+    elt.run(spark, root, "r1")
+    first = {r.id: r.last_updated for r in elt.latest(spark, root).collect()}
+    # the ids of the first users come again after 1500 with other names; the others are unchanged
+    mixed = users(spark, 0, 5).unionByName(users(spark, 1505, 5))
+    elt.load(mixed, root, "r2")
+    assert counts(elt.run(spark, root, "r2")) == (0, 5, 0)
+    second = {r.id: r.last_updated for r in elt.latest(spark, root).collect()}
+    assert set(first) == set(second)
+    later = [i for i in first if second[i] > first[i]]
+    assert len(later) == 5 and sum(first[i] == second[i] for i in first) == 5
+
+
 def test_a_run_reads_only_its_own_staging(spark, tmp_path):
     root = str(tmp_path)
     elt.load(users(spark, 0, 40), root, "loaded")
