@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.session import shared_root, work_path
 
-MAX_GROUP_ROWS = 20_000_000
+MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 100_000
 SAMPLES_PER_SLICE = 64
 FINE_SLICES = 128

@@ -29,10 +29,17 @@ _PUBLISHED = "version bigint, base bigint, workflow_id string"
 class RunReport:
     """Frames about a finished run; each is computed when it is used."""
 
+    loaded: DataFrame
     changes: DataFrame
-    counts: DataFrame
     reconciliation: DataFrame
-    summary: DataFrame
+
+    @property
+    def counts(self) -> DataFrame:
+        return cdc.change_counts(self.changes, schemas.TENANT)
+
+    @property
+    def summary(self) -> DataFrame:
+        return summary(self.loaded, self.changes)
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -129,13 +136,7 @@ def run(
     row = spark.createDataFrame([(base, workflow_id)], "base bigint, workflow_id string")
     recreate(row, f"{root}/published/version={target}")
 
-    loaded = staging_of(spark, root, workflow_id)
-    return RunReport(
-        changes=changes,
-        counts=cdc.change_counts(changes, schemas.TENANT),
-        reconciliation=checked,
-        summary=summary(loaded, changes),
-    )
+    return RunReport(staging_of(spark, root, workflow_id), changes, checked)
 
 
 def summary(loaded: DataFrame, changes: DataFrame) -> DataFrame:
