@@ -36,11 +36,12 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf)
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it: it gets a fresh folder under /tmp, kept for the session.
+    Only a session on one machine may go without it: it gets a fresh folder under /tmp, kept for the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="millrace-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
