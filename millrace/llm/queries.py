@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.mixing import op4_mix_waterfill
+from millrace.llm.pii import op9_pii_spans
+from millrace.llm.quality import op5_quality_ratio
+from millrace.llm.secrets import op8_secret_markov
 from millrace.llm.sharding import op1_shard_minimax
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op4_mix_waterfill": op4_mix_waterfill,
+    "op5_quality_ratio": op5_quality_ratio,
+    "op8_secret_markov": op8_secret_markov,
+    "op9_pii_spans": op9_pii_spans,
 }
 
 SQL: dict[str, str] = {}
