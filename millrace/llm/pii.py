@@ -110,7 +110,7 @@ def score(kind: str, span: Column) -> Column:
 def found(text: Column, kind: str) -> Column:
     """The confirmed spans of a kind."""
     rank = list(KINDS).index(kind)
-    return F.filter(spans(text, KINDS[kind].pattern, kind, rank), lambda x: confirmed(kind, x["value"]))
+    return F.filter(spans(text, KINDS[kind].pattern, kind, rank, context=True), lambda x: confirmed(kind, x["value"]))
 
 
 def accepted(text: Column, kind: str) -> Column:

@@ -39,8 +39,11 @@ def starts(lengths: Column) -> Column:
         + upto((i - i % BLOCK + 1).cast("int"), (i % BLOCK).cast("int")))))
 
 
-def spans(text: Column, pattern: str, kind: str, rank: int, group: int | None = None) -> Column:
-    """All leftmost, non-overlapping matches as an array of ``SPAN``; ``value`` is the match or one group of it."""
+def spans(text: Column, pattern: str, kind: str, rank: int, group: int | None = None, context: bool = False) -> Column:
+    """All leftmost, non-overlapping matches as an array of ``SPAN``; ``value`` is the match or one group of it.
+
+    ``before`` is filled in if ``context`` is set.
+    """
     quoted = F.lit(pattern)
     found = F.struct(
         F.regexp_extract_all(text, quoted, F.lit(0)).alias("match"),
@@ -54,7 +57,7 @@ def spans(text: Column, pattern: str, kind: str, rank: int, group: int | None =
             (at + F.length(F.get(f["piece"], i))).alias("start"), F.lit(rank).alias("rank"),
             (at + F.get(ls, i)).alias("stop"), F.lit(kind).alias("kind"),
             (F.get(f["value"], i) if group else F.get(f["match"], i)).alias("value"),
-            F.right(F.get(f["piece"], i), F.lit(CONTEXT)).alias("before")))))
+            (F.right(F.get(f["piece"], i), F.lit(CONTEXT)) if context else F.lit("")).alias("before")))))
 
     return F.when(text.rlike(pattern), let(found, placed)).otherwise(F.array().cast(NO_SPANS))
 
