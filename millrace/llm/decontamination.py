@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm.tables import documents, saved, table
+from millrace.llm.tables import documents, in_batches, saved, table
 from millrace.llm.words import ALNUM, U, Words, lowered, steps
 
 WINDOW = 10
 #: Bits of the table that says which words any test item has.
 FILTER_BITS = 24
+#: Bytes of text in a block; a longer document is a block of its own.
+BLOCK_BYTES = 1 << 20
 #: Words of test items that are searched at once; a longer item is a chunk of its own.
 CHUNK_WORDS = 100_000
 
@@ -53,7 +55,7 @@ def word_filter(items: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
     merged = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in items.select("text").mapInArrow(run, "bits binary").toLocalIterator():
+    for row in in_batches(items.select("text"), run, "bits binary").toLocalIterator():
         merged |= np.frombuffer(row["bits"], np.uint8)
     return np.unpackbits(merged).astype(bool)
 
@@ -71,7 +73,7 @@ def build_index(docs: DataFrame, known: np.ndarray) -> DataFrame:
         table_ = np.unpackbits(bits.value).astype(bool)
         block = 0
         for batch in batches:
-            for lo, hi, data, offsets in steps(batch.column(1)):
+            for lo, hi, data, offsets in steps(batch.column(1), BLOCK_BYTES):
                 words = Words(data, offsets, FOLDED)
                 hashes = words.hashes()
                 at = np.flatnonzero(table_[_slots(hashes)])
@@ -87,7 +89,7 @@ def build_index(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
     schema = (f"block string, ids array<{kind.simpleString()}>, n_words array<long>, terms array<long>, "
               "counts array<int>, places array<int>")
-    return saved(docs.select("doc_id", "text").mapInArrow(run, schema), "postings")
+    return saved(in_batches(docs.select("doc_id", "text"), run, schema), "postings")
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -201,7 +203,7 @@ def search(index: DataFrame, items: Items, slack: int = 0) -> DataFrame:
 
     schema = (f"block string, number int, doc_id {kind.simpleString()}, n_words long, exact array<{HIT}>, "
               f"ranges array<struct<start:int,stop:int>>, near array<{HIT}>")
-    return index.mapInArrow(run, schema)
+    return in_batches(index, run, schema)
 
 
 def chunks(items: DataFrame) -> Iterator[tuple[list[str], list[str | None]]]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontamination import op6_decontaminate_index
+from millrace.llm.jaccard_join import op7_jaccard_components
 from millrace.llm.mixing import op4_mix_waterfill
 from millrace.llm.pii import op9_pii_spans
 from millrace.llm.quality import op5_quality_ratio
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_waterfill": op4_mix_waterfill,
     "op5_quality_ratio": op5_quality_ratio,
     "op6_decontaminate_index": op6_decontaminate_index,
+    "op7_jaccard_components": op7_jaccard_components,
     "op8_secret_markov": op8_secret_markov,
     "op9_pii_spans": op9_pii_spans,
 }

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.session import work_path
 
 #: Bytes of text that one numpy step takes at a time; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 18
+#: Bytes of an Arrow batch that is sent to Python.
+BATCH_BYTES = 4 << 20
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -24,6 +26,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, since texts may be long.
+
+    The bound is a setting of the session and holds for its later Arrow batches too.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 

@@ -61,7 +61,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def steps(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def steps(column: pa.Array, size: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows lo to hi of a string column with their bytes and offsets; nulls count as empty texts."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.cast(pa.large_string()).fill_null("")
@@ -72,7 +72,7 @@ def steps(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = int(np.searchsorted(offsets, offsets[lo] + STEP_BYTES, side="right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1
         hi = min(max(hi, lo + 1), len(column))
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
