@@ -13,9 +13,11 @@ from millrace.llm.pii import op9_pii_spans
 from millrace.llm.quality import op5_quality_ratio
 from millrace.llm.secrets import op8_secret_markov
 from millrace.llm.sharding import op1_shard_minimax
+from millrace.llm.toxicity import op3_toxicity_channel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
+    "op3_toxicity_channel": op3_toxicity_channel,
     "op4_mix_waterfill": op4_mix_waterfill,
     "op5_quality_ratio": op5_quality_ratio,
     "op6_decontaminate_index": op6_decontaminate_index,
