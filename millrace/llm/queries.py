@@ -13,6 +13,7 @@ from millrace.llm.pii import op9_pii_spans
 from millrace.llm.quality import op5_quality_ratio
 from millrace.llm.secrets import op8_secret_markov
 from millrace.llm.sharding import op1_shard_minimax
+from millrace.llm.suffix_merge import op10_suffix_dedup
 from millrace.llm.toxicity import op3_toxicity_channel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jaccard_components": op7_jaccard_components,
     "op8_secret_markov": op8_secret_markov,
     "op9_pii_spans": op9_pii_spans,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {}
