@@ -260,8 +260,10 @@ def covered(ranges: Column) -> Column:
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of any item occurs."""
-    hit = find(docs, items, window=window).where(F.size("exact") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = find(docs.select(key.alias("doc_id"), "text"), items, window=window)
+    hit = found.where(F.size("exact") > 0).select(F.col("doc_id.id").alias("hit_id"), F.col("doc_id.text").alias("hit_text")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_text"]), "left_anti")
 
 
 def op6_decontaminate_index(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from millrace.llm.components import components
 from millrace.llm.tables import documents, in_batches, saved
@@ -323,7 +324,7 @@ def cluster_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, rule
 
 
 def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row for each document: id, signature and size of its set, and its component's smallest id."""
+    """One row for each document: id, signature and size of its set, its component and that one's smallest id."""
     rows = saved(signed(docs, rule), "signed")
     classes = saved(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc")), "classes")
     light = boundary(classes, rule)
@@ -336,7 +337,38 @@ def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     names = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = saved(named.join(names, "root").select(F.col("sig").alias("of"), "root", "component_id"), "named")
     return (rows.join(named, rows["sig"] == named["of"], "left")
-            .select("doc_id", "sig", "n", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "sig", "n", "root", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest id stays.
+
+    Rows without words all stay. Ids come before no id; of several rows with that id, the smallest signature, then
+    the smallest hash of the whole row decides.
+    """
+    rows = saved(joined(docs, rule), "joined")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig"))
+    kept = rows.where("sig IS NOT NULL").groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.sig")
+    same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.sig") == F.col("k.sig"))
+    kept = saved(rows.alias("r").join(kept.alias("k"), same).groupBy("r.doc_id", "r.sig")
+                 .agg(F.count("*").alias("times")).toDF("kept_id", "kept_sig", "times"), "kept")
+
+    at, at_id = docs.columns.index("text"), docs.columns.index("doc_id")
+
+    def sign(batches):
+        for batch in batches:
+            sigs = pa.array([signature(s) for s in shingle_sets(batch.column(at), rule.size)], pa.binary())
+            whole = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+            yield pa.RecordBatch.from_arrays([whole, batch.column(at_id), sigs], names=["row", "id", "sig"])
+
+    marked = in_batches(docs, sign, StructType([StructField("row", docs.schema), StructField("id", docs.schema["doc_id"].dataType),
+                                                StructField("sig", BinaryType())]))
+    found = marked.join(kept, marked["id"].eqNullSafe(kept["kept_id"]) & (marked["sig"] == kept["kept_sig"]))
+    out = found.where("times = 1").select("row.*").unionByName(marked.where("sig IS NULL").select("row.*"))
+    if not kept.where("times > 1").isEmpty():
+        place = Window.partitionBy("id", "sig").orderBy(F.xxhash64("row"))
+        out = out.unionByName(found.where("times > 1").withColumn("place", F.row_number().over(place)).where("place = 1").select("row.*"))
+    return out
 
 
 def op7_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
