@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.ordered import MAX_GROUP_ROWS, order_within
+from millrace.operators.ordered import DAY_US, Shifted, order_within
 
 
 def first_message_within(
@@ -17,7 +17,7 @@ def first_message_within(
     *,
     at: str = "at_us",
     id_col: str = "id",
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> DataFrame:
     """Message each request receives, or null when none comes within the timeout.
 
@@ -40,13 +40,14 @@ def first_message_within(
     ).withColumns({"_is_msg": 1 - F.col("_kind"), "_is_req": F.col("_kind")})
 
     is_request = F.col("_kind") == 1
-    rows = order_within(events, keys, ("_t", "_kind", "_id"), max_rows)
-    rows = rows.scan(sums={"_msgs": "_is_msg", "_reqs": "_is_req"})
-    rows = rows.with_columns({"_spare": F.when(is_request, F.col("_msgs") - F.col("_reqs"))})
-    rows = rows.scan(lows_before={"_low": "_spare"})
+    spare = F.when(is_request, F.col("_msgs") - F.col("_reqs"))
+    rows = order_within(events, keys, ("_t", "_kind", "_id"), width).scan(
+        sums={"_msgs": "_is_msg", "_reqs": "_is_req"},
+        shifted={"_low": Shifted("min_before", spare, {"_msgs": 1, "_reqs": -1})},
+    )
     # requests that went without so far, as a number <= 0; one more does if M(k) - k is below it
     missed = F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
-    served = is_request & (F.col("_spare") >= missed)
+    served = is_request & (spare >= missed)
     seq = F.when(~is_request, F.col("_msgs")).when(served, F.col("_reqs") + missed)
     unserved = F.when(is_request & ~served, F.col("_id"))
 

@@ -1,52 +1,50 @@
 """Ordered computations per key that stay parallel when one key holds much of the data.
 
-A window function sorts all rows of a key in one task. Here a key with more than ``max_rows`` rows
-is cut into slices at sampled places of its order. The window functions then run per slice, and
-what each slice needs from the slices before it (a count, a running value, the last row) comes from
-a table with one row per slice.
-
-The tables of slices are broadcast. Only keys above the limit take part, and the limit is raised to
-N / MAX_SLICES where ``max_rows`` is below it, so N rows make fewer than MAX_SLICES hot keys and
-about 2 MAX_SLICES slices, whatever the data looks like.
+A window function sorts all rows of a key in one task. Here the order of a key is cut into buckets of fixed
+width, given by the caller: a row's bucket is the whole part of its first order column over the width. The window
+functions run per key and bucket, and what a bucket needs from those before it (a count, a running value, the last
+row) comes from a table with one row per key and bucket, which is joined back by the same key. The plan is the same
+whatever the data: rows are shuffled once, nothing is counted or sampled beforehand, and nothing is broadcast by hand.
+
+The width decides how many rows of a key meet in one task, and how many buckets of a key are added up in one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.session import shared_root, work_path
-
-MAX_GROUP_ROWS = 5_000_000
-MAX_SLICES = 100_000
-SAMPLES_PER_SLICE = 64
-FINE_SLICES = 128
-_TOKENS = 1 << 40
+#: One day in microseconds.
+DAY_US = 86_400_000_000
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str], mark: str) -> Column:
-    return reduce(Column.__and__, [left[n].eqNullSafe(right[mark + n]) for n in names])
+class Shifted(NamedTuple):
+    """A running extreme of a value that moves with what came before the bucket.
 
+    ``value`` is an expression over the running columns of the scan; in the whole order it is larger by
+    ``factor`` times the running column's value before the bucket, for each of ``factors``. ``kind`` is ``max`` (up to
+    and with the current row) or ``min_before`` (over the earlier rows).
+    """
 
-def _renamed(df: DataFrame, names: Sequence[str], mark: str) -> DataFrame:
-    return df.withColumnsRenamed({n: mark + n for n in names})
+    kind: str
+    value: Column
+    factors: Mapping[str, int]
 
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with a total order within each key; ``split`` when hot keys carry a slice number."""
+    """Rows with a total order within each key; ``_part`` is the key and the bucket.
+
+    Between scans the key is in ``_part`` alone, so that rows and totals need the same columns of the input.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    split: bool
-
-    @property
-    def _parts(self) -> tuple[str, ...]:
-        return self.keys + (("_slice",) if self.split else ())
+    columns: tuple[str, ...]
 
     def scan(
         self,
@@ -56,60 +54,55 @@ class Ordered:
         sums: Mapping[str, str] | None = None,
         lows: Mapping[str, str] | None = None,
         highs: Mapping[str, str] | None = None,
-        lows_before: Mapping[str, str] | None = None,
+        shifted: Mapping[str, Shifted] | None = None,
     ) -> "Ordered":
         """Add columns computed over the rows up to the current one, in order, per key.
 
         ``number`` counts rows from 1, ``lag`` takes the previous row's value, ``sums``, ``lows``
-        and ``highs`` run over all rows so far, ``lows_before`` over those before the current one.
-        Mappings go from new column to source column.
+        and ``highs`` run over all rows so far. Mappings go from new column to source column.
         """
-        lag, sums, lows, highs = (dict(m or {}) for m in (lag, sums, lows, highs))
-        lows_before = dict(lows_before or {})
-        window = Window.partitionBy(*self._parts).orderBy(*self.order)
+        lag, sums, lows, highs, shifted = (dict(m or {}) for m in (lag, sums, lows, highs, shifted))
+        added = ([number] if number else []) + list(sums)
+        window = Window.partitionBy("_part").orderBy(*self.order)
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
 
-        new = {}
+        new = {"_first": F.row_number().over(window) == 1, "_last": F.lead(F.lit(1)).over(window).isNull()}
         if number:
             new[number] = F.row_number().over(window).cast("bigint")
         new |= {out: F.lag(src).over(window) for out, src in lag.items()}
         new |= {out: F.sum(src).over(so_far) for out, src in sums.items()}
         new |= {out: F.min(src).over(so_far) for out, src in lows.items()}
         new |= {out: F.max(src).over(so_far) for out, src in highs.items()}
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        new |= {out: F.min(src).over(earlier) for out, src in lows_before.items()}
-        lows = lows | lows_before
-        if not self.split:
-            return replace(self, df=self.df.withColumns(new))
-
-        # one row per slice of a hot key: its totals, then what the slices before it add up to
-        place = F.struct(*self.order)
-        totals = [F.lit(1).alias("_one")]
-        if number:
-            totals.append(F.count(F.lit(1)).alias(f"_c_{number}"))
-        totals += [F.max_by(src, place).alias(f"_c_{out}") for out, src in lag.items()]
-        totals += [F.sum(src).alias(f"_c_{out}") for out, src in sums.items()]
-        totals += [F.min(src).alias(f"_c_{out}") for out, src in lows.items()]
-        totals += [F.max(src).alias(f"_c_{out}") for out, src in highs.items()]
-        slices = self.df.where(F.col("_slice").isNotNull()).groupBy(*self._parts).agg(*totals)
-        by_slice = Window.partitionBy(*self.keys).orderBy("_slice")
-        before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-        carried = {}
-        for out in ([number] if number else []) + list(sums):
-            carried[f"_c_{out}"] = F.sum(f"_c_{out}").over(before)
-        carried |= {f"_c_{out}": F.lag(f"_c_{out}").over(by_slice) for out in lag}
+        local = self.df.withColumns(new)
+        local = local.withColumns({f"_v_{out}": s.value for out, s in shifted.items()})
+        local = local.withColumns({
+            out: F.max(f"_v_{out}").over(so_far) if s.kind == "max" else F.min(f"_v_{out}").over(earlier)
+            for out, s in shifted.items()
+        })
+
+        # the last row of a bucket has its totals; then what the buckets before it add up to
+        totals = [F.col(src).alias(f"_c_{out}") for out, src in lag.items()]
+        totals += [F.col(out).alias(f"_c_{out}") for out in [*added, *lows, *highs]]
+        for out, s in shifted.items():
+            whole = F.col(out) if s.kind == "max" else F.least(out, f"_v_{out}")
+            totals.append(whole.alias(f"_c_{out}"))
+        buckets = local.where("_last").select(F.col("_part").alias("_of"), *totals)
+        by_bucket = Window.partitionBy(*[F.col(f"_of.k{i}") for i in range(len(self.keys))]).orderBy("_of.bucket")
+        before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+        carried = {f"_c_{out}": F.sum(f"_c_{out}").over(before) for out in added}
+        carried |= {f"_c_{out}": F.lag(f"_c_{out}").over(by_bucket) for out in lag}
         carried |= {f"_c_{out}": F.min(f"_c_{out}").over(before) for out in lows}
         carried |= {f"_c_{out}": F.max(f"_c_{out}").over(before) for out in highs}
-        carry = _renamed(slices.withColumns(carried).drop("_one"), self._parts, "_r_")
-
-        local = self.df.withColumns(new | {"_first": F.row_number().over(window) == 1})
-        joined = local.join(
-            F.broadcast(carry),
-            _same(local, carry, self.keys, "_r_") & (local["_slice"] == carry["_r__slice"]),
-            "left",
-        )
+        carry = buckets.withColumns(carried)
+        for out, s in shifted.items():
+            moved = F.col(f"_c_{out}") + self._shift(s)
+            extreme = F.max if s.kind == "max" else F.min
+            carry = carry.withColumn(f"_m_{out}", moved).withColumn(f"_m_{out}", extreme(f"_m_{out}").over(before))
+
+        joined = local.join(carry, local["_part"] == carry["_of"])
         merged = {}
-        for out in ([number] if number else []) + list(sums):
+        for out in added:
             merged[out] = F.when(
                 F.col(out).isNotNull() | F.col(f"_c_{out}").isNotNull(),
                 F.coalesce(out, F.lit(0)) + F.coalesce(f"_c_{out}", F.lit(0)),
@@ -118,98 +111,36 @@ class Ordered:
             merged[out] = F.when(F.col("_first"), F.col(f"_c_{out}")).otherwise(F.col(out))
         merged |= {out: F.least(out, f"_c_{out}") for out in lows}
         merged |= {out: F.greatest(out, f"_c_{out}") for out in highs}
-        return replace(self, df=joined.withColumns(merged).select(*self.df.columns, *new))
+        for out, s in shifted.items():
+            pick = F.greatest if s.kind == "max" else F.least
+            merged[out] = pick(F.col(out) + self._shift(s), f"_m_{out}")
+        names = [*([number] if number else []), *lag, *sums, *lows, *highs, *shifted]
+        return replace(self, df=joined.withColumns(merged).select(*self.df.columns, *names))
+
+    @staticmethod
+    def _shift(s: Shifted) -> Column:
+        return sum((F.coalesce(f"_c_{name}", F.lit(0)) * factor for name, factor in s.factors.items()), F.lit(0))
 
     def with_columns(self, columns: Mapping[str, Column]) -> "Ordered":
         return replace(self, df=self.df.withColumns(dict(columns)))
 
     def result(self) -> DataFrame:
-        return self.df.drop("_slice")
-
-
-def _locate(rows: DataFrame, bounds: DataFrame, names: Sequence[str], out: str) -> DataFrame:
-    """Left lookup of the bound whose [lo, hi) holds the row's ``_place``."""
-    right = _renamed(bounds, [*names, out], "_b_")
-    inside = (
-        _same(rows, right, names, "_b_")
-        & (right["_lo"].isNull() | (rows["_place"] >= right["_lo"]))
-        & (right["_hi"].isNull() | (rows["_place"] < right["_hi"]))
-    )
-    return (
-        rows.join(F.broadcast(right), inside, "left")
-        .withColumn(out, F.col(f"_b_{out}"))
-        .drop("_lo", "_hi", *[f"_b_{n}" for n in names], f"_b_{out}")
-    )
-
-
-def _cuts(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int):
-    """Lower bounds of the slices of the hot keys, numbered from 1 in order."""
-    slice_rows = max(1, max_rows // 2)
-    rate = min(1.0, SAMPLES_PER_SLICE / slice_rows)
-    rows = df.select(*keys, *order)
-    named = _renamed(hot, keys, "_h_")
-    rows = rows.join(F.broadcast(named), _same(rows, named, keys, "_h_"), "left_semi")
-    if rate < 1:
-        # a row is drawn by its own values, so every run draws the same rows
-        token = F.pmod(F.xxhash64(*keys, *order), F.lit(_TOKENS))
-        rows = rows.where(token < int(rate * _TOKENS))
-    step = max(1, round(slice_rows * rate))
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        rows.withColumn("_n", F.row_number().over(window))
-        .where(F.col("_n") % step == 0)
-        .select(*keys, (F.col("_n") / step).cast("int").alias("_cut"), F.struct(*order).alias("_lo"))
-    )
-
-
-def order_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    max_rows: int = MAX_GROUP_ROWS,
-    source: DataFrame | None = None,
-    fan_out: int = 1,
-) -> Ordered:
-    """Put ``df`` in order per key, ready for :meth:`Ordered.scan`.
+        """The rows with their own columns first, then what scans and ``with_columns`` added."""
+        added = [c for c in self.df.columns if c not in self.columns and c != "_part"]
+        places = {k: f"_part.k{i}" for i, k in enumerate(self.keys)}
+        return self.df.select(*[F.col(places[c]).alias(c) if c in places else F.col(c) for c in self.columns], *added)
+
 
-    ``order`` must be total within a key (end it with a unique column). One narrow aggregation
-    counts the rows per key; when no key exceeds the limit nothing else is added to the plan.
+def order_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int = DAY_US) -> Ordered:
+    """Put ``df`` in order per key, ready for :meth:`Ordered.scan`.
 
-    A ``df`` that is costly to compute names the ``source`` it comes from, with at most ``fan_out``
-    rows of ``df`` per source row: the rows are then counted there, and when there are hot keys
-    ``df`` is written once to the shared folder instead of being computed for every pass.
+    ``order`` must be total within a key (end it with a unique column); its first column is a whole number, and
+    ``width`` is how much of it a bucket holds. Rows without it come first, in a bucket of their own. Building the
+    plan starts no job.
     """
     keys, order = tuple(keys), tuple(order)
-    counted = df if source is None else source
-    counts = counted.groupBy(*keys).agg((F.count(F.lit(1)) * fan_out).alias("_rows"))
-    total, most = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(max_rows, (total or 0) // MAX_SLICES + 1)
-    if (most or 0) <= limit:
-        return Ordered(df, keys, order, False)
-    hot = counts.where(F.col("_rows") > limit).select(*keys)
-
-    spark = df.sparkSession
-    shared_root(spark)
-    if source is not None:
-        path = work_path(spark, "ordered")
-        df.write.parquet(path)
-        df = spark.read.schema(df.schema).parquet(path)
-    cuts = _cuts(df, hot, keys, order, limit).checkpoint()
-    # slice 0 reaches from the start of the key to its first cut
-    starts = cuts.select(*keys).distinct().withColumns(
-        {"_cut": F.lit(0), "_lo": F.lit(None).cast(cuts.schema["_lo"].dataType)}
-    )
-    fine = cuts.unionByName(starts).withColumn("_coarse", F.floor(F.col("_cut") / FINE_SLICES))
-    by_cut = Window.partitionBy(*keys).orderBy("_cut")
-    fine = fine.withColumn("_hi", F.lead("_lo").over(by_cut))
-    coarse = (
-        fine.where(F.col("_cut") % FINE_SLICES == 0)
-        .withColumn("_hi", F.lead("_lo").over(by_cut))
-        .select(*keys, "_coarse", "_lo", "_hi")
-    )
-    fine = fine.select(*keys, "_coarse", F.col("_cut").alias("_slice"), "_lo", "_hi")
-
-    placed = df.withColumn("_place", F.struct(*order))
-    placed = _locate(placed, coarse, keys, "_coarse")
-    placed = _locate(placed, fine, [*keys, "_coarse"], "_slice")
-    return Ordered(placed.drop("_place", "_coarse"), keys, order, True)
+    # a struct compares null fields as equal, in windows and joins alike
+    names = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    bucket = F.floor(F.col(order[0]) / F.lit(width)).cast("bigint").alias("bucket")
+    rows = df.withColumn("_part", F.struct(*names, bucket)).drop(*[k for k in keys if k not in order])
+    return Ordered(rows, keys, order, tuple(df.columns))

@@ -1,7 +1,8 @@
 """Job and call logs: gaps, schedules, limits, concurrency, attempts, durations.
 
 Times are whole microseconds. Everything that depends on the order of rows within a key goes
-through :mod:`millrace.operators.ordered`, so one busy key does not end up in one task.
+through :mod:`millrace.operators.ordered`, so one busy key does not end up in one task; ``width`` is how
+much time (or how many numbers) of a key one task takes.
 """
 
 from __future__ import annotations
@@ -10,73 +11,74 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.ordered import MAX_GROUP_ROWS, order_within
+from millrace.operators.ordered import DAY_US, Shifted, order_within
 
 
 def call_gaps(
-    df: DataFrame, keys: Sequence[str], at: str, tie: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], at: str, tie: str, width: int = DAY_US
 ) -> DataFrame:
     """Gap to the key's previous call and time since its first call."""
-    calls = order_within(df, keys, (at, tie), max_rows).scan(lag={"_prev": at}, lows={"_start": at})
+    calls = order_within(df, keys, (at, tie), width).scan(lag={"_prev": at}, lows={"_start": at})
     return calls.with_columns(
         {"gap_us": F.col(at) - F.col("_prev"), "elapsed_us": F.col(at) - F.col("_start")}
     ).result().drop("_prev", "_start")
 
 
 def running_count_before(
-    df: DataFrame, keys: Sequence[str], at: str, tie: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], at: str, tie: str, width: int = DAY_US
 ) -> DataFrame:
     """Messages of the key seen before this one."""
-    seen = order_within(df, keys, (at, tie), max_rows).scan(number="_n")
+    seen = order_within(df, keys, (at, tie), width).scan(number="_n")
     return seen.result().withColumn("count_before", F.col("_n") - 1).drop("_n")
 
 
 def spacing_schedule(
     df: DataFrame, keys: Sequence[str], at: str, tie: str, interval_us: int,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> DataFrame:
     """Start of call k when slots are fixed from the first call on.
 
     Slots that pass while no call arrives are not lost, so calls after a pause catch up in a burst.
     """
-    calls = order_within(df, keys, (at, tie), max_rows).scan(number="_n", lows={"_start": at})
+    calls = order_within(df, keys, (at, tie), width).scan(number="_n", lows={"_start": at})
     slot = F.col("_start") + (F.col("_n") - 1) * interval_us
     return calls.result().withColumn("start_us", F.greatest(at, slot)).drop("_n", "_start")
 
 
 def spacing_strict(
     df: DataFrame, keys: Sequence[str], at: str, tie: str, interval_us: int,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> DataFrame:
     """Start of call k when consecutive starts are never closer than the interval.
 
     start(k) = max(at(k), start(k-1) + d) unrolls to k d + max over j <= k of (at(j) - j d).
     """
-    calls = order_within(df, keys, (at, tie), max_rows).scan(number="_n")
-    calls = calls.with_columns({"_slack": F.col(at) - F.col("_n") * interval_us})
-    calls = calls.scan(highs={"_most": "_slack"})
+    slack = F.col(at) - F.col("_n") * interval_us
+    calls = order_within(df, keys, (at, tie), width).scan(
+        number="_n", shifted={"_most": Shifted("max", slack, {"_n": -interval_us})})
     start = F.col("_n") * interval_us + F.col("_most")
-    return calls.result().withColumn("start_us", start).drop("_n", "_slack", "_most")
+    return calls.result().withColumn("start_us", start).drop("_n", "_most")
 
 
 def _levels(
-    df: DataFrame, edges: Column, keys: Sequence[str], sums: dict[str, Column], max_rows: int
+    df: DataFrame, edges: Column, keys: Sequence[str], sums: dict[str, Column], width: int
 ) -> DataFrame:
     """Running total of ``delta`` per key, one row per instant ``at``.
 
-    ``edges`` is an array of two structs with ``at`` and ``delta``. Changes of one instant are
-    added up before the shuffle, so equal timestamps cost nothing.
+    ``edges`` is an array of structs with ``at`` and ``delta``; one without a time is left out. Changes of one
+    instant are added up before the shuffle, so equal timestamps cost nothing.
     """
-    instants = df.select(*keys, F.inline(edges)).groupBy(*keys, "at").agg(
+    timed = F.filter(edges, lambda e: e["at"].isNotNull())
+    instants = df.select(*keys, F.inline(timed)).groupBy(*keys, "at").agg(
         F.sum("delta").alias("_delta"), *[c.alias(n) for n, c in sums.items()]
     )
-    ordered = order_within(instants, keys, ("at",), max_rows, source=df, fan_out=2)
+    ordered = order_within(instants, keys, ("at",), width)
     return ordered.scan(sums={"level": "_delta"}).result()
 
 
 def rate_limit_compliance(
     df: DataFrame, keys: Sequence[str], at: str, limit: int | str, period_us: int | str,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> DataFrame:
     """Starts in the trailing period at every instant with starts, flagged above the limit.
 
@@ -91,7 +93,7 @@ def rate_limit_compliance(
         F.struct(F.col(at).alias("at"), F.lit(1).alias("delta")),
         F.struct((F.col(at) + period).alias("at"), F.lit(-1).alias("delta")),
     )
-    levels = _levels(df, edges, names, {"starts": F.count_if(F.col("delta") > 0)}, max_rows)
+    levels = _levels(df, edges, names, {"starts": F.count_if(F.col("delta") > 0)}, width)
     return levels.where(F.col("starts") > 0).select(
         *names, F.col("at").alias(at), "starts", F.col("level").alias("in_period"),
         (F.col("level") > limit_col).alias("over_limit"),
@@ -100,14 +102,18 @@ def rate_limit_compliance(
 
 def peak_concurrency(
     df: DataFrame, keys: Sequence[str], start: str, end: str, limit: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> DataFrame:
-    """Highest number of jobs running at once per key; a job runs in [start, end)."""
+    """Highest number of jobs running at once per key; a job runs in [start, end).
+
+    A job without an end still runs; one without a start has not begun and does not count.
+    """
+    df = df.where(F.col(start).isNotNull())
     edges = F.array(
         F.struct(F.col(start).alias("at"), F.lit(1).alias("delta")),
         F.struct(F.col(end).alias("at"), F.lit(-1).alias("delta")),
     )
-    levels = _levels(df, edges, keys, {}, max_rows)
+    levels = _levels(df, edges, keys, {}, width)
     peaks = levels.groupBy(*keys).agg(F.max("level").alias("peak"))
     if limit is None:
         return peaks
@@ -116,10 +122,10 @@ def peak_concurrency(
 
 def attempts_exhausted(
     df: DataFrame, keys: Sequence[str], at: str, tie: str, *, max_attempts: int,
-    interval_ms: int, backoff_rate: int, max_rows: int = MAX_GROUP_ROWS,
+    interval_ms: int, backoff_rate: int, width: int = DAY_US,
 ) -> DataFrame:
     """Attempt number of each failure, the wait before its retry, and whether retries ran out."""
-    failures = order_within(df, keys, (at, tie), max_rows).scan(number="attempt").result()
+    failures = order_within(df, keys, (at, tie), width).scan(number="attempt").result()
     attempt = F.col("attempt")
     wait = F.round(interval_ms * F.pow(F.lit(backoff_rate), attempt - 1)).cast("bigint")
     return failures.withColumns({
@@ -134,18 +140,20 @@ def with_fallback(df: DataFrame, value: str, exhausted: str, fallback: Column) -
 
 
 def completion_order(
-    df: DataFrame, keys: Sequence[str], finished: str, tie: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], finished: str, tie: str, width: int = DAY_US
 ) -> DataFrame:
-    """Position of each result in the order of finish within its run."""
-    return order_within(df, keys, (finished, tie), max_rows).scan(number="finish_rank").result()
+    """Position of each result in the order of finish within its run; null while it is unfinished."""
+    done = df.withColumn("_done", F.col(finished).isNotNull().cast("bigint"))
+    ranked = order_within(done, keys, (finished, tie), width).scan(sums={"finish_rank": "_done"}).result()
+    return ranked.withColumn("finish_rank", F.when(F.col(finished).isNotNull(), F.col("finish_rank"))).drop("_done")
 
 
 def chunk_assign(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: int = 100, batch: int = 10,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = 1_000_000,
 ) -> DataFrame:
     """Chunk of each row per tenant and sub-batch within the chunk, from 0; no row is left out."""
-    rows = order_within(df, keys, order, max_rows).scan(number="_n").result()
+    rows = order_within(df, keys, order, width).scan(number="_n").result()
     place = F.col("_n") - 1
     return rows.withColumns({
         "chunk_no": F.floor(place / chunk),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.operators import cdc
 from millrace.operators.joins import broadcast_if_small, within, without
 from millrace.operators.messages import first_message_within
-from millrace.operators.ordered import MAX_GROUP_ROWS
+from millrace.operators.ordered import DAY_US
 from millrace.schemas import TENANT, USER_KEYS
 from millrace.streaming.base import batch_folder, read_log
 
@@ -22,7 +22,7 @@ MESSAGE, REQUEST = "message", "request"
 
 def message_delivery(
     path: str, keys: Sequence[str], timeout_us: int, delay_us: int,
-    max_rows: int = MAX_GROUP_ROWS,
+    width: int = DAY_US,
 ) -> Callable[[DataFrame, int], None]:
     """Handler for a stream of (keys, kind, id, at_us) rows that answers requests.
 
@@ -48,7 +48,7 @@ def message_delivery(
         messages = rows.where(F.col("kind") == MESSAGE)
         answer_path = batch_folder(f"{path}/answers", batch_id)
         first_message_within(
-            rows.where(due), messages, keys, timeout_us, max_rows=max_rows
+            rows.where(due), messages, keys, timeout_us, width=width
         ).write.mode("overwrite").parquet(answer_path)
 
         taken = spark.read.parquet(answer_path).where("message_id is not null").select(

@@ -18,9 +18,9 @@ def serve(requests, messages, timeout):
     return out
 
 
-@pytest.mark.parametrize("max_rows", [4, 10**9])
+@pytest.mark.parametrize("width", [1, 37, 10**9])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_delivery_equals_a_queue(spark, rows, seed, max_rows):
+def test_delivery_equals_a_queue(spark, rows, seed, width):
     rng = random.Random(seed)
     requests, messages = [], []
     for i in range(160):
@@ -34,7 +34,7 @@ def test_delivery_equals_a_queue(spark, rows, seed, max_rows):
     schema = "k string, at_us bigint, id bigint"
     got = first_message_within(
         spark.createDataFrame(requests, schema), spark.createDataFrame(messages, schema), ["k"], 15,
-        max_rows=max_rows,
+        width=width,
     )
     assert rows(got) == sorted(want, key=repr)
     assert any(r[3] is None for r in want) and any(r[3] is not None for r in want)

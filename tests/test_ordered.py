@@ -8,12 +8,12 @@ from millrace.operators import ordered as O
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """2,400 rows: one key holds two thirds, a null key, many equal times, null values."""
+    """2,400 rows: one key holds two thirds, a null key, null and many equal times, null values."""
     rng = random.Random(7)
     data = []
     for i in range(2400):
         key = rng.choice(["hot", "hot", "hot", "hot", f"k{rng.randrange(40)}", None])
-        at = rng.choice([500, rng.randrange(1000)])
+        at = rng.choice([500, rng.randrange(-300, 1000), rng.randrange(1000), rng.choice([None, 7])])
         data.append((key, at, i, rng.choice([None, rng.randrange(-50, 50)])))
     rng.shuffle(data)
     return spark.createDataFrame(data, "k string, at bigint, id bigint, v bigint").repartition(4).cache()
@@ -22,60 +22,34 @@ def skewed(spark):
 def expected(df):
     w = Window.partitionBy("k").orderBy("at", "id")
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    return df.select(
-        "k", "id", F.row_number().over(w).cast("bigint").alias("n"), F.lag("v").over(w).alias("prev"),
+    rows = df.select(
+        "k", "id", "v", F.row_number().over(w).cast("bigint").alias("n"), F.lag("v").over(w).alias("prev"),
         F.sum("v").over(upto).alias("total"), F.min("v").over(upto).alias("low"),
-        F.max("v").over(upto).alias("high"), F.min("v").over(before).alias("low_before"),
+        F.max("v").over(upto).alias("high"), "at",
+    )
+    return rows.select(
+        "k", "id", "n", "prev", "total", "low", "high",
+        F.max(F.col("v") - 3 * F.col("n")).over(upto).alias("most"),
+        F.min(F.col("v") + F.col("total")).over(before).alias("least"),
     )
 
 
-@pytest.mark.parametrize("max_rows", [2, 30, 700, 10**9])
-def test_scan_equals_plain_window(spark, skewed, rows, max_rows):
-    o = O.order_within(skewed, ["k"], ["at", "id"], max_rows)
-    assert o.split == (max_rows < 10**9)
-    got = o.scan(
+@pytest.mark.parametrize("width", [1, 30, 700, 10**9])
+def test_scan_equals_plain_window(skewed, rows, width):
+    got = O.order_within(skewed, ["k"], ["at", "id"], width).scan(
         number="n", lag={"prev": "v"}, sums={"total": "v"}, lows={"low": "v"}, highs={"high": "v"},
-        lows_before={"low_before": "v"},
+        shifted={"most": O.Shifted("max", F.col("v") - 3 * F.col("n"), {"n": -3}),
+                 "least": O.Shifted("min_before", F.col("v") + F.col("total"), {"total": 1})},
     ).result()
     want = expected(skewed)
     assert rows(got, *want.columns) == rows(want)
 
 
-def test_slices_are_small_and_ordered(spark, skewed):
-    o = O.order_within(skewed, ["k"], ["at", "id"], 100)
-    sizes = o.df.groupBy("k", "_slice").agg(
-        F.count("*").alias("n"), F.min(F.struct("at", "id")).alias("lo"), F.max(F.struct("at", "id")).alias("hi")
-    ).collect()
-    hot = sorted((r for r in sizes if r.k == "hot"), key=lambda r: r._slice)
-    assert len(hot) > 10 and max(r.n for r in sizes) <= 100
-    assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
-
-
-def test_sampled_cuts(spark, monkeypatch, skewed, rows):
-    monkeypatch.setattr(O, "SAMPLES_PER_SLICE", 8)
-    monkeypatch.setattr(O, "FINE_SLICES", 3)
-    o = O.order_within(skewed, ["k"], ["at", "id"], 200)
-    assert o.df.select("_slice").distinct().count() > 6
-    got = o.scan(number="n", sums={"total": "v"}).result()
-    want = expected(skewed).select("k", "id", "n", "total")
-    assert rows(got, *want.columns) == rows(want)
-
-
-def test_slice_count_is_bounded(spark, monkeypatch, skewed):
-    monkeypatch.setattr(O, "MAX_SLICES", 5)
-    o = O.order_within(skewed, ["k"], ["at", "id"], 1)
-    assert o.df.select("k", "_slice").where("_slice is not null").distinct().count() <= 2 * 5 + 5
-
-
-def test_costly_frame_is_written_once(spark, skewed, rows):
-    derived = skewed.select("k", F.explode(F.array("at", F.col("at") + 1)).alias("t")).groupBy("k", "t").agg(
-        F.sum(F.lit(1)).alias("v")
-    )
-    o = O.order_within(derived, ["k"], ["t"], 50, source=skewed, fan_out=2)
-    assert o.split
-    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    want = derived.withColumn("s", F.sum("v").over(w))
-    assert rows(o.scan(sums={"s": "v"}).result(), *want.columns) == rows(want)
+def test_scans_follow_one_another(skewed, rows):
+    once = O.order_within(skewed, ["k"], ["at", "id"], 50).scan(number="n")
+    twice = once.with_columns({"x": F.col("v") - 3 * F.col("n")}).scan(highs={"most": "x"}).result()
+    want = expected(skewed).select("k", "id", "n", "most")
+    assert rows(twice, *want.columns) == rows(want)
 
 
 def test_empty_input(spark):
@@ -83,7 +57,26 @@ def test_empty_input(spark):
     assert O.order_within(df, ["k"], ["at"]).scan(number="n").result().count() == 0
 
 
-def test_main_rows_shuffle_once(spark, skewed):
-    plain = O.order_within(skewed, ["k"], ["at", "id"]).scan(number="n", lag={"p": "v"}).result()
-    plan = plain._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def jobs_of(spark, action):
+    """Numbers of the jobs that an action starts."""
+    spark.sparkContext.setJobGroup("watched", "jobs of a test")
+    out = action()
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup("watched")
+    spark.sparkContext.setJobGroup("", "")
+    return out, found
+
+
+def test_hot_key_plan(spark, tmp_path):
+    """Rows are shuffled once and no job runs before the result is asked for, however much a key holds."""
+    spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("at"), "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    scan = O.Shifted("max", F.col("at") - F.col("n"), {"n": -1})
+    out, started = jobs_of(spark, lambda: O.order_within(df, ["k"], ["at", "id"], 100).scan(number="n", shifted={"m": scan}).result())
+    assert not started
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the rows once, read again for the totals; then one row a bucket
+    assert final.count("Scan parquet") == 1
+    assert final.count("ReusedExchange") >= 1
+    sizes = out.count()
+    assert sizes == 4000 and out.select("n").distinct().count() == 4000

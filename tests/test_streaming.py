@@ -147,7 +147,7 @@ def test_delivery_in_micro_batches(spark, tmp_path, rows):
     path = str(tmp_path / "in")
     write_files(df, path, "at_us", 5)
     out = str(tmp_path / "out")
-    handler = stateful.message_delivery(out, ["k"], 60, 0, max_rows=20)
+    handler = stateful.message_delivery(out, ["k"], 60, 0, width=200)
     query = base.run_batches(base.stream_files(spark, path, df.schema, 1), str(tmp_path / "cp"), handler)
     last = query.lastProgress["batchId"]
     assert last >= 4

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import timing as T
 
-SIZES = [5, 10**9]
+SIZES = [5, 170, 10**9]
 
 
 @pytest.fixture(scope="module")
@@ -104,7 +104,7 @@ def test_peak_concurrency(calls, log, rows, size):
         instants = {at for at, _, _ in group}
         peak = max(sum(1 for at, _, n in group if at <= t < at + n) for t in instants)
         want.append((key, peak))
-    assert rows(T.peak_concurrency(calls, ["k"], "at", "end", max_rows=size), "k", "peak") == sorted(want, key=repr)
+    assert rows(T.peak_concurrency(calls, ["k"], "at", "end", width=size), "k", "peak") == sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("size", SIZES)
@@ -127,7 +127,7 @@ def test_page_number(spark):
 def test_attempts(spark, rows, size):
     df = spark.createDataFrame([("s", t, t) for t in range(5)] + [("t", 9, 9)], "step string, at bigint, id bigint")
     out = T.attempts_exhausted(
-        df, ["step"], "at", "id", max_attempts=4, interval_ms=2000, backoff_rate=2, max_rows=size
+        df, ["step"], "at", "id", max_attempts=4, interval_ms=2000, backoff_rate=2, width=size
     )
     assert rows(out, "step", "attempt", "backoff_ms", "exhausted") == [
         ("s", 1, 2000, False), ("s", 2, 4000, False), ("s", 3, 8000, False), ("s", 4, None, True),
