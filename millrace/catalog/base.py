@@ -60,6 +60,10 @@ EVENT_TIMES_SQL = """
 """
 
 
+#: Which lines are in the new extract and which in the snapshot before; every line is in one of them at least.
+STAGED_LINES, PRIOR_LINES = "l_returnflag <> 'R' OR l_linestatus <> 'F'", "l_linestatus = 'F'"
+
+
 def order_lines(t: Tables) -> DataFrame:
     """Order lines as extracted records; the copies of a line are what retries leave behind."""
     return t("lineitem").select(
@@ -75,20 +79,20 @@ def order_lines(t: Tables) -> DataFrame:
 
 
 def cdc_staging(t: Tables) -> DataFrame:
-    """The new extract: every line that was not returned, with its copies."""
-    return order_lines(t).where("l_returnflag <> 'R'").drop("l_returnflag", "l_linestatus")
+    """The new extract: every line that was not returned or is not finished, with its copies."""
+    return order_lines(t).where(STAGED_LINES).drop("l_returnflag", "l_linestatus")
 
 
 def cdc_latest(t: Tables) -> DataFrame:
     """The snapshot so far: the newest copy of every line that was finished."""
-    finished = order_lines(t).where("l_linestatus = 'F'")
+    finished = order_lines(t).where(PRIOR_LINES)
     return dedup_latest(finished, schemas.USER_KEYS, STAGED_ORDER).select(
         "id", "external_id", "organization_id", "connected_integration_id", "name", "email",
         "content_hash",
     )
 
 
-CDC_SQL = """
+CDC_SQL = f"""
     WITH lines AS (
         SELECT CAST(l_orderkey AS VARCHAR) AS id,
                l_orderkey || '-' || l_linenumber AS external_id,
@@ -98,17 +102,17 @@ CDC_SQL = """
                md5('part-' || l_partkey || ':supp-' || l_suppkey) AS content_hash,
                l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_returnflag, l_linestatus
         FROM lineitem
-    ), fresh AS (
-        SELECT * FROM lines WHERE l_returnflag <> 'R'
+    ), fresh AS MATERIALIZED (
+        SELECT * FROM lines WHERE {STAGED_LINES}
         QUALIFY row_number() OVER (
             PARTITION BY id, organization_id, connected_integration_id
             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1
-    ), prior AS (
-        SELECT * FROM lines WHERE l_linestatus = 'F'
+    ), prior AS MATERIALIZED (
+        SELECT * FROM lines WHERE {PRIOR_LINES}
         QUALIFY row_number() OVER (
             PARTITION BY id, organization_id, connected_integration_id
             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1
-    ), changes AS (
+    ), changes AS MATERIALIZED (
         SELECT f.id, f.organization_id, f.connected_integration_id, f.external_id, f.name, f.email,
                f.content_hash, 'INSERT' AS change_type
         FROM fresh f ANTI JOIN prior p USING (id, organization_id, connected_integration_id)

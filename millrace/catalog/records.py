@@ -6,16 +6,20 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.catalog.base import (
-    CDC_SQL, LINE_ORDER, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging, order_lines, uuid5_sql,
+    CDC_SQL, LINE_ORDER, PRIOR_LINES, STAGED_LINES, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging, order_lines,
+    uuid5_sql,
 )
 from millrace.functions.hashing import content_hash, uuid5
 from millrace.operators import access, cdc, dedup, jobs, quality
-from millrace.plans import elt
+from millrace.plans import elt, imports
 from millrace.session import work_path
 from millrace.sinks import tables as sinks
+from millrace.sources import paged
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 KEYS = ", ".join(schemas.USER_KEYS)
+USER_COLUMNS = ("id", "external_id", "organization_id", "connected_integration_id", "name", "email")
+PAGE_ROWS = 1000
 
 
 def changes(t: Tables):
@@ -65,7 +69,7 @@ def cdc_read(spark, sf):
 
 def cdc_apply(spark, sf):
     t = Tables(spark, sf)
-    return cdc.apply_changes(cdc_latest(t), changes(t))
+    return cdc.next_snapshot(cdc_staging(t), cdc_latest(t), newest=STAGED_ORDER)
 
 
 def cdc_reconcile(spark, sf):
@@ -83,24 +87,58 @@ def cdc_reconcile(spark, sf):
 def key_set_diff(spark, sf):
     t = Tables(spark, sf)
     # copies do not matter to a set of keys, so the snapshot's lines need no deduplication
-    return cdc.key_set_diff(cdc_staging(t), order_lines(t).where("l_linestatus = 'F'"))
+    return cdc.key_set_diff(cdc_staging(t), order_lines(t).where(PRIOR_LINES))
 
 
 def tenant_runs(spark, sf):
-    """Two runs of the whole job; the second one is repeated, as after a crash."""
+    """A first run for all tenants, then one in two calls for some of them each, the first call repeated.
+
+    Lines are staged with the copies that retries left.
+    """
     t = Tables(spark, sf)
     root = work_path(spark, "runs")
     lines = order_lines(t)
-    first = lines.where("l_linestatus = 'F'")
-    second = lines.where("l_returnflag <> 'R'")
-    for run_id, rows in (("run-1", first), ("run-2", second)):
-        newest = dedup.dedup_latest(rows, schemas.USER_KEYS, STAGED_ORDER)
-        elt.load(newest, root, run_id)
-        elt.run(spark, root, run_id)
-    elt.run(spark, root, "run-2")
+    elt.load(lines.where(PRIOR_LINES), root, "run/1")
+    elt.run(spark, root, "run/1")
+    elt.load(lines.where(STAGED_LINES), root, "run/2")
+    tenants = elt.staging_of(spark, root, "run/2").select(*schemas.TENANT).distinct()
+    odd = F.col("organization_id").isin("org-001", "org-003", "org-005", "org-007")
+    for part in (tenants.where(odd), tenants.where(~odd), tenants.where(odd)):
+        elt.run(spark, root, "run/2", tenants=part)
     return elt.latest(spark, root).drop("last_updated")
 
 
+def extract_and_run(spark, sf):
+    """Integrations, their pages, the fetched rows, staging and the run, in one go; fetched from stored pages."""
+    t = Tables(spark, sf)
+    root = work_path(spark, "extracted")
+    lines = order_lines(t).where(STAGED_LINES)
+    stored = paged.stored_pages(lines.select(*USER_COLUMNS), schemas.TENANT, ["id", "name", "email"], PAGE_ROWS)
+    stored.write.parquet(f"{root}/pages")
+    stored = spark.read.parquet(f"{root}/pages")
+    integrations = stored.groupBy(*schemas.TENANT).agg(F.max("page").alias("pages"))
+    scope = elt.extract(integrations, paged.rows_of_page, root, "run", bodies=stored)
+    elt.run(spark, root, "run", tenants=scope)
+    return elt.latest(spark, root).drop("last_updated")
+
+
+def import_requests(spark, sf):
+    """Orders as requests: those with a known customer and status, and the error table of the others."""
+    t = Tables(spark, sf)
+    requests = t("orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("access_id"),
+        F.when(F.col("o_orderstatus") == "F", "approved").when(F.col("o_orderstatus") == "O", "requested").otherwise("open").alias("status"),
+    )
+    users = t("customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
+    accesses = t("lineitem").select(F.col("l_orderkey").alias("id")).distinct()
+    known = t("orders").where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias("id"))
+    valid, rejected = imports.accept_requests(requests, users, accesses, known)
+    errors = imports.error_rows(rejected).select(F.get_json_object("message", "$.error").alias("message"))
+    outcome = valid.select("status", F.lit(None).cast("string").alias("message")).unionByName(
+        errors.select(F.lit(None).cast("string").alias("status"), F.regexp_replace("message", "[0-9]+", "n").alias("message")))
+    return outcome.groupBy("status", "message").agg(F.count(F.lit(1)).alias("n"))
+
+
 def tenant_run_summary(spark, sf):
     t = Tables(spark, sf)
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -208,6 +246,16 @@ def transform_quarantine(spark, sf):
     )
 
 
+#: What is left of staged copies that came together: the one whose other columns are largest.
+STAGED_SQL = CDC_SQL + f"""
+    , staged AS (
+        SELECT {KEYS}, external_id, name, email, content_hash FROM lines WHERE {STAGED_LINES}
+        QUALIFY row_number() OVER (
+            PARTITION BY {KEYS} ORDER BY external_id DESC, name DESC, email DESC, content_hash DESC) = 1
+    )
+    SELECT * FROM staged
+"""
+
 QUERIES = {
     "dedup_latest": Query(dedup_latest, """
         SELECT * FROM lineitem QUALIFY row_number() OVER (
@@ -247,11 +295,11 @@ QUERIES = {
         ORDER BY id
     """),
     "cdc_apply": Query(cdc_apply, CDC_SQL + f"""
-        SELECT {KEYS}, external_id, name, email, content_hash
-        FROM prior ANTI JOIN changes USING ({KEYS})
+        SELECT {KEYS}, external_id, name, email, content_hash FROM fresh
         UNION ALL
-        SELECT {KEYS}, external_id, name, email, content_hash
-        FROM changes WHERE change_type <> 'DELETE'
+        SELECT {KEYS}, external_id, name, email, content_hash FROM prior
+        ANTI JOIN (SELECT DISTINCT organization_id, connected_integration_id FROM fresh)
+            USING (organization_id, connected_integration_id)
     """),
     "cdc_reconcile": Query(cdc_reconcile, CDC_SQL + """
         , tenants AS (
@@ -282,8 +330,22 @@ QUERIES = {
         UNION ALL
         SELECT *, 'both' FROM (SELECT {KEYS} FROM prior INTERSECT SELECT {KEYS} FROM fresh)
     """),
-    "tenant_runs": Query(tenant_runs, CDC_SQL + f"""
-        SELECT {KEYS}, external_id, name, email, content_hash FROM fresh
+    "tenant_runs": Query(tenant_runs, STAGED_SQL),
+    "extract_and_run": Query(extract_and_run, STAGED_SQL),
+    "import_requests": Query(import_requests, """
+        WITH r AS (
+            SELECT o_orderkey, o_custkey,
+                   CASE o_orderstatus WHEN 'F' THEN 'approved' WHEN 'O' THEN 'requested' ELSE 'open' END AS status
+            FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderpriority IS NULL
+        ), checked AS (
+            SELECT status, CASE WHEN status = 'open' THEN 'invalid status: open'
+                   WHEN o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+                   THEN 'user_id n does not exist'
+                   WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) THEN 'access_id n does not exist' END AS message
+            FROM r
+        )
+        SELECT CASE WHEN message IS NULL THEN status END AS status, message, count(*) AS n
+        FROM checked GROUP BY ALL
     """),
     "tenant_run_summary": Query(tenant_run_summary, """
         SELECT r_name, n_name, count(*) AS orders,

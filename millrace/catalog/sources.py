@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import reduce
 
 import pandas as pd
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.catalog.base import Query, Tables, uuid5_sql
@@ -96,41 +95,43 @@ def flatten_nested(spark, sf):
     return documents.flatten_person(people, new_id=uuid5("r.email"))
 
 
-PAGE_SIZE = 1000
+PAGE_ROWS = 1000
 
 
-def _fetch_orders(path: str, request: dict) -> pd.DataFrame:
-    """One page of the order service: a range of order keys."""
-    first = (request["page"] - 1) * PAGE_SIZE
-    inside = [("o_orderkey", ">=", first), ("o_orderkey", "<", first + PAGE_SIZE)]
-    return pq.read_table(path, columns=ORDER_COLUMNS, filters=inside).to_pandas()
-
-
-def _order_pages(t: Tables):
-    """The pages that hold orders."""
-    page = F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1
-    return paged.with_batch(t("orders").select(page.alias("page")).distinct())
+def _order_pages(t: Tables) -> DataFrame:
+    """The orders as stored pages; the table is read once, whatever reads the pages."""
+    path = work_path(t.spark, "pages")
+    orders = t("orders").select(*ORDER_COLUMNS, F.col("o_orderstatus").alias("tenant"))
+    paged.stored_pages(orders, ["tenant"], ["o_orderkey"], PAGE_ROWS).write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 def paged_extract(spark, sf):
-    t = Tables(spark, sf)
-    fetch = partial(_fetch_orders, t.path("orders"))
-    return paged.paged_extract(
-        _order_pages(t), fetch, ORDER_SCHEMA,
+    pages = paged.with_batch(_order_pages(Tables(spark, sf)))
+    rows = paged.paged_extract(
+        pages, paged.rows_of_page, ORDER_SCHEMA + ", tenant string",
         requests_in_parallel=spark.sparkContext.defaultParallelism,
     )
+    return rows.drop("tenant")
 
 
 def union_pages(spark, sf):
-    t = Tables(spark, sf)
-    statuses = ["F", "O", "P"]
-    parts = [t("orders").where(F.col("o_orderstatus") == s).select(*ORDER_COLUMNS) for s in statuses]
-    return reduce(DataFrame.unionByName, parts)
+    return paged.union_pages(_order_pages(Tables(spark, sf)), ORDER_SCHEMA)
+
+
+LISTED = ("orders", "lineitem", "customer", "documents", "events")
 
 
 def object_listing(spark, sf):
-    found = tables.object_listing(spark, sf, "*.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("object_key"), "size_bytes")
+    """Objects of some tables with the rows that are in each: listed, then read."""
+    t = Tables(spark, sf)
+    found = tables.object_listing(spark, sf, "*.parquet").select("path", (F.col("size_bytes") > 0).alias("has_bytes"))
+    counts = reduce(DataFrame.unionByName, (
+        t(name).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+        for name in LISTED))
+    listed = found.withColumn("path", F.regexp_replace("path", "^file:/*", "/")).join(
+        counts.withColumn("path", F.regexp_replace("path", "^file:/*", "/")), "path")
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("object_key"), "has_bytes", "row_count")
 
 
 def table_scan(spark, sf):
@@ -258,7 +259,9 @@ QUERIES = {
     """),
     "paged_extract": Query(paged_extract, ORDERS_SQL),
     "union_pages": Query(union_pages, ORDERS_SQL),
-    "object_listing": Query(object_listing),
+    "object_listing": Query(object_listing, " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS object_key, true AS has_bytes, count(*) AS row_count FROM {name}" for name in LISTED
+    )),
     "table_scan": Query(table_scan, "SELECT c_custkey, c_name, c_mktsegment FROM customer"),
     "federated_scan": Query(federated_scan, """
         SELECT o_orderkey, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey

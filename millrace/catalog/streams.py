@@ -13,14 +13,29 @@ from millrace.session import work_path
 from millrace.streaming import base, keyed, stateful
 
 
+FILES = 3
+
+
+def _in_files(t: Tables, rows, order: str, name: str) -> str:
+    """Rows in order as ``FILES`` files with rising times, so that a stream takes them in several micro-batches."""
+    path = work_path(t.spark, name)
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    for n in range(FILES):
+        at = F.floor(F.lit(FILES) * (F.col(order) - F.lit(low)) / F.lit(high - low + 1))
+        rows.where(F.coalesce(at, F.lit(0)) == n).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _events(t: Tables):
-    stream = base.stream_files(t.spark, t.stream_path("events"), t("events").schema)
+    events = t("events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    path = _in_files(t, events, "_us", "events")
+    stream = base.stream_files(t.spark, path, events.schema, 1).drop("_us")
     return stream.withColumn("at", F.col("ts").cast("timestamp"))
 
 
-def _to_log(spark, stream, name: str, mode: str = "append"):
+def _to_log(spark, stream, name: str, mode: str = "append", keys=None):
     path = work_path(spark, name)
-    handler = base.append_log(f"{path}/log", rebalance=mode == "update")
+    handler = base.append_log(f"{path}/log", rebalance=mode == "update", keys=keys, every=2)
     base.run_batches(stream, f"{path}/checkpoint", handler, mode)
     return base.read_log(spark, f"{path}/log")
 
@@ -29,18 +44,18 @@ def stream_latest_value(spark, sf):
     latest = keyed.latest_value(
         _events(Tables(spark, sf)), ["user_id", "event_type"], "props", "event_id"
     )
-    log = _to_log(spark, latest, "latest-value", "update")
+    log = _to_log(spark, latest, "latest-value", "update", ["user_id", "event_type"])
     return base.newest_rows(log, ["user_id", "event_type"])
 
 
 def stream_key_counter(spark, sf):
     counts = keyed.key_counter(_events(Tables(spark, sf)), ["user_id"])
-    return base.newest_rows(_to_log(spark, counts, "key-counter", "update"), ["user_id"])
+    return base.newest_rows(_to_log(spark, counts, "key-counter", "update", ["user_id"]), ["user_id"])
 
 
 def stream_tick_counts(spark, sf):
     ticks = keyed.tick_counts(_events(Tables(spark, sf)), "at", "5 seconds", ["event_type"])
-    log = _to_log(spark, ticks, "ticks", "update")
+    log = _to_log(spark, ticks, "ticks", "update", ["tick", "event_type"])
     newest = base.newest_rows(log, ["tick", "event_type"])
     return newest.select(F.unix_micros("tick").alias("tick_us"), "event_type", "n")
 
@@ -74,18 +89,22 @@ def stream_message_timeout(spark, sf):
 
 
 def stream_cdc_apply(spark, sf):
+    """Each tenant's extract comes in three pieces and is followed by its end."""
     t = Tables(spark, sf)
     path = work_path(spark, "cdc")
     cdc_latest(t).write.parquet(f"{path}/base")
-    schema = t("lineitem").schema
-    lines = base.stream_files(spark, t.stream_path("lineitem"), schema)
-    stream = cdc_staging(lambda name: lines)
+    lines = cdc_staging(t).withColumns({
+        "_piece": F.pmod(F.hash("id"), F.lit(FILES)), stateful.EXTRACT: F.lit(1), stateful.END: F.lit(False)})
+    ends = lines.select("organization_id", "connected_integration_id", stateful.EXTRACT).distinct().withColumns(
+        {"_piece": F.lit(FILES - 1), stateful.END: F.lit(True)})
+    source = _in_files(t, lines.unionByName(ends, allowMissingColumns=True), "_piece", "extracts")
+    stream = base.stream_files(spark, source, spark.read.parquet(source).schema, 1).drop("_piece")
     handler = stateful.capture_changes(
-        lambda s: s.read.parquet(f"{path}/base"), f"{path}/log", newest=STAGED_ORDER
+        lambda s: s.read.parquet(f"{path}/base"), path, newest=STAGED_ORDER, every=2
     )
     query = base.run_batches(stream, f"{path}/checkpoint", handler)
     last = max(p["batchId"] for p in query.recentProgress)
-    return stateful.state_after(spark, spark.read.parquet(f"{path}/base"), f"{path}/log", last + 1)
+    return stateful.state_after(spark, spark.read.parquet(f"{path}/base"), f"{path}/changes", last + 1)
 
 
 def partition_ordered(spark, sf):

@@ -45,20 +45,24 @@ def chunk_assign(spark, sf):
 
 
 def peak_concurrency(spark, sf):
-    runs = event_times(Tables(spark, sf)).select("user_id", "at_us", "end_us")
+    # views are still open
+    end = F.when(F.col("event_type") != "view", F.col("end_us"))
+    runs = event_times(Tables(spark, sf)).select("user_id", "at_us", end.alias("end_us"))
     return timing.peak_concurrency(runs, ["user_id"], "at_us", "end_us", limit=3)
 
 
 def attempts_exhausted(spark, sf):
     failures = event_times(Tables(spark, sf)).where("event_type = 'error'")
-    return timing.attempts_exhausted(
-        failures.select("user_id", "event_id", "at_us"), ["user_id"], "at_us", "event_id",
+    numbered = timing.attempts_exhausted(
+        failures.select("user_id", "event_id", "at_us", F.col("props").alias("answer")), ["user_id"], "at_us", "event_id",
         max_attempts=3, interval_ms=2000, backoff_rate=2,
     )
+    return timing.with_fallback(numbered, "answer", "exhausted", F.lit("default"))
 
 
 def completion_order(spark, sf):
-    runs = event_times(Tables(spark, sf)).select("user_id", "event_id", "end_us")
+    end = F.when(F.col("event_type") != "view", F.col("end_us"))
+    runs = event_times(Tables(spark, sf)).select("user_id", "event_id", end.alias("end_us"))
     return timing.completion_order(runs, ["user_id"], "end_us", "event_id")
 
 
@@ -233,7 +237,8 @@ QUERIES = {
     """),
     "peak_concurrency": Query(peak_concurrency, E + """
         , edges AS (
-            SELECT user_id, at_us AS t, 1 AS d FROM e UNION ALL SELECT user_id, end_us, -1 FROM e
+            SELECT user_id, at_us AS t, 1 AS d FROM e
+            UNION ALL SELECT user_id, end_us, -1 FROM e WHERE event_type <> 'view'
         ), levels AS (
             SELECT user_id, sum(d) OVER (PARTITION BY user_id ORDER BY t, d
                    ROWS UNBOUNDED PRECEDING) AS level FROM edges
@@ -243,18 +248,19 @@ QUERIES = {
     """),
     "attempts_exhausted": Query(attempts_exhausted, E + """
         , numbered AS (
-            SELECT user_id, event_id, at_us,
+            SELECT user_id, event_id, at_us, props,
                    row_number() OVER (PARTITION BY user_id ORDER BY at_us, event_id) AS attempt
             FROM e WHERE event_type = 'error'
         )
-        SELECT *, CASE attempt WHEN 1 THEN CAST(2000 AS BIGINT) WHEN 2 THEN 4000 END AS backoff_ms,
+        SELECT * EXCLUDE (props), CASE WHEN attempt >= 3 THEN 'default' ELSE props END AS answer, CASE attempt WHEN 1 THEN CAST(2000 AS BIGINT) WHEN 2 THEN 4000 END AS backoff_ms,
                attempt >= 3 AS exhausted
         FROM numbered
     """),
     "completion_order": Query(completion_order, E + """
-        SELECT user_id, event_id, end_us,
-               rank() OVER (PARTITION BY user_id ORDER BY end_us, event_id) AS finish_rank
-        FROM e
+        , runs AS (SELECT user_id, event_id, CASE WHEN event_type <> 'view' THEN end_us END AS end_us FROM e)
+        SELECT *, CASE WHEN end_us IS NOT NULL THEN
+               rank() OVER (PARTITION BY user_id ORDER BY end_us NULLS LAST, event_id) END AS finish_rank
+        FROM runs
     """),
     "duration_summary": Query(duration_summary, E + """
         SELECT user_id, count(*) AS runs, CAST(sum(length_us) AS BIGINT) AS total_duration,

@@ -99,16 +99,25 @@ def byte_concat(spark, sf):
 
 
 def random_uuid(spark, sf):
+    """What holds of random ids: all different, all of version 4."""
     # written first: a random id must not be computed a second time
     t = Tables(spark, sf)
     path = work_path(spark, "random-ids")
-    t("customer").select("c_custkey", F.uuid().alias("id")).write.parquet(path)
-    return spark.read.parquet(path)
+    t("customer").select("c_mktsegment", F.uuid().alias("id")).write.parquet(path)
+    version_4 = F.col("id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return spark.read.parquet(path).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("ids"), F.count_distinct("id").alias("distinct_ids"), F.count_if(version_4).alias("version_4")
+    )
 
 
 def default_now(spark, sf):
-    return Tables(spark, sf)("customer").select(
-        "c_custkey", F.current_timestamp().cast("timestamp_ntz").alias("created_at"),
+    """What holds of a default time: one for the whole query, never null, and now."""
+    stamped = Tables(spark, sf)("customer").select(
+        "c_mktsegment", F.current_timestamp().cast("timestamp_ntz").alias("created_at"),
+    )
+    age = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.col("created_at").cast("timestamp")))
+    return stamped.groupBy("c_mktsegment").agg(
+        F.count("created_at").alias("stamped"), F.count_distinct("created_at").alias("times"), (F.max(age) < 60).alias("recent")
     )
 
 
@@ -167,6 +176,12 @@ QUERIES = {
         SELECT doc_id, octet_length(encode(text) || encode(source)) AS bytes,
                md5(text || source) AS digest FROM documents
     """),
-    "random_uuid": Query(random_uuid),
-    "default_now": Query(default_now),
+    "random_uuid": Query(random_uuid, """
+        SELECT c_mktsegment, count(*) AS ids, count(*) AS distinct_ids, count(*) AS version_4
+        FROM customer GROUP BY c_mktsegment
+    """),
+    "default_now": Query(default_now, """
+        SELECT c_mktsegment, count(*) AS stamped, CAST(1 AS BIGINT) AS times, true AS recent
+        FROM customer GROUP BY c_mktsegment
+    """),
 }

@@ -16,9 +16,10 @@ def access_join(
     """Requests in the shape the API returns, optionally of one user, newest first.
 
     No join strategy is forced: dimensions that fit are broadcast by their measured size, larger
-    ones are shuffled, and a user with very many requests is split by the adaptive skew join.
+    ones are shuffled, and a user with very many requests is split by the adaptive skew join. No user,
+    or an empty name, asks for the requests of all.
     """
-    if user_id:
+    if user_id is not None and user_id != "":
         requests = requests.where(F.col("user_id") == user_id)
     r, a, u = requests.alias("r"), accesses.alias("a"), users.alias("u")
     return (

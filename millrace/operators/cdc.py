@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.dedup import dedup_latest
-from millrace.operators.joins import broadcast_if_small, within
+from millrace.operators.joins import record_key, within, without
 from millrace.schemas import TENANT, USER_KEYS
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -18,6 +18,44 @@ def _payload(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in keys]
 
 
+def _compared(
+    staging: DataFrame, latest: DataFrame, newest: Sequence[str], keys: Sequence[str],
+    tenants: DataFrame | None, all_tenants: bool, hash_col: str,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Both sides of every key in one row (``_old_*``, ``_new_*``, ``_kind``), and the tenants it covers.
+
+    Both sides meet in one full outer join on the record key, which is unique on either side and in which
+    null equals null. The deduplication already distributes staging by that key, so each side is shuffled once.
+    """
+    payload = _payload(latest, keys)
+    names = [c for c in (tenants.columns if tenants is not None else TENANT) if c in keys]
+    scope = None
+    if names and not all_tenants:
+        scope = (staging if tenants is None else tenants).select(*names).distinct()
+        latest = within(latest, scope, names)
+        if tenants is not None:
+            staging = within(staging, scope, names)
+    staging = staging.withColumn("_key", record_key(keys)).drop(*keys)
+    new = dedup_latest(staging, ["_key"], newest).select(
+        F.col("_key").alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in payload]
+    )
+    old = latest.select(record_key(keys).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in payload])
+    kind = (
+        F.when(F.col("_old").isNull(), INSERT)
+        .when(F.col("_new").isNull(), DELETE)
+        .when(~F.col(f"_new_{hash_col}").eqNullSafe(F.col(f"_old_{hash_col}")), UPDATE)
+    )
+    both = new.join(old, F.col("_new") == F.col("_old"), "full_outer").withColumn("_kind", kind)
+    return both, scope
+
+
+def _sided(keys: Sequence[str], payload: Sequence[str], use_new: Column) -> list[Column]:
+    record = F.coalesce("_new", "_old")
+    return [record[k].alias(k) for k in keys] + [
+        F.when(use_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in payload
+    ]
+
+
 def detect_changes(
     staging: DataFrame,
     latest: DataFrame,
@@ -25,45 +63,43 @@ def detect_changes(
     newest: Sequence[str],
     keys: Sequence[str] = USER_KEYS,
     tenants: DataFrame | None = None,
+    all_tenants: bool = False,
     hash_col: str = "content_hash",
 ) -> DataFrame:
     """Changes that turn ``latest`` into ``staging``: keys, the columns of latest, change_type.
 
     ``staging`` holds the rows of one run, duplicates included; ``newest`` orders the copies.
     A key missing from staging is a DELETE and keeps latest's values; all other changes carry
-    staging's. ``tenants`` names the tenants the run extracted, also those that came back empty;
-    rows of other tenants are left alone. Without it the run covers every tenant.
-
-    Both sides meet in one full outer join on the record key, which is unique on either side.
-    The deduplication already distributes staging by that key, so each side is shuffled once.
+    staging's. ``tenants`` names the tenants the run extracted, also those that came back empty. Without it
+    they are the tenants that have staged rows. Rows of other tenants are left alone, unless ``all_tenants`` says
+    that the run covers every tenant.
     """
-    payload = _payload(latest, keys)
-    if tenants is not None:
-        names = [c for c in tenants.columns if c in keys]
-        scope = broadcast_if_small(tenants.select(*names).distinct())
-        latest, staging = within(latest, scope, names), within(staging, scope, names)
-    new = dedup_latest(staging, keys, newest).select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in payload], F.lit(True).alias("_new")
-    )
-    old = latest.select(
-        *keys, *[F.col(c).alias(f"_old_{c}") for c in payload], F.lit(True).alias("_old")
-    )
-    change = (
-        F.when(F.col("_old").isNull(), INSERT)
-        .when(F.col("_new").isNull(), DELETE)
-        .when(~F.col(f"_new_{hash_col}").eqNullSafe(F.col(f"_old_{hash_col}")), UPDATE)
-    )
-    values = [
-        F.when(F.col("_new").isNull(), F.col(f"_old_{c}")).otherwise(F.col(f"_new_{c}")).alias(c)
-        for c in payload
-    ]
-    return (
-        new.join(old, list(keys), "full_outer")
-        .select(*keys, *values, change.alias("change_type"))
-        .where(F.col("change_type").isNotNull())
+    both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col)
+    return both.where(F.col("_kind").isNotNull()).select(
+        *_sided(keys, _payload(latest, keys), F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
     )
 
 
+def next_snapshot(
+    staging: DataFrame,
+    latest: DataFrame,
+    *,
+    newest: Sequence[str],
+    keys: Sequence[str] = USER_KEYS,
+    tenants: DataFrame | None = None,
+    all_tenants: bool = False,
+    hash_col: str = "content_hash",
+) -> DataFrame:
+    """The snapshot after the run, from the same join that finds the changes.
+
+    Unchanged rows keep latest's values; the arguments are those of :func:`detect_changes`.
+    """
+    both, scope = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col)
+    changed = F.col("_kind").isNotNull()
+    after = both.where(F.col("_new").isNotNull()).select(*_sided(keys, _payload(latest, keys), changed))
+    return after if scope is None else after.unionByName(without(latest, scope, scope.columns))
+
+
 def change_counts(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Inserts, updates, deletes and total per group, in one aggregation."""
     kind = F.col("change_type")
@@ -90,16 +126,13 @@ def apply_changes(
         changes = dedup_latest(changes, keys, newest)
     payload = _payload(latest, keys)
     delta = changes.select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in payload], F.col("change_type").alias("_change")
-    )
-    merged = latest.join(delta, list(keys), "full_outer").where(
-        F.col("_change").isNull() | (F.col("_change") != DELETE)
-    )
-    return merged.select(
-        *keys,
-        *[F.when(F.col("_change").isNull(), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
-          for c in payload],
+        record_key(keys).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in payload],
+        F.col("change_type").alias("_kind"),
     )
+    old = latest.select(record_key(keys).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in payload])
+    merged = old.join(delta, F.col("_old") == F.col("_new"), "full_outer")
+    kept = merged.where(F.col("_kind").isNull() | (F.col("_kind") != DELETE))
+    return kept.select(*_sided(keys, payload, F.col("_kind").isNotNull()))
 
 
 def read_changes(
@@ -111,13 +144,16 @@ def read_changes(
 
 
 def reconcile(
-    before: DataFrame, changes: DataFrame, after: DataFrame, by: Sequence[str] = TENANT
+    before: DataFrame, changes: DataFrame, after: DataFrame, by: Sequence[str] = TENANT,
+    staged: DataFrame | None = None,
 ) -> DataFrame:
     """Per tenant: count before, inserts, deletes, expected and actual count after, and ``ok``.
 
-    Each input is counted on its own; only the counts, one row per tenant, are brought together.
+    Each input is counted on its own; only the counts, one row per tenant, are brought together. With ``staged``,
+    the unique staged rows, ``staged_count`` has to equal the count after as well: changes that were lost
+    cannot agree with themselves.
     """
-    names = ("before_count", "inserts", "deletes", "after_count")
+    names = ("before_count", "inserts", "deletes", "after_count") + (("staged_count",) if staged is not None else ())
 
     def counted(df: DataFrame, **counts: Column) -> DataFrame:
         grouped = df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()])
@@ -130,13 +166,16 @@ def reconcile(
         counted(changes, inserts=F.count_if(kind == INSERT), deletes=F.count_if(kind == DELETE)),
         counted(after, after_count=F.count(F.lit(1))),
     ]
+    if staged is not None:
+        parts.append(counted(staged, staged_count=F.count(F.lit(1))))
     totals = reduce(DataFrame.unionByName, parts).groupBy(*by).agg(
         *[F.sum(n).alias(n) for n in names]
     )
     expected = F.col("before_count") + F.col("inserts") - F.col("deletes")
-    return totals.select(
-        "*", expected.alias("expected_count"), (expected == F.col("after_count")).alias("ok")
-    )
+    ok = expected == F.col("after_count")
+    if staged is not None:
+        ok = ok & (F.col("staged_count") == F.col("after_count"))
+    return totals.select("*", expected.alias("expected_count"), ok.alias("ok"))
 
 
 def key_set_diff(staging: DataFrame, latest: DataFrame, keys: Sequence[str] = USER_KEYS) -> DataFrame:
@@ -157,4 +196,7 @@ def excess_deletes(
         F.count(F.lit(1)).alias("deletes")
     )
     rows = latest.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
-    return deletes.join(rows, list(by)).where(F.col("deletes") > F.col("rows") * max_fraction)
+    both = deletes.unionByName(rows, allowMissingColumns=True).groupBy(*by).agg(
+        F.coalesce(F.sum("deletes"), F.lit(0)).alias("deletes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+    )
+    return both.where(F.col("deletes") > F.col("rows") * max_fraction)

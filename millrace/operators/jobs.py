@@ -13,8 +13,8 @@ from millrace.functions.values import (
 
 
 def where_given(df: DataFrame, **equal) -> DataFrame:
-    """Equality filters; an empty or missing argument filters nothing."""
-    conditions = [F.col(name) == value for name, value in equal.items() if value]
+    """Equality filters; a missing argument or empty text filters nothing, 0 and False do."""
+    conditions = [F.col(name) == value for name, value in equal.items() if value is not None and value != ""]
     return df.where(reduce(Column.__and__, conditions)) if conditions else df
 
 

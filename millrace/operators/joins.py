@@ -1,4 +1,4 @@
-"""Joins with small tables whose size is looked at first."""
+"""Joins on several columns in which null equals null."""
 
 from __future__ import annotations
 
@@ -7,27 +7,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_BYTES = 64 << 20
-_ROW_BYTES = 64  # what a row costs besides its text
 
+def record_key(keys: Sequence[str]) -> Column:
+    """All key columns as one value; structs compare null fields as equal, in windows and joins alike."""
+    return F.struct(*[F.col(k).alias(k) for k in keys])
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when its measured size is within the bound, else unchanged.
 
-    Unmarked, the join is shuffled and adaptive execution splits its skewed partitions.
-    """
-    text = [F.octet_length(F.coalesce(n, F.lit(""))) for n, kind in df.dtypes if kind == "string"]
-    size = df.agg(F.sum(sum(text, F.lit(_ROW_BYTES)).cast("bigint"))).first()[0] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+def _matching(df: DataFrame, other: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    marked = other.select(*[F.col(n).alias(f"_o_{n}") for n in names])
+    same = reduce(Column.__and__, [df[n].eqNullSafe(marked[f"_o_{n}"]) for n in names])
+    return df.join(marked, same, how)
 
 
 def without(df: DataFrame, other: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows of ``df`` that ``other`` does not hold; null equals null."""
-    marked = other.select(*[F.col(n).alias(f"_o_{n}") for n in names])
-    same = reduce(Column.__and__, [df[n].eqNullSafe(marked[f"_o_{n}"]) for n in names])
-    return df.join(marked, same, "left_anti")
+    return _matching(df, other, names, "left_anti")
 
 
 def within(df: DataFrame, scope: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows whose ``names`` occur in ``scope``; prunes partitions when ``df`` is laid out by them."""
-    return df.join(scope, list(names), "left_semi")
+    """Rows whose ``names`` occur in ``scope``; null equals null. Spark chooses the join by the scope's size."""
+    return _matching(df, scope, names, "left_semi")

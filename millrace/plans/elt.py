@@ -1,28 +1,41 @@
-"""One run of the tenant pipeline: stage, detect, apply, reconcile, publish.
+"""One run of the tenant pipeline: extract, stage, detect, apply, reconcile, publish.
 
-All tenants of a run go through one set of jobs. Tables below ``root``:
+All tenants of a run go through one set of jobs. A run may be made of several calls, each for some of its tenants;
+what is replaced when a call is repeated is the slice of one run and tenant. Tables below ``root``:
 
 ``staging``    extracted rows, duplicates of retries included, one folder per run
-``cdc``        changes of each run, one folder per run, replaced when the run is repeated
-``latest``     snapshots, one folder per version; a published version is never written again
-``published``  one row per published version: written last, so readers see whole snapshots only
+``cdc``        changes, one folder per run, organization and integration
+``latest``     snapshot rows, one folder per organization and attempt; a run writes anew only the organizations
+               that it changes, and a folder is never written again
+``published``  one folder per version, written last: which attempt holds each organization, and which tenants
+               the version is about. Readers see whole versions only
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import schemas
 from millrace.operators import cdc
-from millrace.operators.dedup import unique_count
+from millrace.operators.dedup import unique_count, dedup_latest
 from millrace.operators.jobs import run_summary
-from millrace.sinks.tables import append_batch, recreate, replace_run, staged
+from millrace.operators.joins import within, without
+from millrace.schemas import TENANT
+from millrace.sinks import folders
+from millrace.sinks.tables import append_batch, recreate, replace_slice, staged
+from millrace.sources.paged import page_plan, paged_extract
 
 STAGED_ORDER = ("created_at", "batch_seq")
-_PUBLISHED = "version bigint, base bigint, workflow_id string"
+_TENANT_SCHEMA = ", ".join(f"{c} string" for c in TENANT)
+_PLACES = "version bigint, organization_id string, attempt string"
+_COVERED = f"version bigint, workflow_id string, {_TENANT_SCHEMA}, base bigint"
+_LATEST = f"{schemas.USERS_LATEST}, attempt string"
 
 
 @dataclass(frozen=True)
@@ -35,35 +48,48 @@ class RunReport:
 
     @property
     def counts(self) -> DataFrame:
-        return cdc.change_counts(self.changes, schemas.TENANT)
+        return cdc.change_counts(self.changes, TENANT)
 
     @property
     def summary(self) -> DataFrame:
         return summary(self.loaded, self.changes)
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
+def _read(spark: SparkSession, path: str, schema: str, part: str = "") -> DataFrame:
+    """A table, or one folder of it, with the columns its folders stand for."""
+    whole = f"{path}/{part}" if part else path
+    if not folders.exists(spark, whole):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(whole)
 
 
-def _version(spark: SparkSession, root: str, version: int | None) -> DataFrame:
-    if version is None:
-        return spark.createDataFrame([], schemas.USERS_LATEST)
-    return _read(spark, f"{root}/latest/version={version}", schemas.USERS_LATEST)
+def _newest(spark: SparkSession, root: str) -> int:
+    """The newest published version, 0 if there is none."""
+    found = [int(n.split("=")[1]) for n in folders.names(spark, f"{root}/published/covered") if n.startswith("version=")]
+    return max(found, default=0)
 
 
-def _published(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/published", _PUBLISHED)
+def _places(spark: SparkSession, root: str, version: int) -> DataFrame:
+    part = folders.partition_folder(spark, version=version)
+    return _read(spark, f"{root}/published/places", _PLACES, part).select("organization_id", "attempt")
 
 
-def latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published snapshot."""
-    return _version(spark, root, _published(spark, root).agg(F.max("version")).first()[0])
+def _rows(spark: SparkSession, root: str, places: DataFrame) -> DataFrame:
+    """Snapshot rows of the organizations and attempts in ``places``; other folders are not read."""
+    rows = _read(spark, f"{root}/latest", _LATEST)
+    named = places.where("organization_id IS NOT NULL").select(F.col("organization_id").alias("_org"), F.col("attempt").alias("_attempt"))
+    found = rows.join(named, (rows["organization_id"] == named["_org"]) & (rows["attempt"] == named["_attempt"]), "left_semi")
+    # an organization without a name cannot be looked up by equality
+    bare = places.where("organization_id IS NULL").select(F.col("attempt").alias("_attempt"))
+    lost = rows.where("organization_id IS NULL").join(bare, rows["attempt"] == bare["_attempt"], "left_semi")
+    return found.unionByName(lost).drop("attempt")
+
+
+def latest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The newest published snapshot, or an older one that is still kept."""
+    version = _newest(spark, root) if version is None else version
+    columns = [f.name for f in spark.createDataFrame([], schemas.USERS_LATEST).schema]
+    return _rows(spark, root, _places(spark, root, version)).select(*columns)
 
 
 def load(users: DataFrame, root: str, workflow_id: str, batch_seq: int = 0) -> None:
@@ -71,15 +97,43 @@ def load(users: DataFrame, root: str, workflow_id: str, batch_seq: int = 0) -> N
     append_batch(staged(users, workflow_id, batch_seq), f"{root}/staging", ["workflow_id"])
 
 
+def extract(
+    integrations: DataFrame, fetch: Callable[[Mapping], pd.DataFrame], root: str, workflow_id: str, *,
+    pages: str = "pages", pages_per_batch: int = 10, requests_in_parallel: int | None = None,
+    bodies: DataFrame | None = None,
+) -> DataFrame:
+    """Fetch and stage all pages of all connected integrations; returns the tenants of the run.
+
+    ``integrations`` has the tenant columns and the number of its pages; ``fetch`` answers one row of the plan.
+    Pages that are stored already come as ``bodies`` (tenant, page, body) and travel with the plan.
+    A tenant without pages is part of the run: its rows are gone.
+    """
+    plan = page_plan(integrations, pages, pages_per_batch)
+    if bodies is not None:
+        plan = plan.join(bodies, [*TENANT, "page"])
+    rows = paged_extract(plan, fetch, schemas.EXTRACTED_USER, requests_in_parallel=requests_in_parallel)
+    load(rows, root, workflow_id)
+    return integrations.select(*TENANT).distinct()
+
+
 def staging_of(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
     """Rows of one run; the run is a folder, so other runs are not read."""
-    rows = _read(spark, f"{root}/staging", schemas.USERS_STAGING)
-    return rows.where(F.col("workflow_id") == workflow_id)
+    return _read(spark, f"{root}/staging", schemas.USERS_STAGING, folders.partition_folder(spark, workflow_id=workflow_id))
 
 
 def changes_of(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
-    rows = _read(spark, f"{root}/cdc", schemas.USERS_CDC)
-    return rows.where(F.col("workflow_id") == workflow_id)
+    return _read(spark, f"{root}/cdc", schemas.USERS_CDC, folders.partition_folder(spark, workflow_id=workflow_id))
+
+
+def _replace_changes(found: DataFrame, root: str, workflow_id: str, scope: DataFrame) -> None:
+    """Replace the slices of the run's tenants, also those that have no changes any more."""
+    spark = found.sparkSession
+    earlier = changes_of(spark, root, workflow_id).select(*TENANT).distinct()
+    stale = [tuple(r) for r in within(earlier, scope, TENANT).toLocalIterator()]
+    for organization, integration in stale:
+        slice_ = folders.partition_folder(spark, workflow_id=workflow_id, organization_id=organization, connected_integration_id=integration)
+        folders.remove(spark, f"{root}/cdc/{slice_}")
+    replace_slice(found, f"{root}/cdc", ["workflow_id", *TENANT])
 
 
 def run(
@@ -88,37 +142,48 @@ def run(
     workflow_id: str,
     tenants: DataFrame | None = None,
     max_delete_fraction: float | None = None,
-    partition_by: Sequence[str] = (),
+    keep_versions: int = 10,
 ) -> RunReport:
-    """Bring the latest snapshot up to the staged run.
+    """Bring the latest snapshot up to the staged rows of the run.
 
-    Repeating the newest run starts from the snapshot it first started from, so it finds the same
-    changes; the result is published as a new version with the same rows.
-    ``tenants`` are the tenants the run extracted (see :func:`millrace.operators.cdc.detect_changes`).
+    ``tenants`` are the tenants of this call (see :func:`millrace.operators.cdc.detect_changes`), by default those
+    that have staged rows. Repeating a call starts, for each tenant, from the version its first call started from, so
+    it finds the same changes; a tenant that a later run has changed cannot be repeated.
     ``max_delete_fraction`` stops the run when a tenant would lose more than that share of its rows.
-    ``partition_by`` lays changes and snapshots out by columns such as the organization, for
-    readers that want few tenants.
+    Versions older than the last ``keep_versions`` are removed, with folders that only they use.
     """
-    seen = _published(spark, root)
-    newest = seen.orderBy(F.col("version").desc()).first()
-    target = 1 if newest is None else newest["version"] + 1
-    if newest is not None and newest["workflow_id"] == workflow_id:
-        base = newest["base"]
-    elif not seen.where(F.col("workflow_id") == workflow_id).isEmpty():
+    newest = _newest(spark, root)
+    loaded = staging_of(spark, root, workflow_id)
+    work = f"{root}/work/{uuid.uuid4().hex}"
+    given = (loaded if tenants is None else tenants).select(*TENANT).distinct()
+    covered = _read(spark, f"{root}/published/covered", _COVERED)
+    mine = covered.where(F.col("workflow_id") == workflow_id).groupBy(*TENANT).agg(F.min("base").alias("base"), F.max("version").alias("own"))
+    last = covered.groupBy(*TENANT).agg(F.max("version").alias("last"))
+    known = mine.unionByName(last, allowMissingColumns=True).groupBy(*TENANT).agg(F.max("base").alias("base"), F.max("own").alias("own"), F.max("last").alias("last"))
+    marked = given.withColumn("_given", F.lit(True)).unionByName(known, allowMissingColumns=True).groupBy(*TENANT).agg(
+        F.max("_given").alias("_given"), *[F.max(c).alias(c) for c in ("base", "own", "last")])
+    scope = marked.where("_given").select(
+        *TENANT, F.coalesce("base", F.lit(newest)).cast("bigint").alias("base"), (F.col("own") < F.col("last")).alias("_later"))
+    recreate(scope, f"{work}/scope")
+    scope = spark.read.schema(scope.schema).parquet(f"{work}/scope")
+    if not scope.where("_later").isEmpty():
         raise ValueError(f"run {workflow_id} cannot be repeated: later runs build on it")
-    else:
-        base = None if newest is None else newest["version"]
 
-    before = _version(spark, root, base)
+    # the rows of each tenant as they were in the version it starts from
+    parts = [
+        within(_rows(spark, root, _places(spark, root, r["base"])), scope.where(F.col("base") == r["base"]), TENANT)
+        for r in scope.select("base").distinct().collect()
+    ]
+    empty = spark.createDataFrame([], schemas.USERS_LATEST)
+    before = reduce(DataFrame.unionByName, parts, empty)
     found = cdc.detect_changes(
-        staging_of(spark, root, workflow_id), before.drop("last_updated"), newest=STAGED_ORDER,
-        tenants=tenants,
+        loaded, before.drop("last_updated"), newest=STAGED_ORDER, tenants=scope.select(*TENANT),
     ).withColumns({
         "workflow_id": F.lit(workflow_id),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
     })
-    replace_run(found, f"{root}/cdc", workflow_id, partition_by=partition_by)
-    changes = changes_of(spark, root, workflow_id)
+    _replace_changes(found, root, workflow_id, scope)
+    changes = within(changes_of(spark, root, workflow_id), scope, TENANT)
 
     if max_delete_fraction is not None:
         excess = cdc.excess_deletes(changes, before, max_delete_fraction).take(5)
@@ -127,21 +192,64 @@ def run(
 
     # a changed row's time of update is the time its change was detected
     dated = changes.withColumn("last_updated", F.col("detected_at"))
-    recreate(cdc.apply_changes(before, dated), f"{root}/latest/version={target}", partition_by)
-    after = _version(spark, root, target)
-    checked = cdc.reconcile(before, changes, after)
+    attempt, target = uuid.uuid4().hex, newest + 1
+    now = _places(spark, root, newest)
+    repeated = scope.where(F.col("base") < newest)
+    touched = changes.select("organization_id").unionByName(repeated.select("organization_id")).distinct()
+    recreate(touched, f"{work}/touched")
+    touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
+    others = without(_rows(spark, root, within(now, touched, ["organization_id"])), scope, TENANT)
+    mine_after = within(cdc.apply_changes(before, dated), touched, ["organization_id"])
+    written = others.unionByName(mine_after).withColumn("attempt", F.lit(attempt))
+    replace_slice(written, f"{root}/latest", ["organization_id", "attempt"])
+    fresh = _read(spark, f"{root}/latest", _LATEST).where(F.col("attempt") == attempt).select("organization_id").distinct()
+    places = without(now, touched, ["organization_id"]).unionByName(fresh.withColumn("attempt", F.lit(attempt)))
+    recreate(places, f"{work}/places")
+    places = spark.read.schema(places.schema).parquet(f"{work}/places")
+
+    after = within(_rows(spark, root, places), scope, TENANT)
+    unique = dedup_latest(within(loaded, scope, TENANT), schemas.USER_KEYS, STAGED_ORDER)
+    checked = cdc.reconcile(before, changes, after, staged=unique)
+    recreate(checked, f"{work}/reconciled")
+    checked = spark.read.schema(checked.schema).parquet(f"{work}/reconciled")
     if not checked.where(~F.col("ok")).isEmpty():
-        raise ValueError(f"run {workflow_id}: counts before and after do not reconcile")
-
-    row = spark.createDataFrame([(base, workflow_id)], "base bigint, workflow_id string")
-    recreate(row, f"{root}/published/version={target}")
-
-    return RunReport(staging_of(spark, root, workflow_id), changes, checked)
+        raise ValueError(f"run {workflow_id}: counts of staged rows, changes and snapshot do not reconcile")
+
+    part = folders.partition_folder(spark, version=target)
+    kind = "version bigint, " + ", ".join(f"`{n}` {t}" for n, t in checked.dtypes)
+    if not folders.claim(spark, f"{root}/published/claims/{target}"):
+        raise RuntimeError(f"version {target} was published by another run meanwhile; run {workflow_id} again")
+    recreate(places, f"{root}/published/places/{part}")
+    recreate(checked, f"{root}/published/reconciled/{part}")
+    recreate(scope.select(F.lit(workflow_id).alias("workflow_id"), *TENANT, "base"), f"{root}/published/covered/{part}")
+    remove_old(spark, root, keep_versions)
+    folders.remove(spark, work)
+    final = _read(spark, f"{root}/published/covered", _COVERED, part)
+    return RunReport(loaded, within(changes_of(spark, root, workflow_id), final, TENANT),
+                     _read(spark, f"{root}/published/reconciled", kind, part).drop("version"))
+
+
+def remove_old(spark: SparkSession, root: str, keep_versions: int) -> None:
+    """Remove versions older than the last ``keep_versions``, and snapshot folders that only those use.
+
+    A tenant that a removed version was the base of cannot be repeated from there.
+    """
+    newest = _newest(spark, root)
+    places = _read(spark, f"{root}/published/places", _PLACES)
+    old = F.col("version") <= newest - keep_versions
+    if places.where(old).isEmpty():
+        return
+    names = ["organization_id", "attempt"]
+    unused = without(places.where(old).select(*names).distinct(), places.where(~old).select(*names).distinct(), names)
+    for r in unused.toLocalIterator():
+        folders.remove(spark, f"{root}/latest/" + folders.partition_folder(spark, organization_id=r[0], attempt=r[1]))
+    for r in places.where(old).select("version").distinct().collect():
+        folders.remove(spark, f"{root}/published/places/" + folders.partition_folder(spark, version=r[0]))
 
 
 def summary(loaded: DataFrame, changes: DataFrame) -> DataFrame:
     """Rows loaded, unique rows and changes per integration, per organization and in total."""
-    by = list(schemas.TENANT)
+    by = list(TENANT)
     zero = F.lit(0).cast("bigint")
     rows = loaded.groupBy(*by).agg(F.count(F.lit(1)).alias("loaded"))
     unique = unique_count(loaded, [*schemas.USER_KEYS, "workflow_id"], by)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.quality import enum_split, fk_split, insert_if_absent
 from millrace.schemas import REQUEST_STATUSES
+from millrace.session import work_path
+from millrace.sinks import folders
 from millrace.sinks.tables import append_batch
-from millrace.sources.documents import corrupt_documents, flatten_person, json_document_scan
+from millrace.sources.documents import corrupt_of, flatten_person, parsed_documents, records_of
 
 
 def error_rows(messages: DataFrame, message: str = "message") -> DataFrame:
@@ -20,12 +22,20 @@ def error_rows(messages: DataFrame, message: str = "message") -> DataFrame:
 
 
 def import_people(
-    spark: SparkSession, path: str, people_path: str, errors_path: str, keep_secrets: bool = False
+    spark: SparkSession, path: str, people_path: str, errors_path: str, keep_secrets: bool = False,
+    multi_line: bool = False,
 ) -> None:
-    """Append every person of the documents; unreadable lines go to the error table."""
-    people = flatten_person(json_document_scan(spark, path), keep_secrets=keep_secrets)
-    append_batch(people, people_path)
-    append_batch(error_rows(corrupt_documents(spark, path), "value"), errors_path)
+    """Append every person of the documents; a document that does not fit is one row of the error table.
+
+    The documents are parsed once, into a working folder that is removed at the end.
+    """
+    copy = work_path(spark, "documents")
+    parsed = parsed_documents(spark, path, multi_line=multi_line)
+    parsed.write.parquet(copy)
+    parsed = spark.read.schema(parsed.schema).parquet(copy)
+    append_batch(flatten_person(records_of(parsed), keep_secrets=keep_secrets), people_path)
+    append_batch(error_rows(corrupt_of(parsed), "value"), errors_path)
+    folders.remove(spark, copy)
 
 
 def accept_requests(

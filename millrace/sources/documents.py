@@ -9,29 +9,37 @@ from millrace.schemas import PEOPLE_DOCUMENT
 SECRETS = ("password", "salt", "md5", "sha1", "sha256")
 
 
-def json_document_scan(
+def parsed_documents(
     spark: SparkSession, path: str, schema: str = PEOPLE_DOCUMENT, multi_line: bool = False
 ) -> DataFrame:
-    """One row per element of ``results``, as column ``r``.
+    """Documents as they are, in one scan; ``_corrupt_record`` holds the text of those that do not fit the schema.
 
     One document per line lets Spark split large files; ``multi_line`` reads a file as one document.
     The schema is always given, so no pass over the data is spent on inferring it.
     """
-    documents = (
+    return (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("multiLine", multi_line)
         .json(path)
     )
-    return documents.select(F.explode("results").alias("r"))
 
 
-def corrupt_documents(spark: SparkSession, path: str, schema: str = PEOPLE_DOCUMENT) -> DataFrame:
-    """Lines that are not documents of the schema."""
-    text = spark.read.text(path)
-    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    return text.where(parsed["_corrupt_record"].isNotNull()).select("value")
+def records_of(documents: DataFrame) -> DataFrame:
+    """One row per element of ``results`` of the sound documents, as column ``r``."""
+    return documents.where("_corrupt_record IS NULL").select(F.explode("results").alias("r"))
+
+
+def corrupt_of(documents: DataFrame) -> DataFrame:
+    """The text of the documents that do not fit, whole: nothing of them is among the records."""
+    return documents.where("_corrupt_record IS NOT NULL").select(F.col("_corrupt_record").alias("value"))
+
+
+def json_document_scan(
+    spark: SparkSession, path: str, schema: str = PEOPLE_DOCUMENT, multi_line: bool = False
+) -> DataFrame:
+    return records_of(parsed_documents(spark, path, schema, multi_line))
 
 
 def read_through(spark: SparkSession, copy: str, fetch) -> DataFrame:

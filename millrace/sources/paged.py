@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.operators.ordered import order_within
 
 _BLOCK = 10_000
 
@@ -30,6 +32,32 @@ def page_plan(tenants: DataFrame, pages: str, pages_per_batch: int = 10) -> Data
     return with_batch(numbered.drop("_first"), pages_per_batch)
 
 
+def stored_pages(df: DataFrame, tenant: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
+    """A table as the pages of a service: per tenant, rows in order, ``rows`` to a page, as JSON in ``body``.
+
+    Rows are numbered per tenant in ranges (see :mod:`millrace.operators.ordered`), so a page is the only group
+    that is brought together.
+    """
+    whole = F.struct(*df.columns)
+    rows_of = df.select(*tenant, F.to_json(whole).alias("_row"), F.xxhash64(*order).alias("_place"))
+    rows_of = rows_of.withColumn("_tie", F.xxhash64("_row"))
+    placed = order_within(rows_of, tenant, ("_place", "_tie", "_row"), 1 << 58).scan(number="_n").result()
+    page = (F.floor((F.col("_n") - 1) / rows) + 1).cast("bigint")
+    return placed.groupBy(*tenant, page.alias("page")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("_row"), ","), F.lit("]")).alias("body")
+    )
+
+
+def rows_of_page(request: Mapping) -> pd.DataFrame:
+    """Rows of a stored page; what a service that answers in JSON would be parsed with."""
+    return pd.DataFrame(json.loads(request["body"]))
+
+
+def union_pages(pages: DataFrame, schema: str, body: str = "body") -> DataFrame:
+    """All rows of all pages in one scan; a page that is not a list of rows gives none."""
+    return pages.select(F.inline(F.from_json(body, f"array<struct<{schema}>>")))
+
+
 def paged_extract(
     plan: DataFrame,
     fetch: Callable[[Mapping], pd.DataFrame],

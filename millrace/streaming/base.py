@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.dedup import dedup_latest
+from millrace.sinks import folders
 
 
 def stream_files(
@@ -19,6 +21,17 @@ def stream_files(
     return reader.parquet(path)
 
 
+#: Rows that came after the watermark, by run of a query and micro-batch. Spark keeps the last progress reports
+#: only; each micro-batch takes down what they say.
+_LATE: dict[str, dict[int, int]] = {}
+
+
+def _note_late(query) -> None:
+    seen = _LATE.setdefault(str(query.runId), {})
+    for progress in query.recentProgress:
+        seen[progress["batchId"]] = sum(o["numRowsDroppedByWatermark"] for o in progress["stateOperators"])
+
+
 def run_batches(
     stream: DataFrame,
     checkpoint: str,
@@ -30,43 +43,76 @@ def run_batches(
 
     Without an interval the query ends by itself; an outside scheduler starts it again.
     """
+    started = []
+
+    def handle_noted(batch: DataFrame, batch_id: int) -> None:
+        if started:
+            _note_late(started[0])
+        handle(batch, batch_id)
+
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    query = writer.foreachBatch(handle).trigger(**trigger).start()
+    query = writer.foreachBatch(handle_noted).trigger(**trigger).start()
+    started.append(query)
     if not processing_time:
         query.awaitTermination()
     return query
 
 
 def late_rows(query) -> int:
-    """Rows the query's state operators dropped because they came after the watermark."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress for operator in progress["stateOperators"]
-    )
+    """Rows the query's state operators dropped because they came after the watermark, in all its micro-batches."""
+    _note_late(query)
+    return sum(_LATE[str(query.runId)].values())
 
 
 def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def append_log(path: str, rebalance: bool = False) -> Callable[[DataFrame, int], None]:
+def batches_of(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.split("=")[1]) for n in folders.names(spark, path) if n.startswith("batch_id="))
+
+
+def append_log(
+    path: str, rebalance: bool = False, keys: Sequence[str] | None = None, every: int = 20
+) -> Callable[[DataFrame, int], None]:
     """Handler that writes each micro-batch to its own folder; a repeated batch replaces itself.
 
-    ``rebalance`` brings the rows of many state partitions together into files of a decent size.
+    ``rebalance`` brings the rows of many state partitions together into files of a decent size. With ``keys``,
+    only the newest row of a key counts: every ``every`` batches the log before is summed up in one table
+    (see :func:`compact`), so reading the state does not grow with the number of batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.hint("rebalance") if rebalance else batch
         rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        if keys and batch_id and batch_id % every == 0:
+            compact(batch.sparkSession, path, keys, batch_id - 1)
 
     return write
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All rows written so far, with the ``batch_id`` they came in."""
-    return spark.read.option("basePath", path).parquet(path).withColumn(
-        "batch_id", F.col("batch_id").cast("bigint")
-    )
+    """All rows written so far, with the ``batch_id`` they came in; those summed up count as of their last batch."""
+    summed = batches_of(spark, f"{path}-state")[-1:]
+    parts = [spark.read.option("basePath", f"{path}-state").parquet(batch_folder(f"{path}-state", b)) for b in summed]
+    tail = [batch_folder(path, b) for b in batches_of(spark, path) if not summed or b > summed[0]]
+    if tail:
+        parts.append(spark.read.option("basePath", path).parquet(*tail))
+    return reduce(DataFrame.unionByName, parts).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], upto: int) -> None:
+    """Sum up the batches to ``upto`` as the newest row of each key, and remove what that replaces.
+
+    Only finished batches are summed up, so one that is repeated still replaces itself.
+    """
+    newest_rows(read_log(spark, path).where(F.col("batch_id") <= upto), keys).write.mode("overwrite").parquet(
+        batch_folder(f"{path}-state", upto))
+    for b in batches_of(spark, path):
+        if b <= upto:
+            folders.remove(spark, batch_folder(path, b))
+    for b in batches_of(spark, f"{path}-state")[:-1]:
+        folders.remove(spark, batch_folder(f"{path}-state", b))
 
 
 def newest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:

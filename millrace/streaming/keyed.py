@@ -36,16 +36,16 @@ def tick_counts(
 
 
 def first_deliveries(
-    stream: DataFrame, at: str, ids: Sequence[str], delay: str = WATERMARK, salts: int = 16
+    stream: DataFrame, at: str, ids: Sequence[str], delay: str = WATERMARK, salts: int = 1
 ) -> DataFrame:
     """The first row per id; copies that arrive within the delay are dropped.
 
     A repeated id is refused while the earlier one is remembered, which is for at least the delay,
     not for as long as the earlier run is active.
 
-    An id with very many copies would send them all to one task. They are first thinned out in
-    ``salts`` groups, by the input partition they come from, and what is left, at most one copy
-    per group, meets in the second step. ``salts=1`` leaves the first step out.
+    An id with very many copies would send them all to one task. With ``salts`` above 1 they are first thinned out
+    in that many groups, by the input partition they come from, and what is left, at most one copy per group,
+    meets in the second step; that costs a second shuffle and state for every id.
     """
     rows = stream.withWatermark(at, delay)
     if salts > 1:

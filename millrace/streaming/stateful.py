@@ -7,30 +7,40 @@ repeated after a failure starts from the same state and writes the same results.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators import cdc
-from millrace.operators.joins import broadcast_if_small, within, without
+from millrace.operators.joins import within, without
 from millrace.operators.messages import first_message_within
 from millrace.operators.ordered import DAY_US
 from millrace.schemas import TENANT, USER_KEYS
-from millrace.streaming.base import batch_folder, read_log
+from millrace.sinks import folders
+from millrace.streaming.base import append_log, batch_folder, batches_of, read_log
 
 MESSAGE, REQUEST = "message", "request"
 
 
 def message_delivery(
     path: str, keys: Sequence[str], timeout_us: int, delay_us: int,
-    width: int = DAY_US,
+    width: int = DAY_US, keep_us: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Handler for a stream of (keys, kind, id, at_us) rows that answers requests.
 
     A request is answered once the newest event seen is ``delay_us`` past its deadline: all its
     messages are in by then. Answers go to ``path/answers``; undelivered messages and undecided
-    requests wait in ``path/open``. Messages are kept until they are delivered.
+    requests wait in ``path/open``, of which the last two batches are kept. Messages are kept until they are
+    delivered, or with ``keep_us`` for that long before the newest event; later requests do not get older ones.
     """
     def decide(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = [*keys, "kind", "id", "at_us"]
         rows = batch.select(*columns)
@@ -56,9 +66,15 @@ def message_delivery(
         )
         waiting = rows.where((F.col("kind") == REQUEST) & ~due)
         still_open = without(messages, taken, [*keys, "id"])
+        if keep_us is not None and seen is not None:
+            still_open = still_open.where(F.col("at_us") >= seen - keep_us)
         still_open.unionByName(waiting).write.mode("overwrite").parquet(
             batch_folder(f"{path}/open", batch_id)
         )
+        for state in ("open", "seen"):
+            for b in batches_of(spark, f"{path}/{state}"):
+                if b < batch_id - 1:
+                    folders.remove(spark, batch_folder(f"{path}/{state}", b))
 
     return decide
 
@@ -90,7 +106,7 @@ def state_after(
     names = tenants.columns if tenants is not None else []
     if names:
         base = within(base, tenants, names)
-    if before_batch <= 0:
+    if before_batch <= 0 or not any(batches_of(spark, p) for p in (log_path, f"{log_path}-state")):
         return base
     log = read_log(spark, log_path).where(F.col("batch_id") < before_batch)
     if names:
@@ -98,22 +114,48 @@ def state_after(
     return cdc.apply_changes(base, log, keys=keys, newest=["batch_id"])
 
 
+EXTRACT, END = "extract_id", "end_of_extract"
+
+
 def capture_changes(
-    base: Callable[[SparkSession], DataFrame], log_path: str, *, newest: Sequence[str],
-    keys: Sequence[str] = USER_KEYS, tenant: Sequence[str] = TENANT,
+    base: Callable[[SparkSession], DataFrame], path: str, *, newest: Sequence[str],
+    keys: Sequence[str] = USER_KEYS, tenant: Sequence[str] = TENANT, every: int = 20,
 ) -> Callable[[DataFrame, int], None]:
-    """Handler that turns each micro-batch of extracts into changes of the snapshot.
+    """Handler that turns a stream of extracts into changes of the snapshot.
 
-    A micro-batch holds whole extracts of the tenants in it; their missing rows are deletes. Only
-    these tenants' rows are read from the snapshot (lay it out by tenant so that the others are
-    not scanned), and only the changes are written, under the batch id as run id.
-    :func:`state_after` is the result.
+    Rows carry the tenant, the id of their extract (later extracts have larger ids) and ``end_of_extract``, which is
+    true in one row without a record that follows the last record. An extract may come in any number of micro-batches:
+    its rows wait in ``path/staged`` and are compared when its end has come, so no row counts as missing before.
+    Of several extracts of a tenant that end in one micro-batch the latest counts.
+
+    Changes go to ``path/changes`` under the batch id as run id, :func:`state_after` is the result. Staged batches
+    whose extracts have all ended are removed, and the log of changes is summed up every ``every`` batches.
     """
+    staged, ended = f"{path}/staged", f"{path}/ended"
+    write = append_log(f"{path}/changes", keys=keys, every=every)
+
     def detect(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tenants = broadcast_if_small(batch.select(*tenant).distinct())
-        before = state_after(spark, base(spark), log_path, batch_id, keys, tenants)
-        changes = cdc.detect_changes(batch, before, newest=newest, keys=keys)
-        changes.write.mode("overwrite").parquet(batch_folder(log_path, batch_id))
+        named = [*tenant, EXTRACT]
+        batch.where(f"NOT {END}").drop(END).write.mode("overwrite").parquet(batch_folder(staged, batch_id))
+        batch.where(END).select(*named).distinct().write.mode("overwrite").parquet(batch_folder(ended, batch_id))
+        ends = spark.read.parquet(batch_folder(ended, batch_id))
+        last = ends.groupBy(*tenant).agg(F.max(EXTRACT).alias(EXTRACT))
+        # a batch that is repeated finds only what had come before it
+        waiting = read_log(spark, staged).where(F.col("batch_id") <= batch_id)
+        rows = within(waiting, last, named).drop("batch_id", EXTRACT)
+        tenants = last.select(*tenant)
+        before = state_after(spark, base(spark), f"{path}/changes", batch_id, keys, tenants)
+        write(cdc.detect_changes(rows, before, newest=newest, keys=keys, tenants=tenants), batch_id)
+        # what ended before this batch is no longer needed, even if this batch is repeated
+        finished = read_log(spark, ended).where(F.col("batch_id") < batch_id).groupBy(*tenant).agg(F.max(EXTRACT).alias("_done"))
+        if not finished.isEmpty():
+            kept = waiting.select("batch_id", *named).distinct()
+            same = reduce(Column.__and__, [kept[c].eqNullSafe(finished[c]) for c in tenant])
+            needed = kept.join(finished, same, "left").where(F.col("_done").isNull() | (F.col(EXTRACT) > F.col("_done")))
+            needed = {r["batch_id"] for r in needed.select("batch_id").distinct().collect()}
+            for b in batches_of(spark, staged):
+                if b < batch_id and b not in needed:
+                    folders.remove(spark, batch_folder(staged, b))
 
     return detect

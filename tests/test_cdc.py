@@ -85,14 +85,18 @@ def test_change_values(spark, rows):
 def test_same_id_in_other_tenant_is_another_record(spark, rows):
     staging = staging_of(spark, [("u", "o1", "i", "A", "a", 1)])
     latest = latest_of(spark, [("u", "o2", "i", "B", "b")])
-    got = cdc.detect_changes(staging, latest, newest=NEWEST)
+    got = cdc.detect_changes(staging, latest, newest=NEWEST, all_tenants=True)
     assert rows(got, "organization_id", "change_type") == [("o1", "INSERT"), ("o2", "DELETE")]
 
 
 def test_tenants_limit_the_run(spark, rows):
     latest = latest_of(spark, [("a", "o1", "i", "A", "a"), ("b", "o2", "i", "B", "b")])
     empty = staging_of(spark, [])
-    everything = cdc.detect_changes(empty, latest, newest=NEWEST)
+    # a tenant that was not extracted is left alone, unless the run says that it covers all
+    assert cdc.detect_changes(empty, latest, newest=NEWEST).isEmpty()
+    one = staging_of(spark, [("c", "o1", "i", "C", "c", 1)])
+    assert rows(cdc.detect_changes(one, latest, newest=NEWEST), "id", "change_type") == [("a", "DELETE"), ("c", "INSERT")]
+    everything = cdc.detect_changes(empty, latest, newest=NEWEST, all_tenants=True)
     assert everything.where("change_type = 'DELETE'").count() == 2
     only = spark.createDataFrame([("o2", "i")], "organization_id string, connected_integration_id string")
     got = cdc.detect_changes(empty, latest, newest=NEWEST, tenants=only)
@@ -100,6 +104,28 @@ def test_tenants_limit_the_run(spark, rows):
     assert rows(cdc.excess_deletes(everything, latest, 0.5), "organization_id") == [("o1",), ("o2",)]
 
 
+def test_null_keys_match(spark, rows):
+    data = [("u", None, "i", "A", "a"), (None, "o", None, "B", "b"), ("v", None, "i", "V", "v")]
+    staging, latest = staging_of(spark, [(*r, 1) for r in data[:2]]), latest_of(spark, data)
+    changes = cdc.detect_changes(staging, latest, newest=NEWEST)
+    assert rows(changes, "id", "organization_id", "change_type") == [("v", None, "DELETE")]
+    assert rows(cdc.apply_changes(latest, changes), "name") == [("A",), ("B",)]
+    assert rows(cdc.excess_deletes(changes, latest, 0.4), "organization_id") == [(None,)]
+
+
+@pytest.mark.parametrize("scope", [{}, {"all_tenants": True}, {"tenants": [("o1", "i1"), ("o9", "i9")]}])
+def test_next_snapshot_is_changes_applied(spark, random_sides, rows, scope):
+    staging, latest = random_sides
+    if "tenants" in scope:
+        scope = {"tenants": spark.createDataFrame(scope["tenants"], ", ".join(f"{c} string" for c in TENANT))}
+    else:
+        staging = staging.where("organization_id <> 'o2'")
+    want = cdc.apply_changes(latest, cdc.detect_changes(staging, latest, newest=NEWEST, **scope))
+    got = cdc.next_snapshot(staging, latest, newest=NEWEST, **scope)
+    columns = [*USER_KEYS, *PAYLOAD]
+    assert rows(got, *columns) == rows(want, *columns)
+
+
 def test_external_id_alone_is_no_change(spark):
     staging = staging_of(spark, [("u", "o", "i", "A", "a", 1)]).withColumn("external_id", F.lit("other"))
     latest = latest_of(spark, [("u", "o", "i", "A", "a")])
@@ -176,7 +202,8 @@ def test_detection_shuffles_each_side_once(spark, random_sides, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = cdc.detect_changes(
-            spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "l")), newest=NEWEST
+            spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "l")), newest=NEWEST,
+            all_tenants=True,
         )
         plan = found._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from millrace.operators import access, quality
-from millrace.operators.joins import broadcast_if_small
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry_points.queries()
@@ -66,14 +65,6 @@ def test_skewed_foreign_key_is_split(spark):
     assert counts[True] + counts[False] == 600_000 and counts[False] == 100_000
 
 
-def test_broadcast_is_bounded_by_measured_size(spark):
-    df = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("text"))
-    other = spark.range(10).withColumnRenamed("id", "k")
-    assert "broadcast" in str(other.join(broadcast_if_small(df), other.k == df.id)._jdf.queryExecution().analyzed())
-    large = broadcast_if_small(df, max_bytes=500_000)
-    assert "broadcast" not in str(other.join(large, other.k == df.id)._jdf.queryExecution().analyzed())
-
-
 def test_access_report_forces_no_join(spark):
     t = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("orders", "part", "customer")}
     requests = t["orders"].select(

@@ -1,10 +1,15 @@
 import json
+import pathlib
+import shutil
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import cdc
 from millrace.plans import elt, imports
 from millrace.schemas import TENANT
+from millrace.sinks import folders
 from millrace.sources.generated import synthetic_users
 
 
@@ -74,17 +79,128 @@ def test_a_run_reads_only_its_own_staging(spark, tmp_path):
     assert counts(report) == (0, 0, 0)
 
 
-def test_tables_laid_out_by_organization(spark, tmp_path):
-    root, by = str(tmp_path), ["organization_id"]
+def tenants(spark, *pairs):
+    return spark.createDataFrame(list(pairs), ", ".join(f"{c} string" for c in TENANT))
+
+
+def files_of(root, organization):
+    return {
+        (p.name, p.stat().st_mtime_ns, p.read_bytes())
+        for p in pathlib.Path(root, "latest", f"organization_id={organization}").rglob("*.parquet")
+    }
+
+
+def test_untouched_organizations_keep_their_files(spark, tmp_path):
+    root = str(tmp_path)
     two = users(spark, 0, 20).unionByName(users(spark, 0, 30, "org-002", "int-2"))
     elt.load(two, root, "r1")
-    elt.run(spark, root, "r1", partition_by=by)
+    elt.run(spark, root, "r1")
+    before = files_of(root, "org-002"), files_of(root, "org-001")
     elt.load(users(spark, 5, 20).unionByName(users(spark, 0, 30, "org-002", "int-2")), root, "r2")
-    report = elt.run(spark, root, "r2", partition_by=by)
+    report = elt.run(spark, root, "r2")
     assert counts(report) == (5, 0, 5) and elt.latest(spark, root).count() == 50
-    one = elt.latest(spark, root).where("organization_id = 'org-002'")
-    assert one.count() == 30
-    assert "PartitionFilters: [isnotnull(organization_id" in one._jdf.queryExecution().executedPlan().toString()
+    assert files_of(root, "org-002") == before[0] and files_of(root, "org-001") > before[1]
+    assert elt.latest(spark, root, 1).count() == 50
+    old, new = (set(map(tuple, elt.latest(spark, root, v).select("id", "organization_id").collect())) for v in (1, 2))
+    assert len(old - new) == len(new - old) == 5
+
+
+def test_tenants_of_one_run_one_after_the_other(spark, tmp_path):
+    root = str(tmp_path)
+    a, b = ("org-001", "int-1"), ("org-001", "int-2")
+    c = ("org-002", "int-1")
+    for tenant in (a, b, c):
+        elt.load(users(spark, 0, 10, *tenant), root, "w")
+    for tenant in (a, b, c):
+        assert counts(elt.run(spark, root, "w", tenants=tenants(spark, tenant))) == (10, 0, 0)
+    assert elt.latest(spark, root).count() == 30 and elt.changes_of(spark, root, "w").count() == 30
+    # one of them again: the same changes, and nothing of the others is lost
+    assert counts(elt.run(spark, root, "w", tenants=tenants(spark, a))) == (10, 0, 0)
+    assert elt.latest(spark, root).count() == 30 and elt.changes_of(spark, root, "w").count() == 30
+    # a repeated call that finds fewer changes clears its own slice only
+    shutil.rmtree(f"{root}/staging/workflow_id=w")
+    elt.load(users(spark, 0, 4, *a), root, "w")
+    assert counts(elt.run(spark, root, "w", tenants=tenants(spark, a))) == (4, 0, 0)
+    assert elt.latest(spark, root).count() == 24 and elt.changes_of(spark, root, "w").count() == 24
+
+
+def test_a_tenant_without_changes_left_has_no_slice(spark, tmp_path):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 10), root, "w")
+    elt.run(spark, root, "w")
+    shutil.rmtree(f"{root}/staging/workflow_id=w")
+    assert counts(elt.run(spark, root, "w", tenants=tenants(spark, ("org-001", "int-1")))) == (0, 0, 0)
+    assert elt.latest(spark, root).isEmpty() and elt.changes_of(spark, root, "w").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["team/nightly", "a%3Ab", "2024-01-01T00:00:00", "x=y {z} *"])
+def test_any_run_id(spark, tmp_path, name):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 7, "org/1", "int:1%"), root, name)
+    assert elt.staging_of(spark, root, name).count() == 7
+    assert counts(elt.run(spark, root, name)) == (7, 0, 0)
+    assert elt.changes_of(spark, root, name).select("workflow_id").distinct().first()[0] == name
+    elt.load(users(spark, 3, 7, "org/1", "int:1%"), root, name + "2")
+    assert counts(elt.run(spark, root, name + "2")) == (3, 0, 3)
+    assert {r.organization_id for r in elt.latest(spark, root).collect()} == {"org/1"}
+
+
+def test_tenants_without_names(spark, tmp_path):
+    root = str(tmp_path)
+    rows = users(spark, 0, 6).withColumn("organization_id", F.when(F.col("name") > "User 2", F.col("organization_id")))
+    elt.load(rows, root, "r1")
+    assert counts(elt.run(spark, root, "r1")) == (6, 0, 0)
+    elt.load(rows, root, "r2")
+    assert counts(elt.run(spark, root, "r2")) == (0, 0, 0) and elt.latest(spark, root).count() == 6
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 5), root, "r1")
+    elt.run(spark, root, "r1")
+    assert folders.claim(spark, f"{root}/published/claims/2")  # another run is about to publish
+    elt.load(users(spark, 5, 5), root, "r2")
+    with pytest.raises(RuntimeError, match="by another run"):
+        elt.run(spark, root, "r2")
+    assert elt.latest(spark, root).count() == 5
+
+
+def test_lost_rows_do_not_reconcile(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 20), root, "r1")
+    whole = cdc.detect_changes
+    monkeypatch.setattr(cdc, "detect_changes", lambda *a, **k: whole(*a, **k).limit(15))
+    with pytest.raises(ValueError, match="do not reconcile"):
+        elt.run(spark, root, "r1")
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(5):
+        elt.load(users(spark, n, 5).unionByName(users(spark, 0, 5, "org-002", "int-2")), root, f"r{n}")
+        elt.run(spark, root, f"r{n}", keep_versions=2)
+    assert elt.latest(spark, root).count() == 10 and elt.latest(spark, root, 4).count() == 10
+    assert len(folders.names(spark, f"{root}/latest/organization_id=org-001")) == 2
+    assert len(folders.names(spark, f"{root}/latest/organization_id=org-002")) == 1
+    assert [n for n in folders.names(spark, f"{root}/published/places") if n != "version=4" and n != "version=5"] == []
+
+
+def test_extract_load_and_run(spark, tmp_path):
+    root = str(tmp_path)
+    integrations = spark.createDataFrame(
+        [("org-001", "int-1", 3), ("org-002", "int-2", 1), ("org-003", "int-3", 0)], ", ".join(f"{c} string" for c in TENANT) + ", pages int")
+
+    def fetch(request):
+        ids = [f"{request['organization_id']}-{request['page']}-{n}" for n in range(4)]
+        return pd.DataFrame({"id": ids, "external_id": ids, "organization_id": request["organization_id"],
+                             "connected_integration_id": request["connected_integration_id"], "name": "n", "email": "e"})
+
+    scope = elt.extract(integrations, fetch, root, "r1")
+    report = elt.run(spark, root, "r1", tenants=scope)
+    assert counts(report) == (16, 0, 0) and scope.count() == 3
+    gone = elt.extract(integrations.withColumn("pages", F.col("pages") - 1), fetch, root, "r2")
+    assert counts(elt.run(spark, root, "r2", tenants=gone)) == (0, 0, 8)
+    assert elt.latest(spark, root).count() == 8
 
 
 def test_first_run_of_a_large_tenant(spark, tmp_path):
@@ -101,7 +217,7 @@ def test_tenants_and_guard(spark, tmp_path):
     two = users(spark, 0, 20).unionByName(users(spark, 0, 20, "org-002", "int-2"))
     elt.load(two, root, "r1")
     assert counts(elt.run(spark, root, "r1")) == (40, 0, 0)
-    only = spark.createDataFrame([("org-001", "int-1")], ", ".join(f"{c} string" for c in TENANT))
+    only = tenants(spark, ("org-001", "int-1"))
     with pytest.raises(ValueError, match="too many deletes"):
         elt.run(spark, root, "r2", tenants=only, max_delete_fraction=0.5)
     assert elt.latest(spark, root).count() == 40
@@ -116,13 +232,28 @@ def test_import_people(spark, tmp_path):
 
     source = tmp_path / "in"
     source.mkdir()
-    lines = [json.dumps({"results": [PERSON, PERSON], "info": {}}), "{broken", json.dumps({"results": []})]
+    bad = json.loads(json.dumps(PERSON))
+    bad["dob"]["age"] = "old"
+    partly = json.dumps({"results": [PERSON, bad], "info": {}})
+    lines = [json.dumps({"results": [PERSON, PERSON], "info": {}}), "{broken", json.dumps({"results": []}), partly]
     (source / "part.json").write_text("\n".join(lines))
     imports.import_people(spark, str(source), str(tmp_path / "people"), str(tmp_path / "errors"))
     people = spark.read.parquet(str(tmp_path / "people"))
     assert people.count() == 2 and people.select("id").distinct().count() == 2
     errors = spark.read.parquet(str(tmp_path / "errors")).collect()
-    assert [json.loads(e.message) for e in errors] == [{"error": "{broken"}]
+    assert sorted(json.loads(e.message)["error"] for e in errors) == sorted(["{broken", partly])
+
+
+def test_a_partly_bad_file_is_one_error(spark, tmp_path):
+    from tests.test_sources import PERSON
+
+    bad = json.loads(json.dumps(PERSON))
+    bad["location"]["street"]["number"] = "twelve"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.json").write_text(json.dumps({"results": [PERSON], "info": {}}, indent=1))
+    (tmp_path / "in" / "bad.json").write_text(json.dumps({"results": [PERSON, bad], "info": {}}, indent=1))
+    imports.import_people(spark, str(tmp_path / "in"), str(tmp_path / "people"), str(tmp_path / "errors"), multi_line=True)
+    assert spark.read.parquet(str(tmp_path / "people")).count() == 1 == spark.read.parquet(str(tmp_path / "errors")).count()
 
 
 def test_accept_requests(spark, rows):

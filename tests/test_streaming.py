@@ -162,34 +162,92 @@ def test_delivery_in_micro_batches(spark, tmp_path, rows):
     assert rows(stateful.answers(spark, out, ["k"], 60, last, closed=True)) == rows(want)
 
 
-def test_changes_in_micro_batches(spark, tmp_path, rows):
+def extract_rows(spark, extracts):
+    """Rows of extracts (id, rows), each followed by its end."""
+    parts = []
+    for number, extract in extracts:
+        staged = staging_of(spark, extract).withColumns({stateful.EXTRACT: F.lit(number), stateful.END: F.lit(False)})
+        org, integration = extract[0][1:3]
+        end = spark.createDataFrame([(org, integration, number, True)],
+                                    f"organization_id string, connected_integration_id string, {stateful.EXTRACT} int, {stateful.END} boolean")
+        parts += [staged, staged.limit(0).unionByName(end, allowMissingColumns=True)]
+    return parts
+
+
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_changes_in_micro_batches(spark, tmp_path, rows, pieces):
+    """Whole extracts of one tenant each, the first tenant twice; each extract in several micro-batches."""
     latest = latest_of(spark, [(f"u{i}", f"o{i % 3}", "i", f"n{i}", "e") for i in range(30)])
     latest.write.parquet(str(tmp_path / "base"))
-    extracts = [  # whole extracts of one tenant each; the first tenant is extracted twice
+    extracts = [
         [(f"u{i}", "o0", "i", f"n{i}", "new" if i % 2 else "e", 1) for i in range(0, 24, 3)],
         [(f"u{i}", "o1", "i", f"n{i}", "e", 1) for i in range(1, 40, 3)],
         [(f"u{i}", "o0", "i", f"n{i}", "e", 1) for i in range(3, 30, 3)],
     ]
-    path, log = str(tmp_path / "in"), str(tmp_path / "log")
-    schema = staging_of(spark, extracts[0]).schema
-    for extract in extracts:
-        staging_of(spark, extract).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(1.05)
+    path = str(tmp_path / "in")
+    parts = extract_rows(spark, list(enumerate(extracts)))
+    for staged, end in zip(parts[::2], parts[1::2]):
+        for n in range(pieces):
+            piece = staged.where(F.pmod(F.hash("id"), F.lit(pieces)) == n)
+            whole = piece.unionByName(end) if n == pieces - 1 else piece
+            whole.coalesce(1).write.mode("append").parquet(path)
+            time.sleep(0.2)
+    schema = spark.read.parquet(path).schema
     handler = stateful.capture_changes(
-        lambda s: s.read.parquet(str(tmp_path / "base")), log, newest=["created_at", "batch_seq"]
+        lambda s: s.read.parquet(str(tmp_path / "base")), str(tmp_path), newest=["created_at", "batch_seq"], every=2
     )
     query = base.run_batches(base.stream_files(spark, path, schema, 1), str(tmp_path / "cp"), handler)
     last = query.lastProgress["batchId"]
-    assert last >= 2
+    assert last >= 3 * pieces - 1
+    log = str(tmp_path / "changes")
     state = stateful.state_after(spark, latest, log, last + 1)
     want = latest
     for extract in extracts:
         staged = staging_of(spark, extract)
-        tenants = staged.select("organization_id", "connected_integration_id").distinct()
-        want = cdc.apply_changes(want, cdc.detect_changes(staged, want, newest=["batch_seq"], tenants=tenants))
+        want = cdc.apply_changes(want, cdc.detect_changes(staged, want, newest=["batch_seq"]))
     columns = [*USER_KEYS, "name", "email"]
     assert rows(state, *columns) == rows(want, *columns)
     assert state.where("organization_id = 'o2'").count() == 10
+    # repeating the last batch changes nothing; what is no longer needed is gone
+    assert len(base.batches_of(spark, log)) <= 3 and len(base.batches_of(spark, str(tmp_path / "staged"))) <= pieces + 1
+    handler(parts[-2].unionByName(parts[-1]) if pieces == 1 else parts[-2].where(
+        F.pmod(F.hash("id"), F.lit(pieces)) == pieces - 1).unionByName(parts[-1]), last)
+    assert rows(stateful.state_after(spark, latest, log, last + 1), *columns) == rows(want, *columns)
+
+
+def test_log_is_summed_up(spark, tmp_path, rows):
+    log = str(tmp_path / "log")
+    write = base.append_log(log, keys=["k"], every=3)
+    for n in range(11):
+        write(spark.createDataFrame([("all", n), (f"k{n % 4}", n)], "k string, v int"), n)
+    assert len(base.batches_of(spark, log)) <= 3 and len(base.batches_of(spark, f"{log}-state")) == 1
+    assert rows(base.newest_rows(base.read_log(spark, log), ["k"])) == [("all", 10), ("k0", 8), ("k1", 9), ("k2", 10), ("k3", 7)]
+
+
+def test_late_rows_of_all_batches_count(spark, events, tmp_path):
+    """More micro-batches than Spark keeps reports of."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        path = str(tmp_path / "in")
+        pdf = events.toPandas().sort_values("ts")
+        add_file(spark, pdf.iloc[-5:], events.schema, path)
+        for n in range(5):
+            add_file(spark, pdf.iloc[n:n + 1].assign(ts=pdf["ts"].min()), events.schema, path)
+        ticks = keyed.tick_counts(stream(spark, path, events.schema), "at", "5 seconds")
+        query = base.run_batches(ticks, str(tmp_path / "cp"), base.append_log(str(tmp_path / "log")), "update")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) <= 2 and base.late_rows(query) >= 4
+
+
+def test_messages_are_kept_for_a_time(spark, tmp_path, rows):
+    out, schema = str(tmp_path / "out"), "k string, kind string, id bigint, at_us bigint"
+    handler = stateful.message_delivery(out, ["k"], 10, 0, keep_us=100)
+    for n, row in enumerate([("a", stateful.MESSAGE, 1, 0), ("b", stateful.MESSAGE, 2, 500), ("b", stateful.REQUEST, 3, 510),
+                             ("a", stateful.REQUEST, 4, 520), ("c", stateful.MESSAGE, 5, 900)]):
+        handler(spark.createDataFrame([row], schema), n)
+    assert rows(stateful.answers(spark, out, ["k"], 10, 4), "request_id", "message_id") == [(3, 2), (4, None)]
+    assert base.batches_of(spark, f"{out}/open") == [3, 4] == base.batches_of(spark, f"{out}/seen")
 
 
 def test_order_is_kept_per_key(spark, rows):
