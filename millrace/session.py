@@ -51,5 +51,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call uses."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other call uses.
+
+    All of them lie in one folder of the application, which is removed when its JVM ends.
+    """
+    root = f"{shared_root(spark).rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        store.mkdirs(target)
+        store.deleteOnExit(target)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

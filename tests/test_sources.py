@@ -124,17 +124,18 @@ def test_prefix_listing(spark, tmp_path):
 
 
 def test_seeds(spark):
+    """Two integrations for each organization; ids are the name-based ids of ``organization:provider:number``."""
     seeds = generated.seed_integrations(spark.range(1, 4), "id").collect()
-    providers = ["google", "azure", "okta"]
-    want = set()
-    for i in (1, 2, 3):
-        for j in (1, 2):
-            provider = providers[(i + j) % 3]
-            want.add((str(uuid.uuid5(uuid.NAMESPACE_DNS, f"org-{i:03d}:{provider}:{j}")), f"org-{i:03d}", provider, json.dumps({
-                "permission_source_name": f"{provider}_source_{j}",
-                "api_endpoint": f"https://api.{provider}.com/v1", "last_sync": None,
-            }, separators=(",", ":"))))
-    assert {tuple(s) for s in seeds} == want and len(seeds) == 6
+    want = {
+        ("d6f3de5e-8033-5696-b4c4-9d3c7b1bab99", "org-001", "okta", 1),
+        ("153026a0-ecfe-55d5-bf56-b31cac6585da", "org-001", "google", 2),
+        ("9c58e67f-93b1-58e5-80f3-b1be6873293a", "org-002", "google", 1),
+        ("698ea87a-a3fc-5104-87ce-c9968f2acb6b", "org-002", "azure", 2),
+        ("697b1cd6-ceae-5268-9bb9-797d01bde1b0", "org-003", "azure", 1),
+        ("235bc877-9ee2-5301-ac1e-19efea818583", "org-003", "okta", 2),
+    }
+    data = '{{"permission_source_name":"{0}_source_{1}","api_endpoint":"https://api.{0}.com/v1","last_sync":null}}'
+    assert {tuple(s) for s in seeds} == {(*w[:3], data.format(*w[2:])) for w in want} and len(seeds) == 6
 
 
 def test_seed_only_when_empty(spark):
