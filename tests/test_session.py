@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -17,12 +18,23 @@ def _session(master, settings):
 def test_the_clusters_folder_is_used():
     fake, made = _session("yarn", {"spark.checkpoint.dir": "s3a://bucket/work"})
     assert session.shared_root(fake) == "s3a://bucket/work" and made == ["s3a://bucket/work"]
-    first, second = session.work_path(fake, "x"), session.work_path(fake, "x")
-    assert first.startswith("s3a://bucket/work/x-") and first != second and len(made) == 1
+    assert session.shared_root(fake) == "s3a://bucket/work" and len(made) == 1
 
 
-def test_a_cluster_without_a_folder_is_an_error():
-    fake, made = _session("spark://host:7077", {})
+def test_work_paths_lie_in_one_folder_of_the_application(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        first, second = session.work_path(spark, "x"), session.work_path(spark, "x")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    folder = f"{tmp_path}/millrace-{spark.sparkContext.applicationId}"
+    assert first.startswith(f"{folder}/x-") and first != second and os.listdir(tmp_path) == [os.path.basename(folder)]
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_without_a_folder_is_an_error(master):
+    fake, made = _session(master, {})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_root(fake)
     assert not made
