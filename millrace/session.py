@@ -33,18 +33,23 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+#: The folder of local sessions of this process that name none.
+_LOCAL: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session on one machine may go without it: it gets a fresh folder under /tmp, kept for the session.
+    Only a session on one machine may go without it: it gets a fresh folder under /tmp.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="millrace-", dir="/tmp"))
+        root = _LOCAL[0]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
