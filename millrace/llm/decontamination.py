@@ -7,7 +7,7 @@ searched in parallel without a shuffle. Words that no test item has are left out
 A test item is read as windows of ten words. For each window the lists of its words are shifted by the word's
 place in the window and intersected, from the word that is rarest in the corpus on; what is left are the exact
 places of the phrase. With a slack, a window is also found where each of its words lies at most that many places
-off: a proximity match. Items are searched in chunks of a bounded number of words, each against all blocks.
+off, seen from its rarest one: a proximity match. Items are searched in chunks of a bounded number of words, each against all blocks.
 
 Defined results: null and empty texts have no words, no hits, and are not contaminated; an item without words
 has no window, one of fewer than ten words is one window. Places never cross documents. Repeated documents
@@ -26,11 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.tables import documents, in_batches, saved, table
-from millrace.llm.words import ALNUM, U, Words, lowered, steps
+from millrace.llm.words import ALNUM, BitTable, Words, bit_table, lowered, steps
 
 WINDOW = 10
-#: Bits of the table that says which words any test item has.
-FILTER_BITS = 24
 #: Bytes of text in a block; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 20
 #: Words of test items that are searched at once; a longer item is a chunk of its own.
@@ -40,24 +38,13 @@ FOLDED = lowered(ALNUM)
 HIT = "struct<item:string,item_at:int,doc_at:int,length:int>"
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> U(64 - FILTER_BITS)).astype(np.int64)
-
-
 def word_filter(items: DataFrame) -> np.ndarray:
-    """A bit for each slot that a word of any item falls into; 2 MB at most from each task."""
+    """Table of the words of all items."""
 
-    def run(batches):
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
-            for _, _, data, offsets in steps(batch.column(0)):
-                bits[_slots(Words(data, offsets, FOLDED).hashes())] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+    def hashes(batch):
+        return np.concatenate([Words(data, offsets, FOLDED).hashes() for _, _, data, offsets in steps(batch.column(0))] or [np.zeros(0, np.uint64)])
 
-    merged = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in in_batches(items.select("text"), run, "bits binary").toLocalIterator():
-        merged |= np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(merged).astype(bool)
+    return bit_table(items.select("text"), hashes)
 
 
 def build_index(docs: DataFrame, known: np.ndarray) -> DataFrame:
@@ -66,17 +53,16 @@ def build_index(docs: DataFrame, known: np.ndarray) -> DataFrame:
     ``terms`` is sorted; the places of term i are the next ``counts[i]`` of ``places``, in order. A place is the
     number of the word in the block.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(known))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
     kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = np.unpackbits(bits.value).astype(bool)
-        block = 0
+        wanted, block = BitTable(sent.value), 0
         for batch in batches:
             for lo, hi, data, offsets in steps(batch.column(1), BLOCK_BYTES):
                 words = Words(data, offsets, FOLDED)
                 hashes = words.hashes()
-                at = np.flatnonzero(table_[_slots(hashes)])
+                at = np.flatnonzero(wanted(hashes))
                 order = np.argsort(hashes[at], kind="stable")
                 terms, counts = np.unique(hashes[at], return_counts=True)
                 yield pa.RecordBatch.from_arrays([

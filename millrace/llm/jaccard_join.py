@@ -4,10 +4,13 @@ Texts of equal sets are one class; only classes are joined. The join is size-awa
 
 * Light sets (small): every subset that is as large as an overlap with a similar set can be is enumerated. Two
   sets that share such a subset, large enough for both sizes, are similar: that is a link, without comparing.
-* Heavy sets: the shingles are dealt by hash into one block more than the differences that similarity allows, so
+* Heavy sets: the shingles are dealt by hash into more blocks than the differences that similarity allows, so
   similar sets agree on a whole block. Inverted lists of blocks are scanned; sets that share a list, directly
   or by way of others, form a cluster, and within clusters the sets themselves are compared, in chunks of bounded
-  size. A list of a single shingle would hold every text with a common passage; a list of a block does not.
+  size. A list of a single shingle would hold every text with a common passage; few lists of blocks do.
+* Clusters of more than a chunk, which such lists leave, are dealt again, without the shingles that many of their
+  sets have: similar sets lose the same ones, so they still agree on a block. What stays large is compared chunk
+  by chunk.
 
 The boundary is the size for which the estimated rows of both ways are fewest, from a histogram of sizes. Sets a
 little below it take part in both, so no pair is missed. Nothing is emitted for all pairs of a list or cluster:
@@ -19,13 +22,13 @@ dealt once more with another hash, as often as it takes.
 Defined results: texts without words, and null texts, have the empty set and link with nothing, not even each
 other. A text of fewer words than a shingle is one shingle. Repeated rows are copies. The component is named by its
 smallest id; rows without an id belong to components but never name one (a component of such rows only has none).
-Empty tables give empty results. Shingles are 64-bit hashes; sets are told apart by 128 bits.
+Empty tables give empty results. Shingles, and whole sets, are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from itertools import combinations
 from typing import NamedTuple
@@ -34,11 +37,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.components import components
 from millrace.llm.tables import documents, in_batches, saved
-from millrace.llm.words import SPACE, U, Words, lowered, mixed, steps, windows
+from millrace.llm.words import SPACE, BitTable, U, Words, bit_table, lowered, mixed, steps, windows
 
 FOLDED = lowered(SPACE)
 #: Largest boundary that is weighed.
@@ -47,8 +50,10 @@ LARGEST_LIGHT = 64
 COMPARE = 0.25
 #: Most shingles and sets of a chunk.
 CHUNK_SHINGLES, CHUNK_SETS = 1 << 20, 1024
-#: Signatures that a task remembers, to pass on a set once only.
-SEEN = 100_000
+#: Sets of a large cluster that a shingle must be in to be left out when the cluster is dealt again.
+FREQUENT = 16
+#: Sets that a task remembers, to pass on each once only, and rows that it sends on together.
+SEEN, SENT_ROWS = 200_000, 50_000
 
 
 class Rule(NamedTuple):
@@ -100,22 +105,53 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> bytes | None:
-    return blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+def set_id(shingles: np.ndarray) -> int | None:
+    return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
 
 
 def signed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One slim row for each document: id, signature and size of its set."""
+    """One slim row for each document: id, set and size of the set."""
 
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), rule.size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(signature, sets), pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
-                names=["doc_id", "sig", "n"])
+                [batch.column(0), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
+                names=["doc_id", "set", "n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, sig binary, n long")
+    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, set long, n long")
+
+
+def different_sets(batches, rule: Rule, wanted: Callable[[int], bool]) -> Iterator[tuple[int, np.ndarray]]:
+    """The sets of wanted sizes in the first column, each once as far as a task remembers."""
+    seen: set[int] = set()
+    for batch in batches:
+        for shingles in shingle_sets(batch.column(0), rule.size):
+            if len(shingles) and wanted(len(shingles)):
+                own = set_id(shingles)
+                if own not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(own)
+                    yield own, shingles
+
+
+def together(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Record batches of many short pieces of columns."""
+    held, size = [], 0
+
+    def sent():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += len(row[0])
+        if size >= SENT_ROWS:
+            yield sent()
+            held, size = [], 0
+    if held:
+        yield sent()
 
 
 def subset_count(n: int, rule: Rule) -> int:
@@ -138,7 +174,7 @@ def boundary(classes: DataFrame, rule: Rule) -> int:
 
 
 def subset_keys(shingles: np.ndarray, rule: Rule) -> Iterator[tuple[int, int, int]]:
-    """Two hashes and the size of every subset that may be an overlap with a similar set."""
+    """Two hashes and the size of every subset that may be the overlap with a similar set."""
     first, second = mixed(shingles), mixed(shingles ^ U(0x5851F42D4C957F2D))
     n = len(shingles)
     with np.errstate(over="ignore"):
@@ -150,108 +186,158 @@ def subset_keys(shingles: np.ndarray, rule: Rule) -> Iterator[tuple[int, int, in
                        int((b - second[out].sum(dtype=np.uint64)).view(np.int64)), n - d)
 
 
-def block_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
-    """A hash of every block that is not empty, for both levels that the set takes part in."""
+def block_keys(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None, salt: int = 0) -> np.ndarray:
+    """A hash of every block that is not empty, for both levels that the set takes part in.
+
+    With ``rest``, the shingles that are not left out, blocks are of those, and of all only if too many are empty.
+    """
     level = rule.level(len(shingles))
     found = []
     for at in {level, max(level - 1, 0)}:
         number, spare = rule.blocks(at)
-        dealt, seed = shingles, 0
+        bounds = np.arange(1, number, dtype=np.uint64) * U((1 << 64) // number)
+        dealt, deal = (shingles, 1) if rest is None else (rest, 0)
         while True:
             # hashes are sorted, so a block is a range of them
-            bounds = np.arange(1, number, dtype=np.uint64) * U((1 << 64) // number)
             edges = np.concatenate([[0], np.searchsorted(dealt, bounds), [len(dealt)]])
             sums = np.zeros(len(dealt) + 1, np.uint64)
             np.cumsum(mixed(dealt + U(0x2545F4914F6CDD1D)), out=sums[1:])
             full = np.flatnonzero(np.diff(edges))
-            name = mixed(mixed(full.astype(np.uint64)) + U((at << 32) + seed))
+            name = mixed(mixed(full.astype(np.uint64) + U(salt)) + U((at << 32) + deal))
             found.append(mixed((sums[edges[full + 1]] - sums[edges[full]]) ^ name))
-            if number - len(full) <= spare or seed > 4 * len(shingles):
+            if number - len(full) <= spare or deal > 4 * len(shingles):
                 break
-            seed += 1
-            dealt = np.sort(mixed(shingles + U(seed)))
+            deal += 1
+            dealt = shingles if deal == 1 else np.sort(mixed(shingles + U(deal)))
     return np.concatenate(found)
 
 
-def keyed(docs: DataFrame, rule: Rule, light: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of subsets of the light sets, and of blocks of the heavy ones and those close to the boundary."""
-    least_heavy = rule.fewest_shared(light + 1)
+def light_rows(docs: DataFrame, rule: Rule, light: int) -> DataFrame:
+    """The subsets of all sets up to the boundary."""
+    schema = pa.schema([("set", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("check", pa.int64()), ("shared", pa.int32())])
 
-    def once(batches, wanted):
-        seen = set()
-        for batch in batches:
-            for shingles in shingle_sets(batch.column(0), rule.size):
-                if len(shingles) and wanted(len(shingles)):
-                    sig = signature(shingles)
-                    if sig not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(sig)
-                        yield shingles, sig
-
-    def heavy(batches):
-        for shingles, sig in once(batches, lambda n: n >= least_heavy):
-            keys = block_keys(shingles, rule)
-            yield pa.RecordBatch.from_arrays([pa.array([sig], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))],
-                                             names=["sig", "keys"])
-
-    def small(batches):
-        for shingles, sig in once(batches, lambda n: n <= light):
-            rows = list(subset_keys(shingles, rule))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([sig] * len(rows), pa.binary()), pa.array([len(shingles)] * len(rows), pa.int32()),
-                *(pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.int32())))],
-                names=["sig", "n", "key", "check", "shared"])
-
-    texts = docs.select("text")
-    return (in_batches(texts, small, "sig binary, n int, key long, check long, shared int"),
-            saved(in_batches(texts, heavy, "sig binary, keys array<long>"), "blocks"))
-
-
-def _signatures(column: pa.Array) -> np.ndarray:
-    """Binary values of 16 bytes as pairs of numbers."""
-    column = column.cast(pa.binary(16))
-    return np.frombuffer(column.buffers()[1], np.uint64)[2 * column.offset:2 * (column.offset + len(column))].reshape(-1, 2)
-
-
-def _sent(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Distinct links between signatures."""
-    pairs = np.unique(np.hstack([a, b]), axis=0) if len(a) else np.zeros((0, 4), np.uint64)
-    ends = (pa.array([x.tobytes() for x in np.ascontiguousarray(pairs[:, s])], pa.binary()) for s in (slice(0, 2), slice(2, 4)))
-    return pa.RecordBatch.from_arrays(list(ends), names=["a", "b"])
+    def run(batches):
+        def rows():
+            for own, shingles in different_sets(batches, rule, lambda n: n <= light):
+                keys = np.array(list(subset_keys(shingles, rule)), np.int64).reshape(-1, 3)
+                yield np.full(len(keys), own), np.full(len(keys), len(shingles)), keys[:, 0], keys[:, 1], keys[:, 2]
+
+        yield from together(rows(), schema)
+
+    return in_batches(docs.select("text"), run, "set long, n int, key long, check long, shared int")
+
+
+KEYED = pa.schema([("key", pa.int64()), ("set", pa.int64())])
+
+
+def block_rows(docs: DataFrame, rule: Rule, light: int) -> DataFrame:
+    """The blocks of all sets above the boundary, and of those so close to it that they may link across."""
+    least = rule.fewest_shared(light + 1)
+
+    def run(batches):
+        keys = ((block_keys(s, rule), own) for own, s in different_sets(batches, rule, lambda n: n >= least))
+        yield from together(((k.view(np.int64), np.full(len(k), own)) for k, own in keys), KEYED)
+
+    return in_batches(docs.select("text"), run, "key long, set long")
 
 
 def light_links(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Every set with the smallest that has the same subset: if it is too small for a pair, so is any other."""
-    same = Window.partitionBy("key", "check", "shared")
-    rows = rows.withColumn("least", F.min(F.struct("n", "sig")).over(same))
+    """Every set with the smallest that has the same subset: if that is too small for a pair, so is any other."""
+    ends = F.struct("n", "set")
+    shared = (rows.groupBy("key", "check", "shared").agg(F.min(ends).alias("least"), F.max(ends).alias("most"))
+              .where("least <> most").drop("most"))
+    rows = rows.join(shared, ["key", "check", "shared"])
     close = rule.similar(F.col("shared"), F.col("n"), F.col("least.n"))
-    return rows.where(close & (F.col("sig") != F.col("least.sig"))).select(F.col("sig").alias("a"), F.col("least.sig").alias("b"))
+    return rows.where(close & (F.col("set") != F.col("least.set"))).select(F.col("set").alias("a"), F.col("least.set").alias("b"))
 
 
-def list_links(blocks: DataFrame) -> DataFrame:
+def list_links(rows: DataFrame) -> DataFrame:
     """Neighbours in every inverted list: rows sorted by block, each linked with the one before."""
 
     def run(batches):
-        last_key, last = None, None
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            sig = _signatures(batch.column(1))
-            before = np.concatenate([[last_key if last_key is not None else key[0]], key[:-1]])
-            earlier = np.concatenate([last[None, :] if last is not None else sig[:1], sig[:-1]])
-            linked = (key == before) & (sig != earlier).any(axis=1)
-            yield _sent(sig[linked], earlier[linked])
-            last_key, last = key[-1], sig[-1].copy()
+            key, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            if last is not None:
+                key, own = np.append(last[0], key), np.append(last[1], own)
+            last = key[-1], own[-1]
+            linked = (key[1:] == key[:-1]) & (own[1:] != own[:-1])
+            pairs = np.unique(np.stack([own[1:][linked], own[:-1][linked]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return in_batches(rows.repartition("key").sortWithinPartitions("key", "set"), run, "a long, b long").distinct()
 
-    rows = blocks.select(F.explode("keys").alias("key"), "sig").repartition("key").sortWithinPartitions("key", "sig")
-    return in_batches(rows, run, "a binary, b binary").distinct()
 
+def sets_of(docs: DataFrame, rule: Rule, members: DataFrame) -> DataFrame:
+    """The sets named in ``members`` (one row for each ``set``), as bytes, beside its columns.
 
-def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[bytes, bytes]]:
+    A bit table of fixed size keeps most others out of the shuffle; the join decides.
+    """
+    known = bit_table(members.select("set"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        wanted = BitTable(sent.value)
+        held, size = [], 0
+        for own, shingles in different_sets(batches, rule, lambda n: True):
+            if wanted(np.array([own]).view(np.uint64))[0]:
+                held.append((own, shingles.tobytes()))
+                size += len(shingles)
+            if size >= SENT_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=["set", "shingles"])
+                held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=["set", "shingles"])
+
+    return in_batches(docs.select("text"), run, "set long, shingles binary").join(members, "set")
+
+
+def in_clusters(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Sets that links bring together: ``set``, ``n``, ``cluster``, and into how many parts the cluster is cut."""
+    nodes = components(links)
+    members = nodes.join(classes, nodes["node"] == classes["set"]).select("set", "n", F.col("root").alias("cluster"))
+    sums = members.groupBy("cluster").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"))
+    parts = F.greatest(F.ceil(F.col("weight") / CHUNK_SHINGLES), F.ceil(F.col("sets") / CHUNK_SETS)).cast("int")
+    return saved(members.join(sums.select("cluster", parts.alias("parts")), "cluster"), "members")
+
+
+def dealt_again(docs: DataFrame, rule: Rule, large: DataFrame) -> DataFrame:
+    """List links within large clusters, by blocks without the shingles that are frequent in them."""
+    sets = saved(sets_of(docs, rule, large.select("set", "cluster")).select("set", "cluster", "shingles"), "large")
+
+    def of_cluster(hashes: np.ndarray, cluster: int) -> np.ndarray:
+        return mixed(hashes ^ U(cluster & ((1 << 64) - 1)))
+
+    def single(batches):
+        for batch in batches:
+            found = [of_cluster(np.frombuffer(s, np.uint64), c) for c, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
+
+    counts = in_batches(sets, single, "shingle long").groupBy("shingle").count().where(F.col("count") >= FREQUENT)
+    # a fixed table: what it takes for frequent besides is the same for all sets of the cluster
+    known = bit_table(counts.select("shingle"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        frequent = BitTable(sent.value)
+
+        def rows():
+            for batch in batches:
+                for own, cluster, data in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                    shingles = np.frombuffer(data, np.uint64)
+                    keys = block_keys(shingles, rule, shingles[~frequent(of_cluster(shingles, cluster))], cluster & ((1 << 64) - 1))
+                    yield keys.view(np.int64), np.full(len(keys), own)
+
+        yield from together(rows(), KEYED)
+
+    return list_links(in_batches(sets, run, "key long, set long"))
+
+
+def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[int, int]]:
     """Links among the sets of one chunk: each set that has any with the first of those it is joined to."""
-    sigs, sets = frame["sig"].tolist(), [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
+    names, sets = frame["set"].tolist(), [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
     sizes = np.array([len(s) for s in sets], np.int64)
     if len(sets) < 2:
         return
@@ -283,90 +369,76 @@ def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[bytes, bytes]]:
         group = least
     for i, g in enumerate(group):
         if g != i:
-            yield sigs[i], sigs[g]
+            yield names[i], names[g]
 
 
-def cluster_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
-    """Exact links within clusters (``node``, ``root``), compared in chunks, small clusters many at a time."""
-    members = (clusters.join(classes, clusters["node"] == classes["sig"])
-               .select("sig", "n", F.col("root").alias("cluster"), "doc"))
-    sums = members.groupBy("cluster").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"))
-    parts = F.greatest(F.ceil(F.col("weight") / CHUNK_SHINGLES), F.ceil(F.col("sets") / CHUNK_SETS)).cast("int")
-    members = saved(members.join(sums.select("cluster", parts.alias("parts")), "cluster"), "members")
+def cluster_links(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Exact links within clusters, compared in chunks, small clusters many at a time."""
     weight = members.where("parts = 1").agg(F.sum("n")).first()[0] or 0
     bins = int(weight // CHUNK_SHINGLES) + 1
-
-    wanted = members.select(F.col("doc").alias("wanted")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-
-    def run(batches):
-        for batch in batches:
-            sets = list(shingle_sets(batch.column(0), rule.size))
-            yield pa.RecordBatch.from_arrays([pa.array(map(signature, sets), pa.binary()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "shingles"])
-
-    sets = in_batches(texts.select("text"), run, "sig binary, shingles binary")
-    own = F.pmod(F.hash("sig"), F.col("parts"))
-    rows = sets.join(members.select("sig", "cluster", "parts", own.alias("own")), "sig")
+    rows = sets_of(docs, rule, members.select("set", "cluster", "parts"))
+    own = F.pmod(F.hash("set"), F.col("parts"))
     # a chunk of a large cluster meets each other chunk of it once
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("sig", "shingles", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       F.when(F.col("parts") == 1, F.pmod(F.hash("cluster"), F.lit(bins))).otherwise(-1).alias("bin"))
-    rows = rows.withColumn("group", F.when(F.col("bin") >= 0, F.col("bin").cast("string")).otherwise(
-        F.concat_ws("-", F.hex("cluster"), "i", "j")))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    one = F.concat(F.lit("bin "), F.pmod(F.hash("cluster"), F.lit(bins)))
+    pair = F.concat_ws(" ", "cluster", F.least("own", "other"), F.greatest("own", "other"))
+    rows = rows.select("set", "shingles", "cluster", F.when(F.col("parts") == 1, one).otherwise(pair).alias("group"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("sig")
+        frame = frame.drop_duplicates("set")
         found = [link for _, part in frame.groupby("cluster", sort=False) for link in compared(part, rule)]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("group").applyInPandas(compare, "a binary, b binary")
+    return rows.groupBy("group").applyInPandas(compare, "a long, b long")
 
 
 def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row for each document: id, signature and size of its set, its component and that one's smallest id."""
+    """One row for each document: id, set and size of its set, its component and that one's smallest id."""
     rows = saved(signed(docs, rule), "signed")
-    classes = saved(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc")), "classes")
+    classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc")), "classes")
     light = boundary(classes, rule)
-    subsets, blocks = keyed(docs, rule, light)
-    links = light_links(subsets, rule)
-    clusters = components(list_links(blocks))
-    links = saved(links.unionByName(cluster_links(docs, classes, clusters, rule)), "links")
+    links = light_links(saved(light_rows(docs, rule, light), "subsets"), rule)
+    members = in_clusters(list_links(block_rows(docs, rule, light)), classes)
+    large = members.where("parts > 1")
+    if not large.isEmpty():
+        again = in_clusters(dealt_again(docs, rule, large), classes)
+        members = saved(members.where("parts = 1").unionByName(again), "members")
+    links = saved(links.unionByName(cluster_links(docs, members, rule)), "links")
     labels = components(links)
-    named = classes.join(labels, classes["sig"] == labels["node"], "left").select("sig", F.coalesce("root", "sig").alias("root"), "doc")
+    named = classes.join(labels, classes["set"] == labels["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "doc")
     names = named.groupBy("root").agg(F.min("doc").alias("component_id"))
-    named = saved(named.join(names, "root").select(F.col("sig").alias("of"), "root", "component_id"), "named")
-    return (rows.join(named, rows["sig"] == named["of"], "left")
-            .select("doc_id", "sig", "n", "root", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    named = saved(named.join(names, "root").select(F.col("set").alias("of"), "root", "component_id"), "named")
+    return (rows.join(named, rows["set"] == named["of"], "left")
+            .select("doc_id", "set", "n", "root", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with the smallest id stays.
 
-    Rows without words all stay. Ids come before no id; of several rows with that id, the smallest signature, then
+    Rows without words all stay. Ids come before no id; of several rows with that id, the smallest set id, then
     the smallest hash of the whole row decides.
     """
     rows = saved(joined(docs, rule), "joined")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig"))
-    kept = rows.where("sig IS NOT NULL").groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.sig")
-    same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.sig") == F.col("k.sig"))
-    kept = saved(rows.alias("r").join(kept.alias("k"), same).groupBy("r.doc_id", "r.sig")
-                 .agg(F.count("*").alias("times")).toDF("kept_id", "kept_sig", "times"), "kept")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set"))
+    kept = rows.where("set IS NOT NULL").groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.set")
+    same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.set") == F.col("k.set"))
+    kept = saved(rows.alias("r").join(kept.alias("k"), same).groupBy("r.doc_id", "r.set")
+                 .agg(F.count("*").alias("times")).toDF("kept_id", "kept_set", "times"), "kept")
 
     at, at_id = docs.columns.index("text"), docs.columns.index("doc_id")
 
     def sign(batches):
         for batch in batches:
-            sigs = pa.array([signature(s) for s in shingle_sets(batch.column(at), rule.size)], pa.binary())
+            sets = pa.array(map(set_id, shingle_sets(batch.column(at), rule.size)), pa.int64())
             whole = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
-            yield pa.RecordBatch.from_arrays([whole, batch.column(at_id), sigs], names=["row", "id", "sig"])
+            yield pa.RecordBatch.from_arrays([whole, batch.column(at_id), sets], names=["row", "id", "set"])
 
     marked = in_batches(docs, sign, StructType([StructField("row", docs.schema), StructField("id", docs.schema["doc_id"].dataType),
-                                                StructField("sig", BinaryType())]))
-    found = marked.join(kept, marked["id"].eqNullSafe(kept["kept_id"]) & (marked["sig"] == kept["kept_sig"]))
-    out = found.where("times = 1").select("row.*").unionByName(marked.where("sig IS NULL").select("row.*"))
+                                                StructField("set", LongType())]))
+    found = marked.join(kept, marked["id"].eqNullSafe(kept["kept_id"]) & (marked["set"] == kept["kept_set"]))
+    out = found.where("times = 1").select("row.*").unionByName(marked.where("set IS NULL").select("row.*"))
     if not kept.where("times > 1").isEmpty():
-        place = Window.partitionBy("id", "sig").orderBy(F.xxhash64("row"))
+        place = Window.partitionBy("id", "set").orderBy(F.xxhash64("row"))
         out = out.unionByName(found.where("times > 1").withColumn("place", F.row_number().over(place)).where("place = 1").select("row.*"))
     return out
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from millrace.llm.tables import STEP_BYTES
+from millrace.llm.tables import STEP_BYTES, in_batches
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
@@ -137,3 +137,38 @@ def sums_between(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return np.diff(total[edges])
+
+
+#: Bits of a table that says which hashes may be in a set.
+TABLE_BITS = 24
+
+
+class BitTable:
+    """A set of 64-bit hashes by their first bits: never denies one that is in it. 2 MB, whatever it holds."""
+
+    def __init__(self, packed: np.ndarray | None = None):
+        self.bits = np.zeros(1 << TABLE_BITS, bool) if packed is None else np.unpackbits(packed).astype(bool)
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.bits[(hashes >> U(64 - TABLE_BITS)).astype(np.int64)] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        return self.bits[(hashes >> U(64 - TABLE_BITS)).astype(np.int64)]
+
+    def packed(self) -> np.ndarray:
+        return np.packbits(self.bits)
+
+
+def bit_table(frame, hashes_of) -> np.ndarray:
+    """The packed table of all hashes in a frame; ``hashes_of`` gives those of a batch. Each task sends one table."""
+
+    def run(batches):
+        own = BitTable()
+        for batch in batches:
+            own.add(hashes_of(batch))
+        yield pa.RecordBatch.from_arrays([pa.array([own.packed().tobytes()], pa.binary())], names=["bits"])
+
+    merged = np.zeros(1 << TABLE_BITS >> 3, np.uint8)
+    for row in in_batches(frame, run, "bits binary").toLocalIterator():
+        merged |= np.frombuffer(row["bits"], np.uint8)
+    return merged
