@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.tables import documents, in_batches, saved
-from millrace.llm.words import BYTE_VALUE, U, Hasher, mixed, steps
+from millrace.llm.words import BYTE_VALUE, BitTable, U, Hasher, bit_table, mixed, steps
 
 LENGTH = 200
 #: Bytes that an anchor is picked by, and places of which the one with the smallest hash is the anchor.
@@ -46,7 +46,6 @@ CHECK_VALUE = mixed(BYTE_VALUE)
 MERGE_ROWS, HOT_ROWS = 20_000, 100_000
 #: Texts that a task remembers, to pass on copies once only.
 SEEN = 200_000
-FILTER_BITS = 24
 
 
 def text_key(text: bytes) -> int:
@@ -109,8 +108,20 @@ def measured(docs: DataFrame) -> DataFrame:
     return saved(in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, text_key long, n_bytes long, whole_sha256 string"), "measured")
 
 
+PLACES = "key long, text_key long, places array<int>"
+
+
+def _placed(key: np.ndarray, text: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """One row for each key and text, with all places: a text that repeats itself has one row, not thousands."""
+    order = np.lexsort((at, key, text))
+    key, text, at = key[order], text[order], at[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])) if len(key) else [])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)).astype(np.int32)), pa.array(at.astype(np.int32)))
+    return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(text[first]), lists], names=["key", "text_key", "places"])
+
+
 def shard_suffixes(docs: DataFrame) -> DataFrame:
-    """Every anchor suffix of every different text: hash of its sure bytes, its text, its place."""
+    """Every anchor suffix of every different text: hash of its sure bytes, its text, its places."""
 
     def run(batches):
         seen: set[int] = set()
@@ -119,39 +130,36 @@ def shard_suffixes(docs: DataFrame) -> DataFrame:
                 hashed = Hasher(data)
                 text, anchor, _, _ = anchors(data, offsets, hashed)
                 text, anchor = text[fresh[text]], anchor[fresh[text]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashed(anchor, anchor + SURE).view(np.int64)), pa.array(keys[text]),
-                    pa.array((anchor - offsets[text]).astype(np.int32))], names=["key", "text_key", "at"])
+                yield _placed(hashed(anchor, anchor + SURE).view(np.int64), keys[text], anchor - offsets[text])
 
-    return in_batches(docs.select("text"), run, "key long, text_key long, at int")
+    return in_batches(docs.select("text"), run, PLACES)
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """The rows (``key``, ``text_key``, ``at``) whose key another text or place has too, in sorted streams."""
+    """The rows (``PLACES``) whose key another text or place has too, in sorted streams."""
 
     def run(batches):
-        held = None  # the last row so far, and whether it has been given out
+        held, given = None, False  # the last row so far, and whether it has been given out
         for batch in batches:
             if not batch.num_rows:
                 continue
-            row = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3)], axis=1)
             if held is not None:
-                row = np.concatenate([held[0][None], row])
-            row = row[np.append(True, (row[1:] != row[:-1]).any(axis=1))]
-            same = row[1:, 0] == row[:-1, 0]
-            out = np.zeros(len(row), bool)
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key, text = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            size = np.diff(batch.column(2).offsets.to_numpy())
+            fresh = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))  # copies may come from several tasks
+            at = np.flatnonzero(fresh)
+            same = key[at][1:] == key[at][:-1]
+            out = size[at] > 1
             out[1:] |= same
             out[:-1] |= same
-            if held is not None:
-                out[0] &= not held[1]
-            given = bool(out[-1]) or (held is not None and held[1] and len(row) == 1)
-            held = (row[-1], given)
-            row = row[out]
-            yield pa.RecordBatch.from_arrays([pa.array(row[:, 0]), pa.array(row[:, 1]), pa.array(row[:, 2].astype(np.int32))],
-                                             names=["key", "text_key", "at"])
+            out[0] &= not given
+            given = bool(out[-1]) or (given and len(at) == 1)
+            held = batch.slice(int(at[-1]), 1)
+            yield batch.take(pa.array(at[out]))
 
-    sorted_rows = rows.repartition("key").sortWithinPartitions("key", "text_key", "at")
-    return in_batches(sorted_rows, run, "key long, text_key long, at int")
+    sorted_rows = rows.repartition("key").sortWithinPartitions("key", "text_key")
+    return in_batches(sorted_rows, run, PLACES)
 
 
 def texts_with(docs: DataFrame, lists: DataFrame) -> DataFrame:
@@ -160,24 +168,16 @@ def texts_with(docs: DataFrame, lists: DataFrame) -> DataFrame:
     A bit table of fixed size keeps most other texts out of the shuffle; the join decides.
     """
 
-    def mark(batches):
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> U(64 - FILTER_BITS)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
-
-    merged = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in in_batches(lists.select("text_key"), mark, "bits binary").toLocalIterator():
-        merged |= np.frombuffer(row["bits"], np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(merged)
+    known = bit_table(lists.select("text_key"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         seen: set[int] = set()
-        bits = np.unpackbits(sent.value).astype(bool)
+        wanted = BitTable(sent.value)
         for batch in batches:
             keys, texts = [], []
             for data, offsets, key, fresh in distinct_texts(batch, 0, seen):
-                for i in np.flatnonzero(fresh & bits[key.view(np.uint64) >> U(64 - FILTER_BITS)]):
+                for i in np.flatnonzero(fresh & wanted(key.view(np.uint64))):
                     keys.append(int(key[i]))
                     texts.append(data[offsets[i]:offsets[i + 1]].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary())], names=["text_key", "text"])
@@ -319,25 +319,26 @@ def single_strings(texts: DataFrame) -> DataFrame:
                 there = np.isin(anchor, wanted.values.to_numpy(zero_copy_only=False))
                 first, number = first[there], (last - first + 1)[there]
                 starts = np.arange(number.sum()) + np.repeat(first - (np.cumsum(number) - number), number)
-                yield pa.RecordBatch.from_arrays([pa.array(hashed(starts, starts + LENGTH).view(np.int64)), pa.array(np.full(len(starts), key)),
-                                                  pa.array(starts.astype(np.int32))], names=["key", "text_key", "at"])
+                yield _placed(hashed(starts, starts + LENGTH).view(np.int64), np.full(len(starts), key), starts)
 
-    return in_batches(texts.select("text_key", "text", "places"), run, "key long, text_key long, at int")
+    return in_batches(texts.select("text_key", "text", "places"), run, PLACES)
 
 
 def repeated(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Covered intervals of the different texts, in bytes; they may overlap."""
     candidates = saved(shared(shard_suffixes(docs)), "suffixes")
-    hot = saved(candidates.groupBy("key").count().where(F.col("count") > hot_rows).select(F.col("key").alias("hot_key")), "hot")
+    hot = saved(candidates.groupBy("key").agg(F.sum(F.size("places")).alias("rows")).where(F.col("rows") > hot_rows)
+                .select(F.col("key").alias("hot_key")), "hot")
     marked = candidates.join(hot, candidates["key"] == hot["hot_key"], "left")
 
     def lists(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("text_key").agg(F.collect_list("at").alias("places"))
+        return rows.groupBy("text_key").agg(F.flatten(F.collect_list("places")).alias("places"))
 
     found = merged(contexts(texts_with(docs, lists(marked.where("hot_key IS NULL")))))
     if not hot.isEmpty():
         single = shared(single_strings(texts_with(docs, lists(marked.where("hot_key IS NOT NULL")))))
-        found = found.unionByName(single.select("text_key", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("stop")))
+        single = single.select("text_key", F.explode("places").alias("start"))
+        found = found.unionByName(single.withColumn("stop", F.col("start") + LENGTH))
     return saved(found, "intervals")
 
 
