@@ -43,8 +43,10 @@ ASSIGN_LENGTH = 12
 SCORED_LENGTH, LEARNED_LENGTH = 16, 12
 #: Log likelihood ratio, in thousandths, from which a token is a secret.
 BOUND = 12_000
-#: Added to every transition's count.
-SMOOTHING = 0.5
+#: Added to every character's count, and weight of the characters' own shares in those of transitions.
+SMOOTHING, BACKOFF = 0.5, 20
+#: Taken off every transition's count.
+DISCOUNT = 1
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -72,22 +74,26 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
 def train(samples: DataFrame) -> list[int] | None:
     """Log ratios in thousandths for every pair of characters, from ``value`` and ``random`` (true or false).
 
+    Equal samples count once.
+
     Transitions are counted in the cluster; at most one row for each pair of characters comes to the driver.
     """
     pairs = F.transform(F.sequence(F.lit(1), F.length("value") - 1), lambda i: F.substr("value", i, F.lit(2)))
-    counts = (samples.where(F.length("value") > 1).select(F.explode(pairs).alias("pair"), "random")
+    counts = (samples.where(F.length("value") > 1).distinct().select(F.explode(pairs).alias("pair"), "random")
               .groupBy("pair").agg(F.count(F.when(F.col("random"), 1)).alias("random"),
                                    F.count(F.when(~F.col("random"), 1)).alias("ordinary")).collect())
-    table = np.full((2, SIZE, SIZE), SMOOTHING)
-    seen = np.zeros(2)
+    table = np.zeros((2, SIZE, SIZE))
     for r in counts:
         a, b = (ALPHABET.find(c) + 1 for c in r["pair"])
-        table[0, a, b] += r["random"]
-        table[1, a, b] += r["ordinary"]
-        seen += (r["random"], r["ordinary"])
-    if not seen.all():
+        table[:, a, b] += (r["random"], r["ordinary"])
+    if not table.any(axis=(1, 2)).all():
         return None
-    chances = table / table.sum(axis=2, keepdims=True)
+    # what a single token shows is no habit: the scored token is among the samples itself
+    table = np.maximum(table - DISCOUNT, 0)
+    # after a character that a model has hardly seen, its characters' shares decide
+    alone = table.sum(axis=1, keepdims=True) + SMOOTHING
+    alone /= alone.sum(axis=2, keepdims=True)
+    chances = (table + BACKOFF * alone) / (table.sum(axis=2, keepdims=True) + BACKOFF)
     return [round(1000 * math.log(x)) for x in (chances[0] / chances[1]).ravel()]
 
 
