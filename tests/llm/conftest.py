@@ -1,0 +1,77 @@
+"""Small tables with every odd row the operators must bear."""
+
+import random
+
+import pytest
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, size string, n int, row string"
+LABELS = "doc_id long, quality long, toxic long"
+
+
+def sentence(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}x" for _ in range(n))
+
+
+def odd_rows():
+    """Nulls in every column, empty and long texts, repeated rows and ids, signs beyond ASCII, copies."""
+    rng = random.Random(5)
+    base = sentence(rng, 300)
+    texts = [None, "", " \n\t", "one", "Two words", "é😀 ünï\x00cödé Çà", base, base, base + " tail", base.upper(),
+             base.replace("w1", "W1"), sentence(rng, 60) + "\n" + "same line here\n" * 4, "x" * 70_000,
+             "a b " * 9000, sentence(rng, 20_000), "The The The " * 200]
+    rows = [(i, t, "en", f"src{i % 3}", len(t or ""), "k", None, i, "r") for i, t in enumerate(texts)]
+    rows += [rows[6], rows[6], (None, base, None, None, None, None, None, None, None),
+             (None, None, None, None, None, None, None, None, None), (6, "another text under an id in use", "de", None, 1, "", "", 0, "")]
+    for i in range(100, 160):
+        text = sentence(rng, rng.choice([5, 12, 25, 40, 120]), 60)
+        rows.append((i, text, "en", rng.choice(["src0", "src1", "é", "Z", None]), len(text), "k", "s", 1, "r"))
+        words = text.split()
+        words[rng.randrange(len(words))] = "changed"
+        rows.append((i + 1000, " ".join(words), "fr", "src9", 1, "k", "s", 1, "r"))
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd(spark, tmp_path_factory):
+    """A folder of tables of odd rows."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    rows = odd_rows()
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, i % 2, (i // 2) % 2) for i in range(100, 160)] + [(None, 1, 1), (6, 1, None), (6, None, 0)]
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    words = rows[6][1].split()
+    items = [("7", " ".join(words[40:55])), ("é", "Two WORDS"), (None, " ".join(words[100:112])), ("7", " ".join(words[200:230])),
+             ("none", None), ("", ""), ("b", "never seen anywhere in these documents at all, not once")]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def bare(spark, tmp_path_factory):
+    """The same tables without rows."""
+    folder = str(tmp_path_factory.mktemp("bare"))
+    for name, schema in (("documents", SCHEMA), ("labels", LABELS), ("benchmark", "item_id string, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def read(spark):
+    def rows(folder, name="documents"):
+        return [r.asDict() for r in spark.read.parquet(f"{folder}/{name}.parquet").collect()]
+
+    return rows
+
+
+@pytest.fixture(scope="session")
+def same():
+    """Asserts that two collections of rows hold the same, in any order."""
+
+    def check(got, want):
+        got, want = sorted(map(repr, got)), sorted(map(repr, want))
+        assert len(got) == len(want)
+        differing = [(g, w) for g, w in zip(got, want) if g != w]
+        assert not differing, differing[:3]
+
+    return check

@@ -1,0 +1,76 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from millrace.llm import decontamination as dc
+from tests.llm.conftest import SF
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def expected(docs, items, window=10):
+    found = defaultdict(set)
+    for item in items:
+        w = words(item["text"])
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            found[tuple(w[k:k + n])].add("null" if item["item_id"] is None else item["item_id"])
+    for d in docs:
+        w, hit, names = words(d["text"]), set(), set()
+        for n in {len(g) for g in found}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in found:
+                    names |= found[tuple(w[k:k + n])]
+                    hit.update(range(k, k + n))
+        digest = hashlib.sha256(",".join(sorted(map(str, names))).encode()).hexdigest()
+        yield d["doc_id"], len(w), len(hit), len(names), digest, bool(hit)
+
+
+@pytest.mark.parametrize("folder", ["odd", SF])
+@pytest.mark.parametrize("chunk", [40, 100_000])
+def test_hits(spark, request, read, same, monkeypatch, folder, chunk):
+    folder = folder if "/" in folder else request.getfixturevalue(folder)
+    if folder == SF and chunk == 40:
+        chunk = 2000
+    monkeypatch.setattr(dc, "CHUNK_WORDS", chunk)
+    out = dc.op6_decontaminate_index(spark, folder).collect()
+    same([tuple(r) for r in out], expected(read(folder), read(folder, "benchmark")))
+    assert any(r["contaminated"] for r in out)
+
+
+def test_proximity(spark):
+    phrase = "alpha beta gamma delta epsilon"
+    docs = spark.createDataFrame([
+        (1, f"x {phrase} y"), (2, "alpha beta or gamma delta epsilon"), (3, "alpha beta one two three gamma delta epsilon"),
+        (4, "epsilon delta gamma beta alpha"), (5, "alpha beta gamma delta"), (6, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", phrase)], "item_id string, text string")
+    out = {r["doc_id"]: r for r in dc.find(docs, items, slack=1).collect()}
+    assert [(h["item"], h["item_at"], h["doc_at"], h["length"]) for h in out[1]["exact"]] == [("i", 0, 1, 5)]
+    assert not any(out[d]["exact"] for d in (2, 3, 4, 5, 6))
+    assert sorted(d for d in out if out[d]["near"]) == [1, 2]
+    for slack, want in ((4, {1, 2, 3}), (8, {1, 2, 3, 4})):
+        assert {r["doc_id"] for r in dc.find(docs, items, slack=slack).where("size(near) > 0").collect()} == want
+
+
+def test_places_do_not_cross_documents(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four five six")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([("i", "two three four five")], "item_id string, text string")
+    assert dc.find(docs, items, slack=2).where("size(exact) + size(near) > 0").isEmpty()
+
+
+def test_clean_documents_stay(spark, odd, bare, read):
+    docs, items = (spark.read.parquet(f"{odd}/{t}.parquet") for t in ("documents", "benchmark"))
+    hit = [e[5] for e in expected(read(odd), read(odd, "benchmark"))]
+    want = sorted(repr(tuple(d.values())) for d, h in zip(read(odd), hit) if not h)
+    kept = dc.clean_documents(docs, items)
+    assert kept.columns == docs.columns and sorted(repr(tuple(r)) for r in kept.collect()) == want
+    none = spark.read.parquet(f"{bare}/benchmark.parquet")
+    assert dc.clean_documents(docs, none).count() == docs.count()
+    assert dc.op6_decontaminate_index(spark, bare).count() == 0

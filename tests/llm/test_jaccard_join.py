@@ -1,0 +1,172 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import jaccard_join as jj
+from millrace.llm.components import components
+from tests.llm.conftest import SF
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def shingles(text, size):
+    w = WORD.findall((text or "").translate(LOWER))
+    return frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
+
+
+def groups(texts, rule):
+    """Root place of every text, by comparing all pairs of different sets."""
+    sets = [shingles(t, rule.size) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    first = {}
+    for i, s in enumerate(sets):
+        if s:
+            root[find(i)] = find(first.setdefault(s, i))
+    distinct = list(first.items())
+    for k, (a, i) in enumerate(distinct):
+        for b, j in distinct[:k]:
+            shared = len(a & b)
+            if 100 * shared >= rule.percent * (len(a) + len(b) - shared):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(texts))], sets
+
+
+def expected(docs, rule):
+    root, sets = groups([d["text"] for d in docs], rule)
+    smallest = defaultdict(lambda: None)
+    for d, r in zip(docs, root):
+        if d["doc_id"] is not None:
+            smallest[r] = d["doc_id"] if smallest[r] is None else min(smallest[r], d["doc_id"])
+    return [(d["doc_id"], len(s), smallest[r]) for d, r, s in zip(docs, root, sets)]
+
+
+@pytest.mark.parametrize("rule", [jj.Rule(3, 90), jj.Rule(5, 80), jj.Rule(1, 60)])
+def test_components_of_odd_rows(spark, odd, read, same, rule):
+    got = jj.joined(spark.read.parquet(f"{odd}/documents.parquet"), rule)
+    same([(r["doc_id"], r["n"], r["component_id"]) for r in got.collect()], expected(read(odd), rule))
+
+
+def test_query(spark, read, same, bare):
+    same([tuple(r) for r in jj.op7_jaccard_components(spark, SF).collect()], expected(read(SF), jj.Rule(3, 90)))
+    assert jj.op7_jaccard_components(spark, bare).count() == 0
+
+
+def near_texts(seed, sizes, number=120):
+    """Families of texts that differ in a few words, so that many pairs lie near the bound."""
+    rng = random.Random(seed)
+    out = []
+    while len(out) < number:
+        words = [f"v{rng.randrange(10_000)}" for _ in range(rng.choice(sizes))]
+        for _ in range(6):
+            copy = list(words)
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(copy))
+                if rng.random() < 0.5:
+                    copy[at] = f"v{rng.randrange(10_000)}"
+                else:
+                    copy.insert(at, f"v{rng.randrange(10_000)}")
+            out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("light", [1, 12, 25])
+@pytest.mark.parametrize("rule", [jj.Rule(1, 90), jj.Rule(1, 80), jj.Rule(3, 90)])
+def test_no_link_is_lost_on_either_side_of_the_boundary(spark, monkeypatch, same, light, rule):
+    texts = near_texts(light, [6, 10, 14, 20, 26, 40, 90])
+    docs = [{"doc_id": i, "text": t} for i, t in enumerate(texts)]
+    monkeypatch.setattr(jj, "boundary", lambda classes, rule: light)
+    monkeypatch.setattr(jj, "CHUNK_SETS", 3)  # clusters in several chunks
+    monkeypatch.setattr(jj, "LONG", 2)  # and most sets dealt again
+    got = jj.joined(spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id long, text string").repartition(3), rule)
+    same([(r["doc_id"], r["n"], r["component_id"]) for r in got.collect()], expected(docs, rule))
+
+
+def test_similar_sets_share_a_block():
+    rng = np.random.default_rng(1)
+    for rule in (jj.Rule(3, 90), jj.Rule(5, 80), jj.Rule(5, 60)):
+        for n in (1, 2, 5, 9, 20, 21, 60, 300):
+            for _ in range(30):
+                a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+                out = rng.integers(0, rule.most_different(n, n) + 1)
+                b = np.unique(np.concatenate([a[out // 2:], rng.integers(0, 1 << 63, out - out // 2, dtype=np.uint64)]))
+                a = np.unique(a)
+                shared = len(np.intersect1d(a, b))
+                if rule.similar(shared, len(a), len(b)):
+                    assert set(jj.block_keys(a, rule)) & set(jj.block_keys(b, rule))
+
+
+def test_lists_are_followed_or_named(spark):
+    rows = [(k, s) for k in range(40) for s in range(k + 1)] + [(7, 3), (7, 3), (30, 2)]
+    df = spark.createDataFrame(rows, "key long, set long").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = [tuple(r) for r in jj.scanned(df, 10).collect()]
+        every = {tuple(r) for r in jj.scanned(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(a for a, b in out if b is None) == list(range(10, 40))
+    assert {x for x in out if x[1] is not None} == {(n + 1, n) for n in range(9)}
+    assert every == {(n + 1, n) for n in range(39)}
+
+
+def test_boundary_minds_the_sizes(spark):
+    rule = jj.Rule(3, 90)
+    small = spark.createDataFrame([(8,)] * 50, "n long")
+    large = spark.createDataFrame([(40,)] * 50, "n long")
+    assert jj.boundary(small, rule) >= 8
+    assert jj.boundary(large, rule) < 40
+
+
+def test_one_of_each(spark, odd, read, bare):
+    rule = jj.Rule(5, 80)
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    kept = jj.one_of_each(docs, rule)
+    assert kept.columns == docs.columns
+    got = [r.asDict() for r in kept.collect()]
+    rows = read(odd)
+    root, sets = groups([d["text"] for d in rows], rule)
+    empty = sum(1 for s in sets if not s)
+    assert len(got) == len({r for r, s in zip(root, sets) if s}) + empty
+    every = [repr(d) for d in rows]
+    assert all(repr(d) in every for d in got)
+    smallest = {}
+    for d, r, s in zip(rows, root, sets):
+        if s and d["doc_id"] is not None:
+            smallest[r] = min(smallest.get(r, d["doc_id"]), d["doc_id"])
+    assert {d["doc_id"] for d in got if shingles(d["text"], 5) and d["doc_id"] is not None} == set(smallest.values())
+    assert jj.one_of_each(spark.read.parquet(f"{bare}/documents.parquet"), rule).count() == 0
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random"])
+def test_graph_components(spark, shape):
+    rng = random.Random(4)
+    links = {"chain": [(i, i + 1) for i in range(300)], "star": [(1000, i) for i in range(300)],
+             "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]}[shape]
+    root = {x: x for e in links for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    got = defaultdict(set)
+    for r in components(spark.createDataFrame(links, "a long, b long")).collect():
+        got[r["root"]].add(r["node"])
+    want = defaultdict(set)
+    for x in root:
+        want[find(x)].add(x)
+    loops = {a for a, b in links if a == b}
+    assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1 or not v <= loops)
