@@ -177,12 +177,16 @@ def append_batch(spark, sf):
 
 
 def replace_run_slice(spark, sf):
+    """Slices of one run and tenant: all written, some replaced at once, one replaced and one cleared by name."""
     t = Tables(spark, sf)
     path = work_path(spark, "slices")
-    orders = t("orders").select(*ORDER_COLUMNS, F.col("o_orderstatus").alias("run_id"))
-    sinks.replace_slice(orders, path, ["run_id"])
-    sinks.replace_slice(orders.where("run_id = 'F'"), path, ["run_id"])
-    return spark.read.parquet(path).select("run_id", *ORDER_COLUMNS)
+    orders = t("orders").select(*ORDER_COLUMNS, F.col("o_orderstatus").alias("run_id"), F.col("o_orderpriority").alias("tenant"))
+    sinks.replace_slice(orders, path, ["run_id", "tenant"])
+    sinks.replace_slice(orders.where("run_id = 'F'"), path, ["run_id", "tenant"])
+    one = orders.where("run_id = 'O' AND tenant = '4-NOT SPECIFIED'")
+    sinks.replace_run(one, path, run_id="O", tenant="4-NOT SPECIFIED")
+    sinks.replace_run(one.limit(0), path, run_id="P", tenant="5-LOW")
+    return spark.read.parquet(path).select("run_id", "tenant", *ORDER_COLUMNS)
 
 
 def truncate_recreate(spark, sf):
@@ -301,8 +305,9 @@ QUERIES = {
                o_orderpriority FROM orders
     """),
     "replace_run_slice": Query(replace_run_slice, """
-        SELECT o_orderstatus AS run_id, o_orderkey, o_custkey, o_orderstatus, o_orderpriority
-        FROM orders
+        SELECT o_orderstatus AS run_id, o_orderpriority AS tenant, o_orderkey, o_custkey, o_orderstatus,
+               o_orderpriority
+        FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
     """),
     "truncate_recreate": Query(truncate_recreate, """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.hashing import content_hash
+from millrace.sinks import folders
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -47,15 +48,14 @@ def replace_slice(df: DataFrame, path: str, partition_by: Sequence[str]) -> None
     )
 
 
-def replace_run(
-    df: DataFrame, path: str, run: str, run_col: str = "workflow_id",
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Replace all rows of one run, also when the new result is empty.
+def replace_run(df: DataFrame, path: str, partition_by: Sequence[str] = (), **slice_) -> None:
+    """Replace all rows of one slice, such as a run or a run and tenant, also when the new result is empty.
 
-    The run is a folder of the table, so writing it anew clears what an earlier try left there.
+    The slice (``workflow_id="w"``, ``organization_id="o"``, ...) is a folder of the table, in the order given, so
+    writing it anew clears what an earlier try left there. Values may hold any sign.
     """
-    recreate(df.drop(run_col), f"{path}/{run_col}={run}", partition_by)
+    folder = folders.partition_folder(df.sparkSession, **slice_)
+    recreate(df.drop(*slice_), f"{path}/{folder}", partition_by)
 
 
 def truncate(df_like: DataFrame, path: str) -> None:

@@ -176,8 +176,8 @@ def test_replacing_a_run(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "run", "org", "v") == [("a", "x", 1), ("a", "y", 3), ("b", "x", 2)]
     runs = str(tmp_path / "runs")
     for run in ("a", "b"):
-        sinks.replace_run(df.where(F.col("run") == run), runs, run, "run")
-    sinks.replace_run(df.limit(0), runs, "b", "run")  # the repeated run finds nothing
+        sinks.replace_run(df.where(F.col("run") == run), runs, run=run)
+    sinks.replace_run(df.limit(0), runs, run="b")  # the repeated run finds nothing
     assert rows(spark.read.parquet(runs), "run", "v") == [("a", 1), ("a", 3)]
     sinks.truncate(df, path)
     assert spark.read.schema(df.schema).parquet(path).count() == 0
@@ -274,3 +274,28 @@ def test_queue_lists(spark, rows):
     assert [r.id for r in jobs.sort_by(df, "created", "id").collect()] == [3, 2, 1]
     taken = spark.createDataFrame([(1,)], "id int")
     assert rows(quality.insert_if_absent(taken, df, ["id"]), "id") == [(2,), (3,)]
+
+
+def test_slices_of_run_and_tenant(spark, tmp_path, rows):
+    """One tenant's slice is replaced, whatever signs the names hold; the run's others stay."""
+    table = str(tmp_path / "t")
+    df = spark.createDataFrame([(r, t, i) for r in ("a/1", "b%2") for t in ("x:y", "z=") for i in range(2)], "run string, tenant string, i int")
+    for r in ("a/1", "b%2"):
+        for t in ("x:y", "z="):
+            sinks.replace_run(df.where((F.col("run") == r) & (F.col("tenant") == t)), table, run=r, tenant=t)
+    sinks.replace_run(df.limit(0), table, run="a/1", tenant="z=")
+    got = rows(spark.read.parquet(table), "run", "tenant", "i")
+    assert got == sorted(((r, t, i) for r, t, i in map(tuple, df.collect()) if (r, t) != ("a/1", "z=")), key=repr)
+
+
+def test_zero_and_false_are_filters(spark, rows):
+    df = spark.createDataFrame([(0, False, "a"), (1, True, "")], "n int, b boolean, t string")
+    assert rows(jobs.where_given(df, n=0), "n") == [(0,)] == rows(jobs.where_given(df, b=False), "n")
+    assert jobs.where_given(df, n=None, t="").count() == 2
+    assert jobs.tenant_count(df, n=0).first().row_count == 1
+    requests = spark.createDataFrame([(1, 0, 1, "s", datetime(2024, 1, 1)), (2, 5, 1, "s", datetime(2024, 1, 1))],
+                                     "id int, user_id int, access_id int, status string, created_at timestamp_ntz")
+    users = spark.createDataFrame([(0, "zero"), (5, "five")], "id int, name string")
+    accesses = spark.createDataFrame([(1, "d")], "id int, description string")
+    assert rows(access.access_join(requests, accesses, users, user_id=0), "user_name") == [("zero",)]
+    assert access.access_join(requests, accesses, users).count() == 2
