@@ -5,16 +5,19 @@ Texts of equal sets are one class; only classes are joined. The join is size-awa
 * Light sets (small): every subset that is as large as an overlap with a similar set can be is enumerated. Two
   sets that share such a subset, large enough for both sizes, are similar: that is a link, without comparing.
 * Heavy sets: the shingles are dealt by hash into more blocks than the differences that similarity allows, so
-  similar sets agree on a whole block. Inverted lists of blocks are scanned; sets that share a list, directly
-  or by way of others, form a cluster, and within clusters the sets themselves are compared, in chunks of bounded
-  size. A list of a single shingle would hold every text with a common passage; few lists of blocks do.
-* Clusters of more than a chunk, which such lists leave, are dealt again, without the shingles that many of their
-  sets have: similar sets lose the same ones, so they still agree on a block. What stays large is compared chunk
-  by chunk.
+  similar sets agree on a whole block. Inverted lists of blocks are scanned. A list of a single shingle would hold
+  every text with a common passage; few lists of blocks do.
+* Lists that are long all the same are left out at first. The shingles in their blocks are frequent; sets that are
+  in long lists are dealt again without frequent shingles. Similar sets lose the same ones, so they still agree on
+  a block.
+* Within a list, sets are told apart by sketches: how many shingles fall into each of some ranges of hashes. The
+  sketches of similar sets differ by no more than the sets, so no pair is missed, and most unlike sets that only
+  share a passage part here. What is left, directly or by way of others, forms a cluster, and within clusters the
+  sets themselves are compared, in chunks of bounded size.
 
 The boundary is the size for which the estimated rows of both ways are fewest, from a histogram of sizes. Sets a
 little below it take part in both, so no pair is missed. Nothing is emitted for all pairs of a list or cluster:
-lists give chains, clusters give one link for each set they join.
+lists and clusters give one link for each set they join.
 
 An empty block says nothing, so some spare blocks are dealt; a set that still has more empty ones than spares is
 dealt once more with another hash, as often as it takes.
@@ -50,8 +53,10 @@ LARGEST_LIGHT = 64
 COMPARE = 0.25
 #: Most shingles and sets of a chunk.
 CHUNK_SHINGLES, CHUNK_SETS = 1 << 20, 1024
-#: Sets of a large cluster that a shingle must be in to be left out when the cluster is dealt again.
-FREQUENT = 16
+#: Longest list of a block that is followed without dealing its sets again.
+LONG = 1024
+#: Shingles to a range of a sketch, and sets of a list that are held against as many others at once.
+SKETCHED, SIDE_BY_SIDE = 8, 256
 #: Sets that a task remembers, to pass on each once only, and rows that it sends on together.
 SEEN, SENT_ROWS = 200_000, 50_000
 
@@ -109,18 +114,34 @@ def set_id(shingles: np.ndarray) -> int | None:
     return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Numbers of shingles in equal ranges of hashes, to 255; a power of two of ranges, more for larger sets."""
+    bits = max(0, (len(shingles) // SKETCHED).bit_length())
+    if not bits:
+        return np.array([min(len(shingles), 255)], np.uint8)
+    counts = np.bincount((shingles >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of as many ranges as the shortest has. Where 255 stands for more, sums are no larger than true."""
+    width = min(map(len, sketches))
+    rows = (np.frombuffer(s, np.uint8).astype(np.int32) for s in sketches)
+    return np.stack([r if len(r) == width else r.reshape(width, -1).sum(axis=1) for r in rows])
+
+
 def signed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One slim row for each document: id, set and size of the set."""
+    """One slim row for each document: id, set, size and sketch of the set."""
 
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), rule.size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                names=["doc_id", "set", "n"])
+                [batch.column(0), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "set", "n", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, set long, n long")
+    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, set long, n long, sketch binary")
 
 
 def different_sets(batches, rule: Rule, wanted: Callable[[int], bool]) -> Iterator[tuple[int, np.ndarray]]:
@@ -186,14 +207,14 @@ def subset_keys(shingles: np.ndarray, rule: Rule) -> Iterator[tuple[int, int, in
                        int((b - second[out].sum(dtype=np.uint64)).view(np.int64)), n - d)
 
 
-def block_keys(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None, salt: int = 0) -> np.ndarray:
-    """A hash of every block that is not empty, for both levels that the set takes part in.
+def blocks_of(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each dealing of a set: a hash of every block that is not empty, where it starts and ends, and what is dealt.
 
-    With ``rest``, the shingles that are not left out, blocks are of those, and of all only if too many are empty.
+    A set is dealt for its own level and the one below. With ``rest``, the shingles that are not left out, blocks are
+    of those, and of all only if too many are empty.
     """
     level = rule.level(len(shingles))
-    found = []
-    for at in {level, max(level - 1, 0)}:
+    for at in sorted({level, max(level - 1, 0)}):
         number, spare = rule.blocks(at)
         bounds = np.arange(1, number, dtype=np.uint64) * U((1 << 64) // number)
         dealt, deal = (shingles, 1) if rest is None else (rest, 0)
@@ -203,13 +224,16 @@ def block_keys(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None,
             sums = np.zeros(len(dealt) + 1, np.uint64)
             np.cumsum(mixed(dealt + U(0x2545F4914F6CDD1D)), out=sums[1:])
             full = np.flatnonzero(np.diff(edges))
-            name = mixed(mixed(full.astype(np.uint64) + U(salt)) + U((at << 32) + deal))
-            found.append(mixed((sums[edges[full + 1]] - sums[edges[full]]) ^ name))
+            name = mixed(mixed(full.astype(np.uint64)) + U((at << 32) + deal))
+            yield mixed((sums[edges[full + 1]] - sums[edges[full]]) ^ name), np.stack([edges[full], edges[full + 1]], axis=1), dealt
             if number - len(full) <= spare or deal > 4 * len(shingles):
                 break
             deal += 1
             dealt = shingles if deal == 1 else np.sort(mixed(shingles + U(deal)))
-    return np.concatenate(found)
+
+
+def block_keys(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None) -> np.ndarray:
+    return np.concatenate([keys for keys, _, _ in blocks_of(shingles, rule, rest)])
 
 
 def light_rows(docs: DataFrame, rule: Rule, light: int) -> DataFrame:
@@ -251,22 +275,102 @@ def light_links(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.where(close & (F.col("set") != F.col("least.set"))).select(F.col("set").alias("a"), F.col("least.set").alias("b"))
 
 
-def list_links(rows: DataFrame) -> DataFrame:
-    """Neighbours in every inverted list: rows sorted by block, each linked with the one before."""
+def shared_lists(rows: DataFrame, longest: int | None = None) -> DataFrame:
+    """The rows ``key``, ``set`` of inverted lists with several sets; of a list of more than ``longest`` its key alone.
+
+    Rows come sorted by block, and of a list that goes on in the next batch no more than ``longest`` rows wait.
+    """
+
+    def found(rows: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])) if len(rows) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(rows)))
+        long = size > (longest or len(rows))
+        kept = rows[np.repeat((size > 1) & ~long, size)]
+        key = np.concatenate([kept[:, 0], rows[first[long], 0]])
+        return pa.RecordBatch.from_arrays([
+            pa.array(key), pa.array(np.concatenate([kept[:, 1], np.zeros(long.sum(), np.int64)]), mask=np.arange(len(key)) >= len(kept))],
+            names=["key", "set"])
 
     def run(batches):
-        last = None
+        held = np.zeros((0, 2), np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            if last is not None:
-                key, own = np.append(last[0], key), np.append(last[1], own)
-            last = key[-1], own[-1]
-            linked = (key[1:] == key[:-1]) & (own[1:] != own[:-1])
-            pairs = np.unique(np.stack([own[1:][linked], own[:-1][linked]], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            held = np.concatenate([held, np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)], axis=1)])
+            # copies of a set may come from several tasks
+            held = held[np.append(True, (held[1:] != held[:-1]).any(axis=1))]
+            open_ = int(np.searchsorted(held[:, 0] == held[-1, 0], True))
+            yield found(held[:open_])
+            held = held[open_:] if longest is None else held[open_:][:longest + 1]
+        if len(held):
+            yield found(held)
+
+    return in_batches(rows.repartition("key").sortWithinPartitions("key", "set"), run, "key long, set long")
+
+
+def alike(sizes: np.ndarray, sketches: list[bytes], rule: Rule) -> np.ndarray:
+    """For each set of a list the first of those it is tied to by sketches that similar sets may have."""
+    group = np.arange(len(sizes))
+    rows = folded(sketches)
+
+    def close(a: slice, b: slice) -> np.ndarray:
+        apart = np.abs(rows[a, None, :] - rows[None, b, :]).sum(axis=2)
+        return apart <= rule.most_different(sizes[a, None], sizes[None, b])
+
+    for low in range(0, len(sizes), SIDE_BY_SIDE):
+        a = slice(low, low + SIDE_BY_SIDE)
+        for other in range(0, low + 1, SIDE_BY_SIDE):
+            b = slice(other, other + SIDE_BY_SIDE)
+            for i, j in zip(*np.nonzero(close(a, b))):
+                x, y = _root(group, low + i), _root(group, other + j)
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+    return np.array([_root(group, i) for i in range(len(group))])
+
+
+def _root(group: np.ndarray, i: int) -> int:
+    while group[i] != i:
+        group[i] = group[group[i]]
+        i = group[i]
+    return int(i)
+
+
+def list_links(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Links of the sets in the same list whose sketches do not rule out that they are similar."""
+
+    def links(key, own, size, sketches) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        a, b = [], []
+        for low, high in zip(first, np.append(first[1:], len(key))):
+            if high - low == 2 and len(sketches[low]) == len(sketches[low + 1]):
+                # most lists
+                gap = np.abs(np.frombuffer(sketches[low], np.uint8).astype(np.int32) - np.frombuffer(sketches[low + 1], np.uint8)).sum()
+                if gap <= rule.most_different(size[low], size[low + 1]):
+                    a.append(own[low + 1])
+                    b.append(own[low])
+            elif high - low > 1:
+                group = alike(size[low:high], sketches[low:high], rule)
+                tied = np.flatnonzero(group != np.arange(high - low))
+                a.extend(own[low + tied])
+                b.extend(own[low + group[tied]])
+        pairs = np.unique(np.stack([np.array(a, np.int64), np.array(b, np.int64)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [*(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)), np.array(batch.column(3).to_pylist() + [None], object)[:-1]]
+            held = new if held is None else [np.concatenate(c) for c in zip(held, new)]
+            open_ = int(np.searchsorted(held[0] == held[0][-1], True))
+            if open_:
+                yield links(*(c[:open_] for c in held))
+                held = [c[open_:] for c in held]
+        if held is not None:
+            yield links(*held)
+
+    rows = lists.join(classes.select("set", "n", "sketch"), "set").select("key", "set", "n", "sketch")
     return in_batches(rows.repartition("key").sortWithinPartitions("key", "set"), run, "a long, b long").distinct()
 
 
@@ -303,36 +407,45 @@ def in_clusters(links: DataFrame, classes: DataFrame) -> DataFrame:
     return saved(members.join(sums.select("cluster", parts.alias("parts")), "cluster"), "members")
 
 
-def dealt_again(docs: DataFrame, rule: Rule, large: DataFrame) -> DataFrame:
-    """List links within large clusters, by blocks without the shingles that are frequent in them."""
-    sets = saved(sets_of(docs, rule, large.select("set", "cluster")).select("set", "cluster", "shingles"), "large")
-
-    def of_cluster(hashes: np.ndarray, cluster: int) -> np.ndarray:
-        return mixed(hashes ^ U(cluster & ((1 << 64) - 1)))
-
-    def single(batches):
-        for batch in batches:
-            found = [of_cluster(np.frombuffer(s, np.uint64), c) for c, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
+def dealt_again(docs: DataFrame, rule: Rule, light: int, long: DataFrame) -> DataFrame:
+    """Blocks of the sets in long lists (``long`` has their keys), without the shingles of such lists.
 
-    counts = in_batches(sets, single, "shingle long").groupBy("shingle").count().where(F.col("count") >= FREQUENT)
-    # a fixed table: what it takes for frequent besides is the same for all sets of the cluster
-    known = bit_table(counts.select("shingle"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+    Both are told by tables of fixed size; what they hold besides is the same for all sets.
+    """
+    least = rule.fewest_shared(light + 1)
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(bit_table(long.select("key"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    def of_long(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Sets with a block that is a long list, and their shingles in such blocks."""
+        keys = BitTable(sent.value)
+        for own, shingles in different_sets(batches, rule, lambda n: n >= least):
+            inside, any_long = np.zeros(len(shingles) + 1, np.int64), False
+            for key, edges, dealt in blocks_of(shingles, rule):
+                long_ = keys(key)
+                any_long |= bool(long_.any())
+                if dealt is shingles:
+                    np.add.at(inside, edges[long_, 0], 1)
+                    np.add.at(inside, edges[long_, 1], -1)
+            if any_long:
+                yield own, shingles, shingles[np.cumsum(inside[:-1]) > 0]
+
+    def frequent(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([f for _, _, f in of_long([batch])] or [np.zeros(0, np.uint64)])
+
+    shingles_sent = spark.sparkContext.broadcast(bit_table(docs.select("text"), frequent))
 
     def run(batches):
-        frequent = BitTable(sent.value)
+        common = BitTable(shingles_sent.value)
 
         def rows():
-            for batch in batches:
-                for own, cluster, data in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                    shingles = np.frombuffer(data, np.uint64)
-                    keys = block_keys(shingles, rule, shingles[~frequent(of_cluster(shingles, cluster))], cluster & ((1 << 64) - 1))
-                    yield keys.view(np.int64), np.full(len(keys), own)
+            for own, shingles, _ in of_long(batches):
+                found = block_keys(shingles, rule, shingles[~common(shingles)])
+                yield found.view(np.int64), np.full(len(found), own)
 
         yield from together(rows(), KEYED)
 
-    return list_links(in_batches(sets, run, "key long, set long"))
+    return in_batches(docs.select("text"), run, "key long, set long")
 
 
 def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[int, int]]:
@@ -395,14 +508,15 @@ def cluster_links(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
 def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row for each document: id, set and size of its set, its component and that one's smallest id."""
     rows = saved(signed(docs, rule), "signed")
-    classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc")), "classes")
+    classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc")), "classes")
     light = boundary(classes, rule)
     links = light_links(saved(light_rows(docs, rule, light), "subsets"), rule)
-    members = in_clusters(list_links(block_rows(docs, rule, light)), classes)
-    large = members.where("parts > 1")
-    if not large.isEmpty():
-        again = in_clusters(dealt_again(docs, rule, large), classes)
-        members = saved(members.where("parts = 1").unionByName(again), "members")
+    lists = saved(shared_lists(block_rows(docs, rule, light), LONG), "lists")
+    long, lists = lists.where("set IS NULL"), lists.where("set IS NOT NULL")
+    if not long.isEmpty():
+        lists = lists.unionByName(shared_lists(dealt_again(docs, rule, light, long)))
+    members = in_clusters(list_links(lists, classes, rule), classes)
     links = saved(links.unionByName(cluster_links(docs, members, rule)), "links")
     labels = components(links)
     named = classes.join(labels, classes["set"] == labels["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "doc")
