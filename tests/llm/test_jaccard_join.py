@@ -106,18 +106,38 @@ def test_similar_sets_share_a_block():
                     assert set(jj.block_keys(a, rule)) & set(jj.block_keys(b, rule))
 
 
-def test_lists_are_followed_or_named(spark):
+def test_lists_are_given_or_named(spark):
     rows = [(k, s) for k in range(40) for s in range(k + 1)] + [(7, 3), (7, 3), (30, 2)]
     df = spark.createDataFrame(rows, "key long, set long").repartition(3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        out = [tuple(r) for r in jj.scanned(df, 10).collect()]
-        every = {tuple(r) for r in jj.scanned(df).collect()}
+        out = [tuple(r) for r in jj.shared_lists(df, 10).collect()]
+        every = [tuple(r) for r in jj.shared_lists(df).collect()]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert sorted(a for a, b in out if b is None) == list(range(10, 40))
-    assert {x for x in out if x[1] is not None} == {(n + 1, n) for n in range(9)}
-    assert every == {(n + 1, n) for n in range(39)}
+    assert sorted(k for k, s in out if s is None) == list(range(10, 40))
+    assert sorted(x for x in out if x[1] is not None) == [(k, s) for k in range(1, 10) for s in range(k + 1)]
+    assert sorted(every) == [(k, s) for k in range(1, 40) for s in range(k + 1)]
+
+
+def test_sketches_never_part_similar_sets(monkeypatch):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(jj, "SIDE_BY_SIDE", 4)
+    rule = jj.Rule(5, 80)
+    for n in (1, 9, 40, 700, 6000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        sets = [np.unique(base)]
+        for _ in range(6):
+            out = rng.integers(0, n // 5 + 1)
+            sets.append(np.unique(np.concatenate([base[out // 2:], rng.integers(0, 1 << 63, out, dtype=np.uint64)])))
+        sets += [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(5)]
+        group = jj.alike(np.array([len(s) for s in sets]), [jj.sketch(s).tobytes() for s in sets], rule)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if rule.similar(len(np.intersect1d(a, b)), len(a), len(b)):
+                    assert group[i] == group[j]
+        if n > 40:
+            assert len(set(group[7:].tolist())) == 5
 
 
 def test_boundary_minds_the_sizes(spark):
