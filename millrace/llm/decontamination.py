@@ -30,7 +30,7 @@ from millrace.llm.words import ALNUM, BitTable, Words, bit_table, lowered, steps
 
 WINDOW = 10
 #: Bytes of text in a block; a longer document is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Words of test items that are searched at once; a longer item is a chunk of its own.
 CHUNK_WORDS = 100_000
 

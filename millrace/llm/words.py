@@ -146,27 +146,22 @@ TABLE_BITS = 24
 class BitTable:
     """A set of 64-bit hashes by their first bits: never denies one that is in it. 2 MB, whatever it holds."""
 
-    def __init__(self, packed: np.ndarray | None = None):
-        self.bits = np.zeros(1 << TABLE_BITS, bool) if packed is None else np.unpackbits(packed).astype(bool)
-
-    def add(self, hashes: np.ndarray) -> None:
-        self.bits[(hashes >> U(64 - TABLE_BITS)).astype(np.int64)] = True
+    def __init__(self, packed: np.ndarray):
+        self.packed = packed
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        return self.bits[(hashes >> U(64 - TABLE_BITS)).astype(np.int64)]
-
-    def packed(self) -> np.ndarray:
-        return np.packbits(self.bits)
+        at = (hashes >> U(64 - TABLE_BITS)).astype(np.int64)
+        return (self.packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def bit_table(frame, hashes_of) -> np.ndarray:
     """The packed table of all hashes in a frame; ``hashes_of`` gives those of a batch. Each task sends one table."""
 
     def run(batches):
-        own = BitTable()
+        bits = np.zeros(1 << TABLE_BITS, bool)
         for batch in batches:
-            own.add(hashes_of(batch))
-        yield pa.RecordBatch.from_arrays([pa.array([own.packed().tobytes()], pa.binary())], names=["bits"])
+            bits[(hashes_of(batch) >> U(64 - TABLE_BITS)).astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
     merged = np.zeros(1 << TABLE_BITS >> 3, np.uint8)
     for row in in_batches(frame, run, "bits binary").toLocalIterator():
