@@ -48,8 +48,8 @@ LEFT, RIGHT = ".,;:?\"'()[]{}<>*#%&", ".,;:?!\"'()[]{}<>*#%&|"
 STEMS = (3, 4, 5, 6, 7)
 BUCKETS = 1 << 20
 #: Labelled rows that are learned from, at most, and features of the model.
-TRAIN_ROWS, FEATURES = 20_000, 1_000
-RIDGE, ROUNDS, RATE = 0.3, 400, 0.05
+TRAIN_ROWS, FEATURES = 20_000, 400
+RIDGE, ROUNDS, RATE = 0.03, 800, 0.05
 #: Words whose features a task remembers.
 REMEMBERED = 300_000
 
@@ -94,26 +94,29 @@ class Decoder:
     def __init__(self, model: np.ndarray):
         self.model = model
 
-    def options(self, sign: str, before: str) -> list[tuple[int | None, float]]:
-        """Letters (or a boundary, 0, or nothing, None) that a sign may mean, and their costs."""
+    def options(self, sign: str, before: str, apart: bool = False) -> list[tuple[int | None, float]]:
+        """Letters (or a boundary, 0, or nothing, None) that a sign may mean, and their costs.
+
+        Between letters written ``apart`` a filler is most likely just that.
+        """
         code = int(CODE[ord(sign)]) if ord(sign) < len(CODE) else 0
         found = [(code, 0.0)] if code else []
         found += [(int(CODE[ord(c)]), AS_LETTER) for c in LOOKS_LIKE.get(sign, "")]
         if sign == before:
             found.append((None, AS_REPEAT))
         if sign in FILLERS:
-            found += [(None, AS_FILLER), (0, 0.0 if sign == " " else AS_BREAK)]
+            found += [(None, 0.0), (0, AS_BREAK)] if apart else [(None, AS_FILLER), (0, 0.0 if sign == " " else AS_BREAK)]
         elif not code:
             found += [(None, AS_NOTHING), (0, AS_NOTHING)]
         return found
 
-    def decode(self, signs: str) -> str:
+    def decode(self, signs: str, apart: bool = False) -> str:
         """The likeliest letters for the signs, with spaces for boundaries."""
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
         for sign in signs:
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for letter, cost in self.options(sign, before):
+            for letter, cost in self.options(sign, before, apart):
                 for (a, b), (score, path) in paths.items():
                     if letter is None or (letter == 0 and b == 0):
                         state, value, way = (a, b), score - cost, path
@@ -179,7 +182,7 @@ class Reader:
         for token in tokens:
             out.update(self.of_word(token))
         for run in APART.finditer(lowered):
-            for word in self.decoder.decode(run.group()).split():
+            for word in self.decoder.decode(run.group(), apart=True).split():
                 out.update(self.of_word(word))
         return out, len(tokens)
 
