@@ -21,7 +21,7 @@ def test_restored(decoder, signs, word):
     assert decoder.decode(signs) == word
 
 
-def brute(decoder, signs):
+def brute(decoder, signs, apart):
     """The best way over all choices, for short signs."""
     best = [(-1e9, "")]
 
@@ -31,7 +31,7 @@ def brute(decoder, signs):
             if score > best[0][0]:
                 best[0] = (score, letters)
             return
-        for letter, cost in decoder.options(signs[i], signs[i - 1] if i else ""):
+        for letter, cost in decoder.options(signs[i], signs[i - 1] if i else "", apart):
             if letter is None or (letter == 0 and b == 0):
                 walk(i + 1, a, b, score - cost, letters)
             else:
@@ -42,9 +42,10 @@ def brute(decoder, signs):
     return best[0][1]
 
 
+@pytest.mark.parametrize("apart", [False, True])
 @pytest.mark.parametrize("signs", ["1d10t", "l0$3r", "a b c", "$$!", "s.c-u m", "11!!", "xx*"])
-def test_viterbi_finds_the_best_way(decoder, signs):
-    assert decoder.decode(signs) == brute(decoder, signs)
+def test_viterbi_finds_the_best_way(decoder, signs, apart):
+    assert decoder.decode(signs, apart) == brute(decoder, signs, apart)
 
 
 def test_plain_words_stay(decoder):
@@ -81,10 +82,10 @@ def test_disguise_raises_the_score(spark):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     fitted = tx.fit(docs, labels)
     clean = docs.where("doc_id = 1").first()["text"]
-    texts = [clean, clean + " idiot scum", clean + " 1d10t sc.u.m", clean + " i d i o t  s c u m", clean + " idiooot sssscum"]
+    texts = [clean + more for more in ("", " idiot scum", " 1d10t $cum", " i.d.i.o.t, s c u m.", " idiooot sssscum", " !diot 5cum")]
     score = [r["score"] for r in tx.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), fitted)
              .orderBy("doc_id").collect()]
-    assert score[0] < 0.2 and all(s > score[0] + 0.3 for s in score[1:2] + score[3:])
+    assert score[0] < 0.2 and all(s >= 0.5 for s in score[1:]), score
 
 
 def test_held_out_labels_teach_nothing(spark, odd):
