@@ -9,7 +9,7 @@ from millrace.llm.jaccard_join import Rule, one_of_each
 from millrace.llm.mixing import mix_documents
 from millrace.llm.quality import keep_good
 from millrace.llm.sharding import shard_documents
-from millrace.llm.tables import documents, saved, table
+from millrace.llm.tables import documents, finished, table
 
 #: Near copies share four of five shingles of five words.
 NEAR = Rule(size=5, percent=80)
@@ -49,8 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents after all stages; each stage's rows are written before the next one reads them."""
+    """The documents after all stages; each stage's rows are written before the next one reads them.
+
+    What a stage wrote on its way is removed with it.
+    """
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = finished(spark, lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), name)
+    return docs

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.components import components
-from millrace.llm.tables import documents, in_batches, saved
+from millrace.llm.tables import documents, finished, in_batches, saved
 from millrace.llm.words import SPACE, BitTable, U, Words, bit_table, lowered, mixed, steps, windows
 
 FOLDED = lowered(SPACE)
@@ -505,20 +505,26 @@ def cluster_links(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return rows.groupBy("group").applyInPandas(compare, "a long, b long")
 
 
-def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row for each document: id, set and size of its set, its component and that one's smallest id."""
-    rows = saved(signed(docs, rule), "signed")
-    classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc")), "classes")
+def all_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a``, ``b`` between similar sets, enough of them to keep together all that are."""
     light = boundary(classes, rule)
     links = light_links(saved(light_rows(docs, rule, light), "subsets"), rule)
     lists = saved(shared_lists(block_rows(docs, rule, light), LONG), "lists")
     long, lists = lists.where("set IS NULL"), lists.where("set IS NOT NULL")
     if not long.isEmpty():
         lists = lists.unionByName(shared_lists(dealt_again(docs, rule, light, long)))
-    members = in_clusters(list_links(lists, classes, rule), classes)
-    links = saved(links.unionByName(cluster_links(docs, members, rule)), "links")
-    labels = components(links)
+    members = finished(docs.sparkSession, lambda: in_clusters(list_links(lists, classes, rule), classes), "members")
+    return links.unionByName(cluster_links(docs, members, rule))
+
+
+def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One row for each document: id, set and size of its set, its component and that one's smallest id."""
+    rows = saved(signed(docs, rule), "signed")
+    classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc")), "classes")
+    spark = docs.sparkSession
+    links = finished(spark, lambda: all_links(docs, classes, rule), "links")
+    labels = finished(spark, lambda: components(links), "labels")
     named = classes.join(labels, classes["set"] == labels["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "doc")
     names = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = saved(named.join(names, "root").select(F.col("set").alias("of"), "root", "component_id"), "named")

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm.tables import documents, in_batches, saved
+from millrace.llm.tables import documents, finished, in_batches, saved
 from millrace.llm.words import BYTE_VALUE, BitTable, U, Hasher, bit_table, mixed, steps
 
 LENGTH = 200
@@ -326,6 +326,10 @@ def single_strings(texts: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Covered intervals of the different texts, in bytes; they may overlap."""
+    return finished(docs.sparkSession, lambda: _repeated(docs, hot_rows), "intervals")
+
+
+def _repeated(docs: DataFrame, hot_rows: int) -> DataFrame:
     candidates = saved(shared(shard_suffixes(docs)), "suffixes")
     hot = saved(candidates.groupBy("key").agg(F.sum(F.size("places")).alias("rows")).where(F.col("rows") > hot_rows)
                 .select(F.col("key").alias("hot_key")), "hot")
@@ -339,7 +343,7 @@ def repeated(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         single = shared(single_strings(texts_with(docs, lists(marked.where("hot_key IS NOT NULL")))))
         single = single.select("text_key", F.explode("places").alias("start"))
         found = found.unionByName(single.withColumn("stop", F.col("start") + LENGTH))
-    return saved(found, "intervals")
+    return found
 
 
 def cut_texts(docs: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import work_path
@@ -12,20 +14,40 @@ STEP_BYTES = 1 << 18
 BATCH_BYTES = 4 << 20
 
 
+#: Tables made within each :func:`finished` that is under way.
+_MADE: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The folder is removed when the session's JVM ends.
+    The folder is removed when the session's JVM ends, or with the step it belongs to (see :func:`finished`).
     """
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    if _MADE:
+        _MADE[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write what ``build`` returns and remove the tables that were saved on the way; only the result stays."""
+    _MADE.append([])
+    try:
+        out = build()
+        path = work_path(spark, name)
+        out.write.parquet(path)
+    finally:
+        made = _MADE.pop()
+    if _MADE:
+        _MADE[-1].append(path)
+    for folder in made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def in_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, since texts may be long.
 
