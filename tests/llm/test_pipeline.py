@@ -143,3 +143,23 @@ def test_clean_rows_come_through_unchanged(spark, read):
     out = [r.asDict() for r in cp.run(spark, SF).drop("shard").collect()]
     assert out and all(repr(d) in every for d in out)
     assert np.unique([d["doc_id"] for d in out]).size > 0.4 * len(every) and CELL_BITS
+
+
+def test_tables_on_the_way_are_removed(spark):
+    import os
+
+    from millrace.llm.tables import finished, saved
+    from millrace.session import work_path
+
+    folder = os.path.dirname(work_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(folder))
+
+    def inner():
+        return finished(spark, lambda: saved(spark.range(5), "deep").where("id > 1"), "middle")
+
+    out = finished(spark, lambda: inner().unionAll(saved(spark.range(2), "side")), "result")
+    left = set(os.listdir(folder)) - before
+    assert out.count() == 5 and len(left) == 1 and left.pop().startswith("result-")
+    before = set(os.listdir(folder))
+    assert cp.run(spark, SF).count() > 0
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {n for n, _ in cp.STAGES}
