@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import sql
 from millrace.llm.decontamination import op6_decontaminate_index
 from millrace.llm.jaccard_join import op7_jaccard_components
+from millrace.llm.licenses import op2_license_dice
 from millrace.llm.mixing import op4_mix_waterfill
 from millrace.llm.pii import op9_pii_spans
 from millrace.llm.quality import op5_quality_ratio
@@ -19,6 +20,7 @@ from millrace.llm.toxicity import op3_toxicity_channel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
+    "op2_license_dice": op2_license_dice,
     "op3_toxicity_channel": op3_toxicity_channel,
     "op4_mix_waterfill": op4_mix_waterfill,
     "op5_quality_ratio": op5_quality_ratio,
