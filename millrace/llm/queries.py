@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: The others depend on seeded hashes, fitted models or look-around patterns; tests hold them against plain code.
 SQL: dict[str, str] = {
+    "op2_license_dice": sql.OP2,
     "op6_decontaminate_index": sql.OP6,
     "op7_jaccard_components": sql.OP7,
     "op10_suffix_dedup": sql.OP10,

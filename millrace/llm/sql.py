@@ -1,5 +1,37 @@
 """The same results in SQL, for the queries that SQL can express."""
 
+from millrace.llm.licenses import NOTICES
+
+_FOLDED = """trim(regexp_replace(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^a-z0-9]+', ' ', 'g'))"""
+_GRAMS = """CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, CAST(len(w) AS BIGINT)), i -> w[i] || ' ' || w[i + 1]))
+               ELSE w END"""
+_NOTICES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES)
+
+OP2 = f"""
+WITH notice(license, text) AS (VALUES {_NOTICES}
+), template AS (
+    SELECT license, {_GRAMS} AS g FROM (SELECT license, string_split({_FOLDED.format('text')}, ' ') AS w FROM notice)
+), doc AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), unit AS (
+    SELECT r, generate_subscripts(l, 1) - 1 AS place, unnest(l) AS line FROM (SELECT r, string_split(text, chr(10)) AS l FROM doc)
+    UNION ALL SELECT r, -1, text FROM doc WHERE contains(text, chr(10))
+), cut AS (
+    SELECT r, place, {_GRAMS} AS g FROM (SELECT r, place, string_split(u, ' ') AS w FROM (SELECT r, place, {_FOLDED.format('line')} AS u FROM unit) WHERE u <> '')
+), match AS (
+    SELECT r, place, license, 2000000 * len(list_intersect(cut.g, template.g)) // (len(cut.g) + len(template.g)) AS dice
+    FROM cut JOIN template ON 120 * len(cut.g) >= 80 * len(template.g) AND 120 * len(template.g) >= 80 * len(cut.g)
+), best AS (
+    SELECT r, count(DISTINCT place) AS n_units, max(dice) AS best_dice FROM match WHERE dice >= 800000 GROUP BY r
+), named AS (
+    SELECT r, string_agg(license, ',' ORDER BY license) AS licenses
+    FROM (SELECT DISTINCT r, license FROM match WHERE dice >= 800000) GROUP BY r
+)
+SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(licenses, '') AS licenses,
+       CAST(coalesce(best_dice, 0) AS BIGINT) AS best_dice, n_units IS NOT NULL AS licensed
+FROM doc LEFT JOIN best USING (r) LEFT JOIN named USING (r)
+"""
+
 OP6 = r"""
 WITH item AS (
     SELECT row_number() OVER () AS item, coalesce(CAST(item_id AS VARCHAR), 'null') AS name,

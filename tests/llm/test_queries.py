@@ -11,6 +11,7 @@ from tests.llm.conftest import SF
 
 COLUMNS = {
     "op1_shard_minimax": "doc_id size text_crc32 law shard slot grown_shard",
+    "op2_license_dice": "doc_id n_units licenses best_dice licensed",
     "op3_toxicity_channel": "doc_id held_out score predicted",
     "op4_mix_waterfill": "doc_id size source_size target taken",
     "op5_quality_ratio": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words score base_failed kept",
@@ -21,7 +22,7 @@ COLUMNS = {
     "op10_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
 }
 LONG = ("size slot source_size taken n_words word_chars n_symbols n_dup_lines n_repeat_words n_hit n_items n_shingles n_assign n_access "
-        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32").split()
+        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32 n_units best_dice").split()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
