@@ -4,7 +4,7 @@ from millrace.llm.licenses import NOTICES
 
 _FOLDED = """trim(regexp_replace(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[^a-z0-9]+', ' ', 'g'))"""
-_GRAMS = """CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, CAST(len(w) AS BIGINT)), i -> w[i] || ' ' || w[i + 1]))
+_GRAMS = """CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, CAST(len(w) AS BIGINT)), lambda i: w[i] || ' ' || w[i + 1]))
                ELSE w END"""
 _NOTICES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES)
 
