@@ -3,7 +3,8 @@
 Every kind has a pattern and, where there is one, a check: card numbers the Luhn sum, account numbers (IBAN) the
 remainder modulo 97, addresses of machines the range of their parts, phone numbers the count of digits. A span's
 score starts from how sure its pattern and check are, rises if a fitting word stands within 48 characters before
-it, and falls if a word that speaks against it does. Kinds without a checksum that anything numeric could match
+or after it, and falls if a word that speaks against it does. These characters are those of the text, whatever other
+spans they hold. Kinds without a checksum that anything numeric could match
 (social security numbers, local phone numbers) count only from a score of 0.5. Spans of the base kinds stay
 whatever their score.
 
@@ -100,11 +101,12 @@ def confirmed(kind: str, value: Column) -> Column:
 
 
 def score(kind: str, span: Column) -> Column:
-    """0 to 1, in hundredths: the kind's own, moved by the words before the span."""
+    """0 to 1, in hundredths: the kind's own, moved by the words before and after the span."""
     k = KINDS[kind]
+    near = lambda words: span["before"].rlike(words) | span["after"].rlike(words)
     return (F.lit(round(100 * k.score))
-            + F.when(span["before"].rlike(k.near), round(100 * FOR)).otherwise(0)
-            + F.when(span["before"].rlike(k.far), round(100 * AGAINST)).otherwise(0))
+            + F.when(near(k.near), round(100 * FOR)).otherwise(0)
+            + F.when(near(k.far), round(100 * AGAINST)).otherwise(0))
 
 
 def found(text: Column, kind: str) -> Column:

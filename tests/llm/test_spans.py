@@ -111,3 +111,21 @@ def test_plans_are_native(spark, odd):
     for query in (secrets.op8_secret_markov, pii.op9_pii_spans):
         plan = query(spark, odd)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_context_is_that_of_the_text(spark, tmp_path):
+    texts = ["SSN: 123-45-6789, 321-54-9876", "phone: 555-123-4567 or 555-987-6543", "123-45-6789 is my social security number",
+             "555-123-4567 (mobile)", "ssn " + " ".join(["123-45-6789"] * 6), "é😀 123-45-6789 " + "x" * 48 + " ssn", "123-45-6789, 321-54-9876",
+             "phone 000.1.2 555-123-4567", "123-45-6789, 321-54-9876: both social security numbers"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s] for r in pii.op9_pii_spans(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        want = []
+        for kind in ("ssn", "local_phone"):
+            k = pii.KINDS[kind]
+            for m in re.finditer(k.pattern, text):
+                sides = text[max(0, m.start() - 48):m.start()], text[m.end():m.end() + 48]
+                points = 30 + 25 * any(re.search(k.near, s) for s in sides) - 25 * any(re.search(k.far, s) for s in sides)
+                want += [f"{kind}:{m.start()}:{m.end()}"] * (points >= 50)
+        assert got[i] == want, text
+    assert [len(got[i]) for i in range(len(texts))] == [2, 2, 1, 1, 4, 0, 0, 1, 2]
