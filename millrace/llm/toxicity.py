@@ -1,7 +1,7 @@
 """Toxicity of whole texts, after undoing disguised spelling with a noisy-channel decoder.
 
-Words that look disguised (letters mixed with look-alike signs, letters repeated three times and more, letters
-written apart) become lattices: each sign may stand for the letters it looks like, be a letter itself, repeat the
+Words that look disguised (letters mixed with look-alike signs or fillers, letters repeated three times and more,
+three or more letters or signs written apart) become lattices: each sign may stand for the letters it looks like, be a letter itself, repeat the
 one before, or be mere filler, each at a cost. A Viterbi search finds the letters that are likeliest under a
 character trigram model, whose counts come from all documents. Then the restored words are scored: their stems and
 forms are features of a logistic model, fitted on a bounded, seeded sample of the labelled rows.
@@ -40,9 +40,18 @@ LOOKS_LIKE = {
 FILLERS = " .-_*~'`"
 #: Costs, in natural log units, of reading a sign as a letter, as filler, or as a repeat.
 AS_LETTER, AS_FILLER, AS_REPEAT, AS_NOTHING, AS_BREAK = 1.0, 0.5, 1.0, 10.0, 2.0
-MIXED = re.compile(r"(?=.*[^\W\d_])(?=.*[0-9@$!|+(€£¥*])")
+SIGNS = re.escape("".join(c for c in LOOKS_LIKE if not c.isalnum()))
+MIXED = re.compile(rf"(?=.*[^\W\d_])(?=.*[0-9{SIGNS}{re.escape(FILLERS)}])")
 REPEATED = re.compile(r"(.)\1\1")
-APART = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){3,}[^\W_](?![^\W_])")
+#: Single letters, digits and signs with fillers between them: no letter or digit stands beside another. Every sign
+#: fits one branch only, so a run is read once. Longer gaps and strings of signs part runs; signs that stand right at
+#: the first or last letter of a run are punctuation.
+APART = re.compile(rf"(?<![^\W_])(?:[^\W_](?![^\W_])|[{SIGNS}])(?:[^\W_](?![^\W_])|[{SIGNS}{re.escape(FILLERS)}])+")
+GAP, FILLER = re.compile(rf"[ .\-_~'`]{{3,}}|[{SIGNS}]{{3,}}"), re.compile(r"[ .\-_~'`]+")
+AT_ENDS = re.compile(rf"^[{SIGNS}]+(?=[^\W_])|(?<=[^\W_])[{SIGNS}]+$")
+OUTSIDE = re.compile(r"^[\W_]+|(?<=[^\W_])[\W_]+$")
+#: Symbols that make a run.
+SYMBOLS = 3
 LEFT, RIGHT = ".,;:?\"'()[]{}<>*#%&", ".,;:?!\"'()[]{}<>*#%&|"
 
 STEMS = (3, 4, 5, 6, 7)
@@ -134,6 +143,19 @@ class Decoder:
         return "".join(reversed(letters))
 
 
+def runs_apart(text: str) -> Iterator[str]:
+    """The runs of symbols written apart, look-alike signs included.
+
+    Signs at the ends may be of the word or of the text around it, so a run with such comes without them, too.
+    """
+    for found in APART.finditer(text):
+        for run in GAP.split(found.group()):
+            run = AT_ENDS.sub("", run.strip(FILLERS.replace("*", "")))
+            for way in dict.fromkeys((run, OUTSIDE.sub("", run))):
+                if sum(bool(piece.strip("*")) for piece in FILLER.split(way)) >= SYMBOLS:
+                    yield way
+
+
 def words_of(token: str, decoder: Decoder) -> list[str]:
     """The plain words of a token in lower case, restored if it looks disguised."""
     core = token.lstrip(LEFT).rstrip(RIGHT)
@@ -181,8 +203,8 @@ class Reader:
         out: set[int] = set()
         for token in tokens:
             out.update(self.of_word(token))
-        for run in APART.finditer(lowered):
-            for word in self.decoder.decode(run.group(), apart=True).split():
+        for run in runs_apart(lowered):
+            for word in self.decoder.decode(run, apart=True).split():
                 out.update(self.of_word(word))
         return out, len(tokens)
 

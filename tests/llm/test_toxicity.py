@@ -1,4 +1,6 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -103,3 +105,48 @@ def test_odd_rows_and_empty(spark, odd, bare):
     assert tx.op3_toxicity_channel(spark, bare).count() == 0
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     assert tx.scored(docs, tx.fit(docs, spark.read.parquet(f"{bare}/labels.parquet"))).where("score <> 0").isEmpty()
+
+
+LOOKS = str.maketrans("aiose", "@!0$3")
+APART_ = lambda w: " ".join(w)
+SIGNS = lambda w: w.translate(LOOKS)
+INSIDE = lambda sign: lambda w: w[:len(w) // 2] + sign + w[len(w) // 2:]
+WAYS = {
+    "plain": str, "signs": SIGNS, "apart": APART_, "dotted": ".".join, "signs apart": lambda w: APART_(SIGNS(w)),
+    **{f"inside {s}": INSIDE(s) for s in ".-_'`~"}, "signs, inside -": lambda w: INSIDE("-")(SIGNS(w)), "signs, dotted": lambda w: ".".join(SIGNS(w)),
+}
+
+
+@pytest.mark.parametrize("text,runs", [
+    ("you s h ! t now", ["s h ! t"]), ("$ t u p i d", ["$ t u p i d", "t u p i d"]), ("an @ s s h o l e!", ["@ s s h o l e", "s s h o l e"]), ("f u k", ["f u k"]), ("s~c~u~m, d'o'g", ["s~c~u~m", "d'o'g"]),
+    ("* $ # ", []), ("s c u m$$$ t$$$ (i d 1 o t)", ["s c u m", "i d 1 o t"]), ("f * c k", ["f * c k"]), ("a b", []), ("* * * *", []), ("word - word $100 ...", []), ("x" + "*" * 5000 + "ab", [])])
+def test_runs_of_symbols(text, runs):
+    assert list(tx.runs_apart(text)) == runs
+
+
+@pytest.mark.parametrize("signs,words", [("stu-pid", ["stupid"]), ("st.upid", ["stupid"]), ("stu_pid", ["stupid"]), ("st~up!d", ["stupid"]), ("id'1ot", ["idiot"])])
+def test_fillers_within_a_word(decoder, signs, words):
+    assert tx.words_of(signs, decoder) == words
+
+
+def test_held_out_recall_of_disguised_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").where("toxic IS NOT NULL") \
+        .select("doc_id", "text", "toxic", tx.held_out(F.col("doc_id")).alias("held")).toPandas()
+    words = [set(re.findall(r"[^\W\d_]+", (t or "").lower())) for t in rows["text"]]
+    seen = {1: Counter(), 0: Counter()}
+    for own, toxic, held in zip(words, rows["toxic"], rows["held"]):
+        if not held:
+            seen[toxic].update(own)
+    n = rows.loc[~rows["held"], "toxic"].value_counts()
+    marked = {w for w, k in seen[1].items() if len(w) > 3 and k >= 5 and k / n[1] > 10 * seen[0][w] / n[0]}
+    texts = rows.loc[rows["held"] & (rows["toxic"] == 1), "text"].tolist()
+    cases = [(way, re.sub(r"[^\W\d_]+", lambda m: change(m[0].lower()) if m[0].lower() in marked else m[0], text))
+             for way, change in WAYS.items() for text in texts]
+    fitted = tx.fit(docs, labels)
+    out = tx.scored(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string"), fitted).toPandas()
+    hit = {r.doc_id: r.score >= 0.5 for r in out.itertuples()}
+    recall = {way: np.mean([hit[i] for i, (w, _) in enumerate(cases) if w == way]) for way in WAYS}
+    print(len(marked), len(texts), {w: round(float(r), 3) for w, r in recall.items()})
+    assert all(r >= recall["plain"] - 0.05 for r in recall.values()), recall
