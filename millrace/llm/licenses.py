@@ -10,6 +10,9 @@ unit of a single word counts that word as its bigram.
 Templates are rows of a table, so a user adds texts of their own; they are read on the driver (at most
 ``TEMPLATES``) and become part of the expression. Everything runs within the row: nothing is shuffled.
 
+Lines and whole texts miss a notice within a longer line or wrapped within a longer text. ``passages`` compares windows
+of words instead, as long as the templates' bounds allow, with whole license texts besides the notices.
+
 Defined results: null and empty texts, and lines without a letter or digit, match nothing. Of templates that fit a unit
 equally well all are reported. Repeated rows are each scanned, ids may be null or repeated, other columns are never
 read. An empty table gives an empty result, an empty table of templates no match.
@@ -18,6 +21,7 @@ read. An empty table gives an empty result, an empty table of templates no match
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -81,7 +85,7 @@ def matches(text: Column, templates: list[tuple[str, str]], least: int = LEAST)
             near = F.filter(templates_, lambda t: (n * (200 - least) >= t["size"] * least) & (t["size"] * (200 - least) >= n * least))
             scored = F.transform(near, lambda t: F.struct(
                 number.cast("int").alias("unit"), t["license"].alias("license"),
-                F.floor(F.lit(2_000_000) * F.size(F.array_intersect(grams, t["grams"])) / (n + t["size"])).alias("dice")))
+                F.floor(F.lit(2_000_000).cast("long") * F.size(F.array_intersect(grams, t["grams"])) / (n + t["size"])).alias("dice")))
             return F.filter(scored, lambda m: m["dice"] >= least * 10_000)
 
         # a text has at least as many bigrams as different words, less one
@@ -112,3 +116,93 @@ def op2_license_dice(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size(F.array_distinct(F.transform("licenses", lambda m: m["unit"]))).cast("long").alias("n_units"),
         F.array_join(names, ",").alias("licenses"), F.coalesce(F.array_max(F.transform("licenses", lambda m: m["dice"])), F.lit(0)).cast("long").alias("best_dice"),
         (F.size("licenses") > 0).alias("licensed"))
+
+
+#: Whole texts and notices, uncut: ``<license>.txt``, or ``<license>.<part>.txt``.
+TEXTS = Path(__file__).parent / "license_texts"
+#: Lengths of windows that are tried for a template, at most.
+LENGTHS = 24
+
+
+def whole_templates() -> list[tuple[str, str]]:
+    """The short notices and all texts of the folder."""
+    found = [(re.sub(r"\.(notice|permission)$", "", p.stem), p.read_text("utf-8", "replace")) for p in sorted(TEXTS.glob("*.txt"))]
+    return [*NOTICES, *found]
+
+
+def fewest(size: int, least: int = LEAST) -> int:
+    """Bigrams of a template that a window of the least coefficient shares at least."""
+    return -(-least * size // (200 - least))
+
+
+def window_lengths(n: int, size: int, least: int = LEAST) -> list[int]:
+    """Lengths of windows, in bigrams, for a template of ``n`` of which ``size`` are different: all that fit, or a
+    geometric row of them and the template's own."""
+    low, high = fewest(size, least), n * (200 - least) // least
+    if high - low < LENGTHS:
+        return list(range(low, high + 1))
+    return sorted({n, *(round(low * (high / low) ** (k / (LENGTHS - 2))) for k in range(LENGTHS - 1))})
+
+
+def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]], least: int = LEAST) -> Column:
+    """Array of ``license`` and ``dice`` (millionths) of each template found in a window of words, wherever it stands.
+
+    Windows start where bigrams shared with the template start (to start elsewhere is never better) and run for
+    ``window_lengths``. A text that lacks the probes of a template (so many of its bigrams that too few are left) is
+    not compared with it. Templates of a single word are left out.
+    """
+    kind = "array<struct<license:string,dice:long>>"
+    known = [(name, template_bigrams(t), len(re.sub("[^A-Za-z0-9]+", " ", t).split()) - 1) for name, t in templates]
+    known = [k for k in known if k[2] > 0]
+    if not known:
+        return F.array().cast(kind)
+    every = sorted({g for _, grams, _ in known for g in grams})
+    pair = lambda p: F.xxhash64(F.element_at(F.split(p, " "), 1), F.element_at(F.split(p, " "), 2))
+    hashes = dict(zip(every, spark.range(1).select(F.transform(F.split(F.lit("\n".join(every)), "\n"), pair)).first()[0]))
+    # long words are rare, so they make good probes
+    probes = [sorted(grams, key=lambda g: (-len(g), g))[:len(grams) - fewest(len(grams), least) + 1] for _, grams, _ in known]
+
+    def numbers(values, type_: str) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{type_}>")
+
+    table = F.array(*(F.struct(
+        F.lit(name).alias("license"), F.lit(len(grams)).alias("size"), F.lit(fewest(len(grams), least)).alias("fewest"),
+        numbers((hashes[g] for g in probe), "bigint").alias("probes"), numbers((hashes[g] for g in grams), "bigint").alias("grams"),
+        numbers(window_lengths(n, len(grams), least), "int").alias("lengths")) for (name, grams, n), probe in zip(known, probes)))
+    some = numbers(sorted({hashes[g] for probe in probes for g in probe}), "bigint")
+
+    def shared(t: Column, window: Column) -> Column:
+        return F.size(F.array_intersect(t["grams"], window))
+
+    def best(t: Column, grams: Column, at: Column) -> Column:
+        def dice(length: Column) -> Column:
+            return let(F.slice(grams, at + 1, length), lambda w: F.floor(F.lit(2_000_000).cast("long") * shared(t, w) / (F.size(F.array_distinct(w)) + t["size"])))
+
+        longest = F.slice(grams, at + 1, F.element_at(t["lengths"], -1))
+        return F.when(shared(t, longest) >= t["fewest"], F.array_max(F.transform(t["lengths"], dice))).otherwise(F.lit(0).cast("long"))
+
+    def found(t: Column, grams: Column) -> Column:
+        inside = F.transform(grams, lambda g: F.array_contains(t["grams"], g))
+        starts = let(inside, lambda x: F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.get(x, i) & ~F.coalesce(F.get(x, i - 1), F.lit(False))))
+        return F.struct(t["license"].alias("license"), F.coalesce(F.array_max(F.transform(starts, lambda at: best(t, grams, at))), F.lit(0)).cast("long").alias("dice"))
+
+    def compared(grams: Column) -> Column:
+        def all_(table_: Column) -> Column:
+            near = F.filter(F.filter(table_, lambda t: F.arrays_overlap(t["probes"], grams)), lambda t: shared(t, grams) >= t["fewest"])
+            return F.filter(F.transform(near, lambda t: found(t, grams)), lambda m: m["dice"] >= least * 10_000)
+
+        return F.when(F.arrays_overlap(some, grams), let(table, all_)).otherwise(F.array().cast(kind))
+
+    words = F.split(normalised(F.coalesce(text, F.lit(""))), " ")
+    pairs = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.xxhash64(a, b))
+    return let(words, lambda w: F.when(F.size(w) > 1, let(pairs(w), compared)).otherwise(F.array().cast(kind)))
+
+
+def op2_license_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses named or quoted anywhere in a text: the whole job, of which ``op2_license_dice`` compares lines and texts only."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = docs.select("doc_id", F.explode(F.array(passages(spark, F.col("text"), whole_templates()))).alias("found"))
+    return found.select(
+        "doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda m: m["license"]))), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("found", lambda m: m["dice"])), F.lit(0)).cast("long").alias("best_dice"),
+        (F.size("found") > 0).alias("licensed"))

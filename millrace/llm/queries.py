@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import sql
 from millrace.llm.decontamination import op6_decontaminate_index
 from millrace.llm.jaccard_join import op7_jaccard_components
-from millrace.llm.licenses import op2_license_dice
+from millrace.llm.licenses import op2_license_dice, op2_license_passages
 from millrace.llm.mixing import op4_mix_waterfill
 from millrace.llm.pii import op9_pii_spans
 from millrace.llm.quality import op5_quality_ratio
@@ -31,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
+#: Queries beside those of the contract.
+MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_license_passages": op2_license_passages}
+
 #: The others depend on seeded hashes, fitted models or look-around patterns; tests hold them against plain code.
 SQL: dict[str, str] = {
     "op2_license_dice": sql.OP2,

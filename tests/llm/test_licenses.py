@@ -64,7 +64,68 @@ def test_templates_of_a_table(spark, same):
     assert li.scan(docs, templates.limit(0)).where("size(licenses) > 0").isEmpty()
 
 
+def test_template_of_a_whole_text(spark):
+    text = (li.TEXTS / "GPL-3.0.txt").read_text()
+    templates = spark.createDataFrame([("GPL-3.0", text)], "license string, text string")
+    out = li.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates).first()
+    assert [tuple(m) for m in out["licenses"]] == [(-1, "GPL-3.0", 1_000_000)]
+
+
 def test_empty_and_native(spark, bare, odd):
     assert li.op2_license_dice(spark, bare).count() == 0
     plan = li.op2_license_dice(spark, odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def brute(text, templates):
+    """The best coefficient of every template over all windows of words that ``window_lengths`` names, at any place."""
+    words = re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    pairs = list(zip(words, words[1:]))
+    found = {}
+    for name, notice in templates:
+        own, n = grams(notice), len(re.findall("[A-Za-z0-9]+", notice)) - 1
+        for at in range(len(pairs)):
+            for length in li.window_lengths(n, len(own)):
+                window = set(pairs[at:at + length])
+                found[name] = max(found.get(name, 0), 2_000_000 * len(window & own) // (len(window) + len(own)))
+    return sorted((name, d) for name, d in found.items() if d >= 800_000)
+
+
+def embedded():
+    prose = "the quick brown fox jumps over lazy dogs and the rest of the story goes on for a while " * 12
+    for path in sorted(li.TEXTS.glob("*.txt")):
+        notice = path.read_text()
+        yield re.sub(r"\.(notice|permission)$", "", path.stem), prose + "\n" + "\n".join(" * " + line for line in notice.split("\n")) + "\n" + prose
+    permission = (li.TEXTS / "MIT.permission.txt").read_text()
+    yield "MIT", " ".join(permission.split())
+    yield "MIT", prose + "This project is released under the MIT License. " + prose
+    yield "Apache-2.0", "// " + "\n// ".join("Licensed under the Apache License,\nVersion 2.0.".split("\n")) + "\nint main() {}\n" + prose
+
+
+def test_passages_are_found_wherever_they_stand(spark, tmp_path):
+    cases = [*embedded(), ("", "the quick brown fox " * 300), ("", None), ("", "mit")]
+    spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in li.op2_license_passages(spark, str(tmp_path)).collect()}
+    for i, (name, _) in enumerate(cases):
+        assert name in out[i]["licenses"].split(",") and out[i]["licensed"] == bool(name), (name, out[i])
+
+
+def test_passages_equal_all_windows(spark):
+    templates = list(li.NOTICES)
+    texts = [*(t for t in TEXTS if t is None or len(t) < 2000), "a b c " * 20 + "Licensed under the Apache big License, Version 2.0. " + "d e f " * 20,
+             "Released under the MIT License. some other words. Released under the License of MIT. " * 5]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = docs.select("doc_id", li.passages(spark, docs["text"], templates).alias("m")).collect()
+    for r in got:
+        best = {}
+        for m in r["m"]:
+            best[m["license"]] = max(best.get(m["license"], 0), m["dice"])
+        assert sorted(best.items()) == brute(texts[r["doc_id"]], templates), texts[r["doc_id"]]
+
+
+def test_passages_hold_lines_and_are_native(spark, odd, bare):
+    lines = li.op2_license_dice(spark, SF).select("doc_id", "best_dice", "licensed")
+    held = lines.join(li.op2_license_passages(spark, SF).toDF("doc_id", "l", "best", "found"), "doc_id")
+    assert held.where("licensed AND NOT found OR best < best_dice").isEmpty() and held.where("licensed").count() > 0
+    assert li.op2_license_passages(spark, bare).count() == 0
+    assert not re.search("Python|Pandas|Arrow|Exchange", li.op2_license_passages(spark, odd)._jdf.queryExecution().executedPlan().toString())
