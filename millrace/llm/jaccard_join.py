@@ -9,7 +9,8 @@ Texts of equal sets are one class; only classes are joined. The join is size-awa
   every text with a common passage; few lists of blocks do.
 * Lists that are long all the same are left out at first. The shingles in their blocks are frequent; sets that are
   in long lists are dealt again without frequent shingles. Similar sets lose the same ones, so they still agree on
-  a block.
+  a block. Lists that are long even then (different near copies of one text) are cut into chunks, and each pair of
+  chunks is a list of its own.
 * Within a list, sets are told apart by sketches: how many shingles fall into each of some ranges of hashes. The
   sketches of similar sets differ by no more than the sets, so no pair is missed, and most unlike sets that only
   share a passage part here. What is left, directly or by way of others, forms a cluster, and within clusters the
@@ -57,6 +58,8 @@ CHUNK_SHINGLES, CHUNK_SETS = 1 << 20, 1024
 LONG = 1024
 #: Shingles to a range of a sketch, and sets of a list that are held against as many others at once.
 SKETCHED, SIDE_BY_SIDE = 8, 256
+#: Places over which the rows of a long list are spread.
+SPREAD = 16
 #: Sets that a task remembers, to pass on each once only, and rows that it sends on together.
 SEEN, SENT_ROWS = 200_000, 50_000
 
@@ -308,6 +311,25 @@ def shared_lists(rows: DataFrame, longest: int | None = None) -> DataFrame:
     return in_batches(rows.repartition("key").sortWithinPartitions("key", "set"), run, "key long, set long")
 
 
+def in_chunks(rows: DataFrame, long: DataFrame) -> DataFrame:
+    """The rows of the lists whose keys ``long`` has, cut by hash into chunks: each pair of chunks is a list.
+
+    The rows of a key are spread while their number is looked up and while they are repeated for the pairs.
+    """
+    place = F.pmod(F.hash("set"), F.lit(SPREAD))
+
+    def spread(keys: DataFrame) -> DataFrame:
+        return keys.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+
+    rows = saved(rows.withColumn("place", place).join(spread(long.select("key").distinct()), ["key", "place"])
+                 .select("key", "set").distinct(), "long")
+    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / F.lit(LONG)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    rows = rows.withColumn("place", place).join(spread(parts), ["key", "place"]).withColumn("own", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "set")
+
+
 def alike(sizes: np.ndarray, sketches: list[bytes], rule: Rule) -> np.ndarray:
     """For each set of a list the first of those it is tied to by sketches that similar sets may have."""
     group = np.arange(len(sizes))
@@ -321,18 +343,15 @@ def alike(sizes: np.ndarray, sketches: list[bytes], rule: Rule) -> np.ndarray:
         a = slice(low, low + SIDE_BY_SIDE)
         for other in range(0, low + 1, SIDE_BY_SIDE):
             b = slice(other, other + SIDE_BY_SIDE)
-            for i, j in zip(*np.nonzero(close(a, b))):
-                x, y = _root(group, low + i), _root(group, other + j)
-                if x != y:
-                    group[max(x, y)] = min(x, y)
-    return np.array([_root(group, i) for i in range(len(group))])
-
-
-def _root(group: np.ndarray, i: int) -> int:
-    while group[i] != i:
-        group[i] = group[group[i]]
-        i = group[i]
-    return int(i)
+            if (group[a] == group[low]).all() and (group[b] == group[low]).all():
+                continue
+            near = close(a, b)
+            # pairs of one group say nothing new
+            for i in np.flatnonzero((near & (group[a, None] != group[None, b])).any(axis=1)):
+                tied = np.unique(np.append(group[b][near[i]], group[low + i]))
+                if len(tied) > 1:
+                    group[np.isin(group, tied)] = tied[0]
+    return group
 
 
 def list_links(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -512,7 +531,12 @@ def all_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     lists = saved(shared_lists(block_rows(docs, rule, light), LONG), "lists")
     long, lists = lists.where("set IS NULL"), lists.where("set IS NOT NULL")
     if not long.isEmpty():
-        lists = lists.unionByName(shared_lists(dealt_again(docs, rule, light, long)))
+        again = saved(dealt_again(docs, rule, light, long), "again")
+        left = saved(shared_lists(again, LONG), "left")
+        lists = lists.unionByName(left.where("set IS NOT NULL"))
+        long = left.where("set IS NULL")
+        if not long.isEmpty():
+            lists = lists.unionByName(in_chunks(again, long))
     members = finished(docs.sparkSession, lambda: in_clusters(list_links(lists, classes, rule), classes), "members")
     return links.unionByName(cluster_links(docs, members, rule))
 

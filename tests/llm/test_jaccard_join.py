@@ -190,3 +190,34 @@ def test_graph_components(spark, shape):
         want[find(x)].add(x)
     loops = {a for a, b in links if a == b}
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1 or not v <= loops)
+
+
+def test_many_different_near_copies(spark, monkeypatch):
+    rng = random.Random(8)
+    text = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    other = [f"v{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(10_000):
+        words = list(text if i % 4 else other)
+        words[rng.randrange(150)] = f"new{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    longest = []
+
+    def seen(lists, classes, rule, links=jj.list_links):
+        longest.append(lists.groupBy("key").agg(F.countDistinct("set").alias("n")).agg(F.max("n")).first()[0])
+        return links(lists, classes, rule)
+
+    monkeypatch.setattr(jj, "list_links", seen)
+    got = {r["doc_id"]: r["component_id"] for r in jj.joined(docs, jj.Rule(3, 90)).collect()}
+    assert longest and max(longest) <= 3 * jj.LONG
+    # single edits: two copies of a text differ in 12 shingles of 148 at most, so all are similar
+    assert got == {i: 0 if i % 4 == 0 else 1 for i in range(10_000)}
+
+
+def test_alike_ties_a_large_list_quickly():
+    rule, rng = jj.Rule(3, 90), np.random.default_rng(2)
+    base = np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64))
+    sketches = [jj.sketch(base).tobytes()] * 3000
+    group = jj.alike(np.full(3000, len(base)), sketches, rule)
+    assert (group == 0).all()
