@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import sql
+from millrace.llm.bpe import op12_bpe_backtrack
+from millrace.llm.centroids import op13_centroids_ns
 from millrace.llm.decontamination import op6_decontaminate_index
+from millrace.llm.filter_audit import op11_filter_audit
 from millrace.llm.jaccard_join import op7_jaccard_components
 from millrace.llm.licenses import op2_license_dice, op2_license_passages
 from millrace.llm.mixing import op4_mix_waterfill
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_markov": op8_secret_markov,
     "op9_pii_spans": op9_pii_spans,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_bpe_backtrack": op12_bpe_backtrack,
+    "op13_centroids_ns": op13_centroids_ns,
 }
 
 #: Queries beside those of the contract.
@@ -40,4 +46,6 @@ SQL: dict[str, str] = {
     "op6_decontaminate_index": sql.OP6,
     "op7_jaccard_components": sql.OP7,
     "op10_suffix_dedup": sql.OP10,
+    "op11_filter_audit": sql.OP11,
+    "op13_centroids_ns": sql.OP13,
 }

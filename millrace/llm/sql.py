@@ -105,3 +105,76 @@ SELECT doc_id, octet_length(t) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT
        sha256(CASE WHEN k IS NULL THEN t ELSE unhex(k) END) AS kept_sha256
 FROM doc LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 """
+
+OP11 = r"""
+WITH doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), first AS (SELECT text, min(doc_id) AS smallest FROM doc GROUP BY text
+), flag AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), cut AS (
+    SELECT doc.*, smallest, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM doc JOIN first USING (text)
+), failing AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+               WHEN 'A' THEN len(w) < 200
+               WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+               WHEN 'C' THEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text)
+               WHEN 'D' THEN regexp_matches(text, '[#$%&*|]')
+               ELSE coalesce(doc_id > smallest, false) END) AS fails
+    FROM cut LEFT JOIN flag USING (doc_id)
+), counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), place AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, unnest([1, 2, 3, 4, 5]) AS step
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), stepped AS (
+    SELECT part, filter_order, step, filter_order[step] AS f,
+           sum(CASE WHEN NOT list_has_any(fails, string_split(filter_order[1:step], '')) THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN here AND NOT before THEN n ELSE 0 END) AS removed, sum(CASE WHEN here AND before THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN here AND len(fails) = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN here AND NOT before THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN here AND NOT before THEN toxic ELSE 0 END) AS toxic_lost
+    FROM (SELECT *, list_contains(fails, filter_order[step]) AS here,
+                 step > 1 AND list_has_any(fails, string_split(filter_order[1:step - 1], '')) AS before FROM counted, place)
+    GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM stepped
+"""
+
+
+def _op13(clusters: int = 16, rounds: int = 3) -> str:
+    nearest = """near{0} AS (
+    SELECT r, v, min({{'d': d, 'c': c}}) AS best
+    FROM (SELECT r, v, c, CAST(list_sum(list_transform(list_zip(v, x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+          FROM vec, centre{0}) GROUP BY r, v
+)"""
+    mean = """centre{1} AS (
+    SELECT centre{0}.c, coalesce(y, x) AS x FROM centre{0} LEFT JOIN (
+        SELECT c, list(floored ORDER BY i) AS y FROM (
+            SELECT c, i, (s - ((s % n) + n) % n) // n AS floored FROM (
+                SELECT best.c AS c, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+                FROM near{0}, (SELECT unnest(range(1, 65)) AS i) GROUP BY best.c, i)) GROUP BY c) AS m ON m.c = centre{0}.c
+)"""
+    steps = [nearest.format(0)]
+    for k in range(rounds):
+        steps += [mean.format(k, k + 1), nearest.format(k + 1)]
+    return f"""
+WITH vec AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), centre0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) AS INTEGER) - 1 AS c, v AS x
+    FROM (SELECT sha256('1:' || vec_id) AS h, v FROM vec) ORDER BY h NULLS LAST, v LIMIT {clusters}
+), {", ".join(steps)}
+SELECT vec_id, best.c AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM near{rounds} JOIN vec USING (r) JOIN centre{rounds} ON centre{rounds}.c = best.c
+"""
+
+
+OP13 = _op13()

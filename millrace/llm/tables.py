@@ -43,11 +43,30 @@ def finished(spark: SparkSession, build: Callable[[], DataFrame], name: str) ->
     if _MADE:
         _MADE[-1].append(path)
     for folder in made:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, folder)
     return spark.read.schema(out.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Rounds:
+    """The table of an iteration: each round's rows replace those of the round before, which they are made from."""
+
+    def __init__(self, name: str):
+        self.name, self.path, self.frame = name, None, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        spark, old, self.path = df.sparkSession, self.path, work_path(df.sparkSession, self.name)
+        df.write.parquet(self.path)
+        if old:
+            _remove(spark, old)
+        self.frame = spark.read.schema(df.schema).parquet(self.path)
+        return self.frame
+
+
 def in_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, since texts may be long.
 

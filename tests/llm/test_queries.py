@@ -20,9 +20,13 @@ COLUMNS = {
     "op8_secret_markov": "doc_id n_assign n_access n_hex n_markov base_sha256 spans",
     "op9_pii_spans": "doc_id n_email n_ip n_card n_phone base_sha256 spans scores",
     "op10_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op11_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12_bpe_backtrack": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_centroids_ns": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 LONG = ("size slot source_size taken n_words word_chars n_symbols n_dup_lines n_repeat_words n_hit n_items n_shingles n_assign n_access "
-        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32 n_units best_dice").split()
+        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32 n_units best_dice n_tokens removed redundant unique_fails good_lost toxic_lost shapley distance "
+        "cluster_inertia inertia").split()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -31,13 +35,14 @@ def test_columns(spark, name):
     assert out.columns == COLUMNS[name].split()
     kinds = dict(out.dtypes)
     assert all(kinds[c] == "bigint" for c in kinds if c in LONG)
-    assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    rows = {"op11_filter_audit": 600 * 4, "op13_centroids_ns": spark.read.parquet(f"{SF}/embeddings.parquet").count()}
+    assert out.count() == rows.get(name, spark.read.parquet(f"{SF}/documents.parquet").count())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, same, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(SF, table)}.parquet'")
     columns = COLUMNS[name].split()
     cursor = con.execute(SQL[name])
