@@ -4,11 +4,16 @@ All tenants of a run go through one set of jobs. A run may be made of several ca
 what is replaced when a call is repeated is the slice of one run and tenant. Tables below ``root``:
 
 ``staging``    extracted rows, duplicates of retries included, one folder per run
-``cdc``        changes, one folder per run, organization and integration
+``cdc``        changes, one folder per run, attempt, organization and integration
 ``latest``     snapshot rows, one folder per organization and attempt; a run writes anew only the organizations
                that it changes, and a folder is never written again
-``published``  one folder per version, written last: which attempt holds each organization, and which tenants
-               the version is about. Readers see whole versions only
+``published``  one folder per version, made ready under ``pending`` and published by giving it its name, in one step:
+               which attempt holds each organization (``places``), what the version is about (``covered``), its counts
+               (``reconciled``), and the last version of each tenant (``tenants``). Of versions that are removed,
+               what they were about stays in ``runs``, one folder per run
+
+What an attempt writes counts from the moment its version has its name: a driver lost before leaves folders that
+nobody reads (see :func:`remove_unpublished`), one lost afterwards nothing to mend. Either way the call can be repeated.
 """
 
 from __future__ import annotations
@@ -33,9 +38,11 @@ from millrace.sources.paged import page_plan, paged_extract
 
 STAGED_ORDER = ("created_at", "batch_seq")
 _TENANT_SCHEMA = ", ".join(f"{c} string" for c in TENANT)
-_PLACES = "version bigint, organization_id string, attempt string"
-_COVERED = f"version bigint, workflow_id string, {_TENANT_SCHEMA}, base bigint"
+_PLACES = "organization_id string, attempt string"
+_COVERED = f"version bigint, attempt string, workflow_id string, {_TENANT_SCHEMA}, base bigint"
+_TENANTS = f"{_TENANT_SCHEMA}, last bigint"
 _LATEST = f"{schemas.USERS_LATEST}, attempt string"
+_CHANGES = f"{schemas.USERS_CDC}, attempt string"
 
 
 @dataclass(frozen=True)
@@ -63,15 +70,35 @@ def _read(spark: SparkSession, path: str, schema: str, part: str = "") -> DataFr
     return spark.read.schema(schema).option("basePath", path).parquet(whole)
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """The versions that are kept."""
+    return sorted(int(n.split("=")[1]) for n in folders.names(spark, f"{root}/published") if n.startswith("version="))
+
+
 def _newest(spark: SparkSession, root: str) -> int:
     """The newest published version, 0 if there is none."""
-    found = [int(n.split("=")[1]) for n in folders.names(spark, f"{root}/published/covered") if n.startswith("version=")]
-    return max(found, default=0)
+    return max(_versions(spark, root), default=0)
+
+
+def _of_version(spark: SparkSession, root: str, version: int, name: str, schema: str) -> DataFrame:
+    return _read(spark, f"{root}/published/version={version}/{name}", schema)
 
 
 def _places(spark: SparkSession, root: str, version: int) -> DataFrame:
-    part = folders.partition_folder(spark, version=version)
-    return _read(spark, f"{root}/published/places", _PLACES, part).select("organization_id", "attempt")
+    return _of_version(spark, root, version, "places", _PLACES)
+
+
+def _covered(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
+    """What the published calls of a run were about, from the kept versions and the folder of the run."""
+    kept = [f"{root}/published/version={v}/covered" for v in _versions(spark, root)]
+    rows = spark.read.schema(_COVERED).parquet(*kept) if kept else spark.createDataFrame([], _COVERED)
+    own = folders.partition_folder(spark, workflow_id=workflow_id)
+    return rows.where(F.col("workflow_id") == workflow_id).unionByName(_read(spark, f"{root}/published/runs", _COVERED, own))
+
+
+def _attempts(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
+    """Which attempt holds the changes of each tenant of a run."""
+    return _covered(spark, root, workflow_id).groupBy(*TENANT).agg(F.max_by("attempt", "version").alias("attempt"))
 
 
 def _rows(spark: SparkSession, root: str, places: DataFrame) -> DataFrame:
@@ -122,18 +149,9 @@ def staging_of(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
 
 
 def changes_of(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
-    return _read(spark, f"{root}/cdc", schemas.USERS_CDC, folders.partition_folder(spark, workflow_id=workflow_id))
-
-
-def _replace_changes(found: DataFrame, root: str, workflow_id: str, scope: DataFrame) -> None:
-    """Replace the slices of the run's tenants, also those that have no changes any more."""
-    spark = found.sparkSession
-    earlier = changes_of(spark, root, workflow_id).select(*TENANT).distinct()
-    stale = [tuple(r) for r in within(earlier, scope, TENANT).toLocalIterator()]
-    for organization, integration in stale:
-        slice_ = folders.partition_folder(spark, workflow_id=workflow_id, organization_id=organization, connected_integration_id=integration)
-        folders.remove(spark, f"{root}/cdc/{slice_}")
-    replace_slice(found, f"{root}/cdc", ["workflow_id", *TENANT])
+    """The published changes of a run."""
+    rows = _read(spark, f"{root}/cdc", _CHANGES, folders.partition_folder(spark, workflow_id=workflow_id))
+    return within(rows, _attempts(spark, root, workflow_id), [*TENANT, "attempt"]).drop("attempt")
 
 
 def run(
@@ -150,40 +168,41 @@ def run(
     that have staged rows. Repeating a call starts, for each tenant, from the version its first call started from, so
     it finds the same changes; a tenant that a later run has changed cannot be repeated.
     ``max_delete_fraction`` stops the run when a tenant would lose more than that share of its rows.
-    Versions older than the last ``keep_versions`` are removed, with folders that only they use.
+    Versions older than the last ``keep_versions`` are removed, with folders that only they use; a run that started
+    from a removed version cannot be repeated.
     """
-    newest = _newest(spark, root)
+    attempt = uuid.uuid4().hex
+    work, ready = f"{root}/work/{attempt}", f"{root}/published/pending/{attempt}"
+    folders.make(spark, ready)
+    kept = _versions(spark, root)
+    newest = max(kept, default=0)
     loaded = staging_of(spark, root, workflow_id)
-    work = f"{root}/work/{uuid.uuid4().hex}"
     given = (loaded if tenants is None else tenants).select(*TENANT).distinct()
-    covered = _read(spark, f"{root}/published/covered", _COVERED)
-    mine = covered.where(F.col("workflow_id") == workflow_id).groupBy(*TENANT).agg(F.min("base").alias("base"), F.max("version").alias("own"))
-    last = covered.groupBy(*TENANT).agg(F.max("version").alias("last"))
-    known = mine.unionByName(last, allowMissingColumns=True).groupBy(*TENANT).agg(F.max("base").alias("base"), F.max("own").alias("own"), F.max("last").alias("last"))
-    marked = given.withColumn("_given", F.lit(True)).unionByName(known, allowMissingColumns=True).groupBy(*TENANT).agg(
-        F.max("_given").alias("_given"), *[F.max(c).alias(c) for c in ("base", "own", "last")])
-    scope = marked.where("_given").select(
+    mine = _covered(spark, root, workflow_id).groupBy(*TENANT).agg(F.min("base").alias("base"), F.max("version").alias("own"))
+    last = _of_version(spark, root, newest, "tenants", _TENANTS)
+    marked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (given.withColumn("_given", F.lit(True)), mine, last))
+    scope = marked.groupBy(*TENANT).agg(*[F.max(c).alias(c) for c in ("_given", "base", "own", "last")]).where("_given").select(
         *TENANT, F.coalesce("base", F.lit(newest)).cast("bigint").alias("base"), (F.col("own") < F.col("last")).alias("_later"))
     recreate(scope, f"{work}/scope")
     scope = spark.read.schema(scope.schema).parquet(f"{work}/scope")
     if not scope.where("_later").isEmpty():
         raise ValueError(f"run {workflow_id} cannot be repeated: later runs build on it")
+    bases = [r["base"] for r in scope.select("base").distinct().collect()]
+    if not {0, *kept}.issuperset(bases):
+        raise ValueError(f"run {workflow_id} cannot be repeated: a version it started from is no longer kept")
 
     # the rows of each tenant as they were in the version it starts from
-    parts = [
-        within(_rows(spark, root, _places(spark, root, r["base"])), scope.where(F.col("base") == r["base"]), TENANT)
-        for r in scope.select("base").distinct().collect()
-    ]
+    parts = [within(_rows(spark, root, _places(spark, root, base)), scope.where(F.col("base") == base), TENANT) for base in bases]
     empty = spark.createDataFrame([], schemas.USERS_LATEST)
     before = reduce(DataFrame.unionByName, parts, empty)
     found = cdc.detect_changes(
         loaded, before.drop("last_updated"), newest=STAGED_ORDER, tenants=scope.select(*TENANT),
     ).withColumns({
-        "workflow_id": F.lit(workflow_id),
+        "workflow_id": F.lit(workflow_id), "attempt": F.lit(attempt),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
     })
-    _replace_changes(found, root, workflow_id, scope)
-    changes = within(changes_of(spark, root, workflow_id), scope, TENANT)
+    replace_slice(found, f"{root}/cdc", ["workflow_id", "attempt", *TENANT])
+    changes = _read(spark, f"{root}/cdc", _CHANGES, folders.partition_folder(spark, workflow_id=workflow_id, attempt=attempt)).drop("attempt")
 
     if max_delete_fraction is not None:
         excess = cdc.excess_deletes(changes, before, max_delete_fraction).take(5)
@@ -192,7 +211,7 @@ def run(
 
     # a changed row's time of update is the time its change was detected
     dated = changes.withColumn("last_updated", F.col("detected_at"))
-    attempt, target = uuid.uuid4().hex, newest + 1
+    target = newest + 1
     now = _places(spark, root, newest)
     repeated = scope.where(F.col("base") < newest)
     touched = changes.select("organization_id").unionByName(repeated.select("organization_id")).distinct()
@@ -204,47 +223,72 @@ def run(
     replace_slice(written, f"{root}/latest", ["organization_id", "attempt"])
     fresh = _read(spark, f"{root}/latest", _LATEST).where(F.col("attempt") == attempt).select("organization_id").distinct()
     places = without(now, touched, ["organization_id"]).unionByName(fresh.withColumn("attempt", F.lit(attempt)))
-    recreate(places, f"{work}/places")
-    places = spark.read.schema(places.schema).parquet(f"{work}/places")
+    recreate(places, f"{ready}/places")
+    places = _read(spark, f"{ready}/places", _PLACES)
 
     after = within(_rows(spark, root, places), scope, TENANT)
     unique = dedup_latest(within(loaded, scope, TENANT), schemas.USER_KEYS, STAGED_ORDER)
-    checked = cdc.reconcile(before, changes, after, staged=unique)
-    recreate(checked, f"{work}/reconciled")
-    checked = spark.read.schema(checked.schema).parquet(f"{work}/reconciled")
-    if not checked.where(~F.col("ok")).isEmpty():
+    recreate(cdc.reconcile(before, changes, after, staged=unique), f"{ready}/reconciled")
+    if not spark.read.parquet(f"{ready}/reconciled").where(~F.col("ok")).isEmpty():
         raise ValueError(f"run {workflow_id}: counts of staged rows, changes and snapshot do not reconcile")
 
-    part = folders.partition_folder(spark, version=target)
-    kind = "version bigint, " + ", ".join(f"`{n}` {t}" for n, t in checked.dtypes)
-    if not folders.claim(spark, f"{root}/published/claims/{target}"):
+    covered = scope.select(F.lit(target).cast("bigint").alias("version"), F.lit(attempt).alias("attempt"),
+                           F.lit(workflow_id).alias("workflow_id"), *TENANT, "base")
+    recreate(covered, f"{ready}/covered")
+    recreate(without(last, scope, TENANT).unionByName(covered.select(*TENANT, F.col("version").alias("last"))), f"{ready}/tenants")
+    if not folders.publish(spark, ready, f"{root}/published/version={target}"):
+        folders.remove(spark, ready)
         raise RuntimeError(f"version {target} was published by another run meanwhile; run {workflow_id} again")
-    recreate(places, f"{root}/published/places/{part}")
-    recreate(checked, f"{root}/published/reconciled/{part}")
-    recreate(scope.select(F.lit(workflow_id).alias("workflow_id"), *TENANT, "base"), f"{root}/published/covered/{part}")
+    _remove_replaced(spark, root, workflow_id)
     remove_old(spark, root, keep_versions)
     folders.remove(spark, work)
-    final = _read(spark, f"{root}/published/covered", _COVERED, part)
+    final = _of_version(spark, root, target, "covered", _COVERED)
     return RunReport(loaded, within(changes_of(spark, root, workflow_id), final, TENANT),
-                     _read(spark, f"{root}/published/reconciled", kind, part).drop("version"))
+                     spark.read.parquet(f"{root}/published/version={target}/reconciled"))
+
+
+def _remove_replaced(spark: SparkSession, root: str, workflow_id: str) -> None:
+    """Remove changes of attempts of a run that a repeated call has replaced; those under way are left alone."""
+    pending = folders.names(spark, f"{root}/published/pending")
+    path = f"{root}/cdc/" + folders.partition_folder(spark, workflow_id=workflow_id)
+    there = {n.removeprefix("attempt="): n for n in folders.names(spark, path)}
+    if len(there) > 1:
+        # one row for each call of the run at most
+        used = {r[0] for r in _attempts(spark, root, workflow_id).select("attempt").distinct().collect()}
+        for attempt in there.keys() - used - set(pending):
+            folders.remove(spark, f"{path}/{there[attempt]}")
 
 
 def remove_old(spark: SparkSession, root: str, keep_versions: int) -> None:
     """Remove versions older than the last ``keep_versions``, and snapshot folders that only those use.
 
-    A tenant that a removed version was the base of cannot be repeated from there.
+    What they were about goes to the folders of their runs first; doing it again leaves the same rows there.
     """
-    newest = _newest(spark, root)
-    places = _read(spark, f"{root}/published/places", _PLACES)
-    old = F.col("version") <= newest - keep_versions
-    if places.where(old).isEmpty():
+    versions = _versions(spark, root)
+    old = [v for v in versions if v <= versions[-1] - keep_versions] if versions else []
+    if not old:
         return
-    names = ["organization_id", "attempt"]
-    unused = without(places.where(old).select(*names).distinct(), places.where(~old).select(*names).distinct(), names)
+    covered, places = ([f"{root}/published/version={v}/{name}" for v in old] for name in ("covered", "places"))
+    replace_slice(spark.read.schema(_COVERED).parquet(*covered), f"{root}/published/runs", ["workflow_id", "version"])
+    kept = reduce(DataFrame.unionByName, (_places(spark, root, v) for v in versions if v not in old))
+    unused = without(spark.read.schema(_PLACES).parquet(*places).distinct(), kept, ["organization_id", "attempt"])
     for r in unused.toLocalIterator():
         folders.remove(spark, f"{root}/latest/" + folders.partition_folder(spark, organization_id=r[0], attempt=r[1]))
-    for r in places.where(old).select("version").distinct().collect():
-        folders.remove(spark, f"{root}/published/places/" + folders.partition_folder(spark, version=r[0]))
+    for v in old:
+        folders.remove(spark, f"{root}/published/version={v}")
+
+
+def remove_unpublished(spark: SparkSession, root: str, older_than_seconds: float) -> list[str]:
+    """Remove what attempts left behind whose drivers were lost; returns their names.
+
+    An attempt counts as lost if nothing was added to its version for that long; choose more than a run may take.
+    """
+    pending = f"{root}/published/pending"
+    lost = [a for a in folders.names(spark, pending) if folders.age_seconds(spark, f"{pending}/{a}") > older_than_seconds]
+    for attempt in lost:
+        for pattern in (f"{root}/latest/*/attempt={attempt}", f"{root}/cdc/*/attempt={attempt}", f"{root}/work/{attempt}", f"{pending}/{attempt}"):
+            folders.remove_matching(spark, pattern)
+    return lost
 
 
 def summary(loaded: DataFrame, changes: DataFrame) -> DataFrame:

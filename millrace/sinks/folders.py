@@ -1,7 +1,9 @@
-"""Folders of partitioned tables: their names, listing, removal, and files that only one writer can make."""
+"""Folders of partitioned tables: their names, listing, removal, and names that only one writer can take."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -35,7 +37,38 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
-def claim(spark: SparkSession, path: str) -> bool:
-    """Make an empty file; false if it is there already, so of several writers one succeeds."""
+def make(spark: SparkSession, path: str) -> None:
     target, store = _path(spark, path)
-    return store.createNewFile(target)
+    store.mkdirs(target)
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a folder was last changed."""
+    target, store = _path(spark, path)
+    return time.time() - store.getFileStatus(target).getModificationTime() / 1000
+
+
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    """Remove all folders a glob finds."""
+    target, store = _path(spark, pattern)
+    for status in store.globStatus(target) or []:
+        store.delete(status.getPath(), True)
+
+
+def publish(spark: SparkSession, prepared: str, path: str) -> bool:
+    """Give a prepared folder its final name; false if that name is taken, so of several writers one succeeds.
+
+    The store has to rename folders in one step (HDFS, ABFS, local disks). Some stores move a folder into one that has
+    the name already instead of failing; what comes to lie there is taken out again.
+    """
+    source, store = _path(spark, prepared)
+    target = _path(spark, path)[0]
+    store.mkdirs(target.getParent())
+    if store.exists(target):
+        return False
+    mark = f"_{source.getName()}"
+    store.create(_path(spark, f"{prepared}/{mark}")[0], True).close()
+    if store.rename(source, target) and store.exists(_path(spark, f"{path}/{mark}")[0]):
+        return True
+    remove(spark, f"{path}/{source.getName()}")
+    return False

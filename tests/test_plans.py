@@ -1,5 +1,6 @@
 import json
 import pathlib
+import re
 import shutil
 
 import pandas as pd
@@ -154,15 +155,112 @@ def test_tenants_without_names(spark, tmp_path):
     assert counts(elt.run(spark, root, "r2")) == (0, 0, 0) and elt.latest(spark, root).count() == 6
 
 
-def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     elt.load(users(spark, 0, 5), root, "r1")
     elt.run(spark, root, "r1")
-    assert folders.claim(spark, f"{root}/published/claims/2")  # another run is about to publish
     elt.load(users(spark, 5, 5), root, "r2")
+    elt.load(users(spark, 0, 7, "org-002"), root, "r3")
+    publish = folders.publish
+
+    def after_the_other(*args):  # both have read version 1
+        monkeypatch.setattr(folders, "publish", publish)
+        elt.run(spark, root, "r3")
+        return publish(*args)
+
+    monkeypatch.setattr(folders, "publish", after_the_other)
     with pytest.raises(RuntimeError, match="by another run"):
         elt.run(spark, root, "r2")
-    assert elt.latest(spark, root).count() == 5
+    assert elt.latest(spark, root).count() == 12 and elt.changes_of(spark, root, "r2").isEmpty()
+    assert counts(elt.run(spark, root, "r2")) == (5, 0, 5)
+    assert elt.latest(spark, root).count() == 12
+
+
+def test_a_name_is_given_once(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "rows").write_text(name)
+    assert folders.publish(spark, str(tmp_path / "a"), str(tmp_path / "out" / "version=1"))
+    assert not folders.publish(spark, str(tmp_path / "b"), str(tmp_path / "out" / "version=1"))
+    assert (tmp_path / "out" / "version=1" / "rows").read_text() == "a"
+    assert not (tmp_path / "out" / "version=1" / "b").exists()
+
+
+class Lost(Exception):
+    """The driver is gone."""
+
+
+STEPS = ["cdc", "latest", "/tenants", "publish", "_remove_replaced", "remove_old"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_driver_lost_at_any_step(spark, tmp_path, monkeypatch, step):
+    """Whatever step it was lost after, the same call and those of others go on, with the results of a whole run."""
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 20).unionByName(users(spark, 0, 10, "org-002", "int-2")), root, "r1")
+    elt.run(spark, root, "r1")
+    first = snapshot(spark, root)
+    elt.load(users(spark, 1505, 20).unionByName(users(spark, 0, 10, "org-002", "int-2")), root, "r2")
+    with monkeypatch.context() as patch:
+        def lost_after(real):
+            def write(df, path, *args):
+                real(df, path, *args)
+                if re.search(f"{step}$", path):
+                    raise Lost
+            return write
+
+        def lost(*args):
+            raise Lost
+
+        patch.setattr(elt, "recreate", lost_after(elt.recreate))
+        patch.setattr(elt, "replace_slice", lost_after(elt.replace_slice))
+        if step == "publish":
+            patch.setattr(folders, "publish", lost)
+        elif step in ("_remove_replaced", "remove_old"):
+            patch.setattr(elt, step, lost)
+        with pytest.raises(Lost):
+            elt.run(spark, root, "r2")
+    published = step in ("_remove_replaced", "remove_old")
+    assert (snapshot(spark, root) == first) == (not published) and elt.changes_of(spark, root, "r2").isEmpty() == (not published)
+    # another run for another tenant goes on, then the lost one is called again
+    elt.load(users(spark, 3, 10, "org-003", "int-3"), root, "r3")
+    assert counts(elt.run(spark, root, "r3")) == (10, 0, 0)
+    assert counts(elt.run(spark, root, "r2")) == (5, 15, 5)
+    assert elt.changes_of(spark, root, "r2").count() == 25 and elt.latest(spark, root).count() == 40
+    lost_ones = elt.remove_unpublished(spark, root, -1)
+    assert len(lost_ones) == (not published)
+    attempts = {p.name for p in pathlib.Path(root).rglob("attempt=*")}
+    assert not any(f"attempt={a}" in attempts for a in lost_ones) and elt.remove_unpublished(spark, root, -1) == []
+    assert elt.latest(spark, root).count() == 40 and elt.changes_of(spark, root, "r2").count() == 25
+
+
+def test_a_run_whose_base_is_gone_cannot_be_repeated(spark, tmp_path):
+    root = str(tmp_path)
+    elt.load(users(spark, 0, 10), root, "r1")
+    elt.run(spark, root, "r1", keep_versions=1)
+    elt.load(users(spark, 1505, 10), root, "r2")
+    elt.run(spark, root, "r2", keep_versions=1)
+    for n in range(3, 5):
+        elt.load(users(spark, n, 5, "org-002", "int-2"), root, f"r{n}")
+        elt.run(spark, root, f"r{n}", keep_versions=1)
+    before = snapshot(spark, root), sorted(map(repr, elt.changes_of(spark, root, "r2").collect()))
+    with pytest.raises(ValueError, match="no longer kept"):
+        elt.run(spark, root, "r2", keep_versions=1)
+    with pytest.raises(ValueError, match="later runs build on it"):
+        elt.run(spark, root, "r1", keep_versions=1)
+    assert (snapshot(spark, root), sorted(map(repr, elt.changes_of(spark, root, "r2").collect()))) == before
+
+
+def test_what_is_read_does_not_grow_with_the_versions(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(6):
+        elt.load(users(spark, n, 4), root, f"r{n}")
+        elt.run(spark, root, f"r{n}", keep_versions=2)
+    assert [n for n in folders.names(spark, f"{root}/published") if n.startswith("version=")] == ["version=5", "version=6"]
+    assert folders.names(spark, f"{root}/published/pending") == [] == folders.names(spark, f"{root}/work")
+    assert spark.read.parquet(f"{root}/published/version=6/tenants").count() == 1
+    for n in range(6):  # the changes of old runs stay readable
+        assert elt.changes_of(spark, root, f"r{n}").count() == (4 if n == 0 else 2)
 
 
 def test_lost_rows_do_not_reconcile(spark, tmp_path, monkeypatch):
@@ -182,7 +280,7 @@ def test_old_versions_are_removed(spark, tmp_path):
     assert elt.latest(spark, root).count() == 10 and elt.latest(spark, root, 4).count() == 10
     assert len(folders.names(spark, f"{root}/latest/organization_id=org-001")) == 2
     assert len(folders.names(spark, f"{root}/latest/organization_id=org-002")) == 1
-    assert [n for n in folders.names(spark, f"{root}/published/places") if n != "version=4" and n != "version=5"] == []
+    assert [n for n in folders.names(spark, f"{root}/published") if n.startswith("version=")] == ["version=4", "version=5"]
 
 
 def test_extract_load_and_run(spark, tmp_path):
