@@ -6,6 +6,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.catalog.base import Query, Tables, uuid5_sql
 from millrace.functions.hashing import uuid5
@@ -14,7 +15,7 @@ from millrace.operators.dedup import dedup_latest
 from millrace.schemas import document_of
 from millrace.session import work_path
 from millrace.sinks import tables as sinks
-from millrace.sources import documents, generated, paged, tables
+from millrace.sources import documents, generated, paged, service, tables
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
@@ -115,23 +116,32 @@ def paged_extract(spark, sf):
     return rows.drop("tenant")
 
 
-def union_pages(spark, sf):
-    return paged.union_pages(_order_pages(Tables(spark, sf)), ORDER_SCHEMA)
+def paged_source(spark, sf):
+    """The orders from a service of pages that is a Spark source, one tenant after its first page apart from the rest."""
+    t = Tables(spark, sf)
+    pages, path = _order_pages(t), work_path(spark, "service")
+    pages.write.partitionBy("tenant", "page").parquet(path)
+    counts = [r.asDict() for r in pages.groupBy("tenant").agg(F.max("page").alias("pages")).collect()]  # one row a status
+    service.register_pages(
+        spark, "order_pages", f"{ORDER_SCHEMA}, tenant string, page bigint", ["tenant"],
+        lambda: counts, service.StoredPages(path, ["tenant"]), pages_per_partition=8)
+    parts = [service.read_pages(spark, "order_pages").where("tenant <> 'F'"),
+             service.read_pages(spark, "order_pages", last_page=1, tenant="F"), service.read_pages(spark, "order_pages", first_page=2, tenant="F")]
+    return reduce(DataFrame.unionByName, parts).drop("tenant", "page")
 
 
-LISTED = ("orders", "lineitem", "customer", "documents", "events")
+def union_pages(spark, sf):
+    return paged.union_pages(_order_pages(Tables(spark, sf)), ORDER_SCHEMA)
 
 
 def object_listing(spark, sf):
-    """Objects of some tables with the rows that are in each: listed, then read."""
-    t = Tables(spark, sf)
+    """All Parquet objects of the folder with the rows that are in each: listed, then counted without reading a column."""
     found = tables.object_listing(spark, sf, "*.parquet").select("path", (F.col("size_bytes") > 0).alias("has_bytes"))
-    counts = reduce(DataFrame.unionByName, (
-        t(name).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
-        for name in LISTED))
-    listed = found.withColumn("path", F.regexp_replace("path", "^file:/*", "/")).join(
-        counts.withColumn("path", F.regexp_replace("path", "^file:/*", "/")), "path")
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("object_key"), "has_bytes", "row_count")
+    rows = spark.read.schema(StructType([])).parquet(f"{sf.rstrip('/')}/*.parquet")
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+    found, counts = (d.withColumn("path", F.regexp_replace("path", "^file:/*", "/")) for d in (found, counts))
+    return found.join(counts, "path", "left").select(
+        F.element_at(F.split("path", "/"), -1).alias("object_key"), "has_bytes", F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 
 def table_scan(spark, sf):
@@ -234,6 +244,10 @@ def parallel_map(spark, sf):
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
 
+#: All tables of the test folder.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations")
+
 QUERIES = {
     "json_document_scan": Query(json_document_scan, """
         SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line
@@ -262,9 +276,10 @@ QUERIES = {
         JOIN region ON n_regionkey = r_regionkey
     """),
     "paged_extract": Query(paged_extract, ORDERS_SQL),
+    "paged_source": Query(paged_source, ORDERS_SQL),
     "union_pages": Query(union_pages, ORDERS_SQL),
     "object_listing": Query(object_listing, " UNION ALL ".join(
-        f"SELECT '{name}.parquet' AS object_key, true AS has_bytes, count(*) AS row_count FROM {name}" for name in LISTED
+        f"SELECT '{name}.parquet' AS object_key, true AS has_bytes, count(*) AS row_count FROM {name}" for name in TABLES
     )),
     "table_scan": Query(table_scan, "SELECT c_custkey, c_name, c_mktsegment FROM customer"),
     "federated_scan": Query(federated_scan, """

@@ -10,6 +10,7 @@ from millrace.catalog.base import (
 from millrace.catalog.timing import FIRST_MESSAGE_SQL, HOUR_US, WAIT_US
 from millrace.functions.values import epoch_micros
 from millrace.session import work_path
+from millrace.sources import service
 from millrace.streaming import base, keyed, stateful
 
 
@@ -17,19 +18,23 @@ FILES = 3
 
 
 def _in_files(t: Tables, rows, order: str, name: str) -> str:
-    """Rows in order as ``FILES`` files with rising times, so that a stream takes them in several micro-batches."""
+    """Rows as ``FILES`` pieces with rising times, each of as many files as a micro-batch takes."""
     path = work_path(t.spark, name)
     low, high = rows.agg(F.min(order), F.max(order)).first()
+    at = F.floor(F.lit(FILES) * (F.col(order) - F.lit(low)) / F.lit(high - low + 1))
     for n in range(FILES):
-        at = F.floor(F.lit(FILES) * (F.col(order) - F.lit(low)) / F.lit(high - low + 1))
-        rows.where(F.coalesce(at, F.lit(0)) == n).coalesce(1).write.mode("append").parquet(path)
+        rows.where(F.coalesce(at, F.lit(0)) == n).repartition(_piece_files(t.spark)).write.mode("append").parquet(path)
     return path
 
 
+def _piece_files(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _events(t: Tables):
     events = t("events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
     path = _in_files(t, events, "_us", "events")
-    stream = base.stream_files(t.spark, path, events.schema, 1).drop("_us")
+    stream = base.stream_files(t.spark, path, events.schema, _piece_files(t.spark)).drop("_us")
     return stream.withColumn("at", F.col("ts").cast("timestamp"))
 
 
@@ -66,6 +71,24 @@ def stream_history(spark, sf):
     return keyed.history(log, "user_id", "event_id", "event_type", "purchase")
 
 
+def stream_log_source(spark, sf):
+    """Events from a log that is polled, in three parts of one checkpoint as the log grows."""
+    t = Tables(spark, sf)
+    path, block = work_path(spark, "log"), 10_000
+    events = t("events").select("event_id", "user_id", "event_type", "props")
+    blocks = events.withColumn("block", F.floor(F.col("event_id") / block))
+    blocks.repartition("block").write.partitionBy("block").parquet(path)
+    stored = service.StoredLog(path, "event_id", block)
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    service.register_log(spark, "event_log", events.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                         stored.newest, stored, start=-1, entries_per_partition=block)
+    stream = spark.readStream.format("event_log").load()
+    for part in range(1, FILES + 1):
+        stored.grow(last * part // FILES)
+        base.run_batches(stream, f"{path}-checkpoint", base.append_log(f"{path}-rows"))
+    return base.read_log(spark, f"{path}-rows").drop("batch_id")
+
+
 def stream_dedup(spark, sf):
     twice = _events(Tables(spark, sf)).withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
     first = keyed.first_deliveries(twice.drop("delivery"), "at", ["event_id"])
@@ -98,12 +121,12 @@ def stream_cdc_apply(spark, sf):
     ends = lines.select("organization_id", "connected_integration_id", stateful.EXTRACT).distinct().withColumns(
         {"_piece": F.lit(FILES - 1), stateful.END: F.lit(True)})
     source = _in_files(t, lines.unionByName(ends, allowMissingColumns=True), "_piece", "extracts")
-    stream = base.stream_files(spark, source, spark.read.parquet(source).schema, 1).drop("_piece")
+    stream = base.stream_files(spark, source, spark.read.parquet(source).schema, _piece_files(spark)).drop("_piece")
     handler = stateful.capture_changes(
         lambda s: s.read.parquet(f"{path}/base"), path, newest=STAGED_ORDER, every=2
     )
-    query = base.run_batches(stream, f"{path}/checkpoint", handler)
-    last = max(p["batchId"] for p in query.recentProgress)
+    base.run_batches(stream, f"{path}/checkpoint", handler)
+    last = base.batches_of(spark, f"{path}/ended")[-1]
     return stateful.state_after(spark, spark.read.parquet(f"{path}/base"), f"{path}/changes", last + 1)
 
 
@@ -137,6 +160,7 @@ QUERIES = {
                user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') AS closed
         FROM events ORDER BY user_id, event_id
     """),
+    "stream_log_source": Query(stream_log_source, "SELECT event_id, user_id, event_type, props FROM events"),
     "stream_dedup": Query(stream_dedup, "SELECT event_id, user_id, event_type, props FROM events"),
     "stream_message_timeout": Query(stream_message_timeout, FIRST_MESSAGE_SQL),
     "stream_cdc_apply": Query(stream_cdc_apply, CDC_SQL + """
