@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import (
     CDC_SQL, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging,
 )
-from millrace.catalog.timing import FIRST_MESSAGE_SQL, HOUR_US, WAIT_US
+from millrace.catalog.timing import FIRST_MESSAGE_SQL, WAIT_US
 from millrace.functions.values import epoch_micros
 from millrace.session import work_path
 from millrace.sources import service
-from millrace.streaming import base, keyed, stateful
+from millrace.streaming import base, keyed, stateful, timers
 
 
 FILES = 3
@@ -99,16 +99,16 @@ def stream_dedup(spark, sf):
 def stream_message_timeout(spark, sf):
     t = Tables(spark, sf)
     path = work_path(spark, "messages")
-    kind = F.when(F.col("event_type") == "signup", stateful.REQUEST).when(
-        F.col("event_type") == "purchase", stateful.MESSAGE
+    kind = F.when(F.col("event_type") == "signup", timers.REQUEST).when(
+        F.col("event_type") == "purchase", timers.MESSAGE
     )
     stream = _events(t).select(
         "user_id", kind.alias("kind"), F.col("event_id").alias("id"), epoch_micros("ts").alias("at_us")
     ).where("kind is not null")
-    handler = stateful.message_delivery(path, ["user_id"], WAIT_US, HOUR_US)
-    query = base.run_batches(stream, f"{path}/checkpoint", handler)
-    last = max(p["batchId"] for p in query.recentProgress)
-    return stateful.answers(spark, path, ["user_id"], WAIT_US, last, closed=True)
+    given = timers.message_delivery(stream, ["user_id"], WAIT_US, "1 hour")
+    base.run_batches(given, f"{path}/checkpoint", base.append_log(f"{path}/answers"))
+    log = base.read_log(spark, f"{path}/answers").drop("batch_id")
+    return timers.answers(log, f"{path}/checkpoint", ["user_id"], WAIT_US)
 
 
 def stream_cdc_apply(spark, sf):

@@ -1,4 +1,4 @@
-"""Streams whose state is kept in tables: message delivery and change capture.
+"""Change capture on a stream, with its state in tables.
 
 State is written per micro-batch and read from the previous batch's folder, so a batch that is
 repeated after a failure starts from the same state and writes the same results.
@@ -12,88 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators import cdc
-from millrace.operators.joins import within, without
-from millrace.operators.messages import first_message_within
-from millrace.operators.ordered import DAY_US
+from millrace.operators.joins import within
 from millrace.schemas import TENANT, USER_KEYS
 from millrace.sinks import folders
 from millrace.streaming.base import append_log, batch_folder, batches_of, read_log
 
-MESSAGE, REQUEST = "message", "request"
-
-
-def message_delivery(
-    path: str, keys: Sequence[str], timeout_us: int, delay_us: int,
-    width: int = DAY_US, keep_us: int | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """Handler for a stream of (keys, kind, id, at_us) rows that answers requests.
-
-    A request is answered once the newest event seen is ``delay_us`` past its deadline: all its
-    messages are in by then. Answers go to ``path/answers``; undelivered messages and undecided
-    requests wait in ``path/open``, of which the last two batches are kept. Messages are kept until they are
-    delivered, or with ``keep_us`` for that long before the newest event; later requests do not get older ones.
-    """
-    def decide(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            step(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        columns = [*keys, "kind", "id", "at_us"]
-        rows = batch.select(*columns)
-        newest = rows.agg(F.max("at_us").alias("seen_us"))
-        if batch_id > 0:
-            rows = rows.unionByName(spark.read.parquet(batch_folder(f"{path}/open", batch_id - 1)))
-            newest = newest.unionByName(
-                spark.read.parquet(batch_folder(f"{path}/seen", batch_id - 1))
-            ).agg(F.max("seen_us").alias("seen_us"))
-        seen_path = batch_folder(f"{path}/seen", batch_id)
-        newest.coalesce(1).write.mode("overwrite").parquet(seen_path)
-        seen = spark.read.parquet(seen_path).first()["seen_us"]
-
-        due = (F.col("kind") == REQUEST) & (F.col("at_us") + timeout_us + delay_us <= F.lit(seen))
-        messages = rows.where(F.col("kind") == MESSAGE)
-        answer_path = batch_folder(f"{path}/answers", batch_id)
-        first_message_within(
-            rows.where(due), messages, keys, timeout_us, width=width
-        ).write.mode("overwrite").parquet(answer_path)
-
-        taken = spark.read.parquet(answer_path).where("message_id is not null").select(
-            *keys, F.col("message_id").alias("id")
-        )
-        waiting = rows.where((F.col("kind") == REQUEST) & ~due)
-        still_open = without(messages, taken, [*keys, "id"])
-        if keep_us is not None and seen is not None:
-            still_open = still_open.where(F.col("at_us") >= seen - keep_us)
-        still_open.unionByName(waiting).write.mode("overwrite").parquet(
-            batch_folder(f"{path}/open", batch_id)
-        )
-        for state in ("open", "seen"):
-            for b in batches_of(spark, f"{path}/{state}"):
-                if b < batch_id - 1:
-                    folders.remove(spark, batch_folder(f"{path}/{state}", b))
-
-    return decide
-
-
-def answers(
-    spark: SparkSession, path: str, keys: Sequence[str], timeout_us: int, last_batch: int,
-    closed: bool = False,
-) -> DataFrame:
-    """Answers given up to a batch; with ``closed`` no more events come and all are decided."""
-    log = read_log(spark, f"{path}/answers")
-    given = log.where(F.col("batch_id") <= last_batch).drop("batch_id")
-    if not closed:
-        return given
-    left = spark.read.parquet(batch_folder(f"{path}/open", last_batch))
-    rest = first_message_within(
-        left.where(F.col("kind") == REQUEST), left.where(F.col("kind") == MESSAGE), keys, timeout_us
-    )
-    return given.unionByName(rest)
-
 
 def state_after(
     spark: SparkSession, base: DataFrame, log_path: str, before_batch: int,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.messages import first_message_within
 from millrace.schemas import USER_KEYS
-from millrace.streaming import base, keyed, stateful
+from millrace.streaming import base, keyed, stateful, timers
 from tests.test_cdc import latest_of, staging_of
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -136,30 +136,38 @@ def test_history_and_closed(spark, tmp_path, rows):
     ]
 
 
-def test_delivery_in_micro_batches(spark, tmp_path, rows):
-    rng = random.Random(5)
-    data = [
-        (rng.choice(["hot", "hot", "x", None]), rng.choice([stateful.MESSAGE, stateful.REQUEST]), i, i * 10 + rng.randrange(9))
-        for i in range(200)
-    ]
-    schema = "k string, kind string, id bigint, at_us bigint"
-    df = spark.createDataFrame(data, schema)
-    path = str(tmp_path / "in")
+def deliveries(rng, n):
+    return [(rng.choice(["hot", "hot", "x", None]), rng.choice([timers.MESSAGE, timers.REQUEST]), i, i * 10_000 + rng.randrange(9000)) for i in range(n)]
+
+
+ITEMS = "k string, kind string, id bigint, at_us bigint"
+
+
+def test_delivery_with_timers(spark, tmp_path, rows):
+    df = spark.createDataFrame(deliveries(random.Random(5), 200), ITEMS)
+    path, cp = str(tmp_path / "in"), str(tmp_path / "cp")
     write_files(df, path, "at_us", 5)
-    out = str(tmp_path / "out")
-    handler = stateful.message_delivery(out, ["k"], 60, 0, width=200)
-    query = base.run_batches(base.stream_files(spark, path, df.schema, 1), str(tmp_path / "cp"), handler)
-    last = query.lastProgress["batchId"]
-    assert last >= 4
-    got = stateful.answers(spark, out, ["k"], 60, last, closed=True)
-    requests = df.where(F.col("kind") == stateful.REQUEST)
-    want = first_message_within(requests, df.where(F.col("kind") == stateful.MESSAGE), ["k"], 60)
-    assert rows(got) == rows(want)
-    so_far = stateful.answers(spark, out, ["k"], 60, last)
-    assert 0 < so_far.count() < got.count()
-    # repeating the last batch writes the same answers
-    handler(spark.read.parquet(path).orderBy(F.col("at_us").desc()).limit(40), last)
-    assert rows(stateful.answers(spark, out, ["k"], 60, last, closed=True)) == rows(want)
+    source = base.stream_files(spark, path, df.schema, 1)
+    out = timers.message_delivery(source, ["k"], 60_000, "0 seconds")
+    query = base.run_batches(out, cp, base.append_log(str(tmp_path / "log")))
+    assert query.lastProgress["batchId"] >= 4
+    given = base.read_log(spark, str(tmp_path / "log"))
+    want = first_message_within(df.where(F.col("kind") == timers.REQUEST), df.where(F.col("kind") == timers.MESSAGE), ["k"], 60_000)
+    assert given.select("batch_id").distinct().count() >= 4  # answered as the time comes, not at the end
+    assert rows(timers.answers(given.drop("batch_id"), cp, ["k"], 60_000)) == rows(want)
+    assert 0 < given.count() < want.count()
+
+
+def test_state_goes_on_after_a_restart(spark, tmp_path, rows):
+    df = spark.createDataFrame(deliveries(random.Random(8), 120), ITEMS)
+    path, cp, log = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "log")
+    pdf = df.toPandas().sort_values("at_us")
+    for n in range(3):
+        add_file(spark, pdf.iloc[n * 40:(n + 1) * 40], df.schema, path)
+        out = timers.message_delivery(base.stream_files(spark, path, df.schema, 1), ["k"], 60_000, "0 seconds")
+        base.run_batches(out, cp, base.append_log(log))
+    want = first_message_within(df.where(F.col("kind") == timers.REQUEST), df.where(F.col("kind") == timers.MESSAGE), ["k"], 60_000)
+    assert rows(timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000)) == rows(want)
 
 
 def extract_rows(spark, extracts):
@@ -241,13 +249,15 @@ def test_late_rows_of_all_batches_count(spark, events, tmp_path):
 
 
 def test_messages_are_kept_for_a_time(spark, tmp_path, rows):
-    out, schema = str(tmp_path / "out"), "k string, kind string, id bigint, at_us bigint"
-    handler = stateful.message_delivery(out, ["k"], 10, 0, keep_us=100)
-    for n, row in enumerate([("a", stateful.MESSAGE, 1, 0), ("b", stateful.MESSAGE, 2, 500), ("b", stateful.REQUEST, 3, 510),
-                             ("a", stateful.REQUEST, 4, 520), ("c", stateful.MESSAGE, 5, 900)]):
-        handler(spark.createDataFrame([row], schema), n)
-    assert rows(stateful.answers(spark, out, ["k"], 10, 4), "request_id", "message_id") == [(3, 2), (4, None)]
-    assert base.batches_of(spark, f"{out}/open") == [3, 4] == base.batches_of(spark, f"{out}/seen")
+    path, cp, log = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "log")
+    data = [("a", timers.MESSAGE, 1, 0), ("b", timers.MESSAGE, 2, 500), ("b", timers.REQUEST, 3, 510), ("a", timers.REQUEST, 4, 520),
+            ("c", timers.MESSAGE, 5, 900)]
+    df = spark.createDataFrame([(*r[:3], r[3] * 1000) for r in data], ITEMS)
+    write_files(df, path, "at_us", 5)
+    out = timers.message_delivery(base.stream_files(spark, path, df.schema, 1), ["k"], 10_000, "0 seconds", keep_us=100_000)
+    base.run_batches(out, cp, base.append_log(log))
+    assert rows(base.read_log(spark, log), "request_id", "message_id") == [(3, 2), (4, None)]
+    assert rows(timers.still_open(spark, cp, ["k"])) == [("c", timers.MESSAGE, 5, 900_000)]
 
 
 def test_order_is_kept_per_key(spark, rows):
