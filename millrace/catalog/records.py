@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from millrace import schemas
 from millrace.catalog.base import (
@@ -10,7 +12,7 @@ from millrace.catalog.base import (
     uuid5_sql,
 )
 from millrace.functions.hashing import content_hash, uuid5
-from millrace.operators import access, cdc, dedup, jobs, quality
+from millrace.operators import access, cdc, dedup, history, jobs, numbering, quality, sketches
 from millrace.plans import elt, imports
 from millrace.session import work_path
 from millrace.sinks import tables as sinks
@@ -38,6 +40,34 @@ def duplicate_count(spark, sf):
     return dedup.duplicate_count(Tables(spark, sf)("lineitem"), LINE_KEY, ["l_returnflag"])
 
 
+def unique_count_sketch(spark, sf):
+    """Unique lines by return flag from stored sketches of each flag and status, held against exact counts."""
+    t, path = Tables(spark, sf), work_path(spark, "sketches")
+    sketches.key_sketches(t("lineitem"), LINE_KEY, ["l_returnflag", "l_linestatus"]).write.parquet(path)
+    merged = sketches.merged_counts(spark.read.parquet(path), ["l_returnflag"])
+    exact = dedup.duplicate_count(t("lineitem"), LINE_KEY, ["l_returnflag"])
+    near = sketches.within_error(merged["unique_count"], exact["unique_count"])
+    return merged.join(exact, "l_returnflag").select("l_returnflag", merged["total_count"], exact["unique_count"], near.alias("within_error"))
+
+
+def change_history(spark, sf):
+    """Three runs over all tenants, the last one back to the first extract: the snapshot as of each, from their history."""
+    t, path = Tables(spark, sf), work_path(spark, "history")
+    first = order_lines(t).where(PRIOR_LINES).drop("l_returnflag", "l_linestatus")
+    before = cdc_latest(t).limit(0)
+    for version, staged in enumerate((first, cdc_staging(t), first), 1):
+        found = cdc.detect_changes(staged, before, newest=STAGED_ORDER, all_tenants=True)
+        sinks.recreate(found, f"{path}/changes/{version}")
+        history.record(spark.read.parquet(f"{path}/changes/{version}"), path, version)
+        before = history.snapshot(spark, path, version)
+    return reduce(DataFrame.unionByName, (history.snapshot(spark, path, v).withColumn("version", F.lit(v)) for v in (1, 2, 3)))
+
+
+def global_order(spark, sf):
+    return numbering.global_order(Tables(spark, sf)("orders").select("o_orderkey", "o_orderdate", "o_orderpriority"),
+                                  "o_orderpriority", "o_orderdate", "o_orderkey")
+
+
 def content_hashes(spark, sf):
     return Tables(spark, sf)("customer").select(
         "c_custkey", content_hash("c_name", "c_mktsegment").alias("content_hash")
@@ -272,6 +302,21 @@ QUERIES = {
                count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_count
         FROM lineitem GROUP BY l_returnflag
     """),
+    "unique_count_sketch": Query(unique_count_sketch, """
+        SELECT l_returnflag, count(*) AS total_count, count(DISTINCT (l_orderkey, l_linenumber)) AS unique_count, true AS within_error
+        FROM lineitem GROUP BY l_returnflag
+    """),
+    "change_history": Query(change_history, CDC_SQL + f"""
+        , snapshots AS (
+            SELECT *, 1 AS version FROM prior UNION ALL SELECT *, 2 FROM fresh UNION ALL SELECT *, 3 FROM prior
+        )
+        SELECT {KEYS}, external_id, name, email, content_hash, CAST(version AS INTEGER) AS version FROM snapshots
+    """),
+    "global_order": Query(global_order, """
+        SELECT o_orderkey, o_orderdate, o_orderpriority,
+               row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) - 1 AS row_id
+        FROM orders
+    """),
     "content_hash": Query(content_hashes, """
         SELECT c_custkey, md5(c_name || ':' || c_mktsegment) AS content_hash FROM customer
     """),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.dedup import dedup_latest
-from millrace.operators.joins import record_key, within, without
+from millrace.operators.joins import PlainKey, within, without
 from millrace.schemas import TENANT, USER_KEYS
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -24,8 +24,8 @@ def _compared(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Both sides of every key in one row (``_old_*``, ``_new_*``, ``_kind``), and the tenants it covers.
 
-    Both sides meet in one full outer join on the record key, which is unique on either side and in which
-    null equals null. The deduplication already distributes staging by that key, so each side is shuffled once.
+    Both sides meet in one full outer join on the columns of the record key, which is unique on either side and in
+    which null equals null. The deduplication already distributes staging by them, so each side is shuffled once.
     """
     payload = _payload(latest, keys)
     names = [c for c in (tenants.columns if tenants is not None else TENANT) if c in keys]
@@ -35,23 +35,31 @@ def _compared(
         latest = within(latest, scope, names)
         if tenants is not None:
             staging = within(staging, scope, names)
-    staging = staging.withColumn("_key", record_key(keys)).drop(*keys)
-    new = dedup_latest(staging, ["_key"], newest).select(
-        F.col("_key").alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in payload]
-    )
-    old = latest.select(record_key(keys).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in payload])
+    key = PlainKey(latest, keys)
+    staging = staging.select(*key.columns(), *[c for c in staging.columns if c not in keys])
+    new = _side(dedup_latest(staging, key.names, newest), key, payload, "_new", plain=True)
+    old = _side(latest, key, payload, "_old")
     kind = (
         F.when(F.col("_old").isNull(), INSERT)
         .when(F.col("_new").isNull(), DELETE)
         .when(~F.col(f"_new_{hash_col}").eqNullSafe(F.col(f"_old_{hash_col}")), UPDATE)
     )
-    both = new.join(old, F.col("_new") == F.col("_old"), "full_outer").withColumn("_kind", kind)
-    return both, scope
+    return new.join(old, _same(key), "full_outer").withColumn("_kind", kind), scope
+
+
+def _side(df: DataFrame, key: PlainKey, payload: Sequence[str], side: str, *more: Column, plain: bool = False) -> DataFrame:
+    """One side of a comparison: its key and payload under the side's name, and a mark that it is there."""
+    named = [F.col(n) for n in key.names] if plain else key.columns()
+    return df.select(*[c.alias(side + n) for c, n in zip(named, key.names)], F.lit(True).alias(side),
+                     *[F.col(c).alias(f"{side}_{c}") for c in payload], *more)
+
 
+def _same(key: PlainKey) -> Column:
+    return reduce(Column.__and__, [F.col("_new" + n) == F.col("_old" + n) for n in key.names])
 
-def _sided(keys: Sequence[str], payload: Sequence[str], use_new: Column) -> list[Column]:
-    record = F.coalesce("_new", "_old")
-    return [record[k].alias(k) for k in keys] + [
+
+def _sided(key: PlainKey, payload: Sequence[str], use_new: Column) -> list[Column]:
+    return key.back(lambda n: F.coalesce(F.col("_new" + n), F.col("_old" + n))) + [
         F.when(use_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in payload
     ]
 
@@ -76,7 +84,7 @@ def detect_changes(
     """
     both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col)
     return both.where(F.col("_kind").isNotNull()).select(
-        *_sided(keys, _payload(latest, keys), F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
+        *_sided(PlainKey(latest, keys), _payload(latest, keys), F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
     )
 
 
@@ -96,7 +104,7 @@ def next_snapshot(
     """
     both, scope = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col)
     changed = F.col("_kind").isNotNull()
-    after = both.where(F.col("_new").isNotNull()).select(*_sided(keys, _payload(latest, keys), changed))
+    after = both.where(F.col("_new").isNotNull()).select(*_sided(PlainKey(latest, keys), _payload(latest, keys), changed))
     return after if scope is None else after.unionByName(without(latest, scope, scope.columns))
 
 
@@ -124,15 +132,11 @@ def apply_changes(
     """
     if newest:
         changes = dedup_latest(changes, keys, newest)
-    payload = _payload(latest, keys)
-    delta = changes.select(
-        record_key(keys).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in payload],
-        F.col("change_type").alias("_kind"),
-    )
-    old = latest.select(record_key(keys).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in payload])
-    merged = old.join(delta, F.col("_old") == F.col("_new"), "full_outer")
+    key, payload = PlainKey(latest, keys), _payload(latest, keys)
+    delta = _side(changes, key, payload, "_new", F.col("change_type").alias("_kind"))
+    merged = _side(latest, key, payload, "_old").join(delta, _same(key), "full_outer")
     kept = merged.where(F.col("_kind").isNull() | (F.col("_kind") != DELETE))
-    return kept.select(*_sided(keys, payload, F.col("_kind").isNotNull()))
+    return kept.select(*_sided(key, payload, F.col("_kind").isNotNull()))
 
 
 def read_changes(

@@ -1,0 +1,99 @@
+"""History of changes, sketches of keys, numbers in one order."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import cdc, history, numbering, sketches
+from millrace.sinks import folders
+
+ROW = "id string, organization_id string, connected_integration_id string, name string, content_hash string"
+
+
+def snapshot_rows(rng, n):
+    return [(str(i), rng.choice(["o1", None]) if i % 5 else "o2", "x", f"n{v}", f"h{v}") for i in range(n) if (v := rng.randrange(4))]
+
+
+def runs(spark, count=6, n=40):
+    """Snapshots one after the other, and the changes between them."""
+    rng, before = random.Random(3), spark.createDataFrame([], ROW)
+    owner = {}
+    for _ in range(count):
+        rows = []
+        for i, org, integration, name, h in snapshot_rows(rng, n):
+            rows.append((i, owner.setdefault(i, org), integration, name, h))
+        after = spark.createDataFrame(rows, ROW)
+        found = cdc.detect_changes(after.withColumn("at", F.lit(1)), before, newest=["at"], all_tenants=True)
+        yield after, found
+        before = after
+
+
+def test_snapshots_of_all_runs(spark, tmp_path, rows):
+    path, snapshots, log = str(tmp_path), [], None
+    for version, (after, found) in enumerate(runs(spark), 1):
+        history.record(found, path, version)
+        if version in (1, 3, 6):
+            history.record(found, path, version)  # repeated: nothing changes
+        snapshots.append(rows(after, *after.columns))
+        part = found.withColumn("version", F.lit(version).cast("long"))
+        log = part if log is None else log.unionByName(part)
+    for version, want in enumerate(snapshots, 1):
+        assert rows(history.snapshot(spark, path, version), *after.columns) == want
+        assert rows(history.as_of(history.recorded(spark, path), version), *after.columns) == want
+    columns = [*after.columns, history.FROM, history.TO]
+    assert rows(history.intervals(log, "version"), *columns) == rows(history.recorded(spark, path), *columns)
+    assert folders.names(spark, f"{path}/open") == ["version=5", "version=6"]
+
+
+def test_runs_come_in_order(spark, tmp_path):
+    (_, first), (_, second) = runs(spark, 2)
+    history.record(first, str(tmp_path), 1)
+    history.record(second, str(tmp_path), 3)
+    with pytest.raises(ValueError, match="comes after"):
+        history.record(first, str(tmp_path), 2)
+
+
+def test_a_snapshot_reads_later_ends_only(spark, tmp_path):
+    for version, (_, found) in enumerate(runs(spark), 1):
+        history.record(found, str(tmp_path), version)
+    files = history.snapshot(spark, str(tmp_path), 4).inputFiles()
+    assert {f.split("version=")[1][0] for f in files if "/closed/" in f} == {"5", "6"}
+
+
+def test_sketches_of_runs_are_merged(spark, rows):
+    df = spark.range(60_000).select((F.col("id") % 3).alias("run"), F.pmod(F.hash("id"), F.lit(20_000)).alias("a"), (F.col("id") % 2).alias("b"))
+    stored = sketches.key_sketches(df, ["a", "b"], ["run"])
+    assert stored.count() == 3
+    for chosen in ((0,), (0, 2), (0, 1, 2)):
+        got = sketches.merged_counts(stored.where(F.col("run").isin(*chosen))).first()
+        part = df.where(F.col("run").isin(*chosen))
+        exact = part.select("a", "b").distinct().count()
+        assert got.total_count == part.count() and abs(got.unique_count - exact) <= exact * sketches.relative_error()
+        assert got.duplicate_count == got.total_count - got.unique_count
+    one = sketches.merged_counts(stored, ["run"]).first()
+    assert one.total_count == 20_000
+
+
+def test_nulls_are_keys_and_no_rows_are_none(spark, rows):
+    df = spark.createDataFrame([("x", None), (None, "x"), (None, None), ("x", None)], "a string, b string")
+    got = sketches.merged_counts(sketches.key_sketches(df, ["a", "b"], []))
+    assert rows(got) == [(4, 3, 1)]
+    assert rows(sketches.merged_counts(sketches.key_sketches(df.limit(0), ["a"], ["b"]))) == [(0, 0, 0)]
+
+
+def test_numbers_have_no_gaps(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+    got = numbering.global_order(df.repartition(6), F.desc("k"), "id", name="n", start=10).collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == [r.id for r in df.orderBy(F.desc("k"), "id").collect()]
+    assert sorted(r.n for r in got) == list(range(10, 5010))
+
+
+def test_ties_fill_several_ranges(spark):
+    df = spark.range(4000).withColumn("k", F.lit(1))
+    ranges = numbering.global_order(df, "k")
+    assert sorted(r.row_id for r in ranges.collect()) == list(range(4000))
+    assert numbering.global_order(df.limit(0), "k").count() == 0
+    plan = ranges._jdf.queryExecution().optimizedPlan().toString()
+    window = plan.index("Window [")  # over the counts of the ranges
+    assert plan.count("Window [") == 1 and "Aggregate [" in plan[window:] and "rightHint=(strategy=broadcast)" in plan
