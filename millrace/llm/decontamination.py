@@ -7,7 +7,9 @@ searched in parallel without a shuffle. Words that no test item has are left out
 A test item is read as windows of ten words. For each window the lists of its words are shifted by the word's
 place in the window and intersected, from the word that is rarest in the corpus on; what is left are the exact
 places of the phrase. With a slack, a window is also found where each of its words lies at most that many places
-off, seen from its rarest one: a proximity match. Items are searched in chunks of a bounded number of words, each against all blocks.
+off, seen from its rarest one: a proximity match. Equal windows are searched once. What a block gives is joined to ranges
+and names as arrays; single hits are listed only if asked for. Items are searched in chunks of a bounded number of
+words, each against all blocks.
 
 Defined results: null and empty texts have no words, no hits, and are not contaminated; an item without words
 has no window, one of fewer than ten words is one window. Places never cross documents. Repeated documents
@@ -25,14 +27,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm.tables import documents, in_batches, saved, table
-from millrace.llm.words import ALNUM, BitTable, Words, bit_table, lowered, steps
+from millrace.llm.tables import documents, in_batches, made_path, saved, table
+from millrace.llm.words import ALNUM, BASE, BitTable, Words, bit_table, lowered, mixed, steps
 
 WINDOW = 10
 #: Bytes of text in a block; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 19
 #: Words of test items that are searched at once; a longer item is a chunk of its own.
-CHUNK_WORDS = 100_000
+CHUNK_WORDS = 400_000
+#: How far words of a window may be off in a proximity match of the query.
+SLACK = 2
 
 FOLDED = lowered(ALNUM)
 HIT = "struct<item:string,item_at:int,doc_at:int,length:int>"
@@ -75,7 +79,9 @@ def build_index(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
     schema = (f"block string, ids array<{kind.simpleString()}>, n_words array<long>, terms array<long>, "
               "counts array<int>, places array<int>")
-    return saved(in_batches(docs.select("doc_id", "text"), run, schema), "postings")
+    out = saved(in_batches(docs.select("doc_id", "text"), run, schema), "postings")
+    sent.destroy()
+    return out
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -94,10 +100,20 @@ class Items:
         counts = np.concatenate([w.counts for w, _ in found] or [np.zeros(0, np.int64)])
         first = np.concatenate([[0], np.cumsum(counts)])
         number = np.where(counts >= window, counts - window + 1, (counts > 0).astype(np.int64))
-        self.item = np.repeat(np.arange(len(counts)), number)
-        self.at = np.arange(len(self.item)) - np.repeat(np.cumsum(number) - number, number)
-        self.start = first[self.item] + self.at
-        self.length = np.minimum(counts[self.item], window)
+        item = np.repeat(np.arange(len(counts)), number)
+        at = np.arange(len(item)) - np.repeat(np.cumsum(number) - number, number)
+        start, length = first[item] + at, np.minimum(counts[item], window)
+        # equal windows are one, with all the items and places it stands for
+        key = length.astype(np.uint64)
+        for k in range(window):
+            inside = k < length
+            key[inside] = mixed(key[inside] * BASE + self.hashes[start[inside] + k])
+        _, one, same = np.unique(key, return_index=True, return_inverse=True)
+        self.start, self.length = start[one], length[one]
+        order = np.argsort(same, kind="stable")
+        self.edges = np.searchsorted(same[order], np.arange(len(one) + 1))
+        self.item, self.at = item[order], at[order]
+        self.distinct, self.name = np.unique(np.array(names, dtype=object).astype(str), return_inverse=True) if names else (np.zeros(0, str), np.zeros(0, np.int64))
 
     def anchored(self, frequency: dict[int, int]) -> None:
         """Fixes the rarest word of each window; a word that the corpus lacks is rarest of all."""
@@ -141,93 +157,127 @@ def intersected(items: Items, terms: np.ndarray, edges: np.ndarray, places: np.n
     return np.concatenate(windows), np.concatenate(found)
 
 
-def _merged(starts: np.ndarray, stops: np.ndarray) -> list[dict[str, int]]:
-    """Ranges joined where they touch."""
-    order = np.argsort(starts, kind="stable")
-    starts, stops = starts[order], np.maximum.accumulate(stops[order])
-    new = np.append(True, starts[1:] > stops[:-1])
-    return [{"start": int(a), "stop": int(b)} for a, b in zip(starts[new], stops[np.append(np.flatnonzero(new)[1:] - 1, len(stops) - 1)])]
+def listed(edges_of: np.ndarray, groups: int, values: pa.Array) -> pa.ListArray:
+    """Values, sorted by their group, as one list a group."""
+    edges = np.concatenate([[0], np.cumsum(np.bincount(edges_of, minlength=groups))])
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), values)
 
 
-def search(index: DataFrame, items: Items, slack: int = 0) -> DataFrame:
-    """One row for each document: exact matches, the word ranges they cover, and proximity matches if asked for."""
+def structs(**columns: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.astype(np.int32)) for c in columns.values()], names=list(columns))
+
+
+def ranges_of(text: np.ndarray, at: np.ndarray, stops: np.ndarray, first: np.ndarray, groups: int) -> pa.ListArray:
+    """The places that matches cover, as ranges that do not touch, by document."""
+    order = np.argsort(at, kind="stable")
+    text, at, stops = text[order], at[order], np.maximum.accumulate(stops[order]) if len(order) else stops
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] > stops[:-1]) | (text[1:] != text[:-1])
+    last = np.append(new[1:], True) if len(at) else new
+    base = first[text[new]]
+    return listed(text[new], groups, structs(start=at[new] - base, stop=stops[last] - base))
+
+
+def names_of(items: Items, windows: np.ndarray, text: np.ndarray, groups: int) -> pa.ListArray:
+    """The different names of the items that matched, by document."""
+    pairs = np.unique(text * max(len(items.length), 1) + windows)
+    text, windows = np.divmod(pairs, max(len(items.length), 1))
+    lengths = np.diff(items.edges)[windows]
+    members = np.repeat(items.edges[windows] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    pairs = np.unique(np.repeat(text, lengths) * max(len(items.distinct), 1) + items.name[items.item[members]])
+    text, name = np.divmod(pairs, max(len(items.distinct), 1))
+    return listed(text, groups, pa.array(items.distinct.astype(object), pa.string()).take(pa.array(name)))
+
+
+def hits_of(items: Items, windows: np.ndarray, at: np.ndarray, text: np.ndarray, first: np.ndarray, groups: int) -> pa.ListArray:
+    """Every match of every item, by document."""
+    order = np.lexsort((at, text))
+    windows, at, text = windows[order], at[order], text[order]
+    lengths = np.diff(items.edges)[windows]
+    members = np.repeat(items.edges[windows] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    names = pa.array(items.distinct.astype(object), pa.string()).take(pa.array(items.name[items.item[members]]))
+    return listed(np.repeat(text, lengths), groups, structs(
+        item=names, item_at=items.at[members], doc_at=np.repeat(at - first[text], lengths), length=np.repeat(items.length[windows], lengths)))
+
+
+def search(index: DataFrame, items: Items, slack: int = 0, hits: bool = False) -> DataFrame:
+    """One row for each document: the items that match exactly, the word ranges they cover, and the items of proximity matches.
+
+    With ``hits`` also every single match, ``exact`` and ``near``; there may be many.
+    """
     sent = index.sparkSession.sparkContext.broadcast(items)
     kind = index.schema["ids"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
-        hit = pa.struct([("item", pa.string()), ("item_at", pa.int32()), ("doc_at", pa.int32()), ("length", pa.int32())])
-        span = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
         for batch in batches:
             for r in range(batch.num_rows):
                 block, ids, n_words, terms, counts, places = (batch.column(c)[r] for c in range(6))
                 n_words = n_words.values.to_numpy(zero_copy_only=False)
-                first = np.concatenate([[0], np.cumsum(n_words)])
+                first, groups = np.concatenate([[0], np.cumsum(n_words)]), len(n_words)
                 terms = terms.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 edges = np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])
                 places = places.values.to_numpy(zero_copy_only=False)
-                out = {}
+                found, listed_hits = {}, {}
                 for name, s in (("exact", 0), ("near", slack)):
-                    lists, ranges = [[] for _ in n_words], [[] for _ in n_words]
-                    if name == "exact" or slack:
-                        w, at = intersected(items, terms, edges, places, first, s)
-                        text = np.searchsorted(first, at, side="right") - 1
-                        order = np.lexsort((at, text))
-                        w, at, text = w[order], at[order], text[order]
-                        bounds = np.searchsorted(text, np.arange(len(n_words) + 1))
-                        for t in np.unique(text):
-                            a, b = bounds[t], bounds[t + 1]
-                            lists[t] = [{"item": items.names[items.item[x]], "item_at": int(items.at[x]), "doc_at": int(y - first[t]),
-                                         "length": int(items.length[x])} for x, y in zip(w[a:b], at[a:b])]
-                            ranges[t] = _merged(at[a:b] - first[t], at[a:b] - first[t] + items.length[w[a:b]])
-                    out[name], out[name + "_ranges"] = lists, ranges
+                    w, at = (np.zeros(0, np.int64),) * 2 if name == "near" and not slack else intersected(items, terms, edges, places, first, s)
+                    text = np.searchsorted(first, at, side="right") - 1
+                    found[name] = names_of(items, w, text, groups)
+                    if name == "exact":
+                        ranges = ranges_of(text, at, at + items.length[w], first, groups)
+                    if hits:
+                        listed_hits[name] = hits_of(items, w, at, text, first, groups)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([block.as_py()] * len(n_words), pa.string()), pa.array(np.arange(len(n_words), dtype=np.int32)),
-                    ids.values, pa.array(n_words.astype(np.int64)), pa.array(out["exact"], pa.list_(hit)),
-                    pa.array(out["exact_ranges"], pa.list_(span)), pa.array(out["near"], pa.list_(hit)),
-                ], names=["block", "number", "doc_id", "n_words", "exact", "ranges", "near"])
+                    pa.array([block.as_py()] * groups, pa.string()), pa.array(np.arange(groups, dtype=np.int32)),
+                    ids.values, pa.array(n_words.astype(np.int64)), found["exact"], ranges, found["near"], *listed_hits.values(),
+                ], names=["block", "number", "doc_id", "n_words", "items", "ranges", "near_items", *listed_hits])
 
-    schema = (f"block string, number int, doc_id {kind.simpleString()}, n_words long, exact array<{HIT}>, "
-              f"ranges array<struct<start:int,stop:int>>, near array<{HIT}>")
+    schema = (f"block string, number int, doc_id {kind.simpleString()}, n_words long, items array<string>, "
+              "ranges array<struct<start:int,stop:int>>, near_items array<string>" + (f", exact array<{HIT}>, near array<{HIT}>" if hits else ""))
     return in_batches(index, run, schema)
 
 
-def chunks(items: DataFrame) -> Iterator[tuple[list[str], list[str | None]]]:
-    """Items in chunks of at most ``CHUNK_WORDS`` words (taken as bytes / 2, of which a text has no more)."""
+def chunks(items: DataFrame) -> Iterator[tuple[list[str], list[str | None], bool]]:
+    """Items in chunks of at most ``CHUNK_WORDS`` words (taken as bytes / 2, of which a text has no more), and whether it is the last."""
     names, texts, size = [], [], 0
     for row in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), "text").toLocalIterator():
         n = len(row["text"] or "") // 2
         if names and size + n > CHUNK_WORDS:
-            yield names, texts
+            yield names, texts, False
             names, texts, size = [], [], 0
         names.append(row["name"])
         texts.append(row["text"])
         size += n
     if names:
-        yield names, texts
+        yield names, texts, True
+
 
+def find(docs: DataFrame, items: DataFrame, slack: int = 0, window: int = WINDOW, hits: bool = False) -> DataFrame:
+    """One row for each document with what matches in it (see :func:`search`).
 
-def find(docs: DataFrame, items: DataFrame, slack: int = 0, window: int = WINDOW) -> DataFrame:
-    """One row for each document with all its matches of all items."""
+    With items in several chunks, each chunk's rows are added to one table.
+    """
     spark = docs.sparkSession
     index = build_index(docs, word_filter(items))
     counts = saved(frequencies(index), "frequencies")
-    found = None
-    for names, texts in chunks(items):
+    path = None
+    found = search(index, _no_items(window), slack, hits)
+    for number, (names, texts, last) in enumerate(chunks(items)):
         chunk = Items(names, texts, window)
         terms = spark.createDataFrame(pd.DataFrame({"term": np.unique(chunk.hashes).view(np.int64)}), "term long")
         # at most as many rows as the chunk has words
         chunk.anchored(dict(map(tuple, counts.join(F.broadcast(terms), "term").select("term", "frequency").collect())))
-        part = search(index, chunk, slack)
-        found = part if found is None else found.unionByName(part)
-        several = found is not part
-    if found is None:
-        return search(index, _no_items(window), slack).drop("block", "number")
-    if not several:
-        return found.drop("block", "number")
-    return (found.groupBy("block", "number", "doc_id", "n_words")
-            .agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("exact", "ranges", "near")))
-            .drop("block", "number"))
+        found = search(index, chunk, slack, hits)
+        if last and not number:
+            break
+        path = path or made_path(spark, "matches")
+        found.write.mode("append").parquet(path)
+    if path:
+        found = spark.read.schema(found.schema).parquet(path)
+        lists = [c for c in found.columns if c not in ("block", "number", "doc_id", "n_words")]
+        found = found.groupBy("block", "number", "doc_id", "n_words").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in lists))
+        found = found.withColumns({c: F.array_distinct(c) for c in ("items", "near_items")})
+    return found.drop("block", "number")
 
 
 def _no_items(window: int) -> Items:
@@ -248,14 +298,16 @@ def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) ->
     """The rows of ``docs`` in which no window of any item occurs."""
     key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = find(docs.select(key.alias("doc_id"), "text"), items, window=window)
-    hit = found.where(F.size("exact") > 0).select(F.col("doc_id.id").alias("hit_id"), F.col("doc_id.text").alias("hit_text")).distinct()
+    hit = found.where(F.size("items") > 0).select(F.col("doc_id.id").alias("hit_id"), F.col("doc_id.text").alias("hit_text")).distinct()
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_text"]), "left_anti")
 
 
 def op6_decontaminate_index(spark: SparkSession, folder: str) -> DataFrame:
-    found = find(documents(spark, folder), table(spark, folder, "benchmark"))
-    names = F.array_sort(F.array_distinct(F.transform("exact", lambda x: x["item"])))
-    return found.select("doc_id", "n_words", covered(F.col("ranges")).alias("n_hit"), names.alias("items")).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+    """The contract's columns are about exact matches; ``n_near`` and ``near_items`` name the items with proximity matches."""
+    found = find(documents(spark, folder), table(spark, folder, "benchmark"), SLACK)
+    names = F.array_join(F.array_sort("items"), ",")
+    n_hit = covered(F.col("ranges"))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(names, "UTF-8"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"), F.array_join(F.array_sort("near_items"), ",").alias("near_items"))

@@ -50,6 +50,23 @@ WITH item AS (
 ), placed AS (
     SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
     FROM (SELECT r, w, n, unnest(range(1, CAST(len(w) AS BIGINT) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM sized))
+), word AS (SELECT r, unnest(range(1, CAST(len(w) AS BIGINT) + 1)) AS p, unnest(w) AS word FROM doc
+), often AS (SELECT word, count(*) AS c FROM word GROUP BY word
+), part AS (
+    SELECT g, n, j, q.word, coalesce(c, 0) AS c
+    FROM (SELECT g, n, unnest(range(1, n + 1)) AS j, unnest(string_split(g, ' ')) AS word FROM (SELECT DISTINCT g, n FROM wanted)) q
+    LEFT JOIN often USING (word)
+), anchor AS (
+    SELECT part.g, part.n, part.j AS a, part.word FROM part
+    WHERE c > 0 QUALIFY row_number() OVER (PARTITION BY g ORDER BY c, j) = 1 AND min(c) OVER (PARTITION BY g) > 0
+), candidate AS (SELECT g, n, a, r, p FROM anchor JOIN word USING (word)
+), around AS (
+    SELECT g, candidate.r, candidate.p FROM candidate JOIN part USING (g, n) JOIN word AS o ON o.r = candidate.r AND o.word = part.word
+    WHERE o.p BETWEEN candidate.p + j - a - 2 AND candidate.p + j - a + 2
+    GROUP BY g, candidate.r, candidate.p, n HAVING count(DISTINCT j) = n
+), close AS (
+    SELECT r, count(*) AS n_near, string_agg(name, ',' ORDER BY name) AS near_items
+    FROM (SELECT DISTINCT r, name FROM around JOIN wanted USING (g)) GROUP BY r
 ), hit AS (SELECT r, name, n, i FROM placed JOIN wanted USING (n, g)
 ), covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
 ), named AS (
@@ -57,8 +74,9 @@ WITH item AS (
     FROM (SELECT DISTINCT r, name FROM hit) GROUP BY r
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near, coalesce(near_items, '') AS near_items
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r) LEFT JOIN close USING (r)
 """
 
 OP7 = r"""

@@ -24,11 +24,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The folder is removed when the session's JVM ends, or with the step it belongs to (see :func:`finished`).
     """
     spark = df.sparkSession
-    path = work_path(spark, name)
+    path = made_path(spark, name)
     df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def made_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder; what is written there goes as :func:`saved` tables do."""
+    path = work_path(spark, name)
     if _MADE:
         _MADE[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def finished(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:

@@ -15,7 +15,7 @@ COLUMNS = {
     "op3_toxicity_channel": "doc_id held_out score predicted",
     "op4_mix_waterfill": "doc_id size source_size target taken",
     "op5_quality_ratio": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words score base_failed kept",
-    "op6_decontaminate_index": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op6_decontaminate_index": "doc_id n_words n_hit n_items items_sha256 contaminated n_near near_items",
     "op7_jaccard_components": "doc_id n_shingles component_id",
     "op8_secret_markov": "doc_id n_assign n_access n_hex n_markov base_sha256 spans",
     "op9_pii_spans": "doc_id n_email n_ip n_card n_phone base_sha256 spans scores",
@@ -25,7 +25,7 @@ COLUMNS = {
     "op13_centroids_ns": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 LONG = ("size slot source_size taken n_words word_chars n_symbols n_dup_lines n_repeat_words n_hit n_items n_shingles n_assign n_access "
-        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32 n_units best_dice n_tokens removed redundant unique_fails good_lost toxic_lost shapley distance "
+        "n_hex n_email n_ip n_card n_phone n_bytes n_removed n_spans text_crc32 n_units best_dice n_tokens n_near removed redundant unique_fails good_lost toxic_lost shapley distance "
         "cluster_inertia inertia").split()
 
 
