@@ -129,3 +129,60 @@ def test_context_is_that_of_the_text(spark, tmp_path):
                 want += [f"{kind}:{m.start()}:{m.end()}"] * (points >= 50)
         assert got[i] == want, text
     assert [len(got[i]) for i in range(len(texts))] == [2, 2, 1, 1, 4, 0, 0, 1, 2]
+
+
+def account(rng, country):
+    """A valid account number of a country."""
+    body = "".join(rng.choice("0123456789" if rng.random() < 0.8 else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(pii.IBAN_LENGTHS[country] - 4))
+    plain = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+    return f"{country}{98 - int(plain) % 97:02d}{body}"
+
+
+def spans_of(spark, tmp_path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return {r["doc_id"]: [s for s in r["spans"].split(",") if s] for r in pii.op9_pii_spans(spark, str(tmp_path)).collect()}
+
+
+def test_account_numbers_end_with_their_country(spark, tmp_path):
+    number, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [f"IBAN {number} BIC COBADEFFXXX", f"IBAN {grouped} BIC COBADEFFXXX", f"PAY TO {number} IN EUR", f"{number} {number}",
+             f"{grouped} GB82 WEST 1234 5698 7654 32", f"{number}0", f"{number}X", f"X{number}", f"{number[:-1]}1", f"{number}, {number}",
+             "XX89370400440532013000", f"{number} 12", f"no NO9386011117947 BIC", number.lower()]
+    got = spans_of(spark, tmp_path, texts)
+    assert [len(got[i]) for i in range(len(texts))] == [1, 1, 1, 2, 2, 0, 0, 0, 0, 2, 0, 1, 1, 0]
+    assert got[0] == ["iban:5:27"] and got[1] == ["iban:5:32"] and got[4] == ["iban:0:27", "iban:28:55"]
+    rng = random.Random(2)
+    texts = [f"PAY {account(rng, c)} TO ME NOW" for c in pii.IBAN_LENGTHS]
+    (tmp_path / "all").mkdir()
+    assert [s for s in spans_of(spark, tmp_path / "all", texts).values() if len(s) != 1] == []
+
+
+def planted(rng, words):
+    """Sentences with numbers of the added kinds, and sentences with numbers that are none."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    lead = {"iban": ["account", "IBAN", "pay to", "BANK"], "ssn": ["SSN", "social security number", "tax id"],
+            "local_phone": ["call", "phone", "reach me at", "mobile"]}
+    for _ in range(150):
+        for kind in lead:
+            if kind == "iban":
+                value = account(rng, rng.choice(list(pii.IBAN_LENGTHS)))
+                value = " ".join(value[i:i + 4] for i in range(0, len(value), 4)) if rng.random() < 0.5 else value
+            elif kind == "ssn":
+                value = f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}"
+            else:
+                area = f"{rng.randrange(200, 999)}"
+                value = rng.choice([f"({area}) ", f"{area}-", f"{area}."]) + f"{digits(3)}-{digits(4)}"
+            yield kind, value, f"{' '.join(rng.choices(words, k=6))} {rng.choice(lead[kind])} {value} {' '.join(rng.choices(words, k=6))}"
+        yield None, None, f"{' '.join(rng.choices(words, k=5))} part {digits(3)}-{digits(2)}-{digits(4)} {' '.join(rng.choices(words, k=5))}"
+        yield None, None, f"order {digits(3)}-{digits(3)}-{digits(4)} of {' '.join(rng.choices(words, k=5))}"
+        yield None, None, f"CODE {rng.choice(list(pii.IBAN_LENGTHS))}{digits(20)} {' '.join(rng.choices(words, k=5)).upper()}"
+
+
+def test_precision_and_recall_of_added_kinds(spark, tmp_path):
+    words = [w for d in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect() for w in (d["text"] or "").split() if w.isalpha()]
+    cases = list(planted(random.Random(6), words))
+    got = spans_of(spark, tmp_path, [t for *_, t in cases])
+    found = {(i, s) for i, spans in got.items() for s in spans if s.split(":")[0] in pii.ADDED}
+    true = {(i, f"{kind}:{t.index(value)}:{t.index(value) + len(value)}") for i, (kind, value, t) in enumerate(cases) if kind}
+    hit = len(found & true)
+    assert hit >= 0.98 * len(true) and hit >= 0.95 * len(found), (hit, len(true), len(found))
