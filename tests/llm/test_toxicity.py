@@ -150,3 +150,11 @@ def test_held_out_recall_of_disguised_documents(spark):
     recall = {way: np.mean([hit[i] for i, (w, _) in enumerate(cases) if w == way]) for way in WAYS}
     print(len(marked), len(texts), {w: round(float(r), 3) for w, r in recall.items()})
     assert all(r >= recall["plain"] - 0.05 for r in recall.values()), recall
+
+
+def test_sample_is_bounded_when_ids_repeat(spark):
+    docs = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    docs = docs.unionByName(spark.range(200).select((F.col("id") + 100).alias("doc_id"), F.lit("plain").alias("text")))
+    labels = docs.select("doc_id").distinct().withColumn("toxic", F.col("doc_id") % 2)
+    ids = [r["doc_id"] for r in tx.train_sample(docs, labels).collect()]
+    assert len(ids) == len(set(ids)) <= 201 and len(tx.train_sample(docs, labels, 20).collect()) == 20
