@@ -15,7 +15,7 @@ from millrace.functions.hashing import content_hash, uuid5
 from millrace.operators import access, cdc, dedup, history, jobs, numbering, quality, sketches
 from millrace.plans import elt, imports
 from millrace.session import work_path
-from millrace.sinks import tables as sinks
+from millrace.sinks import bucketed, tables as sinks
 from millrace.sources import paged
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
@@ -86,6 +86,14 @@ def cdc_detect(spark, sf):
     return changes(Tables(spark, sf))
 
 
+def cdc_bucketed(spark, sf):
+    """The same changes against a snapshot that is stored in buckets of the record key."""
+    t, path = Tables(spark, sf), work_path(spark, "snapshot")
+    buckets = spark.sparkContext.defaultParallelism
+    latest = bucketed.store_snapshot(cdc_latest(t), "snapshot_" + path.rsplit("-", 1)[-1], path, buckets)
+    return cdc.detect_changes(cdc_staging(t), latest, newest=STAGED_ORDER, all_tenants=True, buckets=buckets)
+
+
 def cdc_counts(spark, sf):
     return cdc.change_counts(changes(Tables(spark, sf)), schemas.TENANT)
 
@@ -328,6 +336,7 @@ QUERIES = {
         SELECT c_custkey, {uuid5_sql('c_name')} AS stable_id FROM customer
     """),
     "cdc_detect": Query(cdc_detect, CDC_SQL + "SELECT * FROM changes"),
+    "cdc_bucketed": Query(cdc_bucketed, CDC_SQL + "SELECT * FROM changes"),
     "cdc_counts": Query(cdc_counts, CDC_SQL + """
         SELECT organization_id, connected_integration_id,
                count(*) FILTER (change_type = 'INSERT') AS inserts,

@@ -20,14 +20,16 @@ def _payload(df: DataFrame, keys: Sequence[str]) -> list[str]:
 
 def _compared(
     staging: DataFrame, latest: DataFrame, newest: Sequence[str], keys: Sequence[str],
-    tenants: DataFrame | None, all_tenants: bool, hash_col: str,
+    tenants: DataFrame | None, all_tenants: bool, hash_col: str, buckets: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Both sides of every key in one row (``_old_*``, ``_new_*``, ``_kind``), and the tenants it covers.
 
     Both sides meet in one full outer join on the columns of the record key, which is unique on either side and in
     which null equals null. The deduplication already distributes staging by them, so each side is shuffled once.
     """
-    payload = _payload(latest, keys)
+    key = PlainKey(latest, keys)
+    stored = bool(buckets)
+    payload = [c for c in _payload(latest, keys) if not stored or c not in key.names]
     names = [c for c in (tenants.columns if tenants is not None else TENANT) if c in keys]
     scope = None
     if names and not all_tenants:
@@ -35,10 +37,11 @@ def _compared(
         latest = within(latest, scope, names)
         if tenants is not None:
             staging = within(staging, scope, names)
-    key = PlainKey(latest, keys)
     staging = staging.select(*key.columns(), *[c for c in staging.columns if c not in keys])
+    if stored:
+        staging = staging.repartition(buckets, *key.names)
     new = _side(dedup_latest(staging, key.names, newest), key, payload, "_new", plain=True)
-    old = _side(latest, key, payload, "_old")
+    old = _side(latest, key, payload, "_old", plain=stored)
     kind = (
         F.when(F.col("_old").isNull(), INSERT)
         .when(F.col("_new").isNull(), DELETE)
@@ -73,6 +76,7 @@ def detect_changes(
     tenants: DataFrame | None = None,
     all_tenants: bool = False,
     hash_col: str = "content_hash",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Changes that turn ``latest`` into ``staging``: keys, the columns of latest, change_type.
 
@@ -81,10 +85,15 @@ def detect_changes(
     staging's. ``tenants`` names the tenants the run extracted, also those that came back empty. Without it
     they are the tenants that have staged rows. Rows of other tenants are left alone, unless ``all_tenants`` says
     that the run covers every tenant.
+
+    With ``buckets``, ``latest`` is a snapshot stored in that many (:func:`millrace.sinks.bucketed.store_snapshot`); then
+    only the staged side is shuffled, once.
     """
-    both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col)
+    both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col, buckets)
+    key = PlainKey(latest, keys)
+    payload = [c for c in _payload(latest, keys) if not buckets or c not in key.names]
     return both.where(F.col("_kind").isNotNull()).select(
-        *_sided(PlainKey(latest, keys), _payload(latest, keys), F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
+        *_sided(key, payload, F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
     )
 
 

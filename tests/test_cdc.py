@@ -222,3 +222,27 @@ def test_tenant_scope_of_reconcile(spark, rows):
     latest = latest_of(spark, [("a", "o1", "i", "A", "a")])
     wrong = cdc.reconcile(latest, latest.limit(0).withColumn("change_type", F.lit("INSERT")), latest.limit(0))
     assert rows(wrong, *TENANT, "expected_count", "after_count", "ok") == [("o1", "i", 1, 0, False)]
+
+
+def test_a_bucketed_snapshot_is_not_shuffled(spark, tmp_path, rows):
+    from millrace.sinks import bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(400).select(
+            F.col("id").cast("string").alias("id"), F.when(F.col("id") % 7 > 0, "o").alias("organization_id"), F.lit("i").alias("connected_integration_id"),
+            F.lit("n").alias("name"), (F.col("id") % 5).cast("string").alias("content_hash"))
+        staged = base.where("id % 3 > 0").withColumn("content_hash", F.when(F.col("id") % 4 == 0, "new").otherwise(F.col("content_hash")))
+        staged = staged.unionByName(staged.withColumn("id", F.concat("id", F.lit("x")))).withColumn("at", F.lit(1))
+        stored = bucketed.store_snapshot(base, "bucketed_test", str(tmp_path / "t"), 6)
+        found = cdc.detect_changes(staged, stored, newest=["at"], all_tenants=True, buckets=6)
+        want = cdc.detect_changes(staged, base, newest=["at"], all_tenants=True)
+        assert found.columns == want.columns and rows(found) == rows(want)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        with pytest.raises(ValueError, match="there already"):
+            bucketed.store_snapshot(base, "bucketed_again", str(tmp_path / "t"), 6)
+        bucketed.forget_snapshot(spark, "bucketed_test", str(tmp_path / "t"))
+        assert not spark.catalog.tableExists("bucketed_test")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
