@@ -11,7 +11,7 @@ from millrace.catalog.timing import FIRST_MESSAGE_SQL, WAIT_US
 from millrace.functions.values import epoch_micros
 from millrace.session import work_path
 from millrace.sources import service
-from millrace.streaming import base, keyed, stateful, timers
+from millrace.streaming import base, keyed, progress, stateful, timers
 
 
 FILES = 3
@@ -65,6 +65,18 @@ def stream_tick_counts(spark, sf):
     return newest.select(F.unix_micros("tick").alias("tick_us"), "event_type", "n")
 
 
+def stream_progress(spark, sf):
+    """Rows that a stream of ticks took and dropped, from the table of its progress over two runs of one checkpoint."""
+    t = Tables(spark, sf)
+    path = work_path(spark, "progress")
+    stream = keyed.tick_counts(_events(t), "at", "1 hour", ["event_type"])
+    for _ in range(2):
+        base.run_batches(stream, f"{path}/checkpoint", base.append_log(f"{path}/log"), "update", progress=f"{path}/progress")
+    rows = progress.progress(spark, f"{path}/progress")
+    return rows.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"),
+                    (F.count_if(F.col("input_rows") > 0) > 1).alias("several_batches"))
+
+
 def stream_history(spark, sf):
     events = _events(Tables(spark, sf)).select("user_id", "event_id", "event_type", "props")
     log = _to_log(spark, events, "history").drop("batch_id")
@@ -155,6 +167,9 @@ QUERIES = {
         SELECT epoch_us(ts) // 5000000 * 5000000 AS tick_us, event_type, count(*) AS n
         FROM events GROUP BY ALL
     """),
+    "stream_progress": Query(stream_progress, """
+        SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS late_rows, true AS several_batches FROM events
+    """),
     "stream_history": Query(stream_history, """
         SELECT user_id, event_id, event_type, props,
                user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') AS closed

@@ -8,6 +8,7 @@ from millrace.catalog.base import Query, Tables, uuid5_sql
 from millrace.functions import values as V
 from millrace.functions.hashing import uuid5
 from millrace.session import work_path
+from millrace.sources import variants
 
 
 def prefix(spark, sf):
@@ -85,6 +86,20 @@ def json_encode_decode(spark, sf):
     )
 
 
+def variant_type_profile(spark, sf):
+    """Free-form events stored as VARIANT: the types of their fields, and how many texts were no JSON."""
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), "event_id")).otherwise(F.concat(
+        F.lit('{"id":'), "event_id", F.lit(',"half":'), "user_id", F.lit('.5,"kind":"'), "event_type", F.lit('","bought":'),
+        (F.col("event_type") == "purchase").cast("string"), F.when(F.col("event_type") == "click", ',"target":null').otherwise(""),
+        F.lit(',"pair":['), "event_id", F.lit(","), "user_id", F.lit('],"props":'), "props", F.lit("}")))
+    good, errors = variants.parsed(Tables(spark, sf)("events").select(text.alias("text")), "text")
+    path = work_path(spark, "variants")
+    good.write.parquet(path)
+    profile = variants.type_profile(spark.read.parquet(path))
+    return profile.unionByName(errors.groupBy().agg(
+        F.lit("text").alias("key"), F.lit("ERROR").alias("type"), F.count(F.lit(1)).alias("n")))
+
+
 def events_json_props(spark, sf):
     k = F.from_json("props", "k int")["k"]
     return Tables(spark, sf)("events").groupBy("event_type").agg(F.sum(k).alias("k_total"))
@@ -168,6 +183,13 @@ QUERIES = {
                AS encoded, event_type AS decoded, CAST(NULL AS VARCHAR) AS missing
         FROM events
     """),
+    "variant_type_profile": Query(variant_type_profile, """
+        WITH good AS (SELECT * FROM events WHERE event_type <> 'error')
+        SELECT unnest(['id', 'half', 'kind', 'bought', 'pair', 'props']) AS key,
+               unnest(['BIGINT', 'DECIMAL', 'STRING', 'BOOLEAN', 'ARRAY', 'OBJECT']) AS type, count(*) AS n FROM good
+        UNION ALL SELECT 'target', 'VOID', count(*) FROM good WHERE event_type = 'click'
+        UNION ALL SELECT 'text', 'ERROR', count(*) FROM events WHERE event_type = 'error'
+    """),
     "events_json_props": Query(events_json_props, """
         SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS k_total
         FROM events GROUP BY event_type

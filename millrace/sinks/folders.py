@@ -42,6 +42,15 @@ def make(spark: SparkSession, path: str) -> None:
     store.mkdirs(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target, store = _path(spark, path)
+    out = store.create(target, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
 def age_seconds(spark: SparkSession, path: str) -> float:
     """Seconds since a folder was last changed."""
     target, store = _path(spark, path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.dedup import dedup_latest
 from millrace.sinks import folders
+from millrace.streaming.progress import ProgressTable
 
 
 def stream_files(
@@ -21,48 +22,39 @@ def stream_files(
     return reader.parquet(path)
 
 
-#: Rows that came after the watermark, by run of a query and micro-batch. Spark keeps the last progress reports
-#: only; each micro-batch takes down what they say.
-_LATE: dict[str, dict[int, int]] = {}
-
-
-def _note_late(query) -> None:
-    seen = _LATE.setdefault(str(query.runId), {})
-    for progress in query.recentProgress:
-        seen[progress["batchId"]] = sum(o["numRowsDroppedByWatermark"] for o in progress["stateOperators"])
-
-
 def run_batches(
     stream: DataFrame,
     checkpoint: str,
     handle: Callable[[DataFrame, int], None],
     mode: str = "append",
     processing_time: str | None = None,
+    progress: str | None = None,
 ):
     """Run the stream over what is there, or every ``processing_time``, and return the query.
 
-    Without an interval the query ends by itself; an outside scheduler starts it again.
+    Without an interval the query ends by itself; an outside scheduler starts it again. What each micro-batch did
+    goes to the table ``progress`` (see :mod:`millrace.streaming.progress`), for a query that ends by itself.
     """
-    started = []
-
-    def handle_noted(batch: DataFrame, batch_id: int) -> None:
-        if started:
-            _note_late(started[0])
-        handle(batch, batch_id)
-
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    query = writer.foreachBatch(handle_noted).trigger(**trigger).start()
-    started.append(query)
-    if not processing_time:
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    spark, listener = stream.sparkSession, None
+    if progress:
+        listener = ProgressTable(spark, progress)
+        spark.streams.addListener(listener)
+    try:
+        query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
+        if listener:  # reports come after the fact, the end is the last
+            listener.ended.wait(REPORT_SECONDS)
+    finally:
+        if listener:
+            spark.streams.removeListener(listener)
     return query
 
 
-def late_rows(query) -> int:
-    """Rows the query's state operators dropped because they came after the watermark, in all its micro-batches."""
-    _note_late(query)
-    return sum(_LATE[str(query.runId)].values())
+#: How long to wait for the last report of a query that has ended.
+REPORT_SECONDS = 30
 
 
 def batch_folder(path: str, batch_id: int) -> str:

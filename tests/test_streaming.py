@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.messages import first_message_within
 from millrace.schemas import USER_KEYS
-from millrace.streaming import base, keyed, stateful, timers
+from millrace.streaming import base, keyed, progress, stateful, timers
 from tests.test_cdc import latest_of, staging_of
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -104,8 +104,8 @@ def test_ticks_drop_late_rows(spark, events, tmp_path, rows):
     late = pdf.iloc[:25].assign(ts=pdf["ts"].max() - timedelta(days=2))
     add_file(spark, late, events.schema, path)
     ticks = keyed.tick_counts(stream(spark, path, events.schema), "at", "5 seconds")
-    query = base.run_batches(ticks, str(tmp_path / "cp"), base.append_log(log), "update")
-    assert base.late_rows(query) > 0
+    base.run_batches(ticks, str(tmp_path / "cp"), base.append_log(log), "update", progress=str(tmp_path / "progress"))
+    assert progress.late_rows(spark, str(tmp_path / "progress")) > 0
     got = base.newest_rows(base.read_log(spark, log), ["tick"])
     window = F.window(F.col("ts").cast("timestamp"), "5 seconds").alias("w")
     kept = events.unionByName(spark.createDataFrame(last, events.schema))
@@ -239,13 +239,19 @@ def test_late_rows_of_all_batches_count(spark, events, tmp_path):
         path = str(tmp_path / "in")
         pdf = events.toPandas().sort_values("ts")
         add_file(spark, pdf.iloc[-5:], events.schema, path)
-        for n in range(5):
-            add_file(spark, pdf.iloc[n:n + 1].assign(ts=pdf["ts"].min()), events.schema, path)
-        ticks = keyed.tick_counts(stream(spark, path, events.schema), "at", "5 seconds")
-        query = base.run_batches(ticks, str(tmp_path / "cp"), base.append_log(str(tmp_path / "log")), "update")
+        table = str(tmp_path / "progress")
+        for part in range(2):  # the second run goes on from the first one's checkpoint
+            for n in range(3):
+                add_file(spark, pdf.iloc[n:n + 1].assign(ts=pdf["ts"].min()), events.schema, path)
+            ticks = keyed.tick_counts(stream(spark, path, events.schema), "at", "5 seconds")
+            query = base.run_batches(ticks, str(tmp_path / "cp"), base.append_log(str(tmp_path / "log")), "update", progress=table)
+            assert len(query.recentProgress) <= 2
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
-    assert len(query.recentProgress) <= 2 and base.late_rows(query) >= 4
+    assert progress.late_rows(spark, table) >= 5
+    done = progress.progress(spark, table).where("input_rows > 0")
+    assert done.agg(F.sum("input_rows")).first()[0] == 11 and done.select("run_id").distinct().count() == 2
+    assert progress.late_rows(spark, str(tmp_path / "nothing")) == 0
 
 
 def test_messages_are_kept_for_a_time(spark, tmp_path, rows):
