@@ -13,8 +13,8 @@ Templates are rows of a table, so a user adds texts of their own; they are read
 Lines and whole texts miss a notice within a longer line or wrapped within a longer text. ``passages`` compares windows
 of words instead, as long as the templates' bounds allow, with whole license texts besides the notices.
 
-Defined results: null and empty texts, and lines without a letter or digit, match nothing. Of templates that fit a unit
-equally well all are reported. Repeated rows are each scanned, ids may be null or repeated, other columns are never
+Defined results: null and empty texts, and lines without a letter or digit, match nothing. All templates that fit a unit
+are reported; of those whose passages overlap only the best, or all that are equally good. Repeated rows are each scanned, ids may be null or repeated, other columns are never
 read. An empty table gives an empty result, an empty table of templates no match.
 """
 
@@ -147,6 +147,9 @@ def window_lengths(n: int, size: int, least: int = LEAST) -> list[int]:
 def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]], least: int = LEAST) -> Column:
     """Array of ``license`` and ``dice`` (millionths) of each template found in a window of words, wherever it stands.
 
+    Of templates whose best windows overlap the one that shares most counts, of those the one of the highest coefficient:
+    notices that differ in the version only, or one text within another, are told apart. Equals are all reported.
+
     Windows start where bigrams shared with the template start (to start elsewhere is never better) and run for
     ``window_lengths``. A text that lacks the probes of a template (so many of its bigrams that too few are left) is
     not compared with it. Templates of a single word are left out.
@@ -175,21 +178,30 @@ def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]]
         return F.size(F.array_intersect(t["grams"], window))
 
     def best(t: Column, grams: Column, at: Column) -> Column:
-        def dice(length: Column) -> Column:
-            return let(F.slice(grams, at + 1, length), lambda w: F.floor(F.lit(2_000_000).cast("long") * shared(t, w) / (F.size(F.array_distinct(w)) + t["size"])))
+        def measured(length: Column) -> Column:
+            return let(F.slice(grams, at + 1, length), lambda w: let(shared(t, w), lambda n: F.struct(
+                F.floor(F.lit(2_000_000).cast("long") * n / (F.size(F.array_distinct(w)) + t["size"])).alias("dice"), n.alias("shared"),
+                at.cast("int").alias("at"), length.alias("length"))))
 
         longest = F.slice(grams, at + 1, F.element_at(t["lengths"], -1))
-        return F.when(shared(t, longest) >= t["fewest"], F.array_max(F.transform(t["lengths"], dice))).otherwise(F.lit(0).cast("long"))
+        return F.when(shared(t, longest) >= t["fewest"], F.array_max(F.transform(t["lengths"], measured)))
 
     def found(t: Column, grams: Column) -> Column:
         inside = F.transform(grams, lambda g: F.array_contains(t["grams"], g))
         starts = let(inside, lambda x: F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.get(x, i) & ~F.coalesce(F.get(x, i - 1), F.lit(False))))
-        return F.struct(t["license"].alias("license"), F.coalesce(F.array_max(F.transform(starts, lambda at: best(t, grams, at))), F.lit(0)).cast("long").alias("dice"))
+        return F.struct(t["license"].alias("license"), F.array_max(F.transform(starts, lambda at: best(t, grams, at))).alias("window"))
+
+    def outdone(m: Column, by: Column) -> Column:
+        mine, other = m["window"], by["window"]
+        overlap = (other["at"] < mine["at"] + mine["length"]) & (mine["at"] < other["at"] + other["length"])
+        return overlap & (F.struct(other["shared"], other["dice"]) > F.struct(mine["shared"], mine["dice"]))
 
     def compared(grams: Column) -> Column:
         def all_(table_: Column) -> Column:
             near = F.filter(F.filter(table_, lambda t: F.arrays_overlap(t["probes"], grams)), lambda t: shared(t, grams) >= t["fewest"])
-            return F.filter(F.transform(near, lambda t: found(t, grams)), lambda m: m["dice"] >= least * 10_000)
+            some_ = F.filter(F.transform(near, lambda t: found(t, grams)), lambda m: m["window"]["dice"] >= least * 10_000)
+            own = let(some_, lambda ms: F.filter(ms, lambda m: ~F.exists(ms, lambda o: outdone(m, o))))
+            return F.transform(own, lambda m: F.struct(m["license"].alias("license"), m["window"]["dice"].alias("dice")))
 
         return F.when(F.arrays_overlap(some, grams), let(table, all_)).otherwise(F.array().cast(kind))
 
