@@ -152,7 +152,12 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, text: str = "text", name: str = "shard") -> DataFrame:
-    """The rows of ``docs`` with their shard; rows are not moved."""
+    """The rows of ``docs`` with their shard; rows are not moved.
+
+    A column of that name stays as it is: the shard's gets underscores until its name is free.
+    """
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
     key = group_key(F.col(text))
     alone, firsts = cut_keys(docs.select(key.alias("key"), text_size(F.col(text)).alias("size")), shards)
     return docs.withColumn(name, shard_of(key, alone, firsts))

@@ -75,3 +75,9 @@ def test_empty_and_pipeline_form(spark, bare, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = shard_documents(docs, 4)
     assert out.columns == [*docs.columns, "shard"] and out.drop("shard").exceptAll(docs).isEmpty() and out.count() == docs.count()
+
+
+def test_a_column_of_that_name_stays(spark):
+    docs = spark.createDataFrame([(1, "a", "mine", 0), (2, "b", "mine", 1)], "doc_id long, text string, Shard string, shard_ int")
+    out = shard_documents(docs, 2)
+    assert out.columns == [*docs.columns, "shard__"] and {r["Shard"] for r in out.collect()} == {"mine"}
