@@ -13,9 +13,9 @@ at once.
 
 The vocabulary is a file of the ``tokenizers`` library: byte-level pieces with a suffix at word ends, cut by a pattern
 that never takes white space, with special tokens, no post-processor and no decoder; a file of another kind is
-refused. The file is read once, on the driver, and sent to the tasks (under 2 MB). Runs without white space are
-normalised by the file's own normaliser and cut by its pattern; those with characters that ``regex`` reads otherwise
-(of other Unicode versions) by the file's own cutter. A task remembers the ids of a bounded number of runs.
+refused. The file is read once, on the driver, and sent to the tasks (under 2 MB). Runs without white space are lowered
+and cut by its pattern; those that are not in normal form, or have characters that Python reads otherwise (of other Unicode
+versions), by the file's own normaliser and cutter. A task remembers the ids of a bounded number of runs and words.
 
 Defined results: null and empty texts have no ids and decode to an empty text. Special tokens written out in a text are
 their ids. Repeated rows are encoded each for itself. Texts are encoded whole; one of any length takes linear time, and
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable
 
@@ -144,9 +145,12 @@ class Encoder:
         for token, ((left, right), rank) in sorted(vocabulary.parts.items(), key=lambda t: t[1][1]):
             made[token] = made[left] and made[right] and not self.pairs.joined_before(left, right, rank)
         self.tokens = tokens = {vocabulary.symbols[t]: t for t, own in made.items() if own}
-        self.length = {t: len(s) for s, t in tokens.items()}
-        #: The longest token that a token begins with.
-        self.shorter = {t: next((tokens[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in tokens), None) for s, t in tokens.items()}
+        self.length = [0] * len(vocabulary.names)
+        #: The longest token that a token begins with; -1 for a symbol.
+        self.shorter = [-1] * len(vocabulary.names)
+        for symbols, token in tokens.items():
+            self.length[token] = len(symbols)
+            self.shorter[token] = next((tokens[symbols[:n]] for n in range(len(symbols) - 1, 0, -1) if symbols[:n] in tokens), -1)
         # read backwards, the longest match that ends at a place is the longest token that starts there
         self.automaton = ahocorasick.Automaton()
         for symbols, token in tokens.items():
@@ -166,25 +170,29 @@ class Encoder:
         whole = self.tokens.get(symbols)
         if whole is not None:
             return [whole]
-        longest, length, shorter, pairs = self.longest(symbols), self.length, self.shorter, self.pairs
+        longest, length, shorter, known = self.longest(symbols), self.length, self.shorter, self.pairs.known
+        n, at, token, before = len(symbols), 0, longest[0], -1
         out: list[int] = []
-        left = bytearray(len(symbols) + 1)
-        at, token = 0, longest[0]
-        while at < len(symbols):
-            while token is not None:
+        left = bytearray(n + 1)
+        while at < n:
+            while token >= 0:
                 end = at + length[token]
-                if not left[end] and (not out or pairs(out[-1], token)):
-                    break
+                if not left[end]:
+                    fits = known.get((before, token)) if before >= 0 else True
+                    if fits is None:
+                        fits = self.pairs(before, token)
+                    if fits:
+                        break
                 token = shorter[token]
-            if token is None:
+            if token < 0:
                 left[at] = 1
                 token = out.pop()
                 at -= length[token]
-                token = shorter[token]
+                token, before = shorter[token], out[-1] if out else -1
             else:
                 out.append(token)
-                at += length[token]
-                token = longest[at] if at < len(symbols) else None
+                before, at = token, end
+                token = longest[at] if at < n else -1
         return out
 
 
@@ -204,23 +212,23 @@ class Cutter:
         self.agreed: dict[str, bool] = {}
 
     def agrees(self, character: str) -> bool:
-        """Whether both pattern libraries take a character for the same, as seen from words with it."""
+        """Whether Python reads a character as the file's own normaliser and cutter do, as seen from words with it."""
         known = self.agreed.get(character)
         if known is None:
             probe = f"a{character}1{character}!{character}{character}"
-            known = self.agreed[character] = self.library_words(probe) == self.pattern.findall(probe)
+            lower = unicodedata.normalize("NFC", probe).lower()
+            known = self.agreed[character] = (
+                unicodedata.category(character) != "Cn" and self.normalised(probe) == lower and self.library_words(lower) == self.pattern.findall(lower))
         return known
 
     def library_words(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in self.own_cut(text)]
 
     def words(self, run: str) -> list[str]:
-        if run.isascii():
+        # no two characters that Python knows and that are normalised already are joined by other Unicode versions
+        if run.isascii() or (all(map(self.agrees, set(run))) and unicodedata.is_normalized("NFC", run)):
             return self.pattern.findall(run.lower())
-        text = self.normalised(run)
-        if text.isascii() or all(map(self.agrees, set(text))):
-            return self.pattern.findall(text)
-        return self.library_words(text)
+        return self.library_words(self.normalised(run))
 
     def runs(self, text: str) -> list[str | int]:
         """Runs without white space, and the ids of special tokens, in order."""
@@ -246,12 +254,15 @@ class Remembered(dict):
 
     def __init__(self, cutter: Cutter, encode: Callable[[str], list[int]]):
         self.cutter, self.encode = cutter, encode
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.size = 0
         self.forget()
 
     def forget(self) -> None:
+        if len(self.known) > REMEMBERED or self.size > REMEMBERED * 16:
+            self.known.clear()
         self.clear()
         self.ids, self.counts, self.size = array("i"), array("i"), 0
-        self.known: dict[str, list[int]] = {}
 
     def __missing__(self, run: str | int) -> int:
         before = len(self.ids)
@@ -262,7 +273,7 @@ class Remembered(dict):
             for word in self.cutter.words(run):
                 found = self.known.get(word)
                 if found is None:
-                    found = self.known[word] = self.encode(word)
+                    found = self.known[word] = tuple(self.encode(word))
                 self.ids.extend(found)
         self.counts.append(len(self.ids) - before)
         number = self[run] = len(self.counts) - 1
@@ -270,7 +281,7 @@ class Remembered(dict):
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin."""
-        if len(self) > REMEMBERED or self.size > REMEMBERED * 16:
+        if max(len(self), len(self.known)) > REMEMBERED or self.size > REMEMBERED * 16:
             self.forget()
         numbers = [np.fromiter(map(self.__getitem__, runs), np.int64, len(runs)) for runs in (self.cutter.runs(t or "") for t in texts)]
         number = np.concatenate([np.zeros(0, np.int64), *numbers])
