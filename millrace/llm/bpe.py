@@ -44,7 +44,7 @@ from millrace.llm.tables import documents, in_batches
 VOCABULARY = "word_bpe_49k.json"
 #: Added to the last byte of a word, which is a symbol of its own.
 LAST = 256
-#: Different runs of characters, or pairs of tokens, that a task remembers at a time.
+#: Different words, or pairs of tokens, that a task remembers at a time; of runs half as many.
 REMEMBERED = 1 << 18
 
 
@@ -254,7 +254,7 @@ class Remembered(dict):
 
     def __init__(self, cutter: Cutter, encode: Callable[[str], list[int]]):
         self.cutter, self.encode = cutter, encode
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, array] = {}
         self.size = 0
         self.forget()
 
@@ -273,7 +273,7 @@ class Remembered(dict):
             for word in self.cutter.words(run):
                 found = self.known.get(word)
                 if found is None:
-                    found = self.known[word] = tuple(self.encode(word))
+                    found = self.known[word] = array("i", self.encode(word))
                 self.ids.extend(found)
         self.counts.append(len(self.ids) - before)
         number = self[run] = len(self.counts) - 1
@@ -281,7 +281,7 @@ class Remembered(dict):
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin."""
-        if max(len(self), len(self.known)) > REMEMBERED or self.size > REMEMBERED * 16:
+        if max(2 * len(self), len(self.known)) > REMEMBERED or self.size > REMEMBERED * 16:
             self.forget()
         numbers = [np.fromiter(map(self.__getitem__, runs), np.int64, len(runs)) for runs in (self.cutter.runs(t or "") for t in texts)]
         number = np.concatenate([np.zeros(0, np.int64), *numbers])
