@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import work_path
 
@@ -24,9 +26,9 @@ def global_order(df: DataFrame, *order: str | Column, name: str = "row_id", star
     ranged.withColumn("_at", number).write.parquet(path)
     placed = df.sparkSession.read.parquet(path)
     part = F.shiftright("_at", 33)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_part", (F.coalesce(before, F.lit(0)) + start).alias("_before"))
-    # one row a range
+    # one row a range, of which there are as many as shuffle partitions
+    counts = sorted(tuple(r) for r in placed.groupBy(part).agg(F.count(F.lit(1))).collect())
+    before = accumulate((n for _, n in counts), initial=start)
+    offsets = df.sparkSession.createDataFrame([(r, n) for (r, _), n in zip(counts, before)], "_part long, _before long")
     joined = placed.join(F.broadcast(offsets), part == F.col("_part"))
     return joined.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_before")
