@@ -120,9 +120,6 @@ def op2_license_dice(spark: SparkSession, folder: str) -> DataFrame:
 
 #: Whole texts and notices, uncut: ``<license>.txt``, or ``<license>.<part>.txt``.
 TEXTS = Path(__file__).parent / "license_texts"
-#: Lengths of windows that are tried for a template, at most.
-LENGTHS = 24
-
 
 def whole_templates() -> list[tuple[str, str]]:
     """The short notices and all texts of the folder."""
@@ -135,13 +132,19 @@ def fewest(size: int, least: int = LEAST) -> int:
     return -(-least * size // (200 - least))
 
 
-def window_lengths(n: int, size: int, least: int = LEAST) -> list[int]:
-    """Lengths of windows, in bigrams, for a template of ``n`` of which ``size`` are different: all that fit, or a
-    geometric row of them and the template's own."""
-    low, high = fewest(size, least), n * (200 - least) // least
-    if high - low < LENGTHS:
-        return list(range(low, high + 1))
-    return sorted({n, *(round(low * (high / low) ** (k / (LENGTHS - 2))) for k in range(LENGTHS - 1))})
+def longest_window(n: int, least: int = LEAST) -> int:
+    """Bigrams of the longest window that is compared with a template of ``n``, repeated ones counted."""
+    return n * (200 - least) // least
+
+
+def last_places(values: Column) -> Column:
+    """For every place of an array, the last place before it with the same value, or -1."""
+    def linked(order: Column) -> Column:
+        return F.transform(order, lambda x, k: let(F.get(order, k - 1), lambda y: F.struct(
+            x["at"].alias("at"), F.when(y["value"] == x["value"], y["at"]).otherwise(-1).alias("before"))))
+
+    order = F.array_sort(F.transform(values, lambda v, i: F.struct(v.alias("value"), i.alias("at"))))
+    return F.transform(F.array_sort(let(order, linked)), lambda x: x["before"])
 
 
 def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]], least: int = LEAST) -> Column:
@@ -150,9 +153,11 @@ def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]]
     Of templates whose best windows overlap the one that shares most counts, of those the one of the highest coefficient:
     notices that differ in the version only, or one text within another, are told apart. Equals are all reported.
 
-    Windows start where bigrams shared with the template start (to start elsewhere is never better) and run for
-    ``window_lengths``. A text that lacks the probes of a template (so many of its bigrams that too few are left) is
-    not compared with it. Templates of a single word are left out.
+    Windows start where a row of bigrams shared with the template starts and end with one of them, at every length up to
+    ``longest_window``. One pass from the end of the text drops the starts from which no window can reach the least
+    coefficient; from each of the others one pass counts what is new in the window, so time grows with the text. A
+    text that lacks the probes of a template (so many of its bigrams that too few are left) is not compared with it.
+    Templates of a single word are left out.
     """
     kind = "array<struct<license:string,dice:long>>"
     known = [(name, template_bigrams(t), len(re.sub("[^A-Za-z0-9]+", " ", t).split()) - 1) for name, t in templates]
@@ -171,25 +176,45 @@ def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]]
     table = F.array(*(F.struct(
         F.lit(name).alias("license"), F.lit(len(grams)).alias("size"), F.lit(fewest(len(grams), least)).alias("fewest"),
         numbers((hashes[g] for g in probe), "bigint").alias("probes"), numbers((hashes[g] for g in grams), "bigint").alias("grams"),
-        numbers(window_lengths(n, len(grams), least), "int").alias("lengths")) for (name, grams, n), probe in zip(known, probes)))
+        F.lit(longest_window(n, least)).alias("longest")) for (name, grams, n), probe in zip(known, probes)))
     some = numbers(sorted({hashes[g] for probe in probes for g in probe}), "bigint")
 
     def shared(t: Column, window: Column) -> Column:
         return F.size(F.array_intersect(t["grams"], window))
 
-    def best(t: Column, grams: Column, at: Column) -> Column:
-        def measured(length: Column) -> Column:
-            return let(F.slice(grams, at + 1, length), lambda w: let(shared(t, w), lambda n: F.struct(
-                F.floor(F.lit(2_000_000).cast("long") * n / (F.size(F.array_distinct(w)) + t["size"])).alias("dice"), n.alias("shared"),
-                at.cast("int").alias("at"), length.alias("length"))))
-
-        longest = F.slice(grams, at + 1, F.element_at(t["lengths"], -1))
-        return F.when(shared(t, longest) >= t["fewest"], F.array_max(F.transform(t["lengths"], measured)))
+    def starts(t: Column, marks: Column) -> Column:
+        """Where a window may start: ``gain`` is above what any window from a place on can have."""
+        def step(state: Column, m: Column) -> Column:
+            cost = F.when(m["inside"], 200 - least).when(m["before"] <= m["at"] - t["longest"], -least).otherwise(0)
+            return let(F.greatest(F.lit(0).cast("long"), state["gain"] + cost), lambda gain: F.struct(
+                gain.alias("gain"), F.when(m["first"] & (gain >= t["size"] * least), F.concat(state["starts"], F.array(m["at"])))
+                .otherwise(state["starts"]).alias("starts")))
+
+        none = F.struct(F.lit(0).cast("long").alias("gain"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(F.reverse(marks), none, step, lambda state: state["starts"])
+
+    def best(t: Column, marks: Column, at: Column) -> Column:
+        def step(state: Column, m: Column) -> Column:
+            shared_, all_ = state["shared"] + F.when(m["inside"], 1).otherwise(0), state["all"] + 1
+            window = F.struct(F.floor(F.lit(2_000_000).cast("long") * shared_ / (all_ + t["size"])).alias("dice"), shared_.alias("shared"),
+                              at.alias("at"), (m["at"] - at + 1).alias("length"))
+            better = m["inside"] & (F.struct(window["dice"], window["shared"]) > F.struct(state["best"]["dice"], state["best"]["shared"]))
+            counted = F.struct(shared_.alias("shared"), all_.alias("all"), F.when(better, window).otherwise(state["best"]).alias("best"))
+            return F.when(m["before"] < at, counted).otherwise(state)
+
+        zero = F.lit(0)
+        none = F.struct(zero.alias("shared"), zero.alias("all"), F.struct(
+            zero.cast("long").alias("dice"), zero.alias("shared"), at.alias("at"), zero.alias("length")).alias("best"))
+        return F.aggregate(F.slice(marks, at + 1, t["longest"]), none, step, lambda state: state["best"])
+
+    def found(t: Column, grams: Column, before: Column) -> Column:
+        def marked(inside: Column) -> Column:
+            return F.transform(inside, lambda x, i: F.struct(
+                i.alias("at"), x.alias("inside"), (x & ~F.coalesce(F.get(inside, i - 1), F.lit(False))).alias("first"), F.get(before, i).alias("before")))
 
-    def found(t: Column, grams: Column) -> Column:
         inside = F.transform(grams, lambda g: F.array_contains(t["grams"], g))
-        starts = let(inside, lambda x: F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.get(x, i) & ~F.coalesce(F.get(x, i - 1), F.lit(False))))
-        return F.struct(t["license"].alias("license"), F.array_max(F.transform(starts, lambda at: best(t, grams, at))).alias("window"))
+        window = let(let(inside, marked), lambda marks: F.array_max(F.transform(starts(t, marks), lambda at: best(t, marks, at))))
+        return F.struct(t["license"].alias("license"), window.alias("window"))
 
     def outdone(m: Column, by: Column) -> Column:
         mine, other = m["window"], by["window"]
@@ -199,7 +224,8 @@ def passages(spark: SparkSession, text: Column, templates: list[tuple[str, str]]
     def compared(grams: Column) -> Column:
         def all_(table_: Column) -> Column:
             near = F.filter(F.filter(table_, lambda t: F.arrays_overlap(t["probes"], grams)), lambda t: shared(t, grams) >= t["fewest"])
-            some_ = F.filter(F.transform(near, lambda t: found(t, grams)), lambda m: m["window"]["dice"] >= least * 10_000)
+            compared_ = let(near, lambda ts: F.when(F.size(ts) > 0, let(last_places(grams), lambda before: F.transform(ts, lambda t: found(t, grams, before)))))
+            some_ = F.filter(F.coalesce(compared_, F.array()), lambda m: m["window"]["dice"] >= least * 10_000)
             own = let(some_, lambda ms: F.filter(ms, lambda m: ~F.exists(ms, lambda o: outdone(m, o))))
             return F.transform(own, lambda m: F.struct(m["license"].alias("license"), m["window"]["dice"].alias("dice")))
 

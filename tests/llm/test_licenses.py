@@ -1,6 +1,9 @@
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import licenses as li
 from tests.llm.conftest import SF
@@ -78,7 +81,7 @@ def test_empty_and_native(spark, bare, odd):
 
 
 def brute(text, templates):
-    """The best window of every template over those that ``window_lengths`` names, and of overlapping ones the best."""
+    """The best of all windows of every template, the shortest of equals, and of overlapping ones the best."""
     words = re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     pairs = list(zip(words, words[1:]))
     found = []
@@ -87,14 +90,14 @@ def brute(text, templates):
         windows = []
         for at in range(len(pairs)):
             if pairs[at] in own and not (at and pairs[at - 1] in own):
-                for length in li.window_lengths(n, len(own)):
+                for length in range(1, n * 3 // 2 + 1):
                     window = set(pairs[at:at + length])
                     both = len(window & own)
-                    windows.append((2_000_000 * both // (len(window) + len(own)), both, at, length))
+                    windows.append((2_000_000 * both // (len(window) + len(own)), both, at, -length))
         if windows and max(windows)[0] >= 800_000:
             found.append((name, *max(windows)))
     return sorted((name, dice) for name, dice, both, at, length in found
-                  if not any(a < at + length and at < a + n and (k, d) > (both, dice) for _, d, k, a, n in found))
+                  if not any(a < at - length and at < a - n and (k, d) > (both, dice) for _, d, k, a, n in found))
 
 
 def embedded():
@@ -126,6 +129,39 @@ def test_passages_equal_all_windows(spark):
         assert sorted(map(tuple, r["m"])) == brute(texts[r["doc_id"]], templates), texts[r["doc_id"]]
 
 
+def test_every_length_of_a_long_template_is_tried(spark):
+    """Passages just above and just below the least coefficient, by foreign words and by missing ones."""
+    words = [f"w{i % 61}x{i // 3}" for i in range(150)]
+    templates = [("long", " ".join(words))]
+    texts, rng = [], random.Random(5)
+    for k in range(60):
+        kept = words[rng.randrange(0, 45):150 - rng.randrange(0, 12)]
+        for _ in range(rng.randrange(0, 16)):
+            kept.insert(rng.randrange(len(kept) + 1), f"foreign{rng.randrange(4)}")
+        texts.append(" ".join(["before"] * k + kept + ["after"] * 40 + words[:k]))
+    want = [brute(t, templates) for t in texts]
+    assert 10 < sum(map(bool, want)) < 55
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", li.passages(spark, F.col("text"), templates).alias("m")).collect()
+    assert [sorted(map(tuple, r["m"])) for r in sorted(got)] == want
+
+
+def test_broken_quotes_take_time_with_their_length(spark):
+    """A long text quoted again and again with a foreign word after every sixth: the passes are linear."""
+    words = (li.TEXTS / "MPL-2.0.txt").read_text().split()
+    broken = " ".join(w if i % 6 else w + " foreign" for i, w in enumerate(words))
+    templates = [t for t in li.whole_templates() if t[0] == "MPL-2.0"]
+
+    def seconds(copies):
+        docs = spark.createDataFrame([(1, " ".join([broken] * copies))], "i long, text string")
+        start = time.monotonic()
+        names = {m["license"] for m in docs.select(li.passages(spark, F.col("text"), templates).alias("m")).first()["m"]}
+        return time.monotonic() - start, names
+
+    seconds(1)
+    (one, names), (four, more) = seconds(2), seconds(8)
+    assert names == more and four < 12 * max(one, 0.5)
+
+
 def test_passages_hold_lines_and_are_native(spark, odd, bare):
     lines = li.op2_license_dice(spark, SF).select("doc_id", "best_dice", "licensed")
     held = lines.join(li.op2_license_passages(spark, SF).toDF("doc_id", "l", "best", "found"), "doc_id")
