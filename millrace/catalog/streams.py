@@ -11,10 +11,12 @@ from millrace.catalog.timing import FIRST_MESSAGE_SQL, WAIT_US
 from millrace.functions.values import epoch_micros
 from millrace.session import work_path
 from millrace.sources import service
-from millrace.streaming import base, keyed, progress, stateful, timers
+from millrace.streaming import base, joined, keyed, progress, stateful, timers
 
 
 FILES = 3
+#: How long an order waits for its first line to be shipped.
+SHIP_WAIT_US = 180 * 86_400_000_000
 
 
 def _in_files(t: Tables, rows, order: str, name: str) -> str:
@@ -123,6 +125,23 @@ def stream_message_timeout(spark, sf):
     return timers.answers(log, f"{path}/checkpoint", ["user_id"], WAIT_US)
 
 
+def stream_first_reply(spark, sf):
+    """The first line of each order that is shipped within half a year of it: two streams, each with a watermark."""
+    t = Tables(spark, sf)
+    path = work_path(spark, "replies")
+
+    def stream(table: str, at: str, key: str, id_: str):
+        rows = t(table).select(F.col(key).alias("order_key"), F.col(id_).alias("id"), epoch_micros(at).alias("at_us"))
+        return base.stream_files(spark, _in_files(t, rows, "at_us", table), rows.schema, _piece_files(spark))
+
+    orders = stream("orders", "o_orderdate", "o_orderkey", "o_custkey")
+    lines = stream("lineitem", "l_shipdate", "l_orderkey", "l_linenumber")
+    given = joined.replies(orders, lines, ["order_key"], SHIP_WAIT_US, "1 day")
+    base.run_batches(given, f"{path}/checkpoint", base.append_log(f"{path}/pairs"))
+    log = base.read_log(spark, f"{path}/pairs").drop("batch_id")
+    return joined.first_replies(log, ["order_key"], joined.waiting(spark, f"{path}/checkpoint", ["order_key"]))
+
+
 def stream_cdc_apply(spark, sf):
     """Each tenant's extract comes in three pieces and is followed by its end."""
     t = Tables(spark, sf)
@@ -178,6 +197,13 @@ QUERIES = {
     "stream_log_source": Query(stream_log_source, "SELECT event_id, user_id, event_type, props FROM events"),
     "stream_dedup": Query(stream_dedup, "SELECT event_id, user_id, event_type, props FROM events"),
     "stream_message_timeout": Query(stream_message_timeout, FIRST_MESSAGE_SQL),
+    "stream_first_reply": Query(stream_first_reply, f"""
+        SELECT o_orderkey AS order_key, o_custkey AS request_id, epoch_us(o_orderdate) AS request_at,
+               first(l_linenumber ORDER BY l_shipdate, l_linenumber) AS message_id, min(epoch_us(l_shipdate)) AS message_at
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate >= o_orderdate
+             AND epoch_us(l_shipdate) <= epoch_us(o_orderdate) + {SHIP_WAIT_US}
+        GROUP BY o_orderkey, o_custkey, o_orderdate
+    """),
     "stream_cdc_apply": Query(stream_cdc_apply, CDC_SQL + """
         SELECT id, organization_id, connected_integration_id, external_id, name, email, content_hash
         FROM fresh

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.messages import first_message_within
 from millrace.schemas import USER_KEYS
-from millrace.streaming import base, keyed, progress, stateful, timers
+from millrace.streaming import base, joined, keyed, progress, stateful, timers
 from tests.test_cdc import latest_of, staging_of
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -170,6 +170,36 @@ def test_state_goes_on_after_a_restart(spark, tmp_path, rows):
     assert rows(timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000)) == rows(want)
 
 
+SENT = "k string, id bigint, at_us bigint"
+
+
+def asked_and_sent(spark, rng, n):
+    """One request a key, none or some messages after it, some of them too late, and one key that is null."""
+    asked = [(f"k{i}" if i != n - 3 else None, i, 1_000_000 + i * 10_000) for i in range(n)]
+    sent = [(k, 1000 * i + j, at + rng.choice([0, 5_000, 60_000, 60_001, 90_000, 400_000]))
+            for k, i, at in asked for j in range(rng.randrange(4))]
+    return spark.createDataFrame(asked, SENT), spark.createDataFrame(sent, SENT)
+
+
+def test_replies_of_two_streams(spark, tmp_path, rows):
+    """Equals the batch operator where a key has one request; stopped and started again after each file."""
+    asked, sent = asked_and_sent(spark, random.Random(3), 120)
+    cp, log, paths = str(tmp_path / "cp"), str(tmp_path / "log"), [str(tmp_path / n) for n in ("asked", "sent")]
+    pieces = [df.toPandas().sort_values("at_us") for df in (asked, sent)]
+    for n in range(4):
+        for pdf, path in zip(pieces, paths):
+            add_file(spark, pdf[(pdf["at_us"] - 1_000_000).clip(upper=1_199_999) // 300_000 == n], asked.schema, path)
+        streams = (base.stream_files(spark, path, asked.schema, 1) for path in paths)
+        base.run_batches(joined.replies(*streams, ["k"], 60_000, "0 seconds"), cp, base.append_log(log))
+    given = base.read_log(spark, log)
+    got = joined.first_replies(given.drop("batch_id"), ["k"], joined.waiting(spark, cp, ["k"]))
+    want = first_message_within(asked, sent, ["k"], 60_000)
+    assert rows(got) == rows(want)
+    assert want.where("message_id IS NULL").count() > 5 < want.where("message_id IS NOT NULL").count()
+    # what has timed out was answered as the watermark passed, and left the state
+    assert given.where("message_id IS NULL").count() > 5 and joined.waiting(spark, cp, ["k"]).count() < 20
+
+
 def extract_rows(spark, extracts):
     """Rows of extracts (id, rows), each followed by its end."""
     parts = []
