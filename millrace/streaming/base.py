@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.dedup import dedup_latest
+from millrace.session import SETTINGS
 from millrace.sinks import folders
 from millrace.streaming.progress import ProgressTable
 
@@ -22,6 +24,24 @@ def stream_files(
     return reader.parquet(path)
 
 
+#: Where streams keep their state; the settings of a session hold it too, but sessions come from elsewhere as well.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within have the state store of ``SETTINGS``, which state of several variables needs.
+
+    A stream takes the setting when it starts, or from its checkpoint; afterwards the session has its own again.
+    """
+    own = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, own) if own else spark.conf.unset(STATE_STORE)
+
+
 def run_batches(
     stream: DataFrame,
     checkpoint: str,
@@ -29,21 +49,25 @@ def run_batches(
     mode: str = "append",
     processing_time: str | None = None,
     progress: str | None = None,
+    several_states: bool = False,
 ):
     """Run the stream over what is there, or every ``processing_time``, and return the query.
 
     Without an interval the query ends by itself; an outside scheduler starts it again. What each micro-batch did
     goes to the table ``progress`` (see :mod:`millrace.streaming.progress`), for a query that ends by itself.
+    ``several_states`` is for streams that keep several state variables a key (:mod:`millrace.streaming.timers`).
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
-    if processing_time:
-        return writer.trigger(processingTime=processing_time).start()
     spark, listener = stream.sparkSession, None
+    if processing_time:
+        with state_on_disk(spark) if several_states else nullcontext():
+            return writer.trigger(processingTime=processing_time).start()
     if progress:
         listener = ProgressTable(spark, progress)
         spark.streams.addListener(listener)
     try:
-        query = writer.trigger(availableNow=True).start()
+        with state_on_disk(spark) if several_states else nullcontext():
+            query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
         if listener:  # reports come after the fact, the end is the last
             listener.ended.wait(REPORT_SECONDS)

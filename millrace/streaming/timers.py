@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.operators.messages import first_message_within
 
 MESSAGE, REQUEST = "message", "request"
+#: A request without a time, within a stream.
+TIMELESS = "timeless"
 _ITEM = "id long, at_us long"
 ANSWER = "request_id long, request_at long, message_id long, message_at long"
 
@@ -35,8 +37,12 @@ class Delivery(StatefulProcessor):
         return (at_us + wait_us) // 1000 + 1
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        due = set()
+        due, names = set(), [*self.keys, "request_id", "request_at", "message_id", "message_at"]
         for batch in rows:
+            timeless = batch.loc[batch["kind"] == TIMELESS, "id"]
+            if len(timeless):
+                yield pd.DataFrame([(*key, int(i), None, None, None) for i in timeless], columns=names).astype(
+                    {c: "Int64" for c in names[-4:]})
             for kind, state, wait in ((MESSAGE, self.messages, self.keep_us), (REQUEST, self.requests, self.timeout_us)):
                 items = [(int(i), int(t)) for i, t in zip(*(batch.loc[batch["kind"] == kind, c] for c in ("id", "at_us")))]
                 if items:
@@ -77,10 +83,14 @@ def message_delivery(
 
     ``delay`` is how late rows may come; a request is answered when the watermark has passed its deadline, with all its
     messages in. A message waits until it is delivered, or with ``keep_us`` for that long in event time. What is
-    open for one key is read when one of its timers is due; it should fit into a task.
+    open for one key is read when one of its timers is due; it should fit into a task. A request without a time has no
+    deadline and is answered at once, with no message; a message without one is in time for none.
     """
     at = F.timestamp_micros("at_us").alias("_at")
-    rows = stream.select(*keys, "kind", "id", "at_us", at).withWatermark("_at", delay)
+    kind = F.when(F.col("at_us").isNotNull(), F.col("kind")).when(F.col("kind") == REQUEST, TIMELESS).alias("kind")
+    # whole numbers stay exact in pandas where none is missing
+    rows = stream.select(*keys, kind, "id", F.coalesce("at_us", F.lit(0)).cast("bigint").alias("at_us"), at)
+    rows = rows.where("kind IS NOT NULL").withWatermark("_at", delay)
     kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
     return rows.groupBy(*keys).transformWithStateInPandas(
         Delivery(keys, timeout_us, keep_us), outputStructType=f"{kinds}, {ANSWER}", outputMode="append", timeMode="eventTime")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.messages import first_message_within
 from millrace.schemas import USER_KEYS
+from millrace.session import SETTINGS
 from millrace.streaming import base, joined, keyed, progress, stateful, timers
 from tests.test_cdc import latest_of, staging_of
 
@@ -170,6 +171,37 @@ def test_state_goes_on_after_a_restart(spark, tmp_path, rows):
     assert rows(timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000)) == rows(want)
 
 
+def test_delivery_in_a_session_of_other_settings(spark, tmp_path, rows):
+    """The store that keeps several variables is set where the stream starts; the session keeps its own."""
+    spark.conf.set(base.STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        df = spark.createDataFrame(deliveries(random.Random(9), 80), ITEMS)
+        path, cp, log = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "log")
+        write_files(df, path, "at_us", 3)
+        out = timers.message_delivery(base.stream_files(spark, path, df.schema, 1), ["k"], 60_000, "0 seconds")
+        base.run_batches(out, cp, base.append_log(log), several_states=True)
+        got = timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000)
+        want = first_message_within(df.where(F.col("kind") == timers.REQUEST), df.where(F.col("kind") == timers.MESSAGE), ["k"], 60_000)
+        assert rows(got) == rows(want)
+        assert spark.conf.get(base.STATE_STORE).endswith("HDFSBackedStateStoreProvider")
+    finally:
+        spark.conf.set(base.STATE_STORE, SETTINGS[base.STATE_STORE])
+
+
+def test_delivery_of_rows_without_a_time(spark, tmp_path, rows):
+    big = (1 << 60) + 1
+    data = [("a", timers.MESSAGE, 1, None), ("a", timers.REQUEST, big, None), ("a", timers.REQUEST, 3, 1_000_000), (None, timers.MESSAGE, 4, 1_500_000),
+            (None, timers.REQUEST, big + 2, 1_400_000)]
+    df = spark.createDataFrame(data, ITEMS)
+    path, cp, log = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "log")
+    df.write.parquet(path)
+    out = timers.message_delivery(base.stream_files(spark, path, df.schema), ["k"], 60_000_000, "0 seconds")
+    base.run_batches(out, cp, base.append_log(log))
+    got = timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000_000)
+    assert rows(got, "k", *joined.REPLY) == sorted(
+        [("a", big, None, None, None), ("a", 3, 1_000_000, None, None), (None, big + 2, 1_400_000, 4, 1_500_000)], key=repr)
+
+
 SENT = "k string, id bigint, at_us bigint"
 
 
