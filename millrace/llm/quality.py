@@ -2,8 +2,9 @@
 
 Every document's hashed word n-grams are scored by how much likelier they are under a multinomial of trusted
 documents than under one of the whole corpus; the mean over its n-grams is the score. Counts of the corpus come
-from all documents. Trusted documents are a bounded, seeded sample of the rows labelled as good: one half gives
-the trusted counts; the other half, scored like unseen text, gives the threshold, set below nearly all of it. Ratios are whole numbers (fixed point), so a score does not depend on how rows are batched.
+from all documents. Trusted documents are all rows labelled as good: a seeded half gives the trusted counts; all of
+the other half, scored as the unseen text it is, gives the threshold, set below nearly all of it. Ratios are whole
+numbers (fixed point), so a score does not depend on how rows are batched.
 
 Base rules reject documents of fewer than 50 words and those of which more than half the words lie in repeated
 three-word windows.
@@ -30,13 +31,13 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 BUCKET_BITS = 16
 ORDERS = (1, 2)
-#: Most labelled rows that stand for trusted text.
-TRUSTED_ROWS = 20_000
 #: The threshold lies below this share of unseen trusted text, by ``MARGIN`` times the way from the median to there.
 TRUSTED_LOSS, MARGIN = 0.002, 0.5
 #: Added to each bucket's count before ratios are taken.
 SMOOTHING = 1.0
 FIXED_POINT = 1 << 20
+#: Steps of a score that the threshold is found in: their counts meet in one task, not the scores of all rows.
+SCORE_STEPS = 1 << 16
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -105,17 +106,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["bucket", "raw", "trusted"])
 
 
-def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` ids labelled as good, by a seeded order; every second one is held for the threshold."""
-    place = F.xxhash64(F.lit(7), "doc_id")
-    ids = (labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-           .orderBy(place, "doc_id").limit(rows))
+def trusted_sample(labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """The ids labelled as good, with ``rows`` at most that many by a seeded order; every second one is held for the threshold."""
+    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    if rows is not None:
+        ids = ids.orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").limit(rows)
     return ids.select("doc_id", (F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(2)) == 0).alias("counted"))
 
 
 def ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     """Log ratio of trusted to raw share for each bucket, as whole numbers. The driver gets one row a bucket."""
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample.where("counted")), "doc_id", "left")
+    marked = docs.select("doc_id", "text").join(sample.where("counted"), "doc_id", "left")
     texts = marked.select("text", F.col("counted").isNotNull().alias("trusted"))
     counts = (in_batches(texts, _count, "bucket long, raw long, trusted long").groupBy("bucket")
               .agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas())
@@ -156,8 +157,11 @@ def judge(column: pa.Array, ratio: np.ndarray, threshold: float) -> dict[str, np
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS, loss: float = TRUSTED_LOSS) -> tuple[np.ndarray, float]:
-    """Ratios and threshold. Docs are read once for the counts; the held half of the sample once more."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int | None = None, loss: float = TRUSTED_LOSS) -> tuple[np.ndarray, float]:
+    """Ratios and threshold. Docs are read once for the counts; the held half of the trusted ones once more.
+
+    Spark chooses the joins by the number of labels: few are sent to all tasks, many meet the texts in a shuffle.
+    """
     sample = saved(trusted_sample(labels, rows), "trusted")
     ratio = ratios(docs, sample)
 
@@ -166,9 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS, loss: floa
             out = judge(batch.column(0), ratio, 0.0)
             yield pa.RecordBatch.from_arrays([pa.array(out["score"][~out["base_failed"].astype(bool)], pa.float64())], names=["score"])
 
-    unseen = docs.select("doc_id", "text").join(F.broadcast(sample.where("NOT counted")), "doc_id").select("text")
-    at = in_batches(unseen, held, "score double").agg(
-        F.percentile("score", F.lit(loss)).alias("low"), F.percentile("score", F.lit(0.5)).alias("median")).first()
+    unseen = docs.select("doc_id", "text").join(sample.where("NOT counted"), "doc_id").select("text")
+    step = (F.round(F.col("score") * SCORE_STEPS) / SCORE_STEPS).alias("score")
+    often = in_batches(unseen, held, "score double").groupBy(step).agg(F.count(F.lit(1)).alias("n"))
+    at = often.agg(F.percentile("score", F.lit(loss), F.col("n")).alias("low"),
+                   F.percentile("score", F.lit(0.5), F.col("n")).alias("median")).first()
     if at["low"] is None or not ratio.any():
         return ratio, float("-inf")
     return ratio, at["low"] - MARGIN * (at["median"] - at["low"])

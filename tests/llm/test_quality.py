@@ -93,3 +93,21 @@ def test_empty_and_unlabelled(spark, bare, odd):
 def test_sample_is_bounded(spark):
     labels = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     assert trusted_sample(labels, 100).count() == 100
+
+
+def test_all_labelled_rows_are_trusted(spark, monkeypatch):
+    """Beyond any number, every row labelled as good gives counts or the threshold."""
+    from millrace.llm import quality
+
+    n, seen = 20_100, []
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("some good words").alias("text"))
+    sample_of = quality.trusted_sample
+
+    def kept(*given):
+        seen.append(sample_of(*given))
+        return seen[-1]
+
+    monkeypatch.setattr(quality, "trusted_sample", kept)
+    fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert seen[0].count() == n
+    assert 0 < seen[0].where("counted").count() < n
