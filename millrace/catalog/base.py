@@ -86,9 +86,11 @@ def cdc_staging(t: Tables) -> DataFrame:
 def cdc_latest(t: Tables) -> DataFrame:
     """The snapshot so far: the newest copy of every line that was finished."""
     finished = order_lines(t).where(PRIOR_LINES)
-    return dedup_latest(finished, schemas.USER_KEYS, STAGED_ORDER).select(
+    # the hash follows from columns beside it, so it need not travel with the copies
+    newest = dedup_latest(finished.drop("content_hash"), schemas.USER_KEYS, STAGED_ORDER)
+    return newest.select(
         "id", "external_id", "organization_id", "connected_integration_id", "name", "email",
-        "content_hash",
+        content_hash(*schemas.HASH_OF).alias("content_hash"),
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.hashing import content_hash
 from millrace.operators.dedup import dedup_latest
 from millrace.operators.joins import PlainKey, within, without
 from millrace.schemas import TENANT, USER_KEYS
@@ -20,7 +21,7 @@ def _payload(df: DataFrame, keys: Sequence[str]) -> list[str]:
 
 def _compared(
     staging: DataFrame, latest: DataFrame, newest: Sequence[str], keys: Sequence[str],
-    tenants: DataFrame | None, all_tenants: bool, hash_col: str, buckets: int | None = None,
+    tenants: DataFrame | None, all_tenants: bool, hash_col: str, buckets: int | None = None, hash_of: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame | None]:
     """Both sides of every key in one row (``_old_*``, ``_new_*``, ``_kind``), and the tenants it covers.
 
@@ -29,7 +30,8 @@ def _compared(
     """
     key = PlainKey(latest, keys)
     stored = bool(buckets)
-    payload = [c for c in _payload(latest, keys) if not stored or c not in key.names]
+    left_out = ([*key.names] if stored else []) + ([hash_col] if hash_of else [])
+    payload = [c for c in _payload(latest, keys) if c not in left_out]
     names = [c for c in (tenants.columns if tenants is not None else TENANT) if c in keys]
     scope = None
     if names and not all_tenants:
@@ -37,15 +39,16 @@ def _compared(
         latest = within(latest, scope, names)
         if tenants is not None:
             staging = within(staging, scope, names)
-    staging = staging.select(*key.columns(), *[c for c in staging.columns if c not in keys])
+    staging = staging.select(*key.columns(), *[c for c in staging.columns if c not in keys and not (hash_of and c == hash_col)])
     if stored:
         staging = staging.repartition(buckets, *key.names)
     new = _side(dedup_latest(staging, key.names, newest), key, payload, "_new", plain=True)
     old = _side(latest, key, payload, "_old", plain=stored)
+    new_hash, old_hash = (_hash(side, hash_col, hash_of) for side in ("_new", "_old"))
     kind = (
         F.when(F.col("_old").isNull(), INSERT)
         .when(F.col("_new").isNull(), DELETE)
-        .when(~F.col(f"_new_{hash_col}").eqNullSafe(F.col(f"_old_{hash_col}")), UPDATE)
+        .when(~new_hash.eqNullSafe(old_hash), UPDATE)
     )
     return new.join(old, _same(key), "full_outer").withColumn("_kind", kind), scope
 
@@ -61,9 +64,16 @@ def _same(key: PlainKey) -> Column:
     return reduce(Column.__and__, [F.col("_new" + n) == F.col("_old" + n) for n in key.names])
 
 
-def _sided(key: PlainKey, payload: Sequence[str], use_new: Column) -> list[Column]:
+def _hash(side: str, hash_col: str, hash_of: Sequence[str]) -> Column:
+    return content_hash(*[F.col(f"{side}_{c}") for c in hash_of]) if hash_of else F.col(f"{side}_{hash_col}")
+
+
+def _sided(key: PlainKey, payload: Sequence[str], use_new: Column, hash_col: str = "", hash_of: Sequence[str] = ()) -> list[Column]:
+    def picked(c: str) -> Column:
+        return F.when(use_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}"))
+
     return key.back(lambda n: F.coalesce(F.col("_new" + n), F.col("_old" + n))) + [
-        F.when(use_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in payload
+        (content_hash(*map(picked, hash_of)) if hash_of and c == hash_col else picked(c)).alias(c) for c in payload
     ]
 
 
@@ -77,6 +87,7 @@ def detect_changes(
     all_tenants: bool = False,
     hash_col: str = "content_hash",
     buckets: int | None = None,
+    hash_of: Sequence[str] = (),
 ) -> DataFrame:
     """Changes that turn ``latest`` into ``staging``: keys, the columns of latest, change_type.
 
@@ -87,13 +98,14 @@ def detect_changes(
     that the run covers every tenant.
 
     With ``buckets``, ``latest`` is a snapshot stored in that many (:func:`millrace.sinks.bucketed.store_snapshot`); then
-    only the staged side is shuffled, once.
+    only the staged side is shuffled, once. With ``hash_of``, the hash of both sides is known to be the content hash of
+    those columns: it is taken where the sides have met instead of being shuffled with them.
     """
-    both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col, buckets)
+    both, _ = _compared(staging, latest, newest, keys, tenants, all_tenants, hash_col, buckets, hash_of)
     key = PlainKey(latest, keys)
     payload = [c for c in _payload(latest, keys) if not buckets or c not in key.names]
     return both.where(F.col("_kind").isNotNull()).select(
-        *_sided(key, payload, F.col("_new").isNotNull()), F.col("_kind").alias("change_type")
+        *_sided(key, payload, F.col("_new").isNotNull(), hash_col, hash_of), F.col("_kind").alias("change_type")
     )
 
 
@@ -134,18 +146,23 @@ def apply_changes(
     *,
     keys: Sequence[str] = USER_KEYS,
     newest: Sequence[str] | None = None,
+    hash_col: str = "content_hash",
+    hash_of: Sequence[str] = (),
 ) -> DataFrame:
     """The snapshot after the changes; repeating it changes nothing.
 
-    With changes of several runs, ``newest`` orders them and the newest change per key counts.
+    With changes of several runs, ``newest`` orders them and the newest change per key counts: they are brought together
+    by the columns the join needs. ``hash_of`` is that of :func:`detect_changes`.
     """
-    if newest:
-        changes = dedup_latest(changes, keys, newest)
     key, payload = PlainKey(latest, keys), _payload(latest, keys)
-    delta = _side(changes, key, payload, "_new", F.col("change_type").alias("_kind"))
-    merged = _side(latest, key, payload, "_old").join(delta, _same(key), "full_outer")
+    carried = [c for c in payload if not (hash_of and c == hash_col)]
+    if newest:
+        rest = [c for c in changes.columns if c not in keys and not (hash_of and c == hash_col)]
+        changes = dedup_latest(changes.select(*key.columns(), *rest), key.names, newest)
+    delta = _side(changes, key, carried, "_new", F.col("change_type").alias("_kind"), plain=bool(newest))
+    merged = _side(latest, key, carried, "_old").join(delta, _same(key), "full_outer")
     kept = merged.where(F.col("_kind").isNull() | (F.col("_kind") != DELETE))
-    return kept.select(*_sided(key, payload, F.col("_kind").isNotNull()))
+    return kept.select(*_sided(key, payload, F.col("_kind").isNotNull(), hash_col, hash_of))
 
 
 def read_changes(

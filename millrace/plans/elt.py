@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import schemas
 from millrace.operators import cdc
-from millrace.operators.dedup import unique_count, dedup_latest
+from millrace.operators.dedup import unique_count
 from millrace.operators.jobs import run_summary
 from millrace.operators.joins import within, without
 from millrace.schemas import TENANT
@@ -196,12 +196,12 @@ def run(
     empty = spark.createDataFrame([], schemas.USERS_LATEST)
     before = reduce(DataFrame.unionByName, parts, empty)
     found = cdc.detect_changes(
-        loaded, before.drop("last_updated"), newest=STAGED_ORDER, tenants=scope.select(*TENANT),
+        loaded, before.drop("last_updated"), newest=STAGED_ORDER, tenants=scope.select(*TENANT), hash_of=schemas.HASH_OF,
     ).withColumns({
         "workflow_id": F.lit(workflow_id), "attempt": F.lit(attempt),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
     })
-    replace_slice(found, f"{root}/cdc", ["workflow_id", "attempt", *TENANT])
+    replace_slice(found, f"{root}/cdc", ["workflow_id", "attempt", *TENANT], hash_of=schemas.HASH_OF)
     changes = _read(spark, f"{root}/cdc", _CHANGES, folders.partition_folder(spark, workflow_id=workflow_id, attempt=attempt)).drop("attempt")
 
     if max_delete_fraction is not None:
@@ -218,16 +218,16 @@ def run(
     recreate(touched, f"{work}/touched")
     touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
     others = without(_rows(spark, root, within(now, touched, ["organization_id"])), scope, TENANT)
-    mine_after = within(cdc.apply_changes(before, dated), touched, ["organization_id"])
+    mine_after = within(cdc.apply_changes(before, dated, hash_of=schemas.HASH_OF), touched, ["organization_id"])
     written = others.unionByName(mine_after).withColumn("attempt", F.lit(attempt))
-    replace_slice(written, f"{root}/latest", ["organization_id", "attempt"])
+    replace_slice(written, f"{root}/latest", ["organization_id", "attempt"], hash_of=schemas.HASH_OF)
     fresh = _read(spark, f"{root}/latest", _LATEST).where(F.col("attempt") == attempt).select("organization_id").distinct()
     places = without(now, touched, ["organization_id"]).unionByName(fresh.withColumn("attempt", F.lit(attempt)))
     recreate(places, f"{ready}/places")
     places = _read(spark, f"{ready}/places", _PLACES)
 
     after = within(_rows(spark, root, places), scope, TENANT)
-    unique = dedup_latest(within(loaded, scope, TENANT), schemas.USER_KEYS, STAGED_ORDER)
+    unique = within(loaded, scope, TENANT).select(*schemas.USER_KEYS).distinct()
     recreate(cdc.reconcile(before, changes, after, staged=unique), f"{ready}/reconciled")
     if not spark.read.parquet(f"{ready}/reconciled").where(~F.col("ok")).isEmpty():
         raise ValueError(f"run {workflow_id}: counts of staged rows, changes and snapshot do not reconcile")

@@ -2,6 +2,8 @@
 
 USER_KEYS = ("id", "organization_id", "connected_integration_id")
 TENANT = ("organization_id", "connected_integration_id")
+#: What the content hash of users is taken of, in every table that has it.
+HASH_OF = ("name", "email")
 
 EXTRACTED_USER = (
     "id string, external_id string, organization_id string, connected_integration_id string, "

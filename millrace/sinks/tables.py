@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.hashing import content_hash
+from millrace.schemas import HASH_OF
 from millrace.sinks import folders
 
+#: Ids and hashes take half the room of Spark's default.
+COMPRESSION = "zstd"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -26,24 +29,29 @@ def staged(
     return users.select(
         "id", run.alias("workflow_id"), "external_id", "organization_id",
         "connected_integration_id", "name", "email",
-        content_hash("name", "email").alias("content_hash"),
+        content_hash(*HASH_OF).alias("content_hash"),
         at.cast("timestamp_ntz").alias("created_at"), seq.cast("bigint").alias("batch_seq"),
     )
 
 
 def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add the rows; a retry adds them again, which deduplication takes care of."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.write.mode("append").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_slice(df: DataFrame, path: str, partition_by: Sequence[str], hash_of: Sequence[str] = ()) -> None:
     """Replace the partitions that ``df`` holds rows for and leave the others alone.
 
     Rows are brought together by partition, so that not every task writes a file into every folder;
-    the rebalancing splits a partition that holds much of the data over several tasks.
+    the rebalancing splits a partition that holds much of the data over several tasks. With ``hash_of``, the column
+    ``content_hash`` is that of those columns and is taken afterwards, so it is not shuffled.
     """
+    columns = df.columns
+    laid = (df.drop("content_hash") if hash_of else df).hint("rebalance", *partition_by)
+    if hash_of:
+        laid = laid.withColumn("content_hash", content_hash(*hash_of)).select(*columns)
     (
-        df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
         .partitionBy(*partition_by).parquet(path)
     )
 
@@ -70,7 +78,7 @@ def recreate(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None
     """Drop whatever is there and write the rows."""
     laid = df.hint("rebalance", *partition_by) if partition_by else df
     (
-        laid.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        laid.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", COMPRESSION)
         .partitionBy(*partition_by).parquet(path)
     )
 

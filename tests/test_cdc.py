@@ -246,3 +246,33 @@ def test_a_bucketed_snapshot_is_not_shuffled(spark, tmp_path, rows):
         assert not spark.catalog.tableExists("bucketed_test")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_derived_hash_is_not_read_nor_shuffled(spark, tmp_path, random_sides, rows):
+    staging, latest = random_sides
+    staging.write.parquet(str(tmp_path / "staging"))
+    latest.write.parquet(str(tmp_path / "latest"))
+    staged, stored = (spark.read.parquet(str(tmp_path / n)) for n in ("staging", "latest"))
+    changes = cdc.detect_changes(staged, stored, newest=NEWEST)
+    slim = cdc.detect_changes(staged, stored, newest=NEWEST, hash_of=["name", "email"])
+    assert slim.columns == changes.columns and rows(slim) == rows(changes)
+    assert "content_hash:" not in slim._jdf.queryExecution().executedPlan().toString()
+    log = changes.withColumn("at", F.lit(2)).unionByName(latest.withColumns({"change_type": F.lit("INSERT"), "at": F.lit(1)}))
+    log.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    after = cdc.apply_changes(stored, log, newest=["at"])
+    # copies meet by the columns of the join: one shuffle of the log, one of the snapshot at most
+    assert after._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    assert rows(cdc.apply_changes(stored, log, newest=["at"], hash_of=["name", "email"])) == rows(after)
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    from millrace.catalog import records
+    from millrace.sinks import bucketed, folders
+
+    assert [bucketed.buckets_for(n, 4) for n in (0, 4_000_000, 4_000_001, 200_000_000)] == [4, 4, 5, 200]
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 500)
+    monkeypatch.setattr(records, "work_path", lambda spark, name: str(tmp_path / f"{name}-grow"))
+    assert records.cdc_bucketed(spark, "/root/testdata/sf0.001").count() > 0
+    files = [n for n in folders.names(spark, str(tmp_path / "snapshot-grow")) if n.endswith(".parquet")]
+    assert len(files) > spark.sparkContext.defaultParallelism
