@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from millrace.functions.hashing import content_hash
 from millrace.operators.cdc import DELETE
 from millrace.operators.joins import record_key
 from millrace.schemas import USER_KEYS
@@ -44,10 +45,11 @@ def _versions(spark: SparkSession, path: str, kind: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in folders.names(spark, f"{path}/{kind}") if n.startswith("version="))
 
 
-def record(changes: DataFrame, path: str, version: int, keys: Sequence[str] = USER_KEYS) -> None:
+def record(changes: DataFrame, path: str, version: int, keys: Sequence[str] = USER_KEYS, hash_of: Sequence[str] = ()) -> None:
     """Add the changes of one run; runs come in order, and repeating the last one leaves the same tables.
 
-    The rows still open meet the changes in one join; what is over is not read.
+    The rows still open meet the changes in one join; what is over is not read. With ``hash_of``, the column
+    ``content_hash`` is that of those columns and is taken after the join instead of being shuffled.
     """
     spark = changes.sparkSession
     known = _versions(spark, path, "open")
@@ -64,6 +66,8 @@ def record(changes: DataFrame, path: str, version: int, keys: Sequence[str] = US
     ended = F.col("_changed").isNotNull()
     both = still.join(changed, F.col("_key") == F.col("_changed"), "left")
     columns = new.columns
+    if hash_of:
+        columns = [content_hash(*hash_of).alias(c) if c == "content_hash" else c for c in columns]
     recreate(both.where(ended).select(*columns, F.lit(version).cast("long").alias(TO)), _folder(path, "closed", version))
     recreate(both.where(~ended).select(*columns).unionByName(new), _folder(path, "open", version))
     for v in known:
