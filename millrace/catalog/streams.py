@@ -8,8 +8,11 @@ from millrace.catalog.base import (
     CDC_SQL, STAGED_ORDER, Query, Tables, cdc_latest, cdc_staging,
 )
 from millrace.catalog.timing import FIRST_MESSAGE_SQL, WAIT_US
+from millrace.functions.hashing import content_hash
 from millrace.functions.values import epoch_micros
+from millrace.schemas import HASH_OF
 from millrace.session import work_path
+from millrace.sinks.tables import COMPRESSION, recreate
 from millrace.sources import service
 from millrace.streaming import base, joined, keyed, progress, stateful, timers
 
@@ -20,12 +23,16 @@ SHIP_WAIT_US = 180 * 86_400_000_000
 
 
 def _in_files(t: Tables, rows, order: str, name: str) -> str:
-    """Rows as ``FILES`` pieces with rising times, each of as many files as a micro-batch takes."""
+    """Rows as ``FILES`` pieces with rising times, each of as many files as a micro-batch takes.
+
+    Rows are dealt by a hash of all their columns: they stay in order, so neighbours that are alike take little room.
+    """
     path = work_path(t.spark, name)
     low, high = rows.agg(F.min(order), F.max(order)).first()
     at = F.floor(F.lit(FILES) * (F.col(order) - F.lit(low)) / F.lit(high - low + 1))
     for n in range(FILES):
-        rows.where(F.coalesce(at, F.lit(0)) == n).repartition(_piece_files(t.spark)).write.mode("append").parquet(path)
+        piece = rows.where(F.coalesce(at, F.lit(0)) == n).repartition(_piece_files(t.spark), F.xxhash64(*rows.columns))
+        piece.write.mode("append").option("compression", COMPRESSION).parquet(path)
     return path
 
 
@@ -146,19 +153,20 @@ def stream_cdc_apply(spark, sf):
     """Each tenant's extract comes in three pieces and is followed by its end."""
     t = Tables(spark, sf)
     path = work_path(spark, "cdc")
-    cdc_latest(t).write.parquet(f"{path}/base")
-    lines = cdc_staging(t).withColumns({
+    recreate(cdc_latest(t), f"{path}/base")
+    # the hash follows from columns beside it: it is taken as the rows come
+    lines = cdc_staging(t).drop("content_hash").withColumns({
         "_piece": F.pmod(F.hash("id"), F.lit(FILES)), stateful.EXTRACT: F.lit(1), stateful.END: F.lit(False)})
     ends = lines.select("organization_id", "connected_integration_id", stateful.EXTRACT).distinct().withColumns(
         {"_piece": F.lit(FILES - 1), stateful.END: F.lit(True)})
     source = _in_files(t, lines.unionByName(ends, allowMissingColumns=True), "_piece", "extracts")
     stream = base.stream_files(spark, source, spark.read.parquet(source).schema, _piece_files(spark)).drop("_piece")
     handler = stateful.capture_changes(
-        lambda s: s.read.parquet(f"{path}/base"), path, newest=STAGED_ORDER, every=2
+        lambda s: s.read.parquet(f"{path}/base"), path, newest=STAGED_ORDER, every=2, hash_of=HASH_OF
     )
     base.run_batches(stream, f"{path}/checkpoint", handler)
     last = base.batches_of(spark, f"{path}/ended")[-1]
-    return stateful.state_after(spark, spark.read.parquet(f"{path}/base"), f"{path}/changes", last + 1)
+    return stateful.state_after(spark, spark.read.parquet(f"{path}/base"), f"{path}/changes", last + 1, hash_of=HASH_OF)
 
 
 def partition_ordered(spark, sf):

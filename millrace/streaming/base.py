@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.operators.dedup import dedup_latest
 from millrace.session import SETTINGS
 from millrace.sinks import folders
+from millrace.sinks.tables import COMPRESSION
 from millrace.streaming.progress import ProgressTable
 
 
@@ -100,7 +101,7 @@ def append_log(
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.hint("rebalance") if rebalance else batch
-        rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(batch_folder(path, batch_id))
         if keys and batch_id and batch_id % every == 0:
             compact(batch.sparkSession, path, keys, batch_id - 1)
 
@@ -122,7 +123,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], upto: int) -> N
 
     Only finished batches are summed up, so one that is repeated still replaces itself.
     """
-    newest_rows(read_log(spark, path).where(F.col("batch_id") <= upto), keys).write.mode("overwrite").parquet(
+    newest_rows(read_log(spark, path).where(F.col("batch_id") <= upto), keys).write.mode("overwrite").option("compression", COMPRESSION).parquet(
         batch_folder(f"{path}-state", upto))
     for b in batches_of(spark, path):
         if b <= upto:

@@ -15,12 +15,13 @@ from millrace.operators import cdc
 from millrace.operators.joins import within
 from millrace.schemas import TENANT, USER_KEYS
 from millrace.sinks import folders
+from millrace.sinks.tables import COMPRESSION
 from millrace.streaming.base import append_log, batch_folder, batches_of, read_log
 
 
 def state_after(
     spark: SparkSession, base: DataFrame, log_path: str, before_batch: int,
-    keys: Sequence[str] = USER_KEYS, tenants: DataFrame | None = None,
+    keys: Sequence[str] = USER_KEYS, tenants: DataFrame | None = None, hash_of: Sequence[str] = (),
 ) -> DataFrame:
     """The snapshot after all batches before ``before_batch``: base with the newest changes.
 
@@ -34,7 +35,7 @@ def state_after(
     log = read_log(spark, log_path).where(F.col("batch_id") < before_batch)
     if names:
         log = within(log, tenants, names)
-    return cdc.apply_changes(base, log, keys=keys, newest=["batch_id"])
+    return cdc.apply_changes(base, log, keys=keys, newest=["batch_id"], hash_of=hash_of)
 
 
 EXTRACT, END = "extract_id", "end_of_extract"
@@ -42,7 +43,7 @@ EXTRACT, END = "extract_id", "end_of_extract"
 
 def capture_changes(
     base: Callable[[SparkSession], DataFrame], path: str, *, newest: Sequence[str],
-    keys: Sequence[str] = USER_KEYS, tenant: Sequence[str] = TENANT, every: int = 20,
+    keys: Sequence[str] = USER_KEYS, tenant: Sequence[str] = TENANT, every: int = 20, hash_of: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """Handler that turns a stream of extracts into changes of the snapshot.
 
@@ -52,7 +53,8 @@ def capture_changes(
     Of several extracts of a tenant that end in one micro-batch the latest counts.
 
     Changes go to ``path/changes`` under the batch id as run id, :func:`state_after` is the result. Staged batches
-    whose extracts have all ended are removed, and the log of changes is summed up every ``every`` batches.
+    whose extracts have all ended are removed, and the log of changes is summed up every ``every`` batches. ``hash_of`` is that of
+    :func:`millrace.operators.cdc.detect_changes`.
     """
     staged, ended = f"{path}/staged", f"{path}/ended"
     write = append_log(f"{path}/changes", keys=keys, every=every)
@@ -60,7 +62,8 @@ def capture_changes(
     def detect(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         named = [*tenant, EXTRACT]
-        batch.where(f"NOT {END}").drop(END).write.mode("overwrite").parquet(batch_folder(staged, batch_id))
+        # a hash that follows from other columns need not wait with the rows
+        batch.where(f"NOT {END}").drop(END, *(["content_hash"] if hash_of else [])).write.mode("overwrite").option("compression", COMPRESSION).parquet(batch_folder(staged, batch_id))
         batch.where(END).select(*named).distinct().write.mode("overwrite").parquet(batch_folder(ended, batch_id))
         ends = spark.read.parquet(batch_folder(ended, batch_id))
         last = ends.groupBy(*tenant).agg(F.max(EXTRACT).alias(EXTRACT))
@@ -68,8 +71,8 @@ def capture_changes(
         waiting = read_log(spark, staged).where(F.col("batch_id") <= batch_id)
         rows = within(waiting, last, named).drop("batch_id", EXTRACT)
         tenants = last.select(*tenant)
-        before = state_after(spark, base(spark), f"{path}/changes", batch_id, keys, tenants)
-        write(cdc.detect_changes(rows, before, newest=newest, keys=keys, tenants=tenants), batch_id)
+        before = state_after(spark, base(spark), f"{path}/changes", batch_id, keys, tenants, hash_of)
+        write(cdc.detect_changes(rows, before, newest=newest, keys=keys, tenants=tenants, hash_of=hash_of), batch_id)
         # what ended before this batch is no longer needed, even if this batch is repeated
         finished = read_log(spark, ended).where(F.col("batch_id") < batch_id).groupBy(*tenant).agg(F.max(EXTRACT).alias("_done"))
         if not finished.isEmpty():

@@ -352,3 +352,19 @@ def test_ordered_batches_hold_all_rows(spark, events, split_events, tmp_path, ro
     base.run_batches(base.stream_files(spark, split_events, events.schema, 1), str(tmp_path / "cp"), handle)
     assert len(handled) == 4
     assert rows(base.read_log(spark, str(tmp_path / "log")), *events.columns) == rows(events)
+
+
+def test_input_of_streams_keeps_its_order(spark, tmp_path, monkeypatch):
+    """Rows are dealt by a hash, not in turn, so each file holds them in the order of the table; none is lost."""
+    from millrace.catalog import streams
+    from millrace.catalog.base import Tables
+
+    monkeypatch.setattr(streams, "work_path", lambda spark, name: str(tmp_path / name))
+    events = spark.range(0, 3000, 1, 1).select(F.col("id").alias("event_id"), F.lit("x").alias("props"))
+    path = streams._in_files(Tables(spark, "/nowhere"), events, "event_id", "events")
+    seen = spark.read.parquet(path).select("event_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"))
+    files = {}
+    for r in seen.orderBy("f", "n").collect():
+        files.setdefault(r["f"], []).append(r["event_id"])
+    assert sorted(i for f in files.values() for i in f) == list(range(3000))
+    assert all(f == sorted(f) for f in files.values()) and len(files) == streams.FILES * streams._piece_files(spark)
