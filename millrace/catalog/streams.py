@@ -125,7 +125,7 @@ def stream_message_timeout(spark, sf):
     )
     stream = _events(t).select(
         "user_id", kind.alias("kind"), F.col("event_id").alias("id"), epoch_micros("ts").alias("at_us")
-    ).where("kind is not null")
+    ).where("kind is not null and user_id is not null")
     given = timers.message_delivery(stream, ["user_id"], WAIT_US, "1 hour")
     base.run_batches(given, f"{path}/checkpoint", base.append_log(f"{path}/answers"), several_states=True)
     log = base.read_log(spark, f"{path}/answers").drop("batch_id")

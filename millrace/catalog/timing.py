@@ -78,7 +78,7 @@ def payload_size_profile(spark, sf):
 def first_message_within(spark, sf):
     events = event_times(Tables(spark, sf)).select(
         "user_id", "event_type", F.col("event_id").alias("id"), "at_us"
-    )
+    ).where("user_id IS NOT NULL")
     requests = events.where("event_type = 'signup'")
     messages = events.where("event_type = 'purchase'")
     return deliver(requests, messages, ["user_id"], WAIT_US)

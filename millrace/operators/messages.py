@@ -28,7 +28,12 @@ def first_message_within(
     k-th request, the number delivered after it is c(k) = min(c(k-1) + 1, M(k)), which unrolls to
     k + min(0, least of M(j) - j for j <= k): three running values over one ordered union. The
     k-th request and message number c(k) then meet in a grouping with at most two rows per group.
+
+    A request without a time has no deadline and gets no message; a message without one is in time for none.
+    Repeated requests each count.
     """
+    timeless = requests.where(F.col(at).isNull()).select(*keys, F.col(id_col).alias("request_id"), F.col(at).alias("request_at"))
+    requests, messages = (f.where(F.col(at).isNotNull()) for f in (requests, messages))
     events = messages.select(
         *keys, F.col(at).alias("_t"), F.lit(0).alias("_kind"), F.col(id_col).alias("_id"),
         F.col(at).alias("_at"),
@@ -49,7 +54,7 @@ def first_message_within(
     missed = F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
     served = is_request & (spare >= missed)
     seq = F.when(~is_request, F.col("_msgs")).when(served, F.col("_reqs") + missed)
-    unserved = F.when(is_request & ~served, F.col("_id"))
+    unserved = F.when(is_request & ~served, F.col("_reqs"))
 
     placed = rows.result().select(
         *keys, seq.alias("_seq"), unserved.alias("_unserved"), "_kind", "_id", "_at"
@@ -59,7 +64,7 @@ def first_message_within(
         F.max(F.when(is_request, F.col("_at"))).alias("request_at"),
         F.max(F.when(~is_request, F.col("_id"))).alias("message_id"),
         F.max(F.when(~is_request, F.col("_at"))).alias("message_at"),
+        F.max("_kind").alias("_asked"),
     )
-    return met.where(F.col("request_id").isNotNull()).select(
-        *keys, "request_id", "request_at", "message_id", "message_at"
-    )
+    answers = met.where(F.col("_asked") == 1).select(*keys, "request_id", "request_at", "message_id", "message_at")
+    return answers.unionByName(timeless, allowMissingColumns=True)

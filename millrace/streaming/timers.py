@@ -84,20 +84,27 @@ def message_delivery(
     ``delay`` is how late rows may come; a request is answered when the watermark has passed its deadline, with all its
     messages in. A message waits until it is delivered, or with ``keep_us`` for that long in event time. What is
     open for one key is read when one of its timers is due; it should fit into a task. A request without a time has no
-    deadline and is answered at once, with no message; a message without one is in time for none.
+    deadline and is answered at once, with no message; a message without one is in time for none. The state has the
+    keys as text: numbers among which some are missing would be rounded on their way, and those of all keys be mixed up.
     """
     at = F.timestamp_micros("at_us").alias("_at")
     kind = F.when(F.col("at_us").isNotNull(), F.col("kind")).when(F.col("kind") == REQUEST, TIMELESS).alias("kind")
     # whole numbers stay exact in pandas where none is missing
-    rows = stream.select(*keys, kind, "id", F.coalesce("at_us", F.lit(0)).cast("bigint").alias("at_us"), at)
+    rows = stream.select(*(F.col(k).cast("string").alias(k) for k in keys), kind, "id", F.coalesce("at_us", F.lit(0)).cast("bigint").alias("at_us"), at)
     rows = rows.where("kind IS NOT NULL").withWatermark("_at", delay)
-    kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    kinds = ", ".join(f"{k} string" for k in keys)
+    given = rows.groupBy(*keys).transformWithStateInPandas(
         Delivery(keys, timeout_us, keep_us), outputStructType=f"{kinds}, {ANSWER}", outputMode="append", timeMode="eventTime")
+    return _typed(given, keys, stream)
+
+
+def _typed(rows: DataFrame, keys: Sequence[str], like: DataFrame) -> DataFrame:
+    """Keys that were text in the state as they are in ``like``."""
+    return rows.withColumns({k: F.col(k).cast(like.schema[k].dataType) for k in keys})
 
 
 def still_open(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> DataFrame:
-    """Rows (keys, kind, id, at_us) that a stream's checkpoint holds in its state."""
+    """Rows (keys, kind, id, at_us) that a stream's checkpoint holds in its state; keys are text."""
     parts = []
     for name, kind in (("messages", MESSAGE), ("requests", REQUEST)):
         state = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
@@ -107,6 +114,6 @@ def still_open(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> Dat
 
 def answers(given: DataFrame, checkpoint: str, keys: Sequence[str], timeout_us: int) -> DataFrame:
     """All answers once the stream has ended and no more rows come: those given, and those of what is still open."""
-    left = still_open(given.sparkSession, checkpoint, keys)
+    left = _typed(still_open(given.sparkSession, checkpoint, keys), keys, given)
     rest = first_message_within(left.where(F.col("kind") == REQUEST), left.where(F.col("kind") == MESSAGE), keys, timeout_us)
     return given.unionByName(rest)

@@ -46,3 +46,13 @@ def test_early_late_and_missing(spark, rows):
     messages = spark.createDataFrame([("a", 5, 11), ("b", 160, 12), ("c", 161, 13)], schema)
     got = rows(first_message_within(requests, messages, ["wf"], 60), "wf", "message_id")
     assert got == [("a", 11), ("b", 12), ("c", None), ("d", None)]
+
+
+def test_repeats_and_rows_without_a_time(spark, rows):
+    """Repeated requests each count, those without a time come to nothing, messages without one reach nobody."""
+    schema = "wf string, at_us bigint, id bigint"
+    requests = spark.createDataFrame([("a", 100, 1), ("a", 100, 1), ("b", None, 2), ("b", 100, 3), ("c", None, 4)], schema)
+    messages = spark.createDataFrame([("b", None, 11), ("b", 150, 12), ("c", None, 13)], schema)
+    got = rows(first_message_within(requests, messages, ["wf"], 60))
+    assert got == sorted([("a", 1, 100, None, None)] * 2 + [("b", 2, None, None, None), ("b", 3, 100, 12, 150),
+                                                            ("c", 4, None, None, None)], key=repr)

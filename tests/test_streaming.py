@@ -202,6 +202,22 @@ def test_delivery_of_rows_without_a_time(spark, tmp_path, rows):
         [("a", big, None, None, None), ("a", 3, 1_000_000, None, None), (None, big + 2, 1_400_000, 4, 1_500_000)], key=repr)
 
 
+def test_delivery_to_numbers_as_keys_some_missing(spark, tmp_path, rows):
+    """A key that is missing leaves the others whole, beyond what floating point holds too."""
+    big, rng = (1 << 60) + 1, random.Random(4)
+    data = [(rng.choice([None, 1, big, big + 1]), *r[1:]) for r in deliveries(rng, 120)]
+    df = spark.createDataFrame(data, ITEMS.replace("k string", "k bigint"))
+    path, cp, log = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "log")
+    for n in range(3):
+        df.where(F.floor(F.col("id") / 40) == n).coalesce(1).write.mode("append").parquet(path)
+    out = timers.message_delivery(base.stream_files(spark, path, df.schema, 1), ["k"], 60_000, "0 seconds")
+    base.run_batches(out, cp, base.append_log(log))
+    got = timers.answers(base.read_log(spark, log).drop("batch_id"), cp, ["k"], 60_000)
+    want = first_message_within(df.where(F.col("kind") == timers.REQUEST), df.where(F.col("kind") == timers.MESSAGE), ["k"], 60_000)
+    assert got.schema["k"].dataType == df.schema["k"].dataType
+    assert rows(got) == rows(want)
+
+
 SENT = "k string, id bigint, at_us bigint"
 
 
