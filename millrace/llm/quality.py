@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.tables import documents, in_batches, saved, table
+from millrace.llm.tables import documents, in_batches, perhaps_among, saved, table
 from millrace.llm.words import SPACE, U, Hasher, Words, mixed, steps, sums_between, windows
+from millrace.sinks.tables import COMPRESSION
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 50, 50, 3
 SYMBOLS = np.zeros(256, bool)
@@ -91,7 +92,7 @@ def features(hashes: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns text, trusted: counts of the task's buckets, once at its end."""
+    """Columns text, trusted: counts of the task's buckets, once at its end; a trusted text comes as one of the corpus too."""
     size = 1 << BUCKET_BITS
     raw, trusted = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for batch in batches:
@@ -99,9 +100,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, offsets in steps(batch.column(0)):
             words = Words(data, offsets, SPACE)
             buckets, text = features(words.hashes(), words)
-            raw += np.bincount(buckets, minlength=size)
-            trusted += np.bincount(buckets[marks[lo:hi][text]], minlength=size)
-    some = np.flatnonzero(raw)
+            mark = marks[lo:hi][text]
+            raw += np.bincount(buckets[~mark], minlength=size)
+            trusted += np.bincount(buckets[mark], minlength=size)
+    some = np.flatnonzero(raw + trusted)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(trusted[some])],
                                      names=["bucket", "raw", "trusted"])
 
@@ -114,10 +116,21 @@ def trusted_sample(labels: DataFrame, rows: int | None = None) -> DataFrame:
     return ids.select("doc_id", (F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(2)) == 0).alias("counted"))
 
 
+def trusted_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """The texts of the sample's rows; only they, and few others, are shuffled, in the same way for any number of them."""
+    near = perhaps_among(docs.select("doc_id", "text"), sample, "doc_id")
+    return near.join(sample.hint("merge"), "doc_id").select("text", "counted")
+
+
 def ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
-    """Log ratio of trusted to raw share for each bucket, as whole numbers. The driver gets one row a bucket."""
-    marked = docs.select("doc_id", "text").join(sample.where("counted"), "doc_id", "left")
-    texts = marked.select("text", F.col("counted").isNotNull().alias("trusted"))
+    """Log ratio of trusted to raw share for each bucket, as whole numbers."""
+    return ratios_of(docs, trusted_texts(docs, sample))
+
+
+def ratios_of(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """The same, of the counted rows among trusted texts. The driver gets one row a bucket."""
+    texts = docs.select("text", F.lit(False).alias("trusted")).unionByName(
+        trusted.where("counted").select("text", F.lit(True).alias("trusted")))
     counts = (in_batches(texts, _count, "bucket long, raw long, trusted long").groupBy("bucket")
               .agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas())
     size = 1 << BUCKET_BITS
@@ -158,19 +171,17 @@ def judge(column: pa.Array, ratio: np.ndarray, threshold: float) -> dict[str, np
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int | None = None, loss: float = TRUSTED_LOSS) -> tuple[np.ndarray, float]:
-    """Ratios and threshold. Docs are read once for the counts; the held half of the trusted ones once more.
-
-    Spark chooses the joins by the number of labels: few are sent to all tasks, many meet the texts in a shuffle.
-    """
+    """Ratios and threshold. Docs are read once for the trusted texts, which are written, and once for the counts."""
     sample = saved(trusted_sample(labels, rows), "trusted")
-    ratio = ratios(docs, sample)
+    trusted = saved(trusted_texts(docs, sample), "trusted-texts", compression=COMPRESSION)
+    ratio = ratios_of(docs, trusted)
 
     def held(batches):
         for batch in batches:
             out = judge(batch.column(0), ratio, 0.0)
             yield pa.RecordBatch.from_arrays([pa.array(out["score"][~out["base_failed"].astype(bool)], pa.float64())], names=["score"])
 
-    unseen = docs.select("doc_id", "text").join(sample.where("NOT counted"), "doc_id").select("text")
+    unseen = trusted.where("NOT counted").select("text")
     step = (F.round(F.col("score") * SCORE_STEPS) / SCORE_STEPS).alias("score")
     often = in_batches(unseen, held, "score double").groupBy(step).agg(F.count(F.lit(1)).alias("n"))
     at = often.agg(F.percentile("score", F.lit(loss), F.col("n")).alias("low"),

@@ -18,14 +18,14 @@ BATCH_BYTES = 4 << 20
 _MADE: list[list[str]] = []
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors.
 
     The folder is removed when the session's JVM ends, or with the step it belongs to (see :func:`finished`).
     """
     spark = df.sparkSession
     path = made_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +58,29 @@ def _remove(spark: SparkSession, folder: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bits of the map that :func:`perhaps_among` sends to all tasks: 4 MB, however many ids there are.
+MAP_BITS = 1 << 25
+
+
+def perhaps_among(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows whose id is among ``ids``, and a few others that a join with the ids has to leave out.
+
+    Tasks get one bit for each hash of an id and not the ids, so long texts need not be shuffled to find out that most
+    of them are not wanted.
+    """
+    kind = rows.select(name).union(ids.select(name)).schema[name].dataType  # equal ids of two types have other hashes
+
+    def slot(column):  # bitmaps count from 1
+        return F.pmod(F.xxhash64(column.cast(kind)), F.lit(MAP_BITS)) + 1
+
+    marks = ids.select(slot(ids[name]).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    place = F.bitmap_bit_position(slot(rows[name]))
+    byte = F.conv(F.hex(F.substring(marks["_bits"], (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = (F.bitmap_bucket_number(slot(rows[name])) == marks["_part"]) & (F.getbit(byte, (place % 8).cast("int")) == 1)
+    return rows.join(F.broadcast(marks), hit, "left_semi")
+
+
 class Rounds:
     """The table of an iteration: each round's rows replace those of the round before, which they are made from."""
 

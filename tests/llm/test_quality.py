@@ -111,3 +111,42 @@ def test_all_labelled_rows_are_trusted(spark, monkeypatch):
     fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
     assert seen[0].count() == n
     assert 0 < seen[0].where("counted").count() < n
+
+
+def test_trusted_texts_are_met_without_shuffling_the_others(spark, monkeypatch):
+    """All rows of the ids, repeated ones and those of few bits among them; the map leaves out most others, whatever Spark broadcasts."""
+    from millrace.llm import quality, tables
+
+    docs = spark.range(4000).select((F.col("id") % 3990).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "no id")], docs.schema))
+    ids = spark.range(0, 4000, 7).select(F.col("id").cast("int").alias("doc_id"))
+    sample = ids.withColumn("counted", F.col("doc_id") % 2 == 0)
+    want = sorted((f"text {i}", i % 3990 % 2 == 0) for i in range(4000) if i % 3990 % 7 == 0)
+    assert sorted(map(tuple, quality.trusted_texts(docs, sample).collect())) == want
+    assert len(want) <= tables.perhaps_among(docs, ids, "doc_id").count() < len(want) + 20
+    monkeypatch.setattr(tables, "MAP_BITS", 64)
+    assert sorted(map(tuple, quality.trusted_texts(docs, sample).collect())) == want
+
+
+def test_texts_are_shuffled_once_and_only_trusted_ones(spark, monkeypatch):
+    """No join that a fit runs has all texts on a side that is shuffled, few labels or many."""
+    from millrace.llm import quality
+
+    plans, batches, write = [], quality.in_batches, quality.saved
+
+    def seen(df, *rest, **options):
+        plans.append(df._jdf.queryExecution().toString())
+        return (write if isinstance(rest[0], str) else batches)(df, *rest, **options)
+
+    monkeypatch.setattr(quality, "in_batches", seen)
+    monkeypatch.setattr(quality, "saved", seen)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some good words").alias("text"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fit(docs, docs.select("doc_id", F.lit(1).alias("quality")).where("doc_id < 30"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    physical = [p.partition("== Physical Plan ==")[2] for p in plans]
+    assert sum("SortMergeJoin" in p for p in physical) == 1
+    assert "BroadcastHashJoin" in next(p for p in physical if "SortMergeJoin" in p)
