@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.hashing import content_hash
 
-_UNORDERED = ("map<", "variant")
+#: Kinds of columns that cannot be sorted by.
+UNORDERED = ("map<", "variant")
 
 
 def newest_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[Column]:
     """Descending order on ``order``, then on every other column so that no tie is left open."""
     rest = [
         name for name, kind in df.dtypes
-        if name not in keys and name not in order and not any(u in kind for u in _UNORDERED)
+        if name not in keys and name not in order and not any(u in kind for u in UNORDERED)
     ]
     return [F.col(c).desc() for c in [*order, *rest]]
 

@@ -4,7 +4,8 @@ A window function sorts all rows of a key in one task. Here the order of a key i
 width, given by the caller: a row's bucket is the whole part of its first order column over the width. The window
 functions run per key and bucket, and what a bucket needs from those before it (a count, a running value, the last
 row) comes from a table with one row per key and bucket, which is joined back by the same key. The plan is the same
-whatever the data: rows are shuffled once, nothing is counted or sampled beforehand, and nothing is broadcast by hand.
+whatever the data: rows are shuffled once, nothing is sampled beforehand, and nothing is broadcast by hand. Where rows are only
+numbered, the totals are counts, which are added up before their shuffle; rows are sorted once.
 
 The width decides how many rows of a key meet in one task, and how many buckets of a key are added up in one.
 """
@@ -36,8 +37,10 @@ class Shifted(NamedTuple):
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with a total order within each key; ``_part`` is the key and the bucket.
+    """Rows with a total order within each key; ``_part`` is the key and the bucket, ``_part_hash`` a hash of them.
 
+    The hash comes first where rows are sorted or joined by both: sorting compares whole numbers then, and the key and
+    bucket only where those are equal.
     Between scans the key is in ``_part`` alone, so that rows and totals need the same columns of the input.
     """
 
@@ -63,7 +66,7 @@ class Ordered:
         """
         lag, sums, lows, highs, shifted = (dict(m or {}) for m in (lag, sums, lows, highs, shifted))
         added = ([number] if number else []) + list(sums)
-        window = Window.partitionBy("_part").orderBy(*self.order)
+        window = Window.partitionBy("_part_hash", "_part").orderBy(*self.order)
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         earlier = window.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -87,7 +90,11 @@ class Ordered:
         for out, s in shifted.items():
             whole = F.col(out) if s.kind == "max" else F.least(out, f"_v_{out}")
             totals.append(whole.alias(f"_c_{out}"))
-        buckets = local.where("_last").select(F.col("_part").alias("_of"), *totals)
+        of = F.col("_part_hash").alias("_of_hash"), F.col("_part").alias("_of")
+        if number and not (lag or sums or lows or highs or shifted):
+            buckets = self.df.groupBy(*of).agg(F.count(F.lit(1)).alias(f"_c_{number}"))
+        else:
+            buckets = local.where("_last").select(*of, *totals)
         by_bucket = Window.partitionBy(*[F.col(f"_of.k{i}") for i in range(len(self.keys))]).orderBy("_of.bucket")
         before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
         carried = {f"_c_{out}": F.sum(f"_c_{out}").over(before) for out in added}
@@ -100,7 +107,7 @@ class Ordered:
             extreme = F.max if s.kind == "max" else F.min
             carry = carry.withColumn(f"_m_{out}", moved).withColumn(f"_m_{out}", extreme(f"_m_{out}").over(before))
 
-        joined = local.join(carry, local["_part"] == carry["_of"])
+        joined = local.join(carry, (local["_part_hash"] == carry["_of_hash"]) & (local["_part"] == carry["_of"]))
         merged = {}
         for out in added:
             merged[out] = F.when(
@@ -126,7 +133,7 @@ class Ordered:
 
     def result(self) -> DataFrame:
         """The rows with their own columns first, then what scans and ``with_columns`` added."""
-        added = [c for c in self.df.columns if c not in self.columns and c != "_part"]
+        added = [c for c in self.df.columns if c not in self.columns and c not in ("_part_hash", "_part")]
         places = {k: f"_part.k{i}" for i, k in enumerate(self.keys)}
         return self.df.select(*[F.col(places[c]).alias(c) if c in places else F.col(c) for c in self.columns], *added)
 
@@ -142,5 +149,6 @@ def order_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], width
     # a struct compares null fields as equal, in windows and joins alike
     names = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
     bucket = F.floor(F.col(order[0]) / F.lit(width)).cast("bigint").alias("bucket")
-    rows = df.withColumn("_part", F.struct(*names, bucket)).drop(*[k for k in keys if k not in order])
+    rows = df.withColumn("_part", F.struct(*names, bucket)).withColumn("_part_hash", F.xxhash64("_part"))
+    rows = rows.drop(*[k for k in keys if k not in order])
     return Ordered(rows, keys, order, tuple(df.columns))

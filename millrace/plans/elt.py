@@ -62,11 +62,18 @@ class RunReport:
         return summary(self.loaded, self.changes)
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def _read(spark: SparkSession, path: str, schema: str, part: str = "") -> DataFrame:
-    """A table, or one folder of it, with the columns its folders stand for."""
+    """A table, or one folder of it, with the columns its folders stand for.
+
+    One that is not there is known to be empty while a plan is made, so nothing is shuffled to be joined with it.
+    """
     whole = f"{path}/{part}" if part else path
     if not folders.exists(spark, whole):
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
     return spark.read.schema(schema).option("basePath", path).parquet(whole)
 
 
@@ -91,7 +98,7 @@ def _places(spark: SparkSession, root: str, version: int) -> DataFrame:
 def _covered(spark: SparkSession, root: str, workflow_id: str) -> DataFrame:
     """What the published calls of a run were about, from the kept versions and the folder of the run."""
     kept = [f"{root}/published/version={v}/covered" for v in _versions(spark, root)]
-    rows = spark.read.schema(_COVERED).parquet(*kept) if kept else spark.createDataFrame([], _COVERED)
+    rows = spark.read.schema(_COVERED).parquet(*kept) if kept else _empty(spark, _COVERED)
     own = folders.partition_folder(spark, workflow_id=workflow_id)
     return rows.where(F.col("workflow_id") == workflow_id).unionByName(_read(spark, f"{root}/published/runs", _COVERED, own))
 
@@ -125,20 +132,19 @@ def load(users: DataFrame, root: str, workflow_id: str, batch_seq: int = 0) -> N
 
 
 def extract(
-    integrations: DataFrame, fetch: Callable[[Mapping], pd.DataFrame], root: str, workflow_id: str, *,
+    integrations: DataFrame, fetch: Callable[[Mapping], pd.DataFrame | list[dict]], root: str, workflow_id: str, *,
     pages: str = "pages", pages_per_batch: int = 10, requests_in_parallel: int | None = None,
-    bodies: DataFrame | None = None,
+    bodies: DataFrame | None = None, records: bool = False,
 ) -> DataFrame:
     """Fetch and stage all pages of all connected integrations; returns the tenants of the run.
 
     ``integrations`` has the tenant columns and the number of its pages; ``fetch`` answers one row of the plan.
-    Pages that are stored already come as ``bodies`` (tenant, page, body) and travel with the plan.
+    Pages that are stored already come as ``bodies`` (tenant, page, body) and travel with the plan. ``records`` is that of
+    :func:`millrace.sources.paged.paged_extract`.
     A tenant without pages is part of the run: its rows are gone.
     """
-    plan = page_plan(integrations, pages, pages_per_batch)
-    if bodies is not None:
-        plan = plan.join(bodies, [*TENANT, "page"])
-    rows = paged_extract(plan, fetch, schemas.EXTRACTED_USER, requests_in_parallel=requests_in_parallel)
+    plan = page_plan(integrations, pages, pages_per_batch, bodies=bodies, tenant=TENANT)
+    rows = paged_extract(plan, fetch, schemas.EXTRACTED_USER, requests_in_parallel=requests_in_parallel, records=records)
     load(rows, root, workflow_id)
     return integrations.select(*TENANT).distinct()
 
@@ -193,8 +199,7 @@ def run(
 
     # the rows of each tenant as they were in the version it starts from
     parts = [within(_rows(spark, root, _places(spark, root, base)), scope.where(F.col("base") == base), TENANT) for base in bases]
-    empty = spark.createDataFrame([], schemas.USERS_LATEST)
-    before = reduce(DataFrame.unionByName, parts, empty)
+    before = reduce(DataFrame.unionByName, parts, _empty(spark, schemas.USERS_LATEST))
     found = cdc.detect_changes(
         loaded, before.drop("last_updated"), newest=STAGED_ORDER, tenants=scope.select(*TENANT), hash_of=schemas.HASH_OF,
     ).withColumns({

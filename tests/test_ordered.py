@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -80,3 +81,11 @@ def test_hot_key_plan(spark, tmp_path):
     assert final.count("ReusedExchange") >= 1
     sizes = out.count()
     assert sizes == 4000 and out.select("n").distinct().count() == 4000
+
+
+def test_numbers_alone_sort_rows_once(spark):
+    frame = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
+    numbered = O.order_within(frame, ["k"], ("t",), 10).scan(number="n").result()
+    assert numbered.where(F.col("n") != F.floor(F.col("t") / 7) + 1).count() == 0 and numbered.count() == 1000
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Window \[row_number", plan)) == 1

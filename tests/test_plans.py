@@ -369,3 +369,11 @@ def test_accept_requests(spark, rows):
         ("2", "user_id u9 does not exist"), ("3", "access_id a9 does not exist"),
         ("4", "invalid status: CANCELLED"), ("5", "invalid status: null"),
     ]
+
+
+def test_a_table_that_is_not_there_is_known_to_be_empty(spark, tmp_path):
+    """A first run has nothing to compare with: only the staged rows are shuffled."""
+    nothing = elt._read(spark, str(tmp_path / "latest"), elt._LATEST)
+    both = users(spark, 0, 5).join(nothing.withColumnRenamed("id", "other"), F.col("id") == F.col("other"), "full_outer")
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and both.count() == 5 and nothing.count() == 0

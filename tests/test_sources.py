@@ -101,6 +101,45 @@ def test_paged_extract_retries(spark, tmp_path):
         paged.paged_extract(_plan(spark), broken, "org string, n bigint").count()
 
 
+def test_paged_extract_of_records(spark):
+    def records(request):
+        return [{"org": request["org"], "n": request["page"], "other": 1}, {"n": None}]
+
+    got = paged.paged_extract(_plan(spark).where("page <= 2"), records, "org string, n bigint", records=True)
+    assert sorted(got.collect(), key=repr) == sorted([("o1", 1), ("o1", 2), ("o2", 1), ("o2", 2), *[(None, None)] * 4], key=repr)
+
+
+def test_stored_pages_are_whole_and_read_in_small_groups(spark, tmp_path):
+    """A reader holds a row group of pages at a time, so one file of many pages has several."""
+    from pyarrow import parquet
+
+    frame = spark.range(20_000).select(F.col("id"), F.concat(F.lit("t"), F.col("id") % 3).alias("org"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 32).alias("text"))
+    pages = paged.store_pages(paged.stored_pages(frame, ["org"], ["id"], 100).coalesce(1), str(tmp_path / "pages"))
+    counted = {(r.org, r.page): len(json.loads(r.body)) for r in pages.collect()}
+    for org, n in (("t0", 6667), ("t1", 6667), ("t2", 6666)):
+        assert [counted[org, p] for p in range(1, 68)] == [100] * 66 + [n % 100]
+    assert paged.union_pages(pages, "id bigint, org string, text string").exceptAll(frame).count() == 0
+    [file] = (tmp_path / "pages").glob("*.parquet")
+    found = parquet.ParquetFile(file).metadata
+    assert max(found.row_group(i).num_rows for i in range(found.num_row_groups)) <= 64 < found.num_rows == 201
+
+
+def test_stored_pages_of_equal_rows_and_maps(spark):
+    frame = spark.range(250).select(F.lit("t").alias("org"), F.lit(1).alias("n"), F.create_map(F.lit("a"), F.col("id") % 5).alias("m"))
+    pages = paged.stored_pages(frame, ["org"], ["n"], 100).collect()
+    assert sorted((r.page, len(json.loads(r.body))) for r in pages) == [(1, 100), (2, 100), (3, 50)]
+
+
+def test_plan_of_stored_pages(spark, tmp_path, rows):
+    spark.createDataFrame([("o1", 2), ("o2", 0)], "org string, pages int").write.parquet(str(tmp_path / "tenants"))
+    stored = [("o1", p, f"b{p}") for p in (1, 2, 3)] + [("o2", 1, "x"), ("o9", 1, "x"), (None, 1, "x")]
+    spark.createDataFrame(stored, "org string, page bigint, body string").write.parquet(str(tmp_path / "bodies"))
+    tenants, bodies = (spark.read.parquet(str(tmp_path / n)) for n in ("tenants", "bodies"))
+    plan = paged.page_plan(tenants, "pages", 1, bodies=bodies, tenant=["org"])
+    assert rows(plan, "org", "page", "batch", "body") == [("o1", 1, 1, "b1"), ("o1", 2, 2, "b2")]
+    assert "hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_object_listing(spark, tmp_path):
     (tmp_path / "a").mkdir()
     for name in ("a/x.bin", "a/y.txt", "z.bin"):
