@@ -206,7 +206,7 @@ def run(
         "workflow_id": F.lit(workflow_id), "attempt": F.lit(attempt),
         "detected_at": F.current_timestamp().cast("timestamp_ntz"),
     })
-    replace_slice(found, f"{root}/cdc", ["workflow_id", "attempt", *TENANT], hash_of=schemas.HASH_OF)
+    replace_slice(found, f"{root}/cdc", ["workflow_id", "attempt", *TENANT], schemas.HASH_OF)
     changes = _read(spark, f"{root}/cdc", _CHANGES, folders.partition_folder(spark, workflow_id=workflow_id, attempt=attempt)).drop("attempt")
 
     if max_delete_fraction is not None:
@@ -225,7 +225,7 @@ def run(
     others = without(_rows(spark, root, within(now, touched, ["organization_id"])), scope, TENANT)
     mine_after = within(cdc.apply_changes(before, dated, hash_of=schemas.HASH_OF), touched, ["organization_id"])
     written = others.unionByName(mine_after).withColumn("attempt", F.lit(attempt))
-    replace_slice(written, f"{root}/latest", ["organization_id", "attempt"], hash_of=schemas.HASH_OF)
+    replace_slice(written, f"{root}/latest", ["organization_id", "attempt"], schemas.HASH_OF)
     fresh = _read(spark, f"{root}/latest", _LATEST).where(F.col("attempt") == attempt).select("organization_id").distinct()
     places = without(now, touched, ["organization_id"]).unionByName(fresh.withColumn("attempt", F.lit(attempt)))
     recreate(places, f"{ready}/places")
