@@ -1,9 +1,10 @@
 import random
 import time
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from millrace.operators import cdc
 from millrace.operators.messages import first_message_within
@@ -344,6 +345,61 @@ def test_messages_are_kept_for_a_time(spark, tmp_path, rows):
     assert rows(timers.still_open(spark, cp, ["k"])) == [("c", timers.MESSAGE, 5, 900_000)]
 
 
+class Kept:
+    """State and timers of one key, as the store would hold them."""
+
+    def __init__(self):
+        self.lists, self.timers, self.woken = {}, [], 0
+
+    def getListState(self, name, schema):
+        rows = self.lists.setdefault(name, [])
+        return SimpleNamespace(get=lambda: iter(list(rows)), appendList=rows.extend, clear=rows.clear,
+                               put=lambda new: (rows.clear(), rows.extend(new)))
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def settle(self, delivery, watermark):
+        """What the timers answer that the watermark has passed, each of them told of once."""
+        given = []
+        while due := sorted(t for t in set(self.timers) if t <= watermark):
+            self.woken += 1
+            now = SimpleNamespace(getExpiryTimeInMs=lambda: due[0])
+            given += delivery.handleExpiredTimer(("a",), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark), now)
+            self.timers = [t for t in self.timers if t != due[0]]
+        return sorted((r["request_id"], r["message_id"]) for r in given)
+
+
+def one_by_one(rows, timeout_ms, keep_ms):
+    """Who gets what if each row had a timer of its own: (request, message) as requests fall due."""
+    messages, answers = sorted((t, i) for kind, i, t in rows if kind == timers.MESSAGE), []
+    for t, request in sorted((t, i) for kind, i, t in rows if kind == timers.REQUEST):
+        if keep_ms is not None:
+            messages = [m for m in messages if m[0] + keep_ms >= t + timeout_ms]
+        got = messages.pop(0)[1] if messages and messages[0][0] <= t + timeout_ms else None
+        answers.append((request, got))
+    return sorted(answers)
+
+
+@pytest.mark.parametrize("keep_ms", [None, 250, 40])
+def test_a_key_is_woken_once_for_all_that_is_due(keep_ms):
+    """A thousand rows of a key take one timer a batch, and are answered as if each had one."""
+    rng, wait = random.Random(11), 100
+    data = [(rng.choice([timers.MESSAGE, timers.REQUEST, timers.REQUEST]), i, i * 3 + rng.randrange(3)) for i in range(1000)]
+    delivery = timers.Delivery(["k"], wait * 1000, None if keep_ms is None else keep_ms * 1000)
+    kept, given = Kept(), []
+    delivery.init(kept)
+    for n in range(4):
+        part = [Row(k="a", kind=kind, id=i, at_us=t * 1000) for kind, i, t in data[n * 250:(n + 1) * 250]]
+        assert not list(delivery.handleInputRows(("a",), iter(part), None))
+        assert len(set(kept.timers)) <= 2
+        given += kept.settle(delivery, (n + 1) * 750)
+    given += kept.settle(delivery, 1 << 40)
+    assert sorted(given) == one_by_one(data, wait, keep_ms)
+    assert kept.woken <= 12
+    assert not kept.lists["requests"] and (keep_ms is None or not kept.lists["messages"])
+
+
 def test_order_is_kept_per_key(spark, rows):
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"),
