@@ -32,7 +32,7 @@ Empty tables give empty results. Shingles, and whole sets, are told apart by 64-
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import combinations
 from typing import NamedTuple
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.components import components
-from millrace.llm.tables import documents, finished, in_batches, saved
+from millrace.llm.tables import documents, finished, in_batches, perhaps_among, saved
 from millrace.llm.words import SPACE, BitTable, U, Words, bit_table, lowered, mixed, steps, windows
 
 FOLDED = lowered(SPACE)
@@ -134,31 +134,45 @@ def folded(sketches: list[bytes]) -> np.ndarray:
 
 
 def signed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One slim row for each document: id, set, size and sketch of the set."""
+    """One row for each document: id, set, size and sketch of the set, and its shingles.
+
+    Shingles are given once for each set as far as a task remembers. They are kept, since texts take longer to cut
+    and to hash than sets to read.
+    """
 
     def run(batches):
+        seen: set[int] = set()
+
+        def new(own: int | None) -> bool:
+            if own is None or own in seen:
+                return False
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(own)
+            return True
+
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), rule.size))
+            names = list(map(set_id, sets))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "set", "n", "sketch"])
+                [batch.column(0), pa.array(names, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+                 pa.array([s.tobytes() if new(own) else None for own, s in zip(names, sets)], pa.binary())],
+                names=["doc_id", "set", "n", "sketch", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, set long, n long, sketch binary")
+    return in_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, set long, n long, sketch binary, shingles binary")
 
 
-def different_sets(batches, rule: Rule, wanted: Callable[[int], bool]) -> Iterator[tuple[int, np.ndarray]]:
-    """The sets of wanted sizes in the first column, each once as far as a task remembers."""
-    seen: set[int] = set()
+def stored(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of columns ``set`` and ``shingles``: the sets, the shingles of all of them in a row, and their numbers."""
     for batch in batches:
-        for shingles in shingle_sets(batch.column(0), rule.size):
-            if len(shingles) and wanted(len(shingles)):
-                own = set_id(shingles)
-                if own not in seen:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(own)
-                    yield own, shingles
+        if batch.num_rows:
+            column = batch.column(1).cast(pa.large_binary())
+            _, offsets, data = column.buffers()
+            offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+            yield (batch.column(0).to_numpy(zero_copy_only=False), np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(np.uint64),
+                   np.diff(offsets) // 8)
 
 
 def together(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -210,62 +224,91 @@ def subset_keys(shingles: np.ndarray, rule: Rule) -> Iterator[tuple[int, int, in
                        int((b - second[out].sum(dtype=np.uint64)).view(np.int64)), n - d)
 
 
-def blocks_of(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each dealing of a set: a hash of every block that is not empty, where it starts and ends, and what is dealt.
+class Dealing(NamedTuple):
+    """Blocks of several sets: a hash of each that is not empty, its set, and where it starts and ends in what is dealt.
+
+    ``places`` are those of the dealt shingles among the shingles of all sets; none if it is not these that are dealt.
+    """
+
+    keys: np.ndarray
+    owner: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    places: np.ndarray | None
+
+
+def dealings(shingles: np.ndarray, sizes: np.ndarray, rule: Rule, kept: np.ndarray | None = None) -> Iterator[Dealing]:
+    """The sets, one after the other in ``shingles``, dealt into blocks, all at once.
 
-    A set is dealt for its own level and the one below. With ``rest``, the shingles that are not left out, blocks are
-    of those, and of all only if too many are empty.
+    A set is dealt for its own level and the one below. With ``kept``, which tells the shingles that are not left out,
+    blocks are of those, and of all only if too many are empty.
     """
-    level = rule.level(len(shingles))
-    for at in sorted({level, max(level - 1, 0)}):
-        number, spare = rule.blocks(at)
-        bounds = np.arange(1, number, dtype=np.uint64) * U((1 << 64) // number)
-        dealt, deal = (shingles, 1) if rest is None else (rest, 0)
-        while True:
-            # hashes are sorted, so a block is a range of them
-            edges = np.concatenate([[0], np.searchsorted(dealt, bounds), [len(dealt)]])
+    levels = np.zeros(len(sizes), np.int64)
+    for n in np.unique(sizes):
+        levels[sizes == n] = rule.level(int(n))
+    for below in (0, 1):
+        todo = np.flatnonzero(levels >= below)
+        # the shingles of the sets still to be dealt, and whose of them they are
+        held, own = np.flatnonzero(np.repeat(levels >= below, sizes)), np.repeat(np.arange(len(todo)), sizes[todo])
+        blocks = {int(at): rule.blocks(int(at)) for at in np.unique(levels[todo] - below)}
+        number, spare = np.array([blocks[int(at)] for at in levels[todo] - below], np.int64).reshape(-1, 2).T
+        deal = 1 if kept is None else 0
+        while len(todo):
+            name = ((levels[todo] - below << 32) + deal).astype(np.uint64)
+            of, places = (own, held) if deal else (own[kept[held]], held[kept[held]])
+            dealt = shingles[places]
+            if deal > 1:
+                dealt, places = mixed(dealt + U(deal)), None
+                dealt = dealt[np.lexsort((dealt, of))]
+            # hashes of a set are sorted, so a block is a range of them
+            width = np.array([(1 << 64) // int(n) for n in number], np.uint64)
+            block = np.minimum(dealt // width[of], (number - 1).astype(np.uint64)[of])
+            first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (of[1:] != of[:-1]))[:len(dealt)])
+            last = np.append(first[1:], len(dealt))[:len(first)]
             sums = np.zeros(len(dealt) + 1, np.uint64)
             np.cumsum(mixed(dealt + U(0x2545F4914F6CDD1D)), out=sums[1:])
-            full = np.flatnonzero(np.diff(edges))
-            name = mixed(mixed(full.astype(np.uint64)) + U((at << 32) + deal))
-            yield mixed((sums[edges[full + 1]] - sums[edges[full]]) ^ name), np.stack([edges[full], edges[full + 1]], axis=1), dealt
-            if number - len(full) <= spare or deal > 4 * len(shingles):
-                break
-            deal += 1
-            dealt = shingles if deal == 1 else np.sort(mixed(shingles + U(deal)))
+            yield Dealing(mixed((sums[last] - sums[first]) ^ mixed(mixed(block[first]) + name[of[first]])), todo[of[first]], first, last, places)
+            again = (number - np.bincount(of[first], minlength=len(todo)) > spare) & (deal <= 4 * sizes[todo])
+            held, own = held[again[own]], (np.cumsum(again) - 1)[own[again[own]]]
+            todo, number, spare, deal = todo[again], number[again], spare[again], deal + 1
 
 
-def block_keys(shingles: np.ndarray, rule: Rule, rest: np.ndarray | None = None) -> np.ndarray:
-    return np.concatenate([keys for keys, _, _ in blocks_of(shingles, rule, rest)])
+def block_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
+    return np.concatenate([d.keys for d in dealings(shingles, np.array([len(shingles)]), rule)])
 
 
-def light_rows(docs: DataFrame, rule: Rule, light: int) -> DataFrame:
+def light_rows(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
     """The subsets of all sets up to the boundary."""
     schema = pa.schema([("set", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("check", pa.int64()), ("shared", pa.int32())])
 
     def run(batches):
         def rows():
-            for own, shingles in different_sets(batches, rule, lambda n: n <= light):
-                keys = np.array(list(subset_keys(shingles, rule)), np.int64).reshape(-1, 3)
-                yield np.full(len(keys), own), np.full(len(keys), len(shingles)), keys[:, 0], keys[:, 1], keys[:, 2]
+            for names, shingles, sizes in stored(batches):
+                for own, one in zip(names, np.split(shingles, np.cumsum(sizes)[:-1])):
+                    keys = np.array(list(subset_keys(one, rule)), np.int64).reshape(-1, 3)
+                    yield np.full(len(keys), own), np.full(len(keys), len(one)), keys[:, 0], keys[:, 1], keys[:, 2]
 
         yield from together(rows(), schema)
 
-    return in_batches(docs.select("text"), run, "set long, n int, key long, check long, shared int")
+    return in_batches(sets.where(F.col("n") <= light).select("set", "shingles"), run, "set long, n int, key long, check long, shared int")
 
 
 KEYED = pa.schema([("key", pa.int64()), ("set", pa.int64())])
 
 
-def block_rows(docs: DataFrame, rule: Rule, light: int) -> DataFrame:
-    """The blocks of all sets above the boundary, and of those so close to it that they may link across."""
-    least = rule.fewest_shared(light + 1)
+def heavy_sets(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
+    """The sets above the boundary, and those so close to it that they may link across."""
+    return sets.where(F.col("n") >= rule.fewest_shared(light + 1)).select("set", "shingles")
+
+
+def block_rows(sets: DataFrame, rule: Rule) -> DataFrame:
+    """The blocks of all sets."""
 
     def run(batches):
-        keys = ((block_keys(s, rule), own) for own, s in different_sets(batches, rule, lambda n: n >= least))
-        yield from together(((k.view(np.int64), np.full(len(k), own)) for k, own in keys), KEYED)
+        yield from together(((d.keys.view(np.int64), names[d.owner]) for names, shingles, sizes in stored(batches)
+                             for d in dealings(shingles, sizes, rule)), KEYED)
 
-    return in_batches(docs.select("text"), run, "key long, set long")
+    return in_batches(sets, run, "key long, set long")
 
 
 def light_links(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -393,28 +436,12 @@ def list_links(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return in_batches(rows.repartition("key").sortWithinPartitions("key", "set"), run, "a long, b long").distinct()
 
 
-def sets_of(docs: DataFrame, rule: Rule, members: DataFrame) -> DataFrame:
+def sets_of(sets: DataFrame, members: DataFrame) -> DataFrame:
     """The sets named in ``members`` (one row for each ``set``), as bytes, beside its columns.
 
-    A bit table of fixed size keeps most others out of the shuffle; the join decides.
+    A map of fixed size keeps most others out of the shuffle; the join decides.
     """
-    known = bit_table(members.select("set"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-    sent = docs.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches):
-        wanted = BitTable(sent.value)
-        held, size = [], 0
-        for own, shingles in different_sets(batches, rule, lambda n: True):
-            if wanted(np.array([own]).view(np.uint64))[0]:
-                held.append((own, shingles.tobytes()))
-                size += len(shingles)
-            if size >= SENT_ROWS:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=["set", "shingles"])
-                held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=["set", "shingles"])
-
-    return in_batches(docs.select("text"), run, "set long, shingles binary").join(members, "set")
+    return perhaps_among(sets.select("set", "shingles"), members, "set").join(members, "set")
 
 
 def in_clusters(links: DataFrame, classes: DataFrame) -> DataFrame:
@@ -426,45 +453,39 @@ def in_clusters(links: DataFrame, classes: DataFrame) -> DataFrame:
     return saved(members.join(sums.select("cluster", parts.alias("parts")), "cluster"), "members")
 
 
-def dealt_again(docs: DataFrame, rule: Rule, light: int, long: DataFrame) -> DataFrame:
+def dealt_again(sets: DataFrame, rule: Rule, long: DataFrame) -> DataFrame:
     """Blocks of the sets in long lists (``long`` has their keys), without the shingles of such lists.
 
     Both are told by tables of fixed size; what they hold besides is the same for all sets.
     """
-    least = rule.fewest_shared(light + 1)
-    spark = docs.sparkSession
+    spark = sets.sparkSession
     sent = spark.sparkContext.broadcast(bit_table(long.select("key"), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
 
-    def of_long(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Sets with a block that is a long list, and their shingles in such blocks."""
+    def of_long(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Sets with a block that is a long list, with which of their shingles are in such blocks."""
         keys = BitTable(sent.value)
-        for own, shingles in different_sets(batches, rule, lambda n: n >= least):
-            inside, any_long = np.zeros(len(shingles) + 1, np.int64), False
-            for key, edges, dealt in blocks_of(shingles, rule):
-                long_ = keys(key)
-                any_long |= bool(long_.any())
-                if dealt is shingles:
-                    np.add.at(inside, edges[long_, 0], 1)
-                    np.add.at(inside, edges[long_, 1], -1)
-            if any_long:
-                yield own, shingles, shingles[np.cumsum(inside[:-1]) > 0]
+        for names, shingles, sizes in stored(batches):
+            inside, any_long = np.zeros(len(shingles), bool), np.zeros(len(sizes), bool)
+            for d in dealings(shingles, sizes, rule):
+                long_ = keys(d.keys)
+                any_long[d.owner[long_]] = True
+                if d.places is not None:
+                    inside[d.places[np.repeat(long_, d.last - d.first)]] = True
+            if any_long.any():
+                in_any = np.repeat(any_long, sizes)
+                yield names[any_long], shingles[in_any], sizes[any_long], inside[in_any]
 
     def frequent(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([f for _, _, f in of_long([batch])] or [np.zeros(0, np.uint64)])
+        return np.concatenate([shingles[inside] for _, shingles, _, inside in of_long([batch])] or [np.zeros(0, np.uint64)])
 
-    shingles_sent = spark.sparkContext.broadcast(bit_table(docs.select("text"), frequent))
+    shingles_sent = spark.sparkContext.broadcast(bit_table(sets, frequent))
 
     def run(batches):
         common = BitTable(shingles_sent.value)
+        yield from together(((d.keys.view(np.int64), names[d.owner]) for names, shingles, sizes, _ in of_long(batches)
+                             for d in dealings(shingles, sizes, rule, ~common(shingles))), KEYED)
 
-        def rows():
-            for own, shingles, _ in of_long(batches):
-                found = block_keys(shingles, rule, shingles[~common(shingles)])
-                yield found.view(np.int64), np.full(len(found), own)
-
-        yield from together(rows(), KEYED)
-
-    return in_batches(docs.select("text"), run, "key long, set long")
+    return in_batches(sets, run, "key long, set long")
 
 
 def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[int, int]]:
@@ -504,11 +525,11 @@ def compared(frame: pd.DataFrame, rule: Rule) -> Iterator[tuple[int, int]]:
             yield names[i], names[g]
 
 
-def cluster_links(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+def cluster_links(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     """Exact links within clusters, compared in chunks, small clusters many at a time."""
     weight = members.where("parts = 1").agg(F.sum("n")).first()[0] or 0
     bins = int(weight // CHUNK_SHINGLES) + 1
-    rows = sets_of(docs, rule, members.select("set", "cluster", "parts"))
+    rows = sets_of(sets, members.select("set", "cluster", "parts"))
     own = F.pmod(F.hash("set"), F.col("parts"))
     # a chunk of a large cluster meets each other chunk of it once
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -524,21 +545,22 @@ def cluster_links(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return rows.groupBy("group").applyInPandas(compare, "a long, b long")
 
 
-def all_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def all_links(sets: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Links ``a``, ``b`` between similar sets, enough of them to keep together all that are."""
     light = boundary(classes, rule)
-    links = light_links(saved(light_rows(docs, rule, light), "subsets"), rule)
-    lists = saved(shared_lists(block_rows(docs, rule, light), LONG), "lists")
+    links = light_links(saved(light_rows(sets, rule, light), "subsets"), rule)
+    heavy = heavy_sets(sets, rule, light)
+    lists = saved(shared_lists(block_rows(heavy, rule), LONG), "lists")
     long, lists = lists.where("set IS NULL"), lists.where("set IS NOT NULL")
     if not long.isEmpty():
-        again = saved(dealt_again(docs, rule, light, long), "again")
+        again = saved(dealt_again(heavy, rule, long), "again")
         left = saved(shared_lists(again, LONG), "left")
         lists = lists.unionByName(left.where("set IS NOT NULL"))
         long = left.where("set IS NULL")
         if not long.isEmpty():
             lists = lists.unionByName(in_chunks(again, long))
-    members = finished(docs.sparkSession, lambda: in_clusters(list_links(lists, classes, rule), classes), "members")
-    return links.unionByName(cluster_links(docs, members, rule))
+    members = finished(sets.sparkSession, lambda: in_clusters(list_links(lists, classes, rule), classes), "members")
+    return links.unionByName(cluster_links(sets, members, rule))
 
 
 def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -547,7 +569,8 @@ def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     classes = saved(rows.where("set IS NOT NULL").groupBy("set").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc")), "classes")
     spark = docs.sparkSession
-    links = finished(spark, lambda: all_links(docs, classes, rule), "links")
+    sets = rows.where("shingles IS NOT NULL").select("set", "n", "shingles")
+    links = finished(spark, lambda: all_links(sets, classes, rule), "links")
     labels = finished(spark, lambda: components(links), "labels")
     named = classes.join(labels, classes["set"] == labels["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "doc")
     names = named.groupBy("root").agg(F.min("doc").alias("component_id"))

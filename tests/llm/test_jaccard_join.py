@@ -106,6 +106,37 @@ def test_similar_sets_share_a_block():
                     assert set(jj.block_keys(a, rule)) & set(jj.block_keys(b, rule))
 
 
+def test_sets_are_dealt_alike_alone_and_together():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for n in (*range(1, 40), 60, 300, 2000, 5)]
+    sets.append(np.unique(rng.integers(0, 1 << 20, 50, dtype=np.uint64)))  # all in one block, so dealt once more
+    sizes = np.array([len(x) for x in sets])
+    kept = [rng.random(len(x)) < share for x, share in zip(sets, np.tile([0, 0.1, 0.5, 1], 99))]
+    for rule in (jj.Rule(3, 90), jj.Rule(5, 80)):
+        for mask in (None, np.concatenate(kept)):
+            found = [[] for _ in sets]
+            for d in jj.dealings(np.concatenate(sets), sizes, rule, mask):
+                for key, own in zip(d.keys.tolist(), d.owner.tolist()):
+                    found[own].append(key)
+                if d.places is not None:
+                    assert (np.repeat(d.owner, d.last - d.first) == np.repeat(np.arange(len(sets)), sizes)[d.places]).all()
+            for x, k, keys in zip(sets, kept, found):
+                alone = jj.dealings(x, np.array([len(x)]), rule, None if mask is None else k)
+                assert keys == np.concatenate([d.keys for d in alone]).tolist()
+
+
+def test_texts_are_cut_once(spark, monkeypatch, same):
+    """However often sets are needed, the texts are read in one pass."""
+    texts = near_texts(7, [6, 14, 40, 90])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    passes, send = [], jj.in_batches
+    monkeypatch.setattr(jj, "in_batches", lambda df, run, schema: passes.append(df.columns) or send(df, run, schema))
+    monkeypatch.setattr(jj, "LONG", 2)  # sets are dealt again
+    got = [(r["doc_id"], r["n"], r["component_id"]) for r in jj.joined(docs, jj.Rule(3, 90)).collect()]
+    same(got, expected([{"doc_id": i, "text": t} for i, t in enumerate(texts)], jj.Rule(3, 90)))
+    assert len(passes) > 3 and sum("text" in c for c in passes) == 1
+
+
 def test_lists_are_given_or_named(spark):
     rows = [(k, s) for k in range(40) for s in range(k + 1)] + [(7, 3), (7, 3), (30, 2)]
     df = spark.createDataFrame(rows, "key long, set long").repartition(3)
