@@ -60,6 +60,8 @@ LONG = 1024
 SKETCHED, SIDE_BY_SIDE = 8, 256
 #: Places over which the rows of a long list are spread.
 SPREAD = 16
+#: Shingles that are dealt at once; a larger set is dealt by itself.
+DEALT = 1 << 17
 #: Sets that a task remembers, to pass on each once only, and rows that it sends on together.
 SEEN, SENT_ROWS = 200_000, 50_000
 
@@ -165,14 +167,19 @@ def signed(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def stored(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of columns ``set`` and ``shingles``: the sets, the shingles of all of them in a row, and their numbers."""
+    """Some rows at a time of columns ``set`` and ``shingles``: the sets, the shingles of all in a row, and their numbers."""
     for batch in batches:
-        if batch.num_rows:
-            column = batch.column(1).cast(pa.large_binary())
-            _, offsets, data = column.buffers()
-            offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
-            yield (batch.column(0).to_numpy(zero_copy_only=False), np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(np.uint64),
-                   np.diff(offsets) // 8)
+        if not batch.num_rows:
+            continue
+        column = batch.column(1).cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+        names, low = batch.column(0).to_numpy(zero_copy_only=False), 0
+        while low < len(names):
+            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + 8 * DEALT, side="right")) - 1)
+            yield (names[low:high], np.frombuffer(data, np.uint8)[offsets[low]:offsets[high]].view(np.uint64),
+                   np.diff(offsets[low:high + 1]) // 8)
+            low = high
 
 
 def together(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
